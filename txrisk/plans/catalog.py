@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import rule_label
-from txrisk.operators.alerts import build_alerts
-from txrisk.operators.features import base_features
-from txrisk.operators.scoring import score_transactions
+from txrisk.operators import economics, investigate, monitor
+from txrisk.operators.alerts import alert_detail, build_alerts, recent
+from txrisk.operators.contracts import key_violations
+from txrisk.operators.features import amount_zscore, base_features, batch_customer_count, group_zscore
+from txrisk.operators.scoring import enriched, score_transactions
 from txrisk.params import CostParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
 from txrisk.plans import oracle
 from txrisk.sources.tables import Tables
@@ -69,6 +71,131 @@ def q_rule_label(spark, sf_dir):
     return s.select("transaction_id", rule_label("amount", "country", "tx_count_5min", "category", P).alias("label"))
 
 
+def q_enriched(spark, sf_dir):
+    e = enriched(_scored(spark, sf_dir))
+    return e.withColumn("amount_zscore", F.round("amount_zscore", 6))
+
+
+def q_batch_customer_count(spark, sf_dir):
+    return batch_customer_count(_tx(spark, sf_dir)).select("transaction_id", "customer_id", "batch_tx_count")
+
+
+def q_amount_zscore(spark, sf_dir):
+    z = amount_zscore(_tx(spark, sf_dir))
+    return z.select("transaction_id", "amount", F.round("amount_zscore", 6).alias("amount_zscore"))
+
+
+def q_customer_zscore(spark, sf_dir):
+    z = group_zscore(_tx(spark, sf_dir))
+    return z.select("transaction_id", "customer_id", "amount", F.round("customer_zscore", 6).alias("customer_zscore"))
+
+
+def q_key_violations(spark, sf_dir):
+    return key_violations(enriched(_scored(spark, sf_dir)))
+
+
+def q_view_filter(spark, sf_dir):
+    return monitor.view_filter(_scored(spark, sf_dir), VF).select(*monitor.VIEW_COLUMNS)
+
+
+def q_flagged(spark, sf_dir):
+    return monitor.flagged(_scored(spark, sf_dir), M.threshold).select(*monitor.VIEW_COLUMNS)
+
+
+def q_kpi_summary(spark, sf_dir):
+    return monitor.kpi_summary(_scored(spark, sf_dir), M)
+
+
+def _rates(spark, sf_dir):
+    return monitor.minute_rates(_scored(spark, sf_dir), M.threshold)
+
+
+def q_minute_rates(spark, sf_dir):
+    return _rates(spark, sf_dir).withColumn("alert_rate_pct", F.round("alert_rate_pct", 6))
+
+
+def q_sla_rolling(spark, sf_dir):
+    r = monitor.sla_rolling(_rates(spark, sf_dir), M.sla_window_minutes)
+    return r.select(
+        "minute", "tx", "flagged",
+        F.round("alert_rate_pct", 6).alias("alert_rate_pct"),
+        F.round("sla_rate_pct", 6).alias("sla_rate_pct"),
+    )
+
+
+def q_sla_verdict(spark, sf_dir):
+    return monitor.sla_verdict(monitor.sla_rolling(_rates(spark, sf_dir), M.sla_window_minutes), M.sla_limit_pct)
+
+
+def q_hotspot_country(spark, sf_dir):
+    return monitor.hotspots(monitor.flagged(_scored(spark, sf_dir), M.threshold), "country", M.top_k_hotspots)
+
+
+def q_hotspot_merchant(spark, sf_dir):
+    return monitor.hotspots(monitor.flagged(_scored(spark, sf_dir), M.threshold), "merchant", M.top_k_hotspots)
+
+
+def q_filter_options(spark, sf_dir):
+    return monitor.filter_options(_tx(spark, sf_dir))
+
+
+def q_amount_histogram(spark, sf_dir):
+    return monitor.histogram(_tx(spark, sf_dir), "amount", M.amount_bins)
+
+
+def q_score_histogram(spark, sf_dir):
+    return monitor.histogram(_scored(spark, sf_dir), "risk_score", M.score_bins)
+
+
+def q_latest_transactions(spark, sf_dir):
+    return recent(_scored(spark, sf_dir), M.recent_rows, monitor.VIEW_COLUMNS)
+
+
+def _alert_detail(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    return alert_detail(build_alerts(scored, P), scored)
+
+
+def q_alert_detail(spark, sf_dir):
+    return _alert_detail(spark, sf_dir)
+
+
+def q_recent_alerts(spark, sf_dir):
+    return recent(_alert_detail(spark, sf_dir), M.recent_rows)
+
+
+def q_cost_model(spark, sf_dir):
+    return economics.cost_model(_scored(spark, sf_dir), M.threshold, C)
+
+
+def q_threshold_sweep(spark, sf_dir):
+    return economics.threshold_sweep(_scored(spark, sf_dir), S, C)
+
+
+def q_best_threshold(spark, sf_dir):
+    return economics.best_threshold(economics.threshold_sweep(_scored(spark, sf_dir), S, C))
+
+
+def q_customer_summary(spark, sf_dir):
+    return investigate.customer_summary(_scored(spark, sf_dir), M.threshold)
+
+
+def q_customer_top_country(spark, sf_dir):
+    return investigate.customer_top(_scored(spark, sf_dir), "country", M.top_k_profile)
+
+
+def q_customer_top_merchant(spark, sf_dir):
+    return investigate.customer_top(_scored(spark, sf_dir), "merchant", M.top_k_profile)
+
+
+def q_customer_timeline(spark, sf_dir):
+    return investigate.customer_timeline(_scored(spark, sf_dir), M.timeline_rows)
+
+
+def q_customer_actions(spark, sf_dir):
+    return investigate.customer_actions(_scored(spark, sf_dir), M.threshold, M.block_score)
+
+
 QUERIES: dict[str, Query] = {
     "transactions": q_transactions,
     "base_features": q_base_features,
@@ -76,6 +203,33 @@ QUERIES: dict[str, Query] = {
     "score_sql": q_score_sql,
     "alert_build": q_alert_build,
     "rule_label": q_rule_label,
+    "enriched": q_enriched,
+    "batch_customer_count": q_batch_customer_count,
+    "amount_zscore": q_amount_zscore,
+    "customer_zscore": q_customer_zscore,
+    "key_violations": q_key_violations,
+    "view_filter": q_view_filter,
+    "flagged": q_flagged,
+    "kpi_summary": q_kpi_summary,
+    "minute_rates": q_minute_rates,
+    "sla_rolling": q_sla_rolling,
+    "sla_verdict": q_sla_verdict,
+    "hotspot_country": q_hotspot_country,
+    "hotspot_merchant": q_hotspot_merchant,
+    "filter_options": q_filter_options,
+    "amount_histogram": q_amount_histogram,
+    "score_histogram": q_score_histogram,
+    "latest_transactions": q_latest_transactions,
+    "alert_detail": q_alert_detail,
+    "recent_alerts": q_recent_alerts,
+    "cost_model": q_cost_model,
+    "threshold_sweep": q_threshold_sweep,
+    "best_threshold": q_best_threshold,
+    "customer_summary": q_customer_summary,
+    "customer_top_country": q_customer_top_country,
+    "customer_top_merchant": q_customer_top_merchant,
+    "customer_timeline": q_customer_timeline,
+    "customer_actions": q_customer_actions,
 }
 
 

@@ -65,8 +65,84 @@ def base(p: ScoringParams) -> str:
     return "WITH " + ",\n".join([transactions_cte(), features_cte(p), scored_cte(p)])
 
 
+def _d(x: float) -> str:
+    """A DOUBLE literal (DuckDB reads 0.8 as DECIMAL)."""
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
 def flagged_pred(threshold: float, score: str = "risk_score") -> str:
-    return f"({score} >= {threshold!r} AND NOT isnan({score}))"
+    return f"({score} >= {_d(threshold)} AND NOT isnan({score}))"
+
+
+def prob_expr(score: str = "risk_score") -> str:
+    return f"CASE WHEN isnan({score}) THEN NULL ELSE least(greatest({score}, 0.0), 1.0) END"
+
+
+def value_exprs(n_flag: str, p_flag: str, p_all: str, c: CostParams) -> dict[str, str]:
+    fp = f"({n_flag} - {p_flag})"
+    avoided = f"({p_flag} * {_d(c.block_efficiency)} * {_d(c.loss_per_fraud)})"
+    costs = f"({n_flag} * {_d(c.review_cost)} + {fp} * {_d(c.false_positive_cost)})"
+    return {
+        "precision_est": f"{p_flag} / greatest(CAST({n_flag} AS DOUBLE), 1.0)",
+        "recall_est": f"{p_flag} / greatest({p_all}, {_d(1e-9)})",
+        "expected_fp": fp,
+        "avoided_losses_est": avoided,
+        "costs_est": costs,
+        "net_value_est": f"({avoided} - {costs})",
+    }
+
+
+def rates_cte(threshold: float) -> str:
+    return f"""rates AS (
+  SELECT date_trunc('minute', ts) AS minute,
+         count(transaction_id) AS tx,
+         count(CASE WHEN {flagged_pred(threshold)} THEN 1 END) AS flagged,
+         count(CASE WHEN {flagged_pred(threshold)} THEN 1 END) / greatest(CAST(count(transaction_id) AS DOUBLE), 1.0) * 100.0 AS alert_rate_pct
+  FROM scored WHERE ts IS NOT NULL GROUP BY 1
+)"""
+
+
+def rolling_cte(n: int) -> str:
+    return f"""roll AS (
+  SELECT *, avg(alert_rate_pct) OVER (ORDER BY minute ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS sla_rate_pct
+  FROM rates
+)"""
+
+
+def sweep_cte(s: SweepParams, c: CostParams) -> str:
+    v = value_exprs("flagged", "p_flag", "p_all", c)
+    return f"""grid AS (
+  SELECT CAST(i AS DOUBLE) / CAST({s.scale} AS DOUBLE) AS threshold FROM generate_series({s.lo}, {s.hi}) g(i)
+),
+prob AS (SELECT risk_score, {prob_expr()} AS p FROM scored),
+total AS (SELECT coalesce(sum(p), 0.0) AS p_all FROM prob),
+per_t AS (
+  SELECT grid.threshold, count(prob.risk_score) AS flagged, coalesce(sum(prob.p), 0.0) AS p_flag
+  FROM grid LEFT JOIN prob ON prob.risk_score >= grid.threshold AND NOT isnan(prob.risk_score)
+  GROUP BY grid.threshold
+),
+sweep AS (
+  SELECT threshold, flagged,
+         round({v["precision_est"]}, 6) AS precision_est,
+         round({v["recall_est"]}, 6) AS recall_est,
+         round({v["net_value_est"]}, 6) AS net_value_est,
+         round({v["avoided_losses_est"]}, 6) AS avoided_losses_est,
+         round({v["costs_est"]}, 6) AS costs_est
+  FROM per_t, total
+)"""
+
+
+def histogram_sql(src: str, column: str, bins: int) -> str:
+    w = f"((hi - lo) / CAST({bins} AS DOUBLE))"
+    return f""",
+bounds AS (SELECT min({column}) AS lo, max({column}) AS hi FROM {src}),
+binned AS (
+  SELECT CAST(least(CASE WHEN {w} > 0 THEN floor(({column} - lo) / {w}) ELSE 0 END, {bins - 1}) AS INTEGER) AS bin,
+         lo, {w} AS w
+  FROM {src}, bounds WHERE {column} IS NOT NULL
+)
+SELECT bin, round(lo + bin * w, 6) AS lower, round(lo + (bin + 1) * w, 6) AS upper, count(*) AS n
+FROM binned GROUP BY bin, lo, w"""
 
 
 def reason_expr(p: ScoringParams) -> str:
@@ -120,4 +196,150 @@ FROM scored WHERE {flagged_pred(p.alert_threshold)}"""
     q["rule_label"] = B + f"""
 SELECT transaction_id, {label_expr(p)} AS label FROM scored"""
 
+    q["enriched"] = B + """
+SELECT transaction_id, customer_id, ts, amount, currency, merchant, country, category, tx_count_5min,
+       round((amount - avg(amount) OVER ()) / NULLIF(stddev_samp(amount) OVER (), 0), 6) AS amount_zscore,
+       risk_score
+FROM scored"""
+
+    q["batch_customer_count"] = "WITH " + transactions_cte() + """
+SELECT transaction_id, customer_id, count(*) OVER (PARTITION BY customer_id) AS batch_tx_count FROM transactions"""
+
+    q["amount_zscore"] = "WITH " + transactions_cte() + """
+SELECT transaction_id, amount,
+       round((amount - avg(amount) OVER ()) / NULLIF(stddev_samp(amount) OVER (), 0), 6) AS amount_zscore
+FROM transactions"""
+
+    q["customer_zscore"] = "WITH " + transactions_cte() + """
+SELECT transaction_id, customer_id, amount,
+       round((amount - avg(amount) OVER (PARTITION BY customer_id))
+             / NULLIF(stddev_samp(amount) OVER (PARTITION BY customer_id), 0), 6) AS customer_zscore
+FROM transactions"""
+
+    q["key_violations"] = B + """,
+k AS (SELECT transaction_id, count(*) AS n FROM scored GROUP BY transaction_id)
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
+       count(transaction_id) AS n_keys,
+       CAST(coalesce(sum(CASE WHEN transaction_id IS NULL THEN n END), 0) AS BIGINT) AS n_null_keys,
+       count(CASE WHEN transaction_id IS NOT NULL AND n > 1 THEN 1 END) AS n_duplicate_keys
+FROM k"""
+
+    view_cols = "ts, transaction_id, customer_id, amount, country, merchant, category, risk_score"
+    conds = [f"{name} IN {_in(vals)}" for name, vals in
+             (("country", vf.countries), ("merchant", vf.merchants), ("category", vf.categories)) if vals]
+    q["view_filter"] = B + f"""
+SELECT {view_cols} FROM scored WHERE {" AND ".join(conds) if conds else "true"}"""
+
+    q["flagged"] = B + f"""
+SELECT {view_cols} FROM scored WHERE {flagged_pred(m.threshold)}"""
+
+    rate = "n_flagged / greatest(CAST(n_tx AS DOUBLE), 1.0) * 100.0"
+    q["kpi_summary"] = B + f""",
+k AS (SELECT count(*) AS n_tx, count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged FROM scored)
+SELECT n_tx, n_flagged, round({rate}, 6) AS alert_rate_pct,
+       CASE WHEN {rate} >= {_d(m.level_high_pct)} THEN 'HIGH'
+            WHEN {rate} >= {_d(m.level_moderate_pct)} THEN 'MODERATE' ELSE 'LOW' END AS risk_level
+FROM k"""
+
+    R = B + ",\n" + rates_cte(m.threshold)
+    q["minute_rates"] = R + """
+SELECT minute, tx, flagged, round(alert_rate_pct, 6) AS alert_rate_pct FROM rates"""
+
+    RR = R + ",\n" + rolling_cte(m.sla_window_minutes)
+    q["sla_rolling"] = RR + """
+SELECT minute, tx, flagged, round(alert_rate_pct, 6) AS alert_rate_pct, round(sla_rate_pct, 6) AS sla_rate_pct FROM roll"""
+
+    q["sla_verdict"] = RR + f"""
+SELECT max(minute) AS latest_minute,
+       round(coalesce(arg_max(sla_rate_pct, minute), 0.0), 6) AS sla_rate_pct,
+       {_d(m.sla_limit_pct)} AS limit_pct,
+       coalesce(arg_max(sla_rate_pct, minute), 0.0) > {_d(m.sla_limit_pct)} AS breach
+FROM roll"""
+
+    for col in ("country", "merchant"):
+        q[f"hotspot_{col}"] = B + f"""
+SELECT {col}, count(*) AS n_flagged FROM scored
+WHERE {flagged_pred(m.threshold)} AND {col} IS NOT NULL
+GROUP BY {col} ORDER BY n_flagged DESC, {col} ASC LIMIT {m.top_k_hotspots}"""
+
+    q["filter_options"] = "WITH " + transactions_cte() + """
+SELECT DISTINCT field, value FROM (
+  SELECT 'country' AS field, country AS value FROM transactions
+  UNION ALL SELECT 'merchant', merchant FROM transactions
+  UNION ALL SELECT 'category', category FROM transactions
+  UNION ALL SELECT 'customer_id', customer_id FROM transactions
+) WHERE value IS NOT NULL ORDER BY field, value"""
+
+    q["amount_histogram"] = "WITH " + transactions_cte() + histogram_sql("transactions", "amount", m.amount_bins)
+    q["score_histogram"] = B + histogram_sql("scored", "risk_score", m.score_bins)
+
+    q["latest_transactions"] = B + f"""
+SELECT {view_cols} FROM scored ORDER BY ts DESC NULLS LAST, transaction_id ASC LIMIT {m.recent_rows}"""
+
+    detail = B + f""",
+alerts AS (
+  SELECT transaction_id, ts, risk_score, {reason_expr(p)} AS reason, {severity_expr(p)} AS severity
+  FROM scored WHERE {flagged_pred(p.alert_threshold)}
+),
+detail AS (
+  SELECT a.ts, a.transaction_id, a.severity, a.risk_score, a.reason, t.country, t.merchant, t.amount
+  FROM alerts a JOIN scored t ON a.transaction_id = t.transaction_id
+)"""
+    q["alert_detail"] = detail + "\nSELECT * FROM detail"
+    q["recent_alerts"] = detail + f"""
+SELECT * FROM detail ORDER BY ts DESC NULLS LAST, transaction_id ASC LIMIT {m.recent_rows}"""
+
+    v = value_exprs("n_flagged", "pf", "tot", c)
+    q["cost_model"] = B + f""",
+pr AS (SELECT {flagged_pred(m.threshold)} AS f, {prob_expr()} AS p FROM scored),
+a AS (SELECT count(*) AS n_tx, count(CASE WHEN f THEN 1 END) AS n_flagged,
+             coalesce(sum(p), 0.0) AS tot, coalesce(sum(CASE WHEN f THEN p END), 0.0) AS pf FROM pr)
+SELECT n_tx, n_flagged,
+       round(tot, 6) AS expected_total_fraud,
+       round(pf, 6) AS expected_fraud_flagged,
+       round({v["expected_fp"]}, 6) AS expected_fp_flagged,
+       round(tot - pf, 6) AS expected_missed_fraud,
+       round(pf * {_d(c.block_efficiency)}, 6) AS expected_stopped_fraud,
+       round({v["avoided_losses_est"]}, 6) AS avoided_losses_est,
+       round({v["costs_est"]}, 6) AS costs_est,
+       round({v["net_value_est"]}, 6) AS net_value_est
+FROM a"""
+
+    SW = B + ",\n" + sweep_cte(s, c)
+    q["threshold_sweep"] = SW + "\nSELECT * FROM sweep"
+    q["best_threshold"] = SW + "\nSELECT * FROM sweep ORDER BY net_value_est DESC, threshold ASC LIMIT 1"
+
+    q["customer_summary"] = B + f"""
+SELECT customer_id, count(*) AS n_tx,
+       count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged,
+       round(sum(amount), 6) AS total_amount, max(risk_score) AS max_score
+FROM scored GROUP BY customer_id"""
+
+    for col in ("country", "merchant"):
+        q[f"customer_top_{col}"] = B + f""",
+cnt AS (SELECT customer_id, {col}, count(*) AS n FROM scored WHERE {col} IS NOT NULL GROUP BY customer_id, {col}),
+rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY n DESC, {col} ASC) AS INTEGER) AS rank FROM cnt)
+SELECT customer_id, {col}, n, rank FROM rk WHERE rank <= {m.top_k_profile}"""
+
+    q["customer_timeline"] = B + f""",
+tl AS (
+  SELECT customer_id, ts, transaction_id, amount, country, merchant, category, risk_score,
+         CAST(row_number() OVER (PARTITION BY customer_id ORDER BY ts DESC NULLS LAST, transaction_id ASC) AS INTEGER) AS rn
+  FROM scored
+)
+SELECT * FROM tl WHERE rn <= {m.timeline_rows}"""
+
+    hi = max(m.block_score, m.threshold)
+    q["customer_actions"] = B + f""",
+ca AS (
+  SELECT customer_id,
+         count(CASE WHEN {flagged_pred(hi)} THEN 1 END) AS n_high,
+         count(CASE WHEN {flagged_pred(m.threshold)} AND risk_score < {_d(m.block_score)} THEN 1 END) AS n_mid
+  FROM scored GROUP BY customer_id
+)
+SELECT customer_id, n_high, n_mid,
+       CASE WHEN n_high > 0 THEN 'BLOCK_AND_INVESTIGATE' WHEN n_mid > 0 THEN 'MANUAL_REVIEW'
+            ELSE 'STANDARD_MONITORING' END AS action
+FROM ca"""
+
     return q
