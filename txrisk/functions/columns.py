@@ -28,7 +28,7 @@ ACTION_REVIEW = "MANUAL_REVIEW"
 ACTION_MONITOR = "STANDARD_MONITORING"
 
 # ISO-8601 text of an event time, as the transaction producer writes it
-ISO_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+ISO_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
 def col(c: str | Column) -> Column:

@@ -17,8 +17,10 @@ from txrisk.operators.alerts import alert_detail, build_alerts, recent
 from txrisk.operators.contracts import key_violations
 from txrisk.operators.features import amount_zscore, base_features, batch_customer_count, group_zscore
 from txrisk.operators.scoring import enriched, score_transactions
-from txrisk.params import CostParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
+from txrisk.operators import model as ml
+from txrisk.params import CostParams, ModelParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
 from txrisk.plans import oracle
+from txrisk.sources import messages
 from txrisk.sources.tables import Tables
 from txrisk.sources.transactions import transactions
 
@@ -26,6 +28,7 @@ P = ScoringParams()
 M = MonitorParams()
 C = CostParams()
 S = SweepParams()
+MP = ModelParams()
 # View filter of the registered ``view_filter`` query: home and risky
 # countries, two categories, every merchant.
 VF = ViewFilter(
@@ -196,6 +199,65 @@ def q_customer_actions(spark, sf_dir):
     return investigate.customer_actions(_scored(spark, sf_dir), M.threshold, M.block_score)
 
 
+def _messages(spark, sf_dir):
+    return messages.to_messages(_tx(spark, sf_dir))
+
+
+def q_json_decode(spark, sf_dir):
+    decoded = messages.decode(_messages(spark, sf_dir))
+    accepted, _ = messages.split(decoded)
+    return accepted
+
+
+def q_quarantine_split(spark, sf_dir):
+    """Transaction messages plus foreign payloads of the same topic (the
+    events' own ``props`` objects, which carry no transaction fields)."""
+    t = Tables(spark, sf_dir)
+    foreign = t("events", "props").select(F.col("props").alias("value"))
+    raw = _messages(spark, sf_dir).unionByName(foreign)
+    tagged = messages.with_reason(messages.decode(raw))
+    return tagged.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def q_ts_parse(spark, sf_dir):
+    from txrisk.functions.columns import format_ts, parse_ts
+
+    text = _tx(spark, sf_dir).select("transaction_id", format_ts("ts").alias("ts_text"))
+    return text.withColumn("ts", parse_ts("ts_text"))
+
+
+def _labelled(spark, sf_dir):
+    return ml.with_label(_scored(spark, sf_dir), P)
+
+
+def q_score_accuracy(spark, sf_dir):
+    return ml.evaluate(_labelled(spark, sf_dir))
+
+
+def _fitted(spark, sf_dir):
+    data = _labelled(spark, sf_dir).drop("risk_score")
+    train, test = ml.hash_split(data, MP.train_fraction, MP.split_seed)
+    return ml.fit(train, MP), data, test
+
+
+def q_model_score(spark, sf_dir):
+    model, data, _ = _fitted(spark, sf_dir)
+    return ml.score_model(model, data).select("transaction_id", "label", "risk_score")
+
+
+def q_model_evaluation(spark, sf_dir):
+    model, _, test = _fitted(spark, sf_dir)
+    return ml.evaluate(ml.score_model(model, test))
+
+
+def q_model_coefficients(spark, sf_dir):
+    model, _, _ = _fitted(spark, sf_dir)
+    rows = ml.coefficient_rows(ml.coefficients(model, MP))
+    return spark.createDataFrame(rows, "feature string, value string, weight double")
+
+
 QUERIES: dict[str, Query] = {
     "transactions": q_transactions,
     "base_features": q_base_features,
@@ -230,6 +292,13 @@ QUERIES: dict[str, Query] = {
     "customer_top_merchant": q_customer_top_merchant,
     "customer_timeline": q_customer_timeline,
     "customer_actions": q_customer_actions,
+    "json_decode": q_json_decode,
+    "quarantine_split": q_quarantine_split,
+    "ts_parse": q_ts_parse,
+    "score_accuracy": q_score_accuracy,
+    "model_score": q_model_score,
+    "model_evaluation": q_model_evaluation,
+    "model_coefficients": q_model_coefficients,
 }
 
 

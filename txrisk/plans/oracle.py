@@ -342,4 +342,39 @@ SELECT customer_id, n_high, n_mid,
             ELSE 'STANDARD_MONITORING' END AS action
 FROM ca"""
 
+    q["json_decode"] = "WITH " + transactions_cte() + "\nSELECT * FROM transactions"
+
+    msg = ("json_object('transaction_id', transaction_id, 'customer_id', customer_id,"
+           " 'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), 'amount', amount, 'currency', currency,"
+           " 'merchant', merchant, 'country', country, 'category', category)")
+    missing = " OR ".join(f"json_extract_string(value, '$.{f}') IS NULL"
+                          for f in ("transaction_id", "customer_id", "ts", "amount"))
+    q["quarantine_split"] = "WITH " + transactions_cte() + f""",
+msgs AS (
+  SELECT CAST({msg} AS VARCHAR) AS value FROM transactions
+  UNION ALL SELECT props FROM events
+),
+tagged AS (
+  SELECT CASE
+           WHEN value IS NULL THEN 'null_message'
+           WHEN NOT json_valid(value) THEN 'malformed_json'
+           WHEN {missing} THEN 'missing_field'
+           WHEN TRY_CAST(json_extract_string(value, '$.ts') AS TIMESTAMPTZ) IS NULL THEN 'bad_timestamp'
+         END AS reason
+  FROM msgs
+)
+SELECT coalesce(reason, 'accepted') AS reason, count(*) AS n FROM tagged GROUP BY 1"""
+
+    q["ts_parse"] = "WITH " + transactions_cte() + """,
+t AS (SELECT transaction_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS ts_text FROM transactions)
+SELECT transaction_id, ts_text, timezone('UTC', TRY_CAST(ts_text AS TIMESTAMPTZ)) AS ts FROM t"""
+
+    q["score_accuracy"] = B + f""",
+lab AS (SELECT risk_score, {label_expr(p)} AS label FROM scored)
+SELECT count(*) AS n,
+       count(CASE WHEN label = 1 THEN 1 END) AS n_positive,
+       count(CASE WHEN risk_score >= 0.5 THEN 1 END) AS n_predicted,
+       round(avg(CASE WHEN (risk_score >= 0.5 AND label = 1) OR (risk_score < 0.5 AND label = 0) THEN 1 ELSE 0 END), 6) AS accuracy
+FROM lab"""
+
     return q
