@@ -1,0 +1,52 @@
+"""Physical-plan shape: the scale properties the operators promise."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+from tests.conftest import SMALL
+from txrisk.plans import catalog
+
+
+def _explain(df, mode: str) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()
+
+
+def plan(df) -> str:
+    return _explain(df, "simple")
+
+
+def formatted(df) -> str:
+    return _explain(df, "formatted")
+
+
+def test_zscore_has_no_unpartitioned_window(spark):
+    p = formatted(catalog.QUERIES["amount_zscore"](spark, SMALL))
+    assert "Window" not in p
+    # the only SinglePartition exchanges carry partial aggregates
+    assert "partial_avg" in p
+
+
+def test_trailing_count_one_scan_one_exchange(spark):
+    p = plan(catalog.QUERIES["tx_count_5min"](spark, SMALL))
+    assert p.count("FileScan parquet") == 3  # events, customer, nation — once each
+    assert p.count("Exchange hashpartitioning") == 1
+
+
+def test_timeline_limits_before_shuffle(spark):
+    p = plan(catalog.QUERIES["customer_timeline"](spark, SMALL))
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_sweep_single_scan_of_events(spark):
+    p = formatted(catalog.QUERIES["threshold_sweep"](spark, SMALL))
+    assert p.count("events.parquet") == 1
+
+
+def test_scan_prunes_columns(spark):
+    p = plan(catalog.QUERIES["kpi_summary"](spark, SMALL))
+    assert "props" not in p.split("events.parquet")[0].split("FileScan parquet")[-1]
