@@ -81,15 +81,18 @@ def batch_customer_count(df: DataFrame, key: str = "customer_id", out: str = "ba
 def amount_zscore(df: DataFrame, amount: str = "amount", out: str = "amount_zscore") -> DataFrame:
     """(amount - mean) / sample std over the whole frame.
 
-    Mean and std are scalar subqueries: a partial aggregate per task, one
-    row per task to the final merge, and the two numbers substituted into
-    the projection. No unpartitioned window (which would move every row to
-    one task) and no join. n = 1 or std = 0 → NULL.
+    Mean and std come from one scalar subquery: a partial aggregate per
+    task, one row per task to the final merge, and the two numbers
+    substituted into the projection. No unpartitioned window (which would
+    move every row to one task) and no join. n = 1 or std = 0 → NULL.
     """
-    stats = df.select(F.avg(amount).alias("mu"), F.stddev_samp(amount).alias("sd"))
-    mu = stats.select("mu").scalar()
-    sd = stats.select("sd").scalar()
-    return df.withColumn(out, F.try_divide(F.col(amount) - mu, F.nullif(sd, F.lit(0.0))))
+    stats = df.select(F.struct(F.avg(amount).alias("mu"), F.stddev_samp(amount).alias("sd"))).scalar()
+    # bound to one column so the plan holds a single subquery
+    return (
+        df.withColumn("_stats", stats)
+        .withColumn(out, F.try_divide(F.col(amount) - F.col("_stats.mu"), F.nullif(F.col("_stats.sd"), F.lit(0.0))))
+        .drop("_stats")
+    )
 
 
 def group_zscore(df: DataFrame, key: str = "customer_id", amount: str = "amount",

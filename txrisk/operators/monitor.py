@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.columns import at_least, in_lists, is_flagged, minute_floor, risk_level
 from txrisk.params import MonitorParams, ViewFilter
+from txrisk.session import materialize
 
 VIEW_COLUMNS = ["ts", "transaction_id", "customer_id", "amount", "country", "merchant", "category", "risk_score"]
 
@@ -64,11 +65,13 @@ def sla_rolling(rates: DataFrame, window_rows: int) -> DataFrame:
     (rank within its day): the within-day rank is a window partitioned by
     day (at most 1,440 rows each) and the day offsets are a running sum
     over the per-day counts, one row per calendar day. Each minute then
-    sends its rate to the ``window_rows`` ranks it belongs to, and one
-    map-side-combined aggregation yields sum and count per rank.
+    sends its rate to the ``window_rows`` ranks it belongs to (carrying its
+    own columns to its own rank), and one map-side-combined aggregation per
+    rank yields the mean. The minute series, read by two branches, is
+    materialised once (it is bounded by the time span, not the data).
     """
     n = int(window_rows)
-    r = rates.withColumn("_day", F.to_date("minute"))
+    r = materialize(rates.withColumn("_day", F.to_date("minute")))
     per_day = r.groupBy("_day").agg(F.count(F.lit(1)).alias("_n"))
     # one row per calendar day with data: bounded by the time span
     offsets = per_day.select(
@@ -81,18 +84,24 @@ def sla_rolling(rates: DataFrame, window_rows: int) -> DataFrame:
         r.withColumn("_local", F.row_number().over(Window.partitionBy("_day").orderBy("minute")))
         .join(offsets, on="_day")
         .withColumn("_rank", F.col("_start") + F.col("_local"))
-        .drop("_day", "_local", "_start")
     )
-    sums = (
+    own = F.col("_k") == 0
+    return (
         ranked.select(
-            F.explode(F.sequence(F.col("_rank"), F.col("_rank") + F.lit(n - 1))).alias("_rank"),
-            "alert_rate_pct",
+            "minute", "tx", "flagged", "alert_rate_pct",
+            F.posexplode(F.sequence(F.col("_rank"), F.col("_rank") + F.lit(n - 1))).alias("_k", "_target"),
         )
-        .groupBy("_rank")
-        .agg(F.sum("alert_rate_pct").alias("_s"), F.count(F.lit(1)).alias("_c"))
-    )
-    return ranked.join(sums, on="_rank").select(
-        "minute", "tx", "flagged", "alert_rate_pct", (F.col("_s") / F.col("_c")).alias("sla_rate_pct")
+        .groupBy("_target")
+        .agg(
+            F.max(F.when(own, F.col("minute"))).alias("minute"),
+            F.max(F.when(own, F.col("tx"))).alias("tx"),
+            F.max(F.when(own, F.col("flagged"))).alias("flagged"),
+            F.max(F.when(own, F.col("alert_rate_pct"))).alias("alert_rate_pct"),
+            (F.sum("alert_rate_pct") / F.count(F.lit(1))).alias("sla_rate_pct"),
+        )
+        # ranks past the newest minute receive contributions but no minute
+        .filter(F.col("minute").isNotNull())
+        .drop("_target")
     )
 
 
@@ -142,20 +151,25 @@ def filter_options(df: DataFrame, columns=("country", "merchant", "category", "c
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram of ``column`` between its min and max.
 
-    Bounds are scalar subqueries (one partial aggregate per task); the
-    maximum falls into the last bin; empty bins are not emitted; NULLs are
-    ignored.
+    One pass over the input: values are first counted per distinct value
+    (map-side combined; amounts in cents and scores rounded to 6 places
+    have a bounded number of distinct values), that compact table is
+    materialised, and bounds and bins are computed from it. The maximum
+    falls into the last bin; empty bins are not emitted; NULLs are ignored.
     """
     x = F.col(column)
-    lo = df.select(F.min(x)).scalar()
-    hi = df.select(F.max(x)).scalar()
+    compact = materialize(
+        df.filter(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    )
+    v = F.col("_v")
+    lo = compact.select(F.min(v)).scalar()
+    hi = compact.select(F.max(v)).scalar()
     width = (hi - lo) / F.lit(float(bins))
-    raw = F.when(width > 0, F.floor((x - lo) / width)).otherwise(F.lit(0))
+    raw = F.when(width > 0, F.floor((v - lo) / width)).otherwise(F.lit(0))
     idx = F.least(raw, F.lit(bins - 1)).cast("int")
     return (
-        df.filter(x.isNotNull())
-        .groupBy(idx.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        compact.groupBy(idx.alias("bin"))
+        .agg(F.sum("_c").alias("n"))
         .select(
             "bin",
             F.round(lo + F.col("bin") * width, 6).alias("lower"),

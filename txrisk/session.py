@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -14,6 +15,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # checkpoint files of materialised frames are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming state of the event-time operators lives in RocksDB, off heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -63,6 +66,25 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return path
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several branches of one plan read.
+
+    Spark re-executes a shared sub-plan once per consumer (column pruning
+    makes the branches differ, so exchange reuse rarely applies). For a
+    small derived table (a per-minute series, per-value counts) the frame
+    is written once with a reliable ``checkpoint()`` into the shared folder
+    named by ``spark.checkpoint.dir`` and read back by every branch; an
+    executor lost later recomputes nothing upstream. Without a configured
+    folder the frame is persisted (memory, spilling to disk) instead.
+    """
+    spark = df.sparkSession
+    try:
+        checkpoint_dir(spark)
+    except RuntimeError:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df.checkpoint(eager=True)
+
+
 def streaming_checkpoint(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """Checkpoint location of a named streaming query under the shared folder."""
     root = spark.conf.get("spark.sql.streaming.checkpointLocation", None)

@@ -35,21 +35,27 @@ def normalise_amount(value) -> F.Column:
     return F.round(F.greatest(F.lit(1.0), value), 2)
 
 
-def customer_country(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """(c_custkey, country) — customer joined to the 25-row nation table."""
+def with_country(fact: DataFrame, custkey: str, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """fact ⋈ customer ⋈ nation, adding ``country`` (star join).
+
+    The fact side streams; each dimension is joined on its own key. Joining
+    the two dimensions first would make the planner estimate their product
+    as one side and pick the fact table to broadcast.
+    """
+    cust = customer.select("c_custkey", "c_nationkey")
+    nat = nation.select("n_nationkey", F.col("n_name").alias("country"))
     return (
-        customer.select("c_custkey", "c_nationkey")
-        .join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("n_name").alias("country"))
+        fact.join(cust, fact[custkey] == cust["c_custkey"])
+        .join(nat, F.col("c_nationkey") == nat["n_nationkey"])
+        .drop("c_custkey", "c_nationkey", "n_nationkey")
     )
 
 
 def transactions_from(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """events ⋈ customer ⋈ nation → the 8 transaction columns."""
     ev = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    cc = customer_country(customer, nation)
     merchant_no = F.get_json_object(F.col("props"), "$.k").cast("int") % F.lit(MERCHANT_BUCKETS)
-    return ev.join(cc, ev["user_id"] == cc["c_custkey"]).select(
+    return with_country(ev, "user_id", customer, nation).select(
         F.col("event_id").cast("string").alias("transaction_id"),
         customer_id(F.col("user_id")).alias("customer_id"),
         F.col("ts"),
@@ -78,12 +84,11 @@ def wide_transactions(t: Tables) -> DataFrame:
     """
     li = t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
     od = t("orders", "o_orderkey", "o_custkey")
-    cc = customer_country(t("customer", "c_custkey", "c_nationkey"), t("nation", "n_nationkey", "n_name"))
     sp = t("supplier", "s_suppkey", "s_name")
     pt = t("part", "p_partkey", "p_type")
+    lo = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
-        li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(cc, F.col("o_custkey") == F.col("c_custkey"))
+        with_country(lo, "o_custkey", t("customer", "c_custkey", "c_nationkey"), t("nation", "n_nationkey", "n_name"))
         .join(sp, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(pt, F.col("l_partkey") == F.col("p_partkey"))
         .select(
