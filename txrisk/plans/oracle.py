@@ -34,6 +34,24 @@ def transactions_cte() -> str:
 )"""
 
 
+def wide_cte() -> str:
+    return """wide AS (
+  SELECT concat('C', lpad(CAST(o.o_custkey AS VARCHAR), 6, '0')) AS customer_id,
+         l.l_shipdate AS ts,
+         l.l_extendedprice AS amount,
+         'EUR' AS currency,
+         s.s_name AS merchant,
+         n.n_name AS country,
+         p.p_type AS category
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+
+
 def features_cte(p: ScoringParams, src: str = "transactions") -> str:
     return f"""features AS (
   SELECT *,
@@ -65,6 +83,11 @@ def base(p: ScoringParams) -> str:
     return "WITH " + ",\n".join([transactions_cte(), features_cte(p), scored_cte(p)])
 
 
+def wide_base(p: ScoringParams) -> str:
+    """WITH wide, features, scored — the benchmark fixture."""
+    return "WITH " + ",\n".join([wide_cte(), features_cte(p, "wide"), scored_cte(p)])
+
+
 def _d(x: float) -> str:
     """A DOUBLE literal (DuckDB reads 0.8 as DECIMAL)."""
     return f"CAST({float(x)!r} AS DOUBLE)"
@@ -342,6 +365,25 @@ SELECT customer_id, n_high, n_mid,
             ELSE 'STANDARD_MONITORING' END AS action
 FROM ca"""
 
+    # ------------------------------------------------ wide benchmark fixture
+    WB = wide_base(p)
+    q["wide_kpi_summary"] = WB + f""",
+k AS (SELECT count(*) AS n_tx, count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged FROM scored)
+SELECT n_tx, n_flagged, round({rate}, 6) AS alert_rate_pct,
+       CASE WHEN {rate} >= {_d(m.level_high_pct)} THEN 'HIGH'
+            WHEN {rate} >= {_d(m.level_moderate_pct)} THEN 'MODERATE' ELSE 'LOW' END AS risk_level
+FROM k"""
+    q["wide_threshold_sweep"] = WB + ",\n" + sweep_cte(s, c) + "\nSELECT * FROM sweep"
+    q["wide_hotspot_merchant"] = WB + f"""
+SELECT merchant, count(*) AS n_flagged FROM scored
+WHERE {flagged_pred(m.threshold)} AND merchant IS NOT NULL
+GROUP BY merchant ORDER BY n_flagged DESC, merchant ASC LIMIT {m.top_k_hotspots}"""
+    q["wide_customer_summary"] = WB + f"""
+SELECT customer_id, count(*) AS n_tx,
+       count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged,
+       round(sum(amount), 6) AS total_amount, max(risk_score) AS max_score
+FROM scored GROUP BY customer_id"""
+
     q["json_decode"] = "WITH " + transactions_cte() + "\nSELECT * FROM transactions"
 
     msg = ("json_object('transaction_id', transaction_id, 'customer_id', customer_id,"
