@@ -35,6 +35,11 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
     Output columns: ``value`` (text), the eight message fields with ``ts``
     as TIMESTAMP_NTZ, ``ts_text`` and the corrupt-record column.
+
+    The JSON is parsed inside a generator (``inline`` of a one-element
+    array). Predicates on generator output are not pushed below it, so a
+    later quarantine filter reads the parsed columns instead of re-running
+    ``from_json`` once per referenced field.
     """
     text = F.col(value_col).cast("string")
     parsed = F.from_json(
@@ -42,11 +47,11 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
         MESSAGE_SCHEMA_WITH_CORRUPT,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
     )
-    d = raw.select(text.alias("value"), parsed.alias("d"))
-    fields = [F.col(f"d.{f.name}").alias(f.name) for f in MESSAGE_SCHEMA.fields]
+    d = raw.select(F.inline(F.array(F.struct(text.alias("value"), parsed.alias("d")))))
     return d.select(
         "value",
-        *[parse_ts(F.col("d.ts")).alias("ts") if f.name == "ts" else fields[i] for i, f in enumerate(MESSAGE_SCHEMA.fields)],
+        *[parse_ts(F.col("d.ts")).alias("ts") if f.name == "ts" else F.col(f"d.{f.name}").alias(f.name)
+          for f in MESSAGE_SCHEMA.fields],
         F.col("d.ts").alias("ts_text"),
         F.col(f"d.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
     )
