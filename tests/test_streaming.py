@@ -200,3 +200,27 @@ def test_dedupe_stream(spark, scratch):
          .option("checkpointLocation", os.path.join(scratch, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert rows(spark.table(name), "transaction_id") == [("a",), ("b",), ("c",)]
+
+
+def test_keyed_sink_reads_only_the_batch_time_range(spark, scratch):
+    import contextlib
+    import io
+
+    from txrisk.sinks.keyed import new_rows, read_table, with_partition, write_keyed
+
+    path = os.path.join(scratch, "t")
+    t0 = dt.datetime(2026, 2, 8)
+    mk = lambda ids, day: spark.createDataFrame(
+        [(i, t0 + dt.timedelta(days=day, minutes=n)) for n, i in enumerate(ids)], "transaction_id string, ts timestamp_ntz")
+    write_keyed(mk(["a", "b"], 0), path)
+    write_keyed(mk(["c", "d"], 5), path)
+    write_keyed(mk(["a", "e"], 0), path)          # "a" replayed
+    write_keyed(spark.createDataFrame([("n", None), ("n", None)], "transaction_id string, ts timestamp_ntz"), path)
+    write_keyed(spark.createDataFrame([("n", None)], "transaction_id string, ts timestamp_ntz"), path)
+    got = rows(spark.read.parquet(path), "transaction_id")
+    assert got == [("a",), ("b",), ("c",), ("d",), ("e",), ("n",)]
+    # the existing-key scan is pruned to the batch's dates
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        new_rows(with_partition(mk(["z"], 5)), read_table(spark, path), "transaction_id").explain()
+    assert "PartitionFilters: [" in plan.getvalue() and "event_date" in plan.getvalue().split("PartitionFilters: [")[1]

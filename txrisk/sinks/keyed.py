@@ -5,10 +5,12 @@ replayed batch. Here a write only appends rows whose key is not yet in the
 table, so a micro-batch replayed after a crash (at-least-once delivery)
 writes nothing twice.
 
-Parquet tables are partitioned by event date. The existing keys are read
-only from the dates the batch touches: a left-semi join on the partition
-column lets dynamic partition pruning skip every other date at run time,
-with no list of dates collected to the driver.
+Parquet tables are partitioned by event date. A replayed row carries the
+event time of its original, so existing keys are read only inside the
+batch's own event-time range: the date bounds prune partitions and the
+time bounds are pushed to the parquet reader, whose row-group statistics
+skip every file written for other times. For an in-order stream that is
+the last few files, not the table.
 """
 
 from __future__ import annotations
@@ -33,11 +35,23 @@ def with_partition(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date(F.col(ts_col)))
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """Rows of ``batch`` (one per key) whose (key, date) is not in ``existing``."""
+def new_rows(batch: DataFrame, existing: DataFrame, key: str, ts_col: str = "ts") -> DataFrame:
+    """Rows of ``batch`` (one per key) whose key is not in ``existing``.
+
+    Only existing rows inside the batch's event-time range are read (one
+    small aggregate of the batch gives the range)."""
     batch = batch.dropDuplicates([key])
-    touched = existing.join(batch.select(PARTITION_COLUMN).distinct(), on=PARTITION_COLUMN, how="left_semi")
-    return batch.join(touched.select(key, PARTITION_COLUMN), on=[key, PARTITION_COLUMN], how="left_anti")
+    lo, hi = batch.agg(F.min(ts_col), F.max(ts_col)).first()
+    if lo is None:
+        # no event times: compare against every existing key
+        candidates = existing
+    else:
+        t_lo = F.lit(lo.isoformat()).cast("timestamp_ntz")
+        t_hi = F.lit(hi.isoformat()).cast("timestamp_ntz")
+        in_range = F.col(PARTITION_COLUMN).between(F.to_date(t_lo), F.to_date(t_hi)) & F.col(ts_col).between(t_lo, t_hi)
+        # rows without event time live in the NULL date partition
+        candidates = existing.filter(in_range | F.col(PARTITION_COLUMN).isNull())
+    return batch.join(candidates.select(key), on=key, how="left_anti")
 
 
 def write_keyed(df: DataFrame, path: str, key: str = "transaction_id", ts_col: str = "ts") -> None:
@@ -46,7 +60,7 @@ def write_keyed(df: DataFrame, path: str, key: str = "transaction_id", ts_col: s
     batch = with_partition(df, ts_col)
     existing = read_table(spark, path)
     if existing is not None:
-        out = new_rows(batch, existing, key)
+        out = new_rows(batch, existing, key, ts_col)
     else:
         out = batch.dropDuplicates([key])
     out.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
