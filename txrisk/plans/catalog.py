@@ -20,6 +20,7 @@ from txrisk.operators.scoring import enriched, score_transactions
 from txrisk.operators import model as ml
 from txrisk.params import CostParams, ModelParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
 from txrisk.plans import oracle
+from txrisk.session import pin_utc
 from txrisk.sources import messages
 from txrisk.sources.tables import Tables
 from txrisk.sources.transactions import transactions, wide_transactions
@@ -39,8 +40,13 @@ VF = ViewFilter(
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _tables(spark: SparkSession, sf_dir: str) -> Tables:
+    pin_utc(spark)
+    return Tables(spark, sf_dir)
+
+
 def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions(Tables(spark, sf_dir))
+    return transactions(_tables(spark, sf_dir))
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +218,7 @@ def q_json_decode(spark, sf_dir):
 def q_quarantine_split(spark, sf_dir):
     """Transaction messages plus foreign payloads of the same topic (the
     events' own ``props`` objects, which carry no transaction fields)."""
-    t = Tables(spark, sf_dir)
+    t = _tables(spark, sf_dir)
     foreign = t("events", "props").select(F.col("props").alias("value"))
     raw = _messages(spark, sf_dir).unionByName(foreign)
     tagged = messages.with_reason(messages.decode(raw))
@@ -265,7 +271,7 @@ def q_model_coefficients(spark, sf_dir):
 def _wide_scored(spark, sf_dir):
     """The wide benchmark fixture (lineitem ⋈ orders ⋈ customer ⋈ nation ⋈
     supplier ⋈ part), scored like the transactions view."""
-    return score_transactions(wide_transactions(Tables(spark, sf_dir)), P)
+    return score_transactions(wide_transactions(_tables(spark, sf_dir)), P)
 
 
 def q_wide_kpi_summary(spark, sf_dir):

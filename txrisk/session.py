@@ -47,6 +47,14 @@ def build_session(
     return spark
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Event time is stored without zone and read as UTC wall clock; the
+    engine's conversions (ISO text, epoch microseconds for windows, minute
+    floors) assume the session zone is UTC, so every query pins it."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder the cluster names.
 
