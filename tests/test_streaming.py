@@ -224,3 +224,17 @@ def test_keyed_sink_reads_only_the_batch_time_range(spark, scratch):
     with contextlib.redirect_stdout(plan):
         new_rows(with_partition(mk(["z"], 5)), read_table(spark, path), "transaction_id").explain()
     assert "PartitionFilters: [" in plan.getvalue() and "event_date" in plan.getvalue().split("PartitionFilters: [")[1]
+
+
+def test_quarantine_table_replaces_a_replayed_batch(spark, scratch):
+    sinks = SinkPaths(os.path.join(scratch, "e"), os.path.join(scratch, "a"), os.path.join(scratch, "q"))
+    job = ScoringJob(sinks)
+    good = _msg("g1", "C1", dt.datetime(2026, 2, 8))
+    batch = spark.createDataFrame([(good,), ("garbage",), ('{"transaction_id":"x"}',)], "value string")
+    job.process(batch, 7)
+    job.process(batch, 7)  # replay of the same batch id
+    q = spark.read.parquet(sinks.quarantine)
+    assert rows(q, "batch_id", "reason") == [(7, "malformed_json"), (7, "missing_field")]
+    job.process(spark.createDataFrame([("more garbage",)], "value string"), 8)
+    assert spark.read.parquet(sinks.quarantine).count() == 3
+    assert rows(spark.read.parquet(sinks.enriched), "transaction_id") == [("g1",)]
