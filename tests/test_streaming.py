@@ -238,3 +238,32 @@ def test_quarantine_table_replaces_a_replayed_batch(spark, scratch):
     job.process(spark.createDataFrame([("more garbage",)], "value string"), 8)
     assert spark.read.parquet(sinks.quarantine).count() == 3
     assert rows(spark.read.parquet(sinks.enriched), "transaction_id") == [("g1",)]
+
+
+def test_event_time_trailing_count_across_buckets(spark, scratch):
+    """Stream counts equal the batch window when rows straddle bucket edges."""
+    import random
+
+    from txrisk.operators.features import trailing_count
+
+    rnd = random.Random(7)
+    t0 = dt.datetime(2026, 2, 8)
+    events = [(f"t{i}", rnd.choice(["C1", "C2"]), t0 + dt.timedelta(seconds=rnd.randint(0, 3600))) for i in range(60)]
+    events.sort(key=lambda e: e[2])
+    src = os.path.join(scratch, "in")
+    for n in range(3):
+        write_lines(src, f"{n}.json", [_msg(*e) for e in events[n * 20:(n + 1) * 20]])
+    write_lines(src, "z.json", [_msg("z", "C9", t0 + dt.timedelta(days=1))])
+    from txrisk.sources.messages import decode
+
+    dec = decode(read_transactions(spark, fmt="text", path=src, max_per_trigger=1)).select(
+        "transaction_id", "customer_id", "ts")
+    counts = event_time.trailing_count_stream(dec, 300, "10 minutes", bucket_factor=2)
+    name = "t3b_" + os.path.basename(scratch).replace("-", "_")
+    q = (counts.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", os.path.join(scratch, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = rows(spark.table(name).filter("customer_id != 'C9'"), "transaction_id", "tx_count_5min")
+    batch = spark.createDataFrame(events, "transaction_id string, customer_id string, ts timestamp_ntz")
+    want = rows(trailing_count(batch, 300 * 10**6, 2), "transaction_id", "tx_count_5min")
+    assert got == want

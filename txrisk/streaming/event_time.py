@@ -35,19 +35,30 @@ def trailing_count_stream(
     key: str = "customer_id",
     ts: str = "ts",
     out: str = "tx_count_5min",
+    bucket_factor: int = 4,
 ) -> DataFrame:
     """(transaction_id, customer_id, ts, count) in append mode.
 
     De-duplication happens before the join: a duplicated pair would
-    otherwise be counted on both sides.
+    otherwise be counted on both sides. The join key is (customer, time
+    bucket) as in the batch ``trailing_count``: a left row looks only in its
+    own bucket, and right rows in the last window of a bucket are also
+    offered to the next one, so a hot customer's join state is spread over
+    its buckets instead of one state partition.
     """
+    w = int(window_seconds) * 1_000_000
+    b = w * int(bucket_factor)
     s = dedupe_stream(stream.select("transaction_id", key, ts), watermark, "transaction_id", ts)
-    left = s.alias("l")
+    s = s.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_off", F.pmod(F.col("_us"), F.lit(b)))
+    home = F.expr(f"(_us - _off) div {b}")
+    left = s.select("transaction_id", key, ts, home.alias("_bucket")).alias("l")
+    offered = F.when(F.col("_off") >= F.lit(b - w), F.array(home, home + 1)).otherwise(F.array(home))
     right = s.select(
-        F.col(key).alias("r_key"), F.col(ts).alias("r_ts"), F.col("transaction_id").alias("r_id")
+        F.col(key).alias("r_key"), F.col(ts).alias("r_ts"), F.explode(offered).alias("r_bucket")
     ).alias("r")
     cond = (
         (F.col(f"l.{key}") == F.col("r_key"))
+        & (F.col("l._bucket") == F.col("r_bucket"))
         & (F.col("r_ts") <= F.col(f"l.{ts}"))
         & (F.col("r_ts") >= F.col(f"l.{ts}") - F.expr(f"INTERVAL {int(window_seconds)} SECONDS"))
     )
