@@ -73,9 +73,12 @@ def grid_index(score: F.Column, s: SweepParams) -> F.Column:
     (never flagged).
     """
     scale = F.lit(float(s.scale))
-    c0 = F.floor(score * scale)
-    up = F.when(score >= (c0 + 1) / scale, 1).otherwise(0)
-    down = F.when(score < c0 / scale, 1).otherwise(0)
+    # clamping to one step outside the grid keeps every comparison with a
+    # grid threshold and keeps floor() in range (ANSI raises on overflow)
+    bounded = F.least(F.greatest(score, F.lit((s.lo - 1) / s.scale)), F.lit((s.hi + 1) / s.scale))
+    c0 = F.floor(bounded * scale)
+    up = F.when(bounded >= (c0 + 1) / scale, 1).otherwise(0)
+    down = F.when(bounded < c0 / scale, 1).otherwise(0)
     i = c0 + up - down
     clamped = F.least(F.greatest(i, F.lit(s.lo - 1)), F.lit(s.hi))
     return F.when(score.isNull() | F.isnan(score), F.lit(s.lo - 1)).otherwise(clamped).cast("int")
