@@ -72,3 +72,23 @@ def customer_actions(df: DataFrame, threshold: float, block_score: float = 0.95)
         F.count(F.when(is_flagged(s, threshold) & (s < F.lit(block_score)), 1)).alias("n_mid"),
     )
     return agg.withColumn("action", recommended_action("n_high", "n_mid"))
+
+
+def for_customer(df: DataFrame, customer_id: str) -> DataFrame:
+    """One customer's rows, from the unfiltered table (the drill-down filter).
+
+    An equality filter: Catalyst places it before any shuffle of ``df``, so
+    only that customer's rows travel.
+    """
+    return df.filter(F.col("customer_id") == F.lit(customer_id))
+
+
+def customer_series(df: DataFrame, customer_id: str) -> DataFrame:
+    """One customer's rows with an event time, oldest first (score and amount
+    over time)."""
+    return (
+        for_customer(df, customer_id)
+        .filter(F.col("ts").isNotNull())
+        .select("ts", "transaction_id", "amount", "risk_score")
+        .orderBy(F.col("ts").asc(), F.col("transaction_id").asc())
+    )
