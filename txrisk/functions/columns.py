@@ -75,8 +75,16 @@ def log_amount(amount: str | Column) -> Column:
     return F.log1p(col(amount))
 
 
-def round_score(x: Column, digits: int) -> Column:
-    return F.round(x, digits)
+def round_to(x: str | Column, digits: int = 6) -> Column:
+    """Round half away from zero at ``digits`` places: ``round(x·10^d) / 10^d``.
+
+    The scaling is done in binary first and the integer rounding decides a
+    tie on the binary value, so every engine that evaluates the same IEEE
+    operations gets the same double (``round(x, d)`` rounds the decimal text
+    of ``x`` instead, which can differ at exact ties).
+    """
+    scale = float(10 ** digits)
+    return F.round(col(x) * F.lit(scale)) / F.lit(scale)
 
 
 def linear_score(
@@ -94,7 +102,7 @@ def linear_score(
         + F.lit(p.coef_foreign) * col(is_foreign)
         + F.when(col(category) == F.lit(p.special_category), F.lit(p.coef_special_category)).otherwise(F.lit(0.0))
     )
-    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), p.score_digits)
+    return round_to(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), p.score_digits)
 
 
 def is_flagged(score: str | Column, threshold: float | Column) -> Column:

@@ -1,7 +1,8 @@
 """Expected-value economics of a threshold: cost model, sweep, best threshold.
 
-The score is read as a fraud probability (clipped to [0, 1]). For a
-threshold t, with F = flagged rows and p = clipped score:
+The score is read as a fraud probability (clipped to [0, 1]), summed in
+integer millionths so that every total is exact. For a threshold t, with
+F = flagged rows and p = clipped score:
 
 * expected frauds flagged  = Σ_F p          expected FP = |F| − Σ_F p
 * expected frauds missed   = Σ_all p − Σ_F p
@@ -15,16 +16,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import at_least, clip01, is_flagged
+from txrisk.functions.columns import at_least, clip01, is_flagged, round_to
 from txrisk.params import CostParams, SweepParams
 
 
+MICRO = 1_000_000
+
+
 def _prob(score: str = "risk_score") -> F.Column:
     """Clipped score; NaN treated as missing (skipped by sums)."""
     s = F.col(score)
     return clip01(F.when(~F.isnan(s), s))
 
 
+def _micro(p: F.Column) -> F.Column:
+    """Probability in integer millionths. Sums of these are exact, so the
+    expected counts do not depend on summation order (tasks, engines)."""
+    return F.round(p * F.lit(float(MICRO))).cast("long")
+
+
+def _mass(micro_sum: F.Column) -> F.Column:
+    return F.coalesce(micro_sum, F.lit(0)) / F.lit(float(MICRO))
+
+
 def _value_columns(n_flag: F.Column, p_flag: F.Column, p_all: F.Column, c: CostParams) -> dict[str, F.Column]:
     fp = n_flag - p_flag
     avoided = p_flag * F.lit(c.block_efficiency) * F.lit(c.loss_per_fraud)
@@ -45,21 +59,21 @@ def cost_model(df: DataFrame, threshold: float, c: CostParams) -> DataFrame:
     agg = df.agg(
         F.count(F.lit(1)).alias("n_tx"),
         F.count(F.when(flag, 1)).alias("n_flagged"),
-        F.coalesce(F.sum(_prob()), F.lit(0.0)).alias("expected_total_fraud"),
-        F.coalesce(F.sum(F.when(flag, _prob())), F.lit(0.0)).alias("expected_fraud_flagged"),
+        _mass(F.sum(_micro(_prob()))).alias("expected_total_fraud"),
+        _mass(F.sum(F.when(flag, _micro(_prob())))).alias("expected_fraud_flagged"),
     )
     v = _value_columns(F.col("n_flagged"), F.col("expected_fraud_flagged"), F.col("expected_total_fraud"), c)
     return agg.select(
         "n_tx",
         "n_flagged",
-        F.round("expected_total_fraud", 6).alias("expected_total_fraud"),
-        F.round("expected_fraud_flagged", 6).alias("expected_fraud_flagged"),
-        F.round(v["expected_fp"], 6).alias("expected_fp_flagged"),
-        F.round(F.col("expected_total_fraud") - F.col("expected_fraud_flagged"), 6).alias("expected_missed_fraud"),
-        F.round(F.col("expected_fraud_flagged") * F.lit(c.block_efficiency), 6).alias("expected_stopped_fraud"),
-        F.round(v["avoided_losses_est"], 6).alias("avoided_losses_est"),
-        F.round(v["costs_est"], 6).alias("costs_est"),
-        F.round(v["net_value_est"], 6).alias("net_value_est"),
+        round_to("expected_total_fraud", 6).alias("expected_total_fraud"),
+        round_to("expected_fraud_flagged", 6).alias("expected_fraud_flagged"),
+        round_to(v["expected_fp"], 6).alias("expected_fp_flagged"),
+        round_to(F.col("expected_total_fraud") - F.col("expected_fraud_flagged"), 6).alias("expected_missed_fraud"),
+        round_to(F.col("expected_fraud_flagged") * F.lit(c.block_efficiency), 6).alias("expected_stopped_fraud"),
+        round_to(v["avoided_losses_est"], 6).alias("avoided_losses_est"),
+        round_to(v["costs_est"], 6).alias("costs_est"),
+        round_to(v["net_value_est"], 6).alias("net_value_est"),
     )
 
 
@@ -94,14 +108,14 @@ def threshold_sweep(df: DataFrame, s: SweepParams, c: CostParams) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     buckets = (
-        df.select(grid_index(F.col("risk_score"), s).alias("i"), _prob().alias("p"))
+        df.select(grid_index(F.col("risk_score"), s).alias("i"), _micro(_prob()).alias("p"))
         .groupBy("i")
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("p"), F.lit(0.0)).alias("sp"))
+        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("p"), F.lit(0)).alias("sp"))
     )
     # grid lo − 1 … hi; index lo − 1 holds the never-flagged rows
     grid = spark.range(s.lo - 1, s.hi + 1).select(F.col("id").cast("int").alias("i"))
     per_i = grid.join(buckets, on="i", how="left").select(
-        "i", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("sp", F.lit(0.0)).alias("sp")
+        "i", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("sp", F.lit(0)).alias("sp")
     )
     # windows over the grid table: hi − lo + 2 rows (51 by default)
     rev = Window.orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -109,18 +123,18 @@ def threshold_sweep(df: DataFrame, s: SweepParams, c: CostParams) -> DataFrame:
     cum = per_i.select(
         "i",
         F.sum("n").over(rev).alias("flagged"),
-        F.sum("sp").over(rev).alias("p_flag"),
-        F.sum("sp").over(whole).alias("p_all"),
+        _mass(F.sum("sp").over(rev)).alias("p_flag"),
+        _mass(F.sum("sp").over(whole)).alias("p_all"),
     ).filter(F.col("i") >= F.lit(s.lo))
     v = _value_columns(F.col("flagged"), F.col("p_flag"), F.col("p_all"), c)
     return cum.select(
         (F.col("i") / F.lit(float(s.scale))).alias("threshold"),
         F.col("flagged").cast("long").alias("flagged"),
-        F.round(v["precision_est"], 6).alias("precision_est"),
-        F.round(v["recall_est"], 6).alias("recall_est"),
-        F.round(v["net_value_est"], 6).alias("net_value_est"),
-        F.round(v["avoided_losses_est"], 6).alias("avoided_losses_est"),
-        F.round(v["costs_est"], 6).alias("costs_est"),
+        round_to(v["precision_est"], 6).alias("precision_est"),
+        round_to(v["recall_est"], 6).alias("recall_est"),
+        round_to(v["net_value_est"], 6).alias("net_value_est"),
+        round_to(v["avoided_losses_est"], 6).alias("avoided_losses_est"),
+        round_to(v["costs_est"], 6).alias("costs_est"),
     )
 
 

@@ -13,11 +13,11 @@ COUNT_COLUMN = "tx_count_5min"
 
 def base_features(tx: DataFrame, p: ScoringParams) -> DataFrame:
     """Adds ``hour`` (0-23), ``is_foreign`` (0/1) and ``amount_log``."""
-    return (
-        tx.withColumn("hour", hour_of_day("ts"))
-        .withColumn("is_foreign", foreign_flag("country", p.home_country))
-        .withColumn("amount_log", log_amount("amount"))
-    )
+    return tx.withColumns({
+        "hour": hour_of_day("ts"),
+        "is_foreign": foreign_flag("country", p.home_country),
+        "amount_log": log_amount("amount"),
+    })
 
 
 def trailing_count(
@@ -46,25 +46,28 @@ def trailing_count(
         raise ValueError("bucket_factor must be >= 1")
     w = int(window_micros)
     b = w * int(bucket_factor)
-    payload = [c for c in df.columns if c != key]
-    rows = df.withColumn("_us", epoch_micros(ts)).withColumn("_off", F.pmod(F.col("_us"), F.lit(b)))
+    columns = df.columns
+    payload = [c for c in columns if c != key]
+    us = epoch_micros(ts)
+    off = F.pmod(us, F.lit(b))
     home = F.expr(f"(_us - _off) div {b}")
     # one scan: a row lands in its own bucket and, when it lies in the last
     # window of that bucket, also in the next one (payload nulled there)
     buckets = F.when(F.col("_off") >= F.lit(b - w), F.array(home, home + 1)).otherwise(F.array(home))
-    both = rows.select(
-        key, *payload, "_us", F.posexplode(buckets).alias("_carried", "_bucket")
-    ).select(
-        key,
-        *[F.when(F.col("_carried") == 0, F.col(c)).alias(c) for c in payload],
-        "_us", "_bucket", "_carried",
+    both = (
+        df.select(*columns, us.alias("_us"), off.alias("_off"))
+        .select(key, *payload, "_us", F.posexplode(buckets).alias("_carried", "_bucket"))
+        .select(
+            key,
+            *[F.when(F.col("_carried") == 0, F.col(c)).alias(c) for c in payload],
+            "_us", "_bucket", "_carried",
+        )
     )
     frame = Window.partitionBy(key, "_bucket").orderBy("_us").rangeBetween(-w, 0)
     return (
         both.withColumn(out, F.count(F.lit(1)).over(frame).cast("int"))
         .filter(F.col("_carried") == 0)
-        .select(key, *payload, out)
-        .select(*df.columns, out)
+        .select(*columns, out)
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import is_flagged, recommended_action
+from txrisk.functions.columns import is_flagged, recommended_action, round_to
 
 TIMELINE_COLUMNS = ["customer_id", "ts", "transaction_id", "amount", "country", "merchant", "category", "risk_score"]
 
@@ -25,7 +25,7 @@ def customer_summary(df: DataFrame, threshold: float) -> DataFrame:
     return df.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_tx"),
         F.count(F.when(is_flagged("risk_score", threshold), 1)).alias("n_flagged"),
-        F.round(F.sum("amount"), 6).alias("total_amount"),
+        round_to(F.sum("amount"), 6).alias("total_amount"),
         F.max("risk_score").alias("max_score"),
     )
 

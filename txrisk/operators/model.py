@@ -22,7 +22,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import rule_label
+from txrisk.functions.columns import round_to, rule_label
 from txrisk.operators.features import COUNT_COLUMN
 from txrisk.operators.scoring import SCORE_COLUMN, probability_of_class1
 from txrisk.params import ModelParams, ScoringParams
@@ -88,7 +88,7 @@ def evaluate(scored: DataFrame, cut: float = 0.5) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(F.col("label") == 1, 1)).alias("n_positive"),
         F.count(F.when(F.col(SCORE_COLUMN) >= cut, 1)).alias("n_predicted"),
-        F.round(F.avg(F.when(hit, 1).otherwise(0)), 6).alias("accuracy"),
+        round_to(F.avg(F.when(hit, 1).otherwise(0)), 6).alias("accuracy"),
     )
 
 

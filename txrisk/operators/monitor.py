@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import at_least, in_lists, is_flagged, minute_floor, risk_level
+from txrisk.functions.columns import at_least, in_lists, is_flagged, minute_floor, risk_level, round_to
 from txrisk.params import MonitorParams, ViewFilter
 from txrisk.session import materialize
 
@@ -35,7 +35,7 @@ def kpi_summary(df: DataFrame, m: MonitorParams) -> DataFrame:
     return agg.select(
         "n_tx",
         "n_flagged",
-        F.round(rate, 6).alias("alert_rate_pct"),
+        round_to(rate, 6).alias("alert_rate_pct"),
         risk_level(rate, m.level_high_pct, m.level_moderate_pct).alias("risk_level"),
     )
 
@@ -116,7 +116,7 @@ def sla_verdict(rolling: DataFrame, limit_pct: float) -> DataFrame:
     )
     return agg.select(
         "latest_minute",
-        F.round("sla_rate_pct", 6).alias("sla_rate_pct"),
+        round_to("sla_rate_pct", 6).alias("sla_rate_pct"),
         F.lit(float(limit_pct)).alias("limit_pct"),
         (F.col("sla_rate_pct") > F.lit(float(limit_pct))).alias("breach"),
     )
@@ -172,8 +172,8 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         .agg(F.sum("_c").alias("n"))
         .select(
             "bin",
-            F.round(lo + F.col("bin") * width, 6).alias("lower"),
-            F.round(lo + (F.col("bin") + 1) * width, 6).alias("upper"),
+            round_to(lo + F.col("bin") * width, 6).alias("lower"),
+            round_to(lo + (F.col("bin") + 1) * width, 6).alias("upper"),
             "n",
         )
     )

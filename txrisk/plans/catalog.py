@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import rule_label
+from txrisk.functions.columns import round_to, rule_label
 from txrisk.operators import economics, investigate, monitor
 from txrisk.operators.alerts import alert_detail, build_alerts, recent
 from txrisk.operators.contracts import key_violations
@@ -59,7 +59,7 @@ def q_transactions(spark, sf_dir):
 
 def q_base_features(spark, sf_dir):
     return base_features(_tx(spark, sf_dir), P).select(
-        "transaction_id", "hour", "is_foreign", F.round("amount_log", 6).alias("amount_log")
+        "transaction_id", "hour", "is_foreign", round_to("amount_log", 6).alias("amount_log")
     )
 
 
@@ -82,7 +82,7 @@ def q_rule_label(spark, sf_dir):
 
 def q_enriched(spark, sf_dir):
     e = enriched(_scored(spark, sf_dir))
-    return e.withColumn("amount_zscore", F.round("amount_zscore", 6))
+    return e.withColumn("amount_zscore", round_to("amount_zscore", 6))
 
 
 def q_batch_customer_count(spark, sf_dir):
@@ -91,12 +91,12 @@ def q_batch_customer_count(spark, sf_dir):
 
 def q_amount_zscore(spark, sf_dir):
     z = amount_zscore(_tx(spark, sf_dir))
-    return z.select("transaction_id", "amount", F.round("amount_zscore", 6).alias("amount_zscore"))
+    return z.select("transaction_id", "amount", round_to("amount_zscore", 6).alias("amount_zscore"))
 
 
 def q_customer_zscore(spark, sf_dir):
     z = group_zscore(_tx(spark, sf_dir))
-    return z.select("transaction_id", "customer_id", "amount", F.round("customer_zscore", 6).alias("customer_zscore"))
+    return z.select("transaction_id", "customer_id", "amount", round_to("customer_zscore", 6).alias("customer_zscore"))
 
 
 def q_key_violations(spark, sf_dir):
@@ -120,15 +120,15 @@ def _rates(spark, sf_dir):
 
 
 def q_minute_rates(spark, sf_dir):
-    return _rates(spark, sf_dir).withColumn("alert_rate_pct", F.round("alert_rate_pct", 6))
+    return _rates(spark, sf_dir).withColumn("alert_rate_pct", round_to("alert_rate_pct", 6))
 
 
 def q_sla_rolling(spark, sf_dir):
     r = monitor.sla_rolling(_rates(spark, sf_dir), M.sla_window_minutes)
     return r.select(
         "minute", "tx", "flagged",
-        F.round("alert_rate_pct", 6).alias("alert_rate_pct"),
-        F.round("sla_rate_pct", 6).alias("sla_rate_pct"),
+        round_to("alert_rate_pct", 6).alias("alert_rate_pct"),
+        round_to("sla_rate_pct", 6).alias("sla_rate_pct"),
     )
 
 

@@ -2,7 +2,9 @@
 
 Each query is written as plain SQL over the driver's tables, independent of
 the Spark code. Parameter values come from the same dataclasses so both
-sides use the same numbers. Doubles are rounded to 6 places on both sides.
+sides use the same numbers. Doubles are rounded to 6 places on both sides
+with the same rule, ``round(x·1e6) / 1e6``; probability mass is summed in
+integer millionths.
 """
 
 from __future__ import annotations
@@ -66,9 +68,9 @@ def features_cte(p: ScoringParams, src: str = "transactions") -> str:
 
 def score_expr(p: ScoringParams) -> str:
     return (
-        f"round(1 / (1 + exp(-({p.intercept!r} + {p.coef_amount!r} * amount + {p.coef_tx_count!r} * tx_count_5min"
+        f"(round((1 / (1 + exp(-({p.intercept!r} + {p.coef_amount!r} * amount + {p.coef_tx_count!r} * tx_count_5min"
         f" + {p.coef_foreign!r} * is_foreign + CASE WHEN category = {_lit(p.special_category)}"
-        f" THEN {p.coef_special_category!r} ELSE 0.0 END))), {p.score_digits})"
+        f" THEN {p.coef_special_category!r} ELSE 0.0 END)))) * 1e{p.score_digits}) / 1e{p.score_digits})"
     )
 
 
@@ -101,6 +103,15 @@ def prob_expr(score: str = "risk_score") -> str:
     return f"CASE WHEN isnan({score}) THEN NULL ELSE least(greatest({score}, 0.0), 1.0) END"
 
 
+def micro(expr: str) -> str:
+    """Probability in integer millionths (exact sums)."""
+    return f"CAST(round(({expr}) * 1e6) AS BIGINT)"
+
+
+def mass(sum_expr: str) -> str:
+    return f"(CAST(coalesce({sum_expr}, 0) AS DOUBLE) / 1e6)"
+
+
 def value_exprs(n_flag: str, p_flag: str, p_all: str, c: CostParams) -> dict[str, str]:
     fp = f"({n_flag} - {p_flag})"
     avoided = f"({p_flag} * {_d(c.block_efficiency)} * {_d(c.loss_per_fraud)})"
@@ -137,20 +148,20 @@ def sweep_cte(s: SweepParams, c: CostParams) -> str:
     return f"""grid AS (
   SELECT CAST(i AS DOUBLE) / CAST({s.scale} AS DOUBLE) AS threshold FROM generate_series({s.lo}, {s.hi}) g(i)
 ),
-prob AS (SELECT risk_score, {prob_expr()} AS p FROM scored),
-total AS (SELECT coalesce(sum(p), 0.0) AS p_all FROM prob),
+prob AS (SELECT risk_score, {micro(prob_expr())} AS p FROM scored),
+total AS (SELECT {mass("sum(p)")} AS p_all FROM prob),
 per_t AS (
-  SELECT grid.threshold, count(prob.risk_score) AS flagged, coalesce(sum(prob.p), 0.0) AS p_flag
+  SELECT grid.threshold, count(prob.risk_score) AS flagged, {mass("sum(prob.p)")} AS p_flag
   FROM grid LEFT JOIN prob ON prob.risk_score >= grid.threshold AND NOT isnan(prob.risk_score)
   GROUP BY grid.threshold
 ),
 sweep AS (
   SELECT threshold, flagged,
-         round({v["precision_est"]}, 6) AS precision_est,
-         round({v["recall_est"]}, 6) AS recall_est,
-         round({v["net_value_est"]}, 6) AS net_value_est,
-         round({v["avoided_losses_est"]}, 6) AS avoided_losses_est,
-         round({v["costs_est"]}, 6) AS costs_est
+         (round(({v["precision_est"]}) * 1e6) / 1e6) AS precision_est,
+         (round(({v["recall_est"]}) * 1e6) / 1e6) AS recall_est,
+         (round(({v["net_value_est"]}) * 1e6) / 1e6) AS net_value_est,
+         (round(({v["avoided_losses_est"]}) * 1e6) / 1e6) AS avoided_losses_est,
+         (round(({v["costs_est"]}) * 1e6) / 1e6) AS costs_est
   FROM per_t, total
 )"""
 
@@ -164,7 +175,7 @@ binned AS (
          lo, {w} AS w
   FROM {src}, bounds WHERE {column} IS NOT NULL
 )
-SELECT bin, round(lo + bin * w, 6) AS lower, round(lo + (bin + 1) * w, 6) AS upper, count(*) AS n
+SELECT bin, (round((lo + bin * w) * 1e6) / 1e6) AS lower, (round((lo + (bin + 1) * w) * 1e6) / 1e6) AS upper, count(*) AS n
 FROM binned GROUP BY bin, lo, w"""
 
 
@@ -204,7 +215,7 @@ def oracle_queries(
     q["transactions"] = "WITH " + transactions_cte() + "\nSELECT * FROM transactions"
 
     q["base_features"] = B + """
-SELECT transaction_id, hour, is_foreign, round(amount_log, 6) AS amount_log FROM features"""
+SELECT transaction_id, hour, is_foreign, (round((amount_log) * 1e6) / 1e6) AS amount_log FROM features"""
 
     q["tx_count_5min"] = B + """
 SELECT transaction_id, customer_id, ts, tx_count_5min FROM features"""
@@ -221,7 +232,7 @@ SELECT transaction_id, {label_expr(p)} AS label FROM scored"""
 
     q["enriched"] = B + """
 SELECT transaction_id, customer_id, ts, amount, currency, merchant, country, category, tx_count_5min,
-       round((amount - avg(amount) OVER ()) / NULLIF(stddev_samp(amount) OVER (), 0), 6) AS amount_zscore,
+       (round(((amount - avg(amount) OVER ()) / NULLIF(stddev_samp(amount) OVER (), 0)) * 1e6) / 1e6) AS amount_zscore,
        risk_score
 FROM scored"""
 
@@ -230,13 +241,13 @@ SELECT transaction_id, customer_id, count(*) OVER (PARTITION BY customer_id) AS
 
     q["amount_zscore"] = "WITH " + transactions_cte() + """
 SELECT transaction_id, amount,
-       round((amount - avg(amount) OVER ()) / NULLIF(stddev_samp(amount) OVER (), 0), 6) AS amount_zscore
+       (round(((amount - avg(amount) OVER ()) / NULLIF(stddev_samp(amount) OVER (), 0)) * 1e6) / 1e6) AS amount_zscore
 FROM transactions"""
 
     q["customer_zscore"] = "WITH " + transactions_cte() + """
 SELECT transaction_id, customer_id, amount,
-       round((amount - avg(amount) OVER (PARTITION BY customer_id))
-             / NULLIF(stddev_samp(amount) OVER (PARTITION BY customer_id), 0), 6) AS customer_zscore
+       (round(((amount - avg(amount) OVER (PARTITION BY customer_id))
+             / NULLIF(stddev_samp(amount) OVER (PARTITION BY customer_id), 0)) * 1e6) / 1e6) AS customer_zscore
 FROM transactions"""
 
     q["key_violations"] = B + """,
@@ -259,22 +270,22 @@ SELECT {view_cols} FROM scored WHERE {flagged_pred(m.threshold)}"""
     rate = "n_flagged / greatest(CAST(n_tx AS DOUBLE), 1.0) * 100.0"
     q["kpi_summary"] = B + f""",
 k AS (SELECT count(*) AS n_tx, count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged FROM scored)
-SELECT n_tx, n_flagged, round({rate}, 6) AS alert_rate_pct,
+SELECT n_tx, n_flagged, (round(({rate}) * 1e6) / 1e6) AS alert_rate_pct,
        CASE WHEN {rate} >= {_d(m.level_high_pct)} THEN 'HIGH'
             WHEN {rate} >= {_d(m.level_moderate_pct)} THEN 'MODERATE' ELSE 'LOW' END AS risk_level
 FROM k"""
 
     R = B + ",\n" + rates_cte(m.threshold)
     q["minute_rates"] = R + """
-SELECT minute, tx, flagged, round(alert_rate_pct, 6) AS alert_rate_pct FROM rates"""
+SELECT minute, tx, flagged, (round((alert_rate_pct) * 1e6) / 1e6) AS alert_rate_pct FROM rates"""
 
     RR = R + ",\n" + rolling_cte(m.sla_window_minutes)
     q["sla_rolling"] = RR + """
-SELECT minute, tx, flagged, round(alert_rate_pct, 6) AS alert_rate_pct, round(sla_rate_pct, 6) AS sla_rate_pct FROM roll"""
+SELECT minute, tx, flagged, (round((alert_rate_pct) * 1e6) / 1e6) AS alert_rate_pct, (round((sla_rate_pct) * 1e6) / 1e6) AS sla_rate_pct FROM roll"""
 
     q["sla_verdict"] = RR + f"""
 SELECT max(minute) AS latest_minute,
-       round(coalesce(arg_max(sla_rate_pct, minute), 0.0), 6) AS sla_rate_pct,
+       (round((coalesce(arg_max(sla_rate_pct, minute), 0.0)) * 1e6) / 1e6) AS sla_rate_pct,
        {_d(m.sla_limit_pct)} AS limit_pct,
        coalesce(arg_max(sla_rate_pct, minute), 0.0) > {_d(m.sla_limit_pct)} AS breach
 FROM roll"""
@@ -314,18 +325,18 @@ SELECT * FROM detail ORDER BY ts DESC NULLS LAST, transaction_id ASC LIMIT {m.re
 
     v = value_exprs("n_flagged", "pf", "tot", c)
     q["cost_model"] = B + f""",
-pr AS (SELECT {flagged_pred(m.threshold)} AS f, {prob_expr()} AS p FROM scored),
+pr AS (SELECT {flagged_pred(m.threshold)} AS f, {micro(prob_expr())} AS p FROM scored),
 a AS (SELECT count(*) AS n_tx, count(CASE WHEN f THEN 1 END) AS n_flagged,
-             coalesce(sum(p), 0.0) AS tot, coalesce(sum(CASE WHEN f THEN p END), 0.0) AS pf FROM pr)
+             {mass("sum(p)")} AS tot, {mass("sum(CASE WHEN f THEN p END)")} AS pf FROM pr)
 SELECT n_tx, n_flagged,
-       round(tot, 6) AS expected_total_fraud,
-       round(pf, 6) AS expected_fraud_flagged,
-       round({v["expected_fp"]}, 6) AS expected_fp_flagged,
-       round(tot - pf, 6) AS expected_missed_fraud,
-       round(pf * {_d(c.block_efficiency)}, 6) AS expected_stopped_fraud,
-       round({v["avoided_losses_est"]}, 6) AS avoided_losses_est,
-       round({v["costs_est"]}, 6) AS costs_est,
-       round({v["net_value_est"]}, 6) AS net_value_est
+       (round((tot) * 1e6) / 1e6) AS expected_total_fraud,
+       (round((pf) * 1e6) / 1e6) AS expected_fraud_flagged,
+       (round(({v["expected_fp"]}) * 1e6) / 1e6) AS expected_fp_flagged,
+       (round((tot - pf) * 1e6) / 1e6) AS expected_missed_fraud,
+       (round((pf * {_d(c.block_efficiency)}) * 1e6) / 1e6) AS expected_stopped_fraud,
+       (round(({v["avoided_losses_est"]}) * 1e6) / 1e6) AS avoided_losses_est,
+       (round(({v["costs_est"]}) * 1e6) / 1e6) AS costs_est,
+       (round(({v["net_value_est"]}) * 1e6) / 1e6) AS net_value_est
 FROM a"""
 
     SW = B + ",\n" + sweep_cte(s, c)
@@ -335,7 +346,7 @@ FROM a"""
     q["customer_summary"] = B + f"""
 SELECT customer_id, count(*) AS n_tx,
        count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged,
-       round(sum(amount), 6) AS total_amount, max(risk_score) AS max_score
+       (round((sum(amount)) * 1e6) / 1e6) AS total_amount, max(risk_score) AS max_score
 FROM scored GROUP BY customer_id"""
 
     for col in ("country", "merchant"):
@@ -369,7 +380,7 @@ FROM ca"""
     WB = wide_base(p)
     q["wide_kpi_summary"] = WB + f""",
 k AS (SELECT count(*) AS n_tx, count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged FROM scored)
-SELECT n_tx, n_flagged, round({rate}, 6) AS alert_rate_pct,
+SELECT n_tx, n_flagged, (round(({rate}) * 1e6) / 1e6) AS alert_rate_pct,
        CASE WHEN {rate} >= {_d(m.level_high_pct)} THEN 'HIGH'
             WHEN {rate} >= {_d(m.level_moderate_pct)} THEN 'MODERATE' ELSE 'LOW' END AS risk_level
 FROM k"""
@@ -381,7 +392,7 @@ GROUP BY merchant ORDER BY n_flagged DESC, merchant ASC LIMIT {m.top_k_hotspots}
     q["wide_customer_summary"] = WB + f"""
 SELECT customer_id, count(*) AS n_tx,
        count(CASE WHEN {flagged_pred(m.threshold)} THEN 1 END) AS n_flagged,
-       round(sum(amount), 6) AS total_amount, max(risk_score) AS max_score
+       (round((sum(amount)) * 1e6) / 1e6) AS total_amount, max(risk_score) AS max_score
 FROM scored GROUP BY customer_id"""
 
     q["json_decode"] = "WITH " + transactions_cte() + "\nSELECT * FROM transactions"
@@ -416,7 +427,7 @@ lab AS (SELECT risk_score, {label_expr(p)} AS label FROM scored)
 SELECT count(*) AS n,
        count(CASE WHEN label = 1 THEN 1 END) AS n_positive,
        count(CASE WHEN risk_score >= 0.5 THEN 1 END) AS n_predicted,
-       round(avg(CASE WHEN (risk_score >= 0.5 AND label = 1) OR (risk_score < 0.5 AND label = 0) THEN 1 ELSE 0 END), 6) AS accuracy
+       (round((avg(CASE WHEN (risk_score >= 0.5 AND label = 1) OR (risk_score < 0.5 AND label = 0) THEN 1 ELSE 0 END)) * 1e6) / 1e6) AS accuracy
 FROM lab"""
 
     return q

@@ -15,6 +15,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # no Python call-site capture per Column (it only decorates error text
+    # and costs a stack walk on every expression built on the driver)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoint files of materialised frames are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming state of the event-time operators lives in RocksDB, off heap
