@@ -162,13 +162,16 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         df.filter(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     )
     v = F.col("_v")
-    lo = compact.select(F.min(v)).scalar()
-    hi = compact.select(F.max(v)).scalar()
-    width = (hi - lo) / F.lit(float(bins))
+    bounds = compact.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    # bounds bound to one column: the plan holds a single subquery
+    framed = compact.withColumn("_b", bounds).select(
+        "_v", "_c", F.col("_b.lo").alias("_lo"), ((F.col("_b.hi") - F.col("_b.lo")) / F.lit(float(bins))).alias("_w")
+    )
+    lo, width = F.col("_lo"), F.col("_w")
     raw = F.when(width > 0, F.floor((v - lo) / width)).otherwise(F.lit(0))
     idx = F.least(raw, F.lit(bins - 1)).cast("int")
     return (
-        compact.groupBy(idx.alias("bin"))
+        framed.groupBy(idx.alias("bin"), "_lo", "_w")
         .agg(F.sum("_c").alias("n"))
         .select(
             "bin",
