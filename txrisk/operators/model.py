@@ -63,14 +63,15 @@ def build_pipeline(mp: ModelParams) -> Pipeline:
 
 
 def fit(train: DataFrame, mp: ModelParams, checkpoint: bool = True) -> PipelineModel:
-    """Fit the pipeline. ``checkpoint`` cuts the lineage of the training
-    frame into the session's checkpoint folder (``spark.checkpoint.dir``)."""
+    """Fit the pipeline. ``checkpoint`` materialises the training frame first
+    (a reliable checkpoint into ``spark.checkpoint.dir``; see
+    ``session.materialize``); pass False when the input is already
+    materialised."""
     data = train.select(*list(mp.numeric), *list(mp.categorical), "label")
     if checkpoint:
-        from txrisk.session import checkpoint_dir
+        from txrisk.session import materialize
 
-        checkpoint_dir(train.sparkSession)
-        data = data.checkpoint(eager=True)
+        data = materialize(data)
     return build_pipeline(mp).fit(data)
 
 
