@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
 from tools.check_oracle import duck
 from txrisk.operators import investigate
 from txrisk.operators.features import group_zscore, trailing_count
