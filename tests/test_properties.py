@@ -55,3 +55,25 @@ def test_sla_rolling_equals_pandas_rolling(spark, minutes, n, seed):
     want = pdf["rate"].rolling(window=n, min_periods=1).mean().tolist()
     for (m, *_), w in zip(data, want):
         assert abs(got[m] - w) < 1e-9
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    scores=st.lists(
+        st.one_of(
+            st.integers(min_value=0, max_value=10**6).map(lambda k: round(k / 1e6, 6)),
+            st.integers(min_value=45, max_value=100).map(lambda k: k / 100),  # exactly on the grid
+        ),
+        min_size=1, max_size=60,
+    )
+)
+def test_sweep_equals_per_threshold_filter(spark, scores):
+    from tests.test_golden import brute_sweep
+    from txrisk.operators.economics import threshold_sweep
+    from txrisk.params import CostParams, SweepParams
+
+    s, c = SweepParams(), CostParams()
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(scores)], "transaction_id string, risk_score double")
+    got = {r.threshold: (r.flagged, r.precision_est, r.recall_est, r.net_value_est)
+           for r in threshold_sweep(df, s, c).collect()}
+    assert got == brute_sweep(scores, s, c)
