@@ -38,3 +38,21 @@ def test_train_saves_a_loadable_model(spark, scratch, capsys):
     out = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert {"evaluation", "auc", "coefficients"} <= {x["table"] for x in out}
     assert len(ml.load(path).stages) == 4
+
+
+def test_report_date_range_prunes_partitions(spark, scratch):
+    import contextlib
+    import io
+
+    src = os.path.join(scratch, "in")
+    message_files(spark, src, parts=1)
+    enriched = os.path.join(scratch, "enriched")
+    cli.main(["stream", "--format", "text", "--path", src, "--enriched", enriched,
+              "--alerts", os.path.join(scratch, "alerts"), "--checkpoint", os.path.join(scratch, "ckpt"), "--once"])
+    part = cli.date_range(spark.read.parquet(enriched), "2024-01-10", "2024-01-12")
+    days = {r[0].isoformat() for r in part.select("event_date").distinct().collect()}
+    assert days == {"2024-01-10", "2024-01-11", "2024-01-12"}
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        part.explain()
+    assert "PartitionFilters: [isnotnull(event_date" in buf.getvalue()

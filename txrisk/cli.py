@@ -3,7 +3,7 @@
     python -m txrisk.cli train  --tables DIR --model PATH
     python -m txrisk.cli stream --format kafka --bootstrap HOST:PORT --topic transactions \\
                                 --enriched PATH --alerts PATH [--quarantine PATH] [--model PATH]
-    python -m txrisk.cli report --enriched PATH [--alerts PATH] --out DIR
+    python -m txrisk.cli report --enriched PATH [--alerts PATH] --out DIR [--since D --until D]
 
 ``report`` prints the bounded tables (KPIs, SLA verdict, cost model, sweep,
 best threshold, hotspots, newest rows) as JSON lines and writes the
@@ -81,6 +81,20 @@ def cmd_stream(args) -> None:
     query.awaitTermination()
 
 
+def date_range(table: DataFrame, since: str | None, until: str | None) -> DataFrame:
+    """Rows whose event date lies in [since, until]; a filter on the
+    partition column, so only those date folders are listed and read."""
+    from pyspark.sql import functions as F
+
+    from txrisk.sinks.keyed import PARTITION_COLUMN
+
+    if since:
+        table = table.filter(F.col(PARTITION_COLUMN) >= F.lit(since).cast("date"))
+    if until:
+        table = table.filter(F.col(PARTITION_COLUMN) <= F.lit(until).cast("date"))
+    return table
+
+
 def cmd_report(args) -> None:
     from txrisk.operators import economics, investigate, monitor
     from txrisk.operators.alerts import alert_detail, recent
@@ -90,7 +104,7 @@ def cmd_report(args) -> None:
     m = MonitorParams(threshold=args.threshold, sla_window_minutes=args.sla_window, sla_limit_pct=args.sla_limit)
     c = CostParams(args.loss, args.review_cost, args.fp_cost, args.efficiency)
     vf = ViewFilter(tuple(args.country or ()), tuple(args.merchant or ()), tuple(args.category or ()))
-    table = spark.read.parquet(args.enriched)
+    table = date_range(spark.read.parquet(args.enriched), args.since, args.until)
     view = monitor.view_filter(table, vf)
 
     _emit("kpi_summary", monitor.kpi_summary(view, m))
@@ -106,7 +120,8 @@ def cmd_report(args) -> None:
     _emit("hotspot_merchant", monitor.hotspots(flagged, "merchant", m.top_k_hotspots))
     _emit("latest_transactions", recent(view, m.recent_rows, monitor.VIEW_COLUMNS))
     if args.alerts:
-        _emit("recent_alerts", recent(alert_detail(spark.read.parquet(args.alerts), table), m.recent_rows))
+        alerts = date_range(spark.read.parquet(args.alerts), args.since, args.until)
+        _emit("recent_alerts", recent(alert_detail(alerts, table), m.recent_rows))
 
     out = args.out
     rolling.write.mode("overwrite").parquet(os.path.join(out, "sla_rolling"))
@@ -149,6 +164,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--enriched", required=True)
     r.add_argument("--alerts")
     r.add_argument("--out", required=True, help="folder for the per-customer and per-minute tables")
+    r.add_argument("--since", help="first event date (YYYY-MM-DD); prunes date partitions")
+    r.add_argument("--until", help="last event date (YYYY-MM-DD); prunes date partitions")
     r.add_argument("--threshold", type=float, default=0.80)
     r.add_argument("--sla-window", type=int, default=5)
     r.add_argument("--sla-limit", type=float, default=8.0)
