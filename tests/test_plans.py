@@ -50,3 +50,30 @@ def test_sweep_single_scan_of_events(spark):
 def test_scan_prunes_columns(spark):
     p = plan(catalog.QUERIES["kpi_summary"](spark, SMALL))
     assert "props" not in p.split("events.parquet")[0].split("FileScan parquet")[-1]
+
+
+def test_no_python_evaluation_in_any_query(spark):
+    import __spark_entry__ as entry
+
+    for name, fn in entry.queries().items():
+        if name.startswith("model_"):
+            continue
+        p = formatted(fn(spark, SMALL))
+        for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert node not in p, (name, node)
+
+
+def test_fact_scans_read_only_needed_columns(spark):
+    import re
+
+    def read_cols(name):
+        p = formatted(catalog.QUERIES[name](spark, SMALL))
+        blocks = re.findall(r"events\.parquet\]\n(?:PushedFilters: [^\n]*\n)?ReadSchema: struct<([^>]*)>", p)
+        return [{c.split(":")[0] for c in b.split(",")} for b in blocks]
+
+    # KPIs need the score (amount, category, time, customer) but no id or merchant
+    assert read_cols("kpi_summary") == [{"ts", "user_id", "event_type", "value"}]
+    # the z-score: the main pass reads id, customer and amount; the statistics
+    # pass only customer (for the join) and amount
+    got = sorted(read_cols("amount_zscore"), key=len)
+    assert got == [{"user_id", "value"}, {"event_id", "user_id", "value"}]
