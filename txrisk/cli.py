@@ -61,7 +61,7 @@ def cmd_stream(args) -> None:
     from txrisk.operators import model as ml
     from txrisk.params import ScoringParams
     from txrisk.session import streaming_checkpoint
-    from txrisk.streaming.job import ScoringJob, SinkPaths, start_scoring
+    from txrisk.streaming.job import ScoringJob, SinkPaths, start_exact_scoring, start_quarantine, start_scoring
     from txrisk.streaming.source import read_transactions
 
     spark = _session(args)
@@ -77,8 +77,16 @@ def cmd_stream(args) -> None:
     )
     ckpt = args.checkpoint or streaming_checkpoint(spark, "scoring")
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.trigger_seconds} seconds"}
-    query = start_scoring(raw, job, ckpt, trigger=trigger)
-    query.awaitTermination()
+    if not args.exact:
+        start_scoring(raw, job, ckpt, trigger=trigger).awaitTermination()
+        return
+    # exact counts for out-of-order data: stateful count, then scoring
+    queries = [start_exact_scoring(raw, job, ckpt, args.watermark, trigger=trigger)]
+    if args.quarantine:
+        raw_q = read_transactions(spark, fmt=args.format, options=options, path=args.path)
+        queries.append(start_quarantine(raw_q, args.quarantine, ckpt + "-quarantine", trigger=trigger))
+    for q in queries:
+        q.awaitTermination()
 
 
 def date_range(table: DataFrame, since: str | None, until: str | None) -> DataFrame:
@@ -158,6 +166,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--count-mode", default="trailing", choices=["trailing", "batch"])
     s.add_argument("--trigger-seconds", type=int, default=5)
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
+    s.add_argument("--exact", action="store_true",
+                   help="exact counts for out-of-order data (stateful, emitted once the watermark passes)")
+    s.add_argument("--watermark", default="10 minutes", help="allowed lateness with --exact")
     s.add_argument("--reference-params", action="store_true")
 
     r = sub.add_parser("report", help="dashboard numbers from the enriched / alert tables")

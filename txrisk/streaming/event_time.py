@@ -36,8 +36,13 @@ def trailing_count_stream(
     ts: str = "ts",
     out: str = "tx_count_5min",
     bucket_factor: int = 4,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(transaction_id, customer_id, ts, count) in append mode.
+    """(transaction_id, customer_id, ts, *carry, count) in append mode.
+
+    ``carry`` names further columns of the row (functions of its id) that
+    are passed through, so the output is the whole transaction plus its
+    count.
 
     De-duplication happens before the join: a duplicated pair would
     otherwise be counted on both sides. The join key is (customer, time
@@ -48,10 +53,10 @@ def trailing_count_stream(
     """
     w = int(window_seconds) * 1_000_000
     b = w * int(bucket_factor)
-    s = dedupe_stream(stream.select("transaction_id", key, ts), watermark, "transaction_id", ts)
+    s = dedupe_stream(stream.select("transaction_id", key, ts, *carry), watermark, "transaction_id", ts)
     s = s.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_off", F.pmod(F.col("_us"), F.lit(b)))
     home = F.expr(f"(_us - _off) div {b}")
-    left = s.select("transaction_id", key, ts, home.alias("_bucket")).alias("l")
+    left = s.select("transaction_id", key, ts, *carry, home.alias("_bucket")).alias("l")
     offered = F.when(F.col("_off") >= F.lit(b - w), F.array(home, home + 1)).otherwise(F.array(home))
     right = s.select(
         F.col(key).alias("r_key"), F.col(ts).alias("r_ts"), F.explode(offered).alias("r_bucket")
@@ -63,8 +68,9 @@ def trailing_count_stream(
         & (F.col("r_ts") >= F.col(f"l.{ts}") - F.expr(f"INTERVAL {int(window_seconds)} SECONDS"))
     )
     joined = left.join(right, cond, "inner")
-    return joined.groupBy(F.col("l.transaction_id").alias("transaction_id"), F.col(f"l.{key}").alias(key),
-                          F.col(f"l.{ts}").alias(ts)).agg(F.count(F.lit(1)).cast("int").alias(out))
+    keys = [F.col("l.transaction_id").alias("transaction_id"), F.col(f"l.{key}").alias(key), F.col(f"l.{ts}").alias(ts)]
+    keys += [F.col(f"l.{c}").alias(c) for c in carry]
+    return joined.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias(out))
 
 
 def minute_rates_stream(scored: DataFrame, threshold: float, watermark: str, ts: str = "ts") -> DataFrame:

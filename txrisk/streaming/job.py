@@ -12,8 +12,13 @@ Count modes:
   counted together with the customer's rows already in the enriched table
   that fall in the window before the batch's earliest event. A row that
   arrives after newer rows of its customer were written does not update
-  their counts (the table is append-only); ``event_time.trailing_count_stream``
-  is the exact, watermark-delayed alternative.
+  their counts (the table is append-only).
+
+``start_exact_scoring`` is the exact alternative for out-of-order data: the
+count is computed by Spark's stateful operators (watermark, de-duplication,
+interval self-join) and a row reaches the scoring function, with its final
+count, once the watermark has passed it. Rows later than the watermark are
+dropped by Spark (counted in the query progress).
 """
 
 from __future__ import annotations
@@ -106,18 +111,30 @@ class ScoringJob:
         return score_model(self.model, counted)
 
     # ------------------------------------------------------------- per batch
+    def write_scored(self, scored: DataFrame) -> None:
+        """Enriched and alert tables (keyed) from one scored batch."""
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_keyed(enriched(scored), self.sinks.enriched)
+            write_keyed(build_alerts(scored, self.params), self.sinks.alerts)
+        finally:
+            scored.unpersist()
+
+    def process_counted(self, batch_df: DataFrame, batch_id: int) -> None:
+        """A batch of decoded transactions that already carry their final
+        count (from ``start_exact_scoring``)."""
+        if batch_df.isEmpty():
+            return
+        self.write_scored(self.score(base_features(batch_df, self.params)))
+        self.batches_seen.append(batch_id)
+
     def process(self, batch_df: DataFrame, batch_id: int) -> None:
         tagged = messages.with_reason(messages.decode(batch_df)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if tagged.isEmpty():
                 return
             accepted = tagged.filter(F.col("reason").isNull()).select(*TX_COLUMNS)
-            scored = self.score(self.counted(accepted)).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                write_keyed(enriched(scored), self.sinks.enriched)
-                write_keyed(build_alerts(scored, self.params), self.sinks.alerts)
-            finally:
-                scored.unpersist()
+            self.write_scored(self.score(self.counted(accepted)))
             if self.sinks.quarantine:
                 bad = tagged.filter(F.col("reason").isNotNull()).select("value", "transaction_id", "ts_text", "reason")
                 write_batch_partition(bad, self.sinks.quarantine, batch_id)
@@ -126,6 +143,49 @@ class ScoringJob:
             tagged.unpersist()
 
 
+def start_exact_scoring(
+    raw_stream: DataFrame,
+    job: ScoringJob,
+    checkpoint_location: str,
+    watermark: str,
+    trigger: dict | None = None,
+    query_name: str = "txrisk_exact_scoring",
+) -> StreamingQuery:
+    """Decode → watermark + de-duplicate → exact trailing count → score →
+    keyed tables. Malformed messages are left out of this query; run
+    ``start_quarantine`` on the same source to keep them."""
+    from txrisk.streaming.event_time import trailing_count_stream
+
+    p = job.params
+    accepted = messages.with_reason(messages.decode(raw_stream)).filter(F.col("reason").isNull())
+    carry = tuple(c for c in TX_COLUMNS if c not in ("transaction_id", "customer_id", "ts"))
+    counted = trailing_count_stream(
+        accepted.select(*TX_COLUMNS), p.window_seconds, watermark, bucket_factor=p.bucket_factor, carry=carry,
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    writer = (
+        counted.writeStream.queryName(query_name)
+        .outputMode("append")
+        .foreachBatch(job.process_counted)
+        .option("checkpointLocation", checkpoint_location)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+def start_quarantine(raw_stream: DataFrame, path: str, checkpoint_location: str,
+                     trigger: dict | None = None) -> StreamingQuery:
+    """Rejected messages with their reason, one partition per batch id."""
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        bad = messages.with_reason(messages.decode(batch_df)).filter(F.col("reason").isNotNull())
+        write_batch_partition(bad.select("value", "transaction_id", "ts_text", "reason"), path, batch_id)
+
+    writer = raw_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def start_scoring(
     raw_stream: DataFrame,
     job: ScoringJob,
