@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txrisk.llm import bpe, decontam, quality, urls
+from txrisk.llm import bpe, decontam, dedup, quality, urls
 
 QUERIES = {
     "op2_bpe": bpe.op2_bpe,
     "op5_urls": urls.op5_urls,
     "op6_quality": quality.op6_quality,
+    "op7_minhash": dedup.op7_minhash,
     "op9_decontamination": decontam.op9_decontamination,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
     "op5_urls": urls.ORACLE_SQL,
+    "op7_minhash": dedup.ORACLE_SQL,
     "op9_decontamination": decontam.ORACLE_SQL,
 }
