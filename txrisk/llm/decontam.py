@@ -166,7 +166,7 @@ def blocks(items: DataFrame, item: str, text: str) -> list[Index]:
     return out
 
 
-def contaminated(docs: DataFrame, items: DataFrame, carry: list[str], text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, carry: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", prefix: str = "") -> DataFrame:
     """``carry`` with ``n_words``, ``spans`` and ``items`` of each row.
 
     ``spans`` are the hit words as [start, end) word numbers, disjoint and in
@@ -174,7 +174,8 @@ def contaminated(docs: DataFrame, items: DataFrame, carry: list[str], text: str
     window in the text. Nulls: a null text has no words; an item without text or
     id is left out. Repeated rows each give their own row; items with the same
     text are all listed; an empty table on either side gives no hits. Only the
-    named columns are read.
+    named columns are read; ``prefix`` sets the new columns apart from carried
+    ones of that name.
     """
     inner = [f"c{i}" for i in range(len(carry))]
     frame = docs.select(*[F.col(c).alias(i) for c, i in zip(carry, inner)], whole_text(text).alias("t"))
@@ -182,7 +183,7 @@ def contaminated(docs: DataFrame, items: DataFrame, carry: list[str], text: str
     for index in blocks(items, item, item_text):
         rank_by_corpus(index, docs.select(whole_text(text).alias("t")))
         frame = map_batches(frame, [*inner, "t"], "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>", lambda index=index: lambda b: match(b, index))
-    return frame.select(*[F.col(i).alias(c) for i, c in zip(inner, carry)], "n_words", F.coalesce("spans", F.array()).alias("spans"), "items")
+    return frame.select(*[F.col(i).alias(c) for i, c in zip(inner, carry)], F.col("n_words").alias(prefix + "n_words"), F.coalesce("spans", F.array()).alias(prefix + "spans"), F.col("items").alias(prefix + "items"))
 
 
 def match(batch: pa.RecordBatch, index: Index) -> list[pa.Array]:
@@ -245,5 +246,5 @@ FROM w LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) WHERE kind = 'd'
 
 def stage_decontamination(spark, docs, sf_dir):
     """Pipeline stage: documents that hold a window of the benchmark go."""
-    out = contaminated(docs, read(spark, sf_dir, "benchmark"), docs.columns)
-    return out.filter(F.size("spans") == 0).select(*docs.columns)
+    out = contaminated(docs, read(spark, sf_dir, "benchmark"), docs.columns, prefix="__bench_")
+    return out.filter(F.size("__bench_spans") == 0).select(*docs.columns)

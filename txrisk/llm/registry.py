@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txrisk.llm import bpe, decontam, dedup, quality, urls
+from txrisk.llm import bpe, decontam, dedup, langid, pii, quality, toxicity, urls
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_bpe": bpe.op2_bpe,
     "op5_urls": urls.op5_urls,
     "op6_quality": quality.op6_quality,
     "op7_minhash": dedup.op7_minhash,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_decontamination": decontam.op9_decontamination,
+    "op10_language": langid.op10_language,
     "pipeline": corpus_pipeline.run,
 }
 
