@@ -7,13 +7,19 @@ read again as the next one's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
+from txrisk.llm.bpe import stage_bpe
 from txrisk.llm.common import read, written
 from txrisk.llm.decontam import stage_decontamination
+from txrisk.llm.dedup import stage_dedup
+from txrisk.llm.pii import stage_pii
 from txrisk.llm.quality import stage_quality
 
 STAGES = [
     ("quality rules", stage_quality),
+    ("near-duplicates", stage_dedup),
     ("benchmark decontamination", stage_decontamination),
+    ("personal data", stage_pii),
+    ("byte-pair encoding", stage_bpe),
 ]
 
 #: Trained models, message passing and byte-pair merges are not SQL.

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import map_batches, texts_of, whole_text
+from txrisk.llm.common import map_batches, read, texts_of, whole_text
 
 #: Pre-tokenizer pattern of byte-level vocabularies (fixed value of the format).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -194,8 +194,6 @@ def encode_decode(docs: DataFrame, carry: list[str], text: str = "text", vocabul
 
 def op2_bpe(spark, sf_dir):
     """Contract query: encode and decode every document."""
-    from txrisk.llm.common import read
-
     out = encode_decode(read(spark, sf_dir, "documents"), ["doc_id"])
     return out.select(
         "doc_id",
@@ -203,3 +201,18 @@ def op2_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def stage_bpe(spark, docs, sf_dir):
+    """Pipeline stage: the documents' tokens, with the digests of ids and decoded text."""
+    out = encode_decode(docs, ["doc_id", "lang", "source", "n_chars"])
+    return out.select(
+        "doc_id",
+        "lang",
+        "source",
+        "n_chars",
+        "ids",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txrisk.llm import bpe, decontam, dedup, langid, pii, quality, toxicity, urls
+from txrisk.llm import bpe, chat, decontam, dedup, langid, licenses, pii, quality, toxicity, urls
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_bpe": bpe.op2_bpe,
+    "op3_licenses": licenses.op3_licenses,
+    "op4_chat": chat.op4_chat,
     "op5_urls": urls.op5_urls,
     "op6_quality": quality.op6_quality,
     "op7_minhash": dedup.op7_minhash,
@@ -18,6 +20,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_chat": chat.ORACLE_SQL,
     "op5_urls": urls.ORACLE_SQL,
     "op7_minhash": dedup.ORACLE_SQL,
     "op9_decontamination": decontam.ORACLE_SQL,
