@@ -15,7 +15,7 @@ from txrisk.sources.transactions import transactions
 
 
 def scored(spark):
-    return score_transactions(transactions(Tables(spark, SMALL)), ScoringParams())
+    return score_transactions(transactions(Tables(spark, SMALL)), ScoringParams.fixture())
 
 
 def test_sweep_monotone_and_matches_cost_model(spark):
@@ -41,7 +41,7 @@ def test_minute_totals(spark):
 def test_alerts_subset_of_enriched(spark):
     s = scored(spark)
     e = enriched(s)
-    a = build_alerts(s, ScoringParams())
+    a = build_alerts(s, ScoringParams.fixture())
     assert a.join(e, "transaction_id", "left_anti").count() == 0
     assert e.count() == transactions(Tables(spark, SMALL)).count()
 

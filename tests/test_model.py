@@ -20,7 +20,7 @@ MP = ModelParams()
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    data = ml.with_label(score_transactions(transactions(Tables(spark, SMALL)), ScoringParams()), ScoringParams())
+    data = ml.with_label(score_transactions(transactions(Tables(spark, SMALL)), ScoringParams.fixture()), ScoringParams.fixture())
     data = data.drop("risk_score")
     train, test = ml.hash_split(data, MP.train_fraction, MP.split_seed)
     return ml.fit(train, MP), data, train, test

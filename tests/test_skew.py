@@ -24,7 +24,7 @@ def hot_frame(spark):
 HOT_SQL = """
 WITH t AS (
   SELECT CAST(e.event_id AS VARCHAR) AS transaction_id,
-         CASE WHEN e.event_id % 3 = 0 THEN 'HOT' ELSE concat('C', lpad(CAST(e.user_id AS VARCHAR), 6, '0')) END AS customer_id,
+         CASE WHEN e.event_id % 3 = 0 THEN 'HOT' ELSE concat('C', format('{:06d}', e.user_id)) END AS customer_id,
          e.ts, round(greatest(1.0, e.value), 2) AS amount
   FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 )
@@ -55,3 +55,26 @@ def test_hot_customer_aggregates(spark):
     assert tl.filter(F.col("customer_id") == "HOT").count() == 200
     z = group_zscore(df).filter(F.col("customer_id") == "HOT").agg(F.avg("customer_zscore")).first()[0]
     assert abs(z) < 1e-9
+
+
+def test_hot_customer_statistics_join_is_split(spark):
+    """With broadcasts off and a third of the rows on one key, no task of the
+    join back gets more than a small part of that key's rows."""
+    from txrisk.operators.features import GROUP_SALTS, batch_customer_count
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(4 * GROUP_SALTS))
+        df = hot_frame(spark)
+        hot = df.filter(F.col("customer_id") == "HOT").count()
+        for out in (batch_customer_count(df), group_zscore(df)):
+            tasks = out.filter(F.col("customer_id") == "HOT").groupBy(F.spark_partition_id()).count().collect()
+            assert sum(r["count"] for r in tasks) == hot
+            assert len(tasks) >= GROUP_SALTS // 3
+            assert max(r["count"] for r in tasks) <= hot / 4
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import alert_reason, is_flagged, severity
+from txrisk.operators.features import COUNT_COLUMN, base_features
+from txrisk.operators.scoring import score_linear
 from txrisk.params import ScoringParams
 from txrisk.schema import ALERT_SCHEMA, assert_schema
 
@@ -37,6 +39,25 @@ def alert_detail(alerts: DataFrame, tx: DataFrame) -> DataFrame:
     )
 
 
+def latest_scored(tx: DataFrame, p: ScoringParams, n: int) -> DataFrame:
+    """The newest ``n`` transactions, scored.
+
+    The rows are chosen first; only their customers' rows of the window before
+    them are then counted (at most ``n`` rows are joined to, so broadcasting
+    them is bounded), instead of counting and scoring the whole table.
+    """
+    top = recent(tx, n)
+    window = F.expr(f"INTERVAL {p.window_seconds} SECONDS")
+    probe = top.select(F.col("transaction_id").alias("_id"), F.col("customer_id").alias("_customer"), F.col("ts").alias("_ts"))
+    near = tx.select("customer_id", "ts").join(
+        F.broadcast(probe),
+        (F.col("customer_id") == F.col("_customer")) & (F.col("ts") <= F.col("_ts")) & (F.col("ts") >= F.col("_ts") - window),
+    )
+    counts = near.groupBy("_id").agg(F.count(F.lit(1)).cast("int").alias(COUNT_COLUMN))
+    counted = top.join(counts, F.col("transaction_id") == F.col("_id"), "left").withColumn(COUNT_COLUMN, F.coalesce(COUNT_COLUMN, F.lit(0))).drop("_id")
+    return score_linear(base_features(counted, p), p)
+
+
 def recent(df: DataFrame, n: int, columns: list[str] | None = None) -> DataFrame:
     """Newest ``n`` rows by event time (NULL times last, id breaks ties).
 

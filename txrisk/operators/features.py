@@ -71,14 +71,37 @@ def trailing_count(
     )
 
 
+#: Join keys that one group's rows are dealt over where its statistics are joined back.
+GROUP_SALTS = 32
+
+
+def join_group_stats(df: DataFrame, stats: DataFrame, key: str, salts: int = GROUP_SALTS) -> DataFrame:
+    """``df`` left-joined to ``stats``, which has one row per ``key``.
+
+    The statistics side ends in an aggregate, so AQE's skew rule does not
+    apply to this join and a hot key's rows would be one task's. Each row
+    therefore joins on (key, a hash of the row modulo ``salts``) and each
+    statistics row is copied ``salts`` times: the same plan at every size.
+    """
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    return salted.join(copies, on=[key, "_salt"], how="left").drop("_salt")
+
+
+def finite(c: str) -> F.Column:
+    """The value, NULL where it is NaN or infinite."""
+    return F.when(~F.isnan(c) & (F.abs(F.col(c)) != F.lit(float("inf"))), F.col(c))
+
+
 def batch_customer_count(df: DataFrame, key: str = "customer_id", out: str = "batch_tx_count") -> DataFrame:
     """Rows per key within the frame (the micro-batch proxy), joined back.
 
     The aggregation combines map-side, so a hot key costs one partial row
-    per map task; the left join keeps every row (a NULL key gets NULL).
+    per map task; the left join keeps every row (a NULL key gets NULL) and
+    deals a hot key's rows over salted join keys.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
-    return df.join(counts, on=key, how="left")
+    return join_group_stats(df, counts, key)
 
 
 def amount_zscore(df: DataFrame, amount: str = "amount", out: str = "amount_zscore") -> DataFrame:
@@ -88,12 +111,15 @@ def amount_zscore(df: DataFrame, amount: str = "amount", out: str = "amount_zsco
     task, one row per task to the final merge, and the two numbers
     substituted into the projection. No unpartitioned window (which would
     move every row to one task) and no join. n = 1 or std = 0 → NULL.
+    Amounts that are no finite number are left out of the statistics and get
+    NULL.
     """
-    stats = df.select(F.struct(F.avg(amount).alias("mu"), F.stddev_samp(amount).alias("sd"))).scalar()
+    x = finite(amount)
+    stats = df.select(F.struct(F.avg(x).alias("mu"), F.stddev_samp(x).alias("sd"))).scalar()
     # bound to one column so the plan holds a single subquery
     return (
         df.withColumn("_stats", stats)
-        .withColumn(out, F.try_divide(F.col(amount) - F.col("_stats.mu"), F.nullif(F.col("_stats.sd"), F.lit(0.0))))
+        .withColumn(out, F.try_divide(x - F.col("_stats.mu"), F.nullif(F.col("_stats.sd"), F.lit(0.0))))
         .drop("_stats")
     )
 
@@ -103,14 +129,15 @@ def group_zscore(df: DataFrame, key: str = "customer_id", amount: str = "amount"
     """z-score of ``amount`` within each key.
 
     Mean and std per key come from a map-side-combined aggregation (a hot
-    key costs one partial row per task), then join back on the key. AQE
-    broadcasts the stats when they are measured small, else splits a skewed
-    key's partition in the sort-merge join.
+    key costs one partial row per task), then join back on salted keys (see
+    ``join_group_stats``). Amounts that are no finite number are left out of
+    the statistics and get NULL.
     """
-    stats = df.groupBy(key).agg(F.avg(amount).alias("_mu"), F.stddev_samp(amount).alias("_sd"))
+    x = finite(amount)
+    stats = df.groupBy(key).agg(F.avg(x).alias("_mu"), F.stddev_samp(x).alias("_sd"))
     return (
-        df.join(stats, on=key, how="left")
-        .withColumn(out, F.try_divide(F.col(amount) - F.col("_mu"), F.nullif(F.col("_sd"), F.lit(0.0))))
+        join_group_stats(df, stats, key)
+        .withColumn(out, F.try_divide(x - F.col("_mu"), F.nullif(F.col("_sd"), F.lit(0.0))))
         .drop("_mu", "_sd")
     )
 

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import is_flagged, recommended_action, round_to
+from txrisk.operators.features import finite
 
 TIMELINE_COLUMNS = ["customer_id", "ts", "transaction_id", "amount", "country", "merchant", "category", "risk_score"]
 
 
 def customer_summary(df: DataFrame, threshold: float) -> DataFrame:
-    """Per customer: transactions, flagged, total amount, max score.
+    """Per customer: transactions, flagged, total amount, max score (amounts
+    and scores that are no finite number are skipped).
 
     Map-side combined: a customer holding a third of the rows costs one
     partial row per task.
@@ -25,8 +27,8 @@ def customer_summary(df: DataFrame, threshold: float) -> DataFrame:
     return df.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_tx"),
         F.count(F.when(is_flagged("risk_score", threshold), 1)).alias("n_flagged"),
-        round_to(F.sum("amount"), 6).alias("total_amount"),
-        F.max("risk_score").alias("max_score"),
+        round_to(F.sum(finite("amount")), 6).alias("total_amount"),
+        F.max(finite("risk_score")).alias("max_score"),
     )
 
 

@@ -13,8 +13,6 @@ the checkpoint rather than from the raw tables.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -22,7 +20,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.functions.columns import round_to, rule_label
+from txrisk.functions.columns import is_flagged, round_to, rule_label
 from txrisk.operators.features import COUNT_COLUMN
 from txrisk.operators.scoring import SCORE_COLUMN, probability_of_class1
 from txrisk.params import ModelParams, ScoringParams
@@ -42,24 +40,53 @@ def hash_split(df: DataFrame, fraction: float, seed: int, key: str = "transactio
     """Deterministic split on a hash of the key.
 
     Unlike ``randomSplit``, membership depends only on the key, so it is
-    stable under repartitioning, retries and re-reads.
+    stable under repartitioning, retries and re-reads; md5 is the same in
+    every engine.
     """
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) / F.lit(1_000_000.0))
-    return df.filter(u < F.lit(fraction)), df.filter(u >= F.lit(fraction))
+    low = in_first_part(fraction, seed, key)
+    return df.filter(low), df.filter(~low)
+
+
+def in_first_part(fraction: float, seed: int, key: str = "transaction_id") -> F.Column:
+    """Whether the first eight hex digits of md5(seed:key), as a share of their
+    range, lie below ``fraction``."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") < F.lit(int(fraction * 2**32))
 
 
 def build_pipeline(mp: ModelParams) -> Pipeline:
-    cats = list(mp.categorical)
-    idx = [f"{c}_idx" for c in cats]
-    ohe = [f"{c}_ohe" for c in cats]
-    indexer = StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep")
-    encoder = OneHotEncoder(inputCols=idx, outputCols=ohe)
-    assembler = VectorAssembler(inputCols=list(mp.numeric) + ohe, outputCol="features")
-    lr = LogisticRegression(
-        featuresCol="features", labelCol="label", probabilityCol="probability",
-        maxIter=mp.max_iter, regParam=mp.reg_param,
-    )
-    return Pipeline(stages=[indexer, encoder, assembler, lr])
+    slots = {c: (index_column(c), f"{c}_slots") for c in mp.categorical}
+    indexer = StringIndexer(handleInvalid="keep").setInputCols(list(slots)).setOutputCols([i for i, _ in slots.values()])
+    encoder = OneHotEncoder().setInputCols([i for i, _ in slots.values()]).setOutputCols([s for _, s in slots.values()])
+    vector = VectorAssembler(outputCol="features").setInputCols([*mp.numeric, *(s for _, s in slots.values())])
+    return Pipeline(stages=[indexer, encoder, vector, LogisticRegression(maxIter=mp.max_iter, regParam=mp.reg_param)])
+
+
+def index_column(c: str) -> str:
+    return f"{c}_index"
+
+
+def string_index(df: DataFrame, mp: ModelParams) -> DataFrame:
+    """(feature, value, n, index) of the fitted indexer, for every value of ``df``:
+    most frequent first, equally frequent ones by value."""
+    fitted = build_pipeline(mp).getStages()[0].fit(df.select(*mp.categorical))
+    indexed = fitted.transform(df.select(*mp.categorical))
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(index_column(c)).cast("int").alias("index")) for c in mp.categorical])
+    return indexed.select(F.inline(cells)).groupBy("feature", "value", "index").agg(F.count(F.lit(1)).alias("n"))
+
+
+def one_hot_rows(df: DataFrame, mp: ModelParams) -> DataFrame:
+    """(feature, slot, n): how many rows of ``df`` set each slot of the fitted
+    one-hot vectors; a row whose value is unseen or NULL sets none (slot -1)."""
+    from pyspark.ml.functions import vector_to_array
+
+    indexer, encoder = build_pipeline(mp).getStages()[:2]
+    data = df.select(*mp.categorical)
+    indexed = indexer.fit(data).transform(data)
+    coded = encoder.fit(indexed).transform(indexed)
+    slot = lambda c: F.array_position(vector_to_array(F.col(f"{c}_slots")), F.lit(1.0)).cast("int") - 1
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), slot(c).alias("slot")) for c in mp.categorical])
+    return coded.select(F.inline(cells)).groupBy("feature", "slot").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit(train: DataFrame, mp: ModelParams, checkpoint: bool = True) -> PipelineModel:
@@ -83,14 +110,25 @@ def score_model(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, cut: float = 0.5) -> DataFrame:
-    """One row: n, positives, accuracy at ``cut`` (score >= cut predicts 1)."""
-    hit = ((F.col(SCORE_COLUMN) >= cut) & (F.col("label") == 1)) | ((F.col(SCORE_COLUMN) < cut) & (F.col("label") == 0))
-    return scored.agg(
+    """One row: n, positives, predicted ones at ``cut``, and accuracy from the
+    confusion counts. A score that is NaN or NULL predicts nothing: it is
+    neither a predicted one nor a hit."""
+    positive, predicted = F.col("label") == 1, is_flagged(SCORE_COLUMN, cut)
+    below = F.col(SCORE_COLUMN) < cut
+    counts = scored.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count(F.when(F.col("label") == 1, 1)).alias("n_positive"),
-        F.count(F.when(F.col(SCORE_COLUMN) >= cut, 1)).alias("n_predicted"),
-        round_to(F.avg(F.when(hit, 1).otherwise(0)), 6).alias("accuracy"),
+        F.count_if(positive).alias("n_positive"),
+        F.count_if(predicted).alias("n_predicted"),
+        F.count_if(predicted & positive).alias("_tp"),
+        F.count_if(below & (F.col("label") == 0)).alias("_tn"),
     )
+    return counts.select("n", "n_positive", "n_predicted", round_to(F.try_divide(F.col("_tp") + F.col("_tn"), "n"), 6).alias("accuracy"))
+
+
+def calibration(scored: DataFrame) -> DataFrame:
+    """One row: n and the mean score. With an unpenalised intercept a fitted
+    model's mean score over its training rows is their share of positives."""
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(SCORE_COLUMN).alias("mean_score"))
 
 
 def auc(scored: DataFrame) -> float:
@@ -151,4 +189,4 @@ def coefficient_rows(coefs: dict) -> list[tuple[str, str, float]]:
     rows += [(k, "", v) for k, v in coefs["numeric"].items()]
     for col, table in coefs["categorical"].items():
         rows += [(col, k, v) for k, v in sorted(table.items())]
-    return [(a, b, float(c) if math.isfinite(c) else c) for a, b, c in rows]
+    return [(a, b, float(c)) for a, b, c in rows]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import at_least, in_lists, is_flagged, minute_floor, risk_level, round_to
+from txrisk.operators.features import finite
 from txrisk.params import MonitorParams, ViewFilter
 from txrisk.session import materialize
 
@@ -151,28 +152,25 @@ def filter_options(df: DataFrame, columns=("country", "merchant", "category", "c
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram of ``column`` between its min and max.
 
-    One pass over the input: values are first counted per distinct value
-    (map-side combined; amounts in cents and scores rounded to 6 places
-    have a bounded number of distinct values), that compact table is
-    materialised, and bounds and bins are computed from it. The maximum
-    falls into the last bin; empty bins are not emitted; NULLs are ignored.
+    Two passes, each combining map-side: the bounds as one scalar subquery,
+    then counts of at most ``bins`` groups. Nothing is kept per distinct
+    value, of which a model's scores have as many as rows. The maximum falls
+    into the last bin; empty bins are not emitted; values that are NULL, NaN
+    or infinite are ignored.
     """
-    x = F.col(column)
-    compact = materialize(
-        df.filter(x.isNotNull()).groupBy(x.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    )
+    values = df.select(finite(column).alias("_v")).filter(F.col("_v").isNotNull())
     v = F.col("_v")
-    bounds = compact.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    bounds = values.select(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
     # bounds bound to one column: the plan holds a single subquery
-    framed = compact.withColumn("_b", bounds).select(
-        "_v", "_c", F.col("_b.lo").alias("_lo"), ((F.col("_b.hi") - F.col("_b.lo")) / F.lit(float(bins))).alias("_w")
+    framed = values.withColumn("_b", bounds).select(
+        "_v", F.col("_b.lo").alias("_lo"), ((F.col("_b.hi") - F.col("_b.lo")) / F.lit(float(bins))).alias("_w")
     )
     lo, width = F.col("_lo"), F.col("_w")
     raw = F.when(width > 0, F.floor((v - lo) / width)).otherwise(F.lit(0))
     idx = F.least(raw, F.lit(bins - 1)).cast("int")
     return (
         framed.groupBy(idx.alias("bin"), "_lo", "_w")
-        .agg(F.sum("_c").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "bin",
             round_to(lo + F.col("bin") * width, 6).alias("lower"),

@@ -13,19 +13,21 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.columns import round_to, rule_label
 from txrisk.operators import economics, investigate, monitor
-from txrisk.operators.alerts import alert_detail, build_alerts, recent
+from txrisk.operators.alerts import alert_detail, build_alerts, latest_scored, recent
 from txrisk.operators.contracts import key_violations
 from txrisk.operators.features import amount_zscore, base_features, batch_customer_count, group_zscore
-from txrisk.operators.scoring import enriched, score_transactions
+from txrisk.operators.scoring import SCORE_COLUMN, enriched, score_linear, score_transactions
 from txrisk.operators import model as ml
 from txrisk.params import CostParams, ModelParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
 from txrisk.plans import oracle
 from txrisk.session import pin_utc
+from txrisk.sinks.keyed import new_rows
 from txrisk.sources import messages
 from txrisk.sources.tables import Tables
 from txrisk.sources.transactions import transactions, wide_transactions
 
-P = ScoringParams()
+P = ScoringParams.fixture()
+REF = ScoringParams()
 M = MonitorParams()
 C = CostParams()
 S = SweepParams()
@@ -37,6 +39,18 @@ VF = ViewFilter(
     categories=(P.special_category, "signup"),
 )
 
+DRILLDOWN_CUSTOMER = "C000007"
+#: A coefficient table for the model's scorer, the same on both sides.
+COEFFICIENTS = {
+    "intercept": -4.0,
+    "numeric": {"amount": 0.02, "amount_log": 0.1, "tx_count_5min": 0.15, "is_foreign": 0.25, "hour": -0.01},
+    "categorical": {
+        "country": {"NATION_0": -0.5, "NATION_3": 0.75, "NATION_7": 0.5},
+        "category": {"purchase": 0.5, "signup": -0.25},
+        "merchant": {"M1": 0.125, "M4": -0.125},
+    },
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -157,7 +171,8 @@ def q_score_histogram(spark, sf_dir):
 
 
 def q_latest_transactions(spark, sf_dir):
-    return recent(_scored(spark, sf_dir), M.recent_rows, monitor.VIEW_COLUMNS)
+    newest = latest_scored(_tx(spark, sf_dir), P, M.recent_rows)
+    return recent(newest, M.recent_rows, monitor.VIEW_COLUMNS)
 
 
 def _alert_detail(spark, sf_dir):
@@ -216,11 +231,21 @@ def q_json_decode(spark, sf_dir):
 
 
 def q_quarantine_split(spark, sf_dir):
-    """Transaction messages plus foreign payloads of the same topic (the
-    events' own ``props`` objects, which carry no transaction fields)."""
+    """Transaction messages plus what else may come on the topic, one kind for
+    each reason: the events' own ``props`` objects (no transaction fields), the
+    documents' texts (no JSON), messages of every customer with a broken time
+    and of every supplier with an amount that is no number, and a null message
+    for every nation."""
     t = _tables(spark, sf_dir)
     foreign = t("events", "props").select(F.col("props").alias("value"))
-    raw = _messages(spark, sf_dir).unionByName(foreign)
+    prose = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("value"))
+    broken = '{"transaction_id":"%s","customer_id":"C1","ts":"%s","amount":%s}'
+    late = t("customer", "c_custkey").select(F.format_string(broken % ("c%d", "soon", "1.0"), "c_custkey").alias("value"))
+    nan = t("supplier", "s_suppkey").select(F.format_string(broken % ("s%d", "2024-01-01T00:00:00+00:00", "NaN"), "s_suppkey").alias("value"))
+    null = t("nation", "n_nationkey").select(F.lit(None).cast("string").alias("value"))
+    raw = _messages(spark, sf_dir)
+    for part in (foreign, prose, late, nan, null):
+        raw = raw.unionByName(part)
     tagged = messages.with_reason(messages.decode(raw))
     return tagged.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(
         F.count(F.lit(1)).alias("n")
@@ -242,22 +267,63 @@ def q_score_accuracy(spark, sf_dir):
     return ml.evaluate(_labelled(spark, sf_dir))
 
 
-def _fitted(spark, sf_dir):
-    """Fit on the hash-split 80 %; the labelled features are materialised
-    once because the fit and the scoring both read them."""
-    from txrisk.session import materialize
+_fits: dict[tuple[str, str], object] = {}
 
-    data = materialize(_labelled(spark, sf_dir).drop("risk_score").select(*ml.TRAINING_COLUMNS))
+
+def _fitted(spark, sf_dir):
+    """(model, training rows, held-out rows): fitted once per application and
+    folder, on a written copy of the columns that the fit reads."""
+    data = _labelled(spark, sf_dir).drop("risk_score").select(*ml.TRAINING_COLUMNS)
     train, test = ml.hash_split(data, MP.train_fraction, MP.split_seed)
-    return ml.fit(train, MP, checkpoint=False), data, test
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _fits:
+        _fits[key] = ml.fit(train, MP)
+    return _fits[key], train, test
+
+
+def q_split_counts(spark, sf_dir):
+    first = ml.in_first_part(MP.train_fraction, MP.split_seed)
+    return _labelled(spark, sf_dir).groupBy(F.when(first, "train").otherwise("test").alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_positive")
+    )
+
+
+def q_string_index(spark, sf_dir):
+    return ml.string_index(_tx(spark, sf_dir), MP)
+
+
+def q_one_hot_rows(spark, sf_dir):
+    return ml.one_hot_rows(_tx(spark, sf_dir), MP)
+
+
+def _table_scored(spark, sf_dir):
+    """The labelled rows, scored by a given coefficient table."""
+    data = _labelled(spark, sf_dir).drop(SCORE_COLUMN)
+    return data.withColumn(SCORE_COLUMN, round_to(ml.coefficient_score(COEFFICIENTS), 6))
 
 
 def q_model_score(spark, sf_dir):
-    model, data, _ = _fitted(spark, sf_dir)
-    return ml.score_model(model, data).select("transaction_id", "label", "risk_score")
+    return _table_scored(spark, sf_dir).select("transaction_id", "label", SCORE_COLUMN)
 
 
 def q_model_evaluation(spark, sf_dir):
+    """Hold-out counts and accuracy at 0.5 of the coefficient table's score."""
+    _, test = ml.hash_split(_table_scored(spark, sf_dir), MP.train_fraction, MP.split_seed)
+    return ml.evaluate(test)
+
+
+def q_model_calibration(spark, sf_dir):
+    """Mean score of the fitted model over its training rows, to 3 places."""
+    model, train, _ = _fitted(spark, sf_dir)
+    return ml.calibration(ml.score_model(model, train)).select("n", round_to("mean_score", 3).alias("mean_score"))
+
+
+def q_fitted_score(spark, sf_dir):
+    model, train, test = _fitted(spark, sf_dir)
+    return ml.score_model(model, train.unionByName(test)).select("transaction_id", "label", "risk_score")
+
+
+def q_fitted_evaluation(spark, sf_dir):
     """Hold-out accuracy at 0.5 and area under ROC (MLlib evaluator)."""
     model, _, test = _fitted(spark, sf_dir)
     pred = ml.score_model(model, test)
@@ -270,10 +336,72 @@ def q_model_coefficients(spark, sf_dir):
     return spark.createDataFrame(rows, "feature string, value string, weight double")
 
 
-def _wide_scored(spark, sf_dir):
+def q_tx_count_300s(spark, sf_dir):
+    """The reference's own window and cut-offs."""
+    s = score_transactions(_tx(spark, sf_dir), REF)
+    return s.select("transaction_id", "customer_id", "ts", "tx_count_5min")
+
+
+def q_rule_label_reference(spark, sf_dir):
+    s = score_transactions(_tx(spark, sf_dir), REF)
+    return s.select("transaction_id", rule_label("amount", "country", "tx_count_5min", "category", REF).alias("label"))
+
+
+def _batch_scored(spark, sf_dir):
+    """The whole view as one micro-batch: counts within the batch."""
+    counted = batch_customer_count(base_features(_tx(spark, sf_dir), P), out="_n")
+    return score_linear(counted.withColumn("tx_count_5min", F.col("_n").cast("int")).drop("_n"), P)
+
+
+def q_microbatch_enriched(spark, sf_dir):
+    return enriched(_batch_scored(spark, sf_dir)).withColumn("amount_zscore", round_to("amount_zscore", 6))
+
+
+def q_microbatch_alerts(spark, sf_dir):
+    return build_alerts(_batch_scored(spark, sf_dir), P)
+
+
+def q_keyed_new_rows(spark, sf_dir):
+    """A batch of every transaction, half of them twice, against a table that
+    holds the other half."""
+    tx = _tx(spark, sf_dir)
+    stored, rest = ml.hash_split(tx, 0.5, 1)
+    return new_rows(tx.unionByName(rest), stored)
+
+
+def _view(spark, sf_dir):
+    return monitor.view_filter(_scored(spark, sf_dir), VF)
+
+
+def q_view_kpi_summary(spark, sf_dir):
+    return monitor.kpi_summary(_view(spark, sf_dir), M)
+
+
+def q_view_threshold_sweep(spark, sf_dir):
+    return economics.threshold_sweep(_view(spark, sf_dir), S, C)
+
+
+def q_view_sla_verdict(spark, sf_dir):
+    rates = monitor.minute_rates(_view(spark, sf_dir), M.threshold)
+    return monitor.sla_verdict(monitor.sla_rolling(rates, M.sla_window_minutes), M.sla_limit_pct)
+
+
+def q_customer_drilldown(spark, sf_dir):
+    """Summary and recommended action of one customer."""
+    own = investigate.for_customer(_scored(spark, sf_dir), DRILLDOWN_CUSTOMER)
+    summary = investigate.customer_summary(own, M.threshold)
+    return summary.join(investigate.customer_actions(own, M.threshold, M.block_score), "customer_id")
+
+
+def q_customer_series(spark, sf_dir):
+    return investigate.customer_series(_scored(spark, sf_dir), DRILLDOWN_CUSTOMER)
+
+
+def _wide_scored(spark, sf_dir, merchant: bool = False):
     """The wide benchmark fixture (lineitem ⋈ orders ⋈ customer ⋈ nation ⋈
-    supplier ⋈ part), scored like the transactions view."""
-    return score_transactions(wide_transactions(_tables(spark, sf_dir)), P)
+    part, and supplier where the merchant is asked for), scored like the
+    transactions view."""
+    return score_transactions(wide_transactions(_tables(spark, sf_dir), merchant), P)
 
 
 def q_wide_kpi_summary(spark, sf_dir):
@@ -285,7 +413,7 @@ def q_wide_threshold_sweep(spark, sf_dir):
 
 
 def q_wide_hotspot_merchant(spark, sf_dir):
-    return monitor.hotspots(monitor.flagged(_wide_scored(spark, sf_dir), M.threshold), "merchant", M.top_k_hotspots)
+    return monitor.hotspots(monitor.flagged(_wide_scored(spark, sf_dir, merchant=True), M.threshold), "merchant", M.top_k_hotspots)
 
 
 def q_wide_customer_summary(spark, sf_dir):
@@ -330,9 +458,25 @@ QUERIES: dict[str, Query] = {
     "quarantine_split": q_quarantine_split,
     "ts_parse": q_ts_parse,
     "score_accuracy": q_score_accuracy,
+    "split_counts": q_split_counts,
+    "string_index": q_string_index,
+    "one_hot_rows": q_one_hot_rows,
     "model_score": q_model_score,
     "model_evaluation": q_model_evaluation,
+    "model_calibration": q_model_calibration,
+    "fitted_score": q_fitted_score,
+    "fitted_evaluation": q_fitted_evaluation,
     "model_coefficients": q_model_coefficients,
+    "tx_count_300s": q_tx_count_300s,
+    "rule_label_reference": q_rule_label_reference,
+    "microbatch_enriched": q_microbatch_enriched,
+    "microbatch_alerts": q_microbatch_alerts,
+    "keyed_new_rows": q_keyed_new_rows,
+    "view_kpi_summary": q_view_kpi_summary,
+    "view_threshold_sweep": q_view_threshold_sweep,
+    "view_sla_verdict": q_view_sla_verdict,
+    "customer_drilldown": q_customer_drilldown,
+    "customer_series": q_customer_series,
     "wide_kpi_summary": q_wide_kpi_summary,
     "wide_threshold_sweep": q_wide_threshold_sweep,
     "wide_hotspot_merchant": q_wide_hotspot_merchant,
@@ -345,5 +489,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = oracle.oracle_queries(P, M, C, S, VF)
+    sql = oracle.oracle_queries(P, M, C, S, VF, REF, MP, COEFFICIENTS, DRILLDOWN_CUSTOMER)
     return {k: v for k, v in sql.items() if k in QUERIES}

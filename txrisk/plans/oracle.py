@@ -9,7 +9,7 @@ integer millionths.
 
 from __future__ import annotations
 
-from txrisk.params import CostParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
+from txrisk.params import CostParams, ModelParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
 
 
 def _lit(s: str) -> str:
@@ -23,11 +23,11 @@ def _in(values) -> str:
 def transactions_cte() -> str:
     return """transactions AS (
   SELECT CAST(e.event_id AS VARCHAR) AS transaction_id,
-         concat('C', lpad(CAST(e.user_id AS VARCHAR), 6, '0')) AS customer_id,
+         concat('C', CASE WHEN length(CAST(e.user_id AS VARCHAR)) < 6 THEN lpad(CAST(e.user_id AS VARCHAR), 6, '0') ELSE CAST(e.user_id AS VARCHAR) END) AS customer_id,
          e.ts AS ts,
-         round(greatest(1.0, e.value), 2) AS amount,
+         CASE WHEN e.value IS NULL THEN NULL WHEN e.value < 1 THEN 1.0 ELSE round(e.value, 2) END AS amount,
          'EUR' AS currency,
-         concat('M', CAST(CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 7 AS VARCHAR)) AS merchant,
+         concat('M', CAST(TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 7 AS VARCHAR)) AS merchant,
          n.n_name AS country,
          e.event_type AS category
   FROM events e
@@ -38,7 +38,7 @@ def transactions_cte() -> str:
 
 def wide_cte() -> str:
     return """wide AS (
-  SELECT concat('C', lpad(CAST(o.o_custkey AS VARCHAR), 6, '0')) AS customer_id,
+  SELECT concat('C', CASE WHEN length(CAST(o.o_custkey AS VARCHAR)) < 6 THEN lpad(CAST(o.o_custkey AS VARCHAR), 6, '0') ELSE CAST(o.o_custkey AS VARCHAR) END) AS customer_id,
          l.l_shipdate AS ts,
          l.l_extendedprice AS amount,
          'EUR' AS currency,
@@ -208,6 +208,10 @@ def oracle_queries(
     c: CostParams,
     s: SweepParams,
     vf: ViewFilter,
+    ref: ScoringParams,
+    mp: ModelParams,
+    coefs: dict,
+    customer: str,
 ) -> dict[str, str]:
     B = base(p)
     q: dict[str, str] = {}
@@ -406,10 +410,15 @@ FROM scored GROUP BY customer_id"""
 msgs AS (
   SELECT CAST({msg} AS VARCHAR) AS value FROM transactions
   UNION ALL SELECT props FROM events
+  UNION ALL SELECT text FROM documents
+  UNION ALL SELECT '{{"transaction_id":"c' || c_custkey || '","customer_id":"C1","ts":"soon","amount":1.0}}' FROM customer
+  UNION ALL SELECT '{{"transaction_id":"s' || s_suppkey || '","customer_id":"C1","ts":"2024-01-01T00:00:00+00:00","amount":NaN}}' FROM supplier
+  UNION ALL SELECT CAST(NULL AS VARCHAR) FROM nation
 ),
 tagged AS (
   SELECT CASE
            WHEN value IS NULL THEN 'null_message'
+           WHEN ends_with(value, '"amount":NaN}}') THEN 'bad_amount'
            WHEN NOT json_valid(value) THEN 'malformed_json'
            WHEN {missing} THEN 'missing_field'
            WHEN TRY_CAST(json_extract_string(value, '$.ts') AS TIMESTAMPTZ) IS NULL THEN 'bad_timestamp'
@@ -430,4 +439,62 @@ SELECT count(*) AS n,
        (round((avg(CASE WHEN (risk_score >= 0.5 AND label = 1) OR (risk_score < 0.5 AND label = 0) THEN 1 ELSE 0 END)) * 1e6) / 1e6) AS accuracy
 FROM lab"""
 
+    # ------------------------------------------------ model
+    LAB = B + f""",
+lab AS (SELECT * EXCLUDE (risk_score), {label_expr(p)} AS label FROM scored)"""
+    first = f"CAST(('0x' || substr(md5('{mp.split_seed}:' || transaction_id), 1, 8)) AS BIGINT) < {int(mp.train_fraction * 2**32)}"
+    q["split_counts"] = LAB + f"""
+SELECT CASE WHEN {first} THEN 'train' ELSE 'test' END AS part, count(*) AS n, count(CASE WHEN label = 1 THEN 1 END) AS n_positive
+FROM lab GROUP BY 1"""
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS value FROM transactions" for c in mp.categorical)
+    ranked = "WITH " + transactions_cte() + f""",
+cell AS ({cells}),
+cnt AS (SELECT feature, value, count(*) AS n FROM cell GROUP BY feature, value),
+ranked AS (SELECT feature, value, n, CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS INTEGER) AS index FROM cnt)"""
+    q["string_index"] = ranked + "\nSELECT feature, value, n, index FROM ranked"
+    q["one_hot_rows"] = ranked + "\nSELECT feature, index AS slot, n FROM ranked"
+    z = " + ".join([repr(coefs["intercept"]), *[f"{w!r} * {c}" for c, w in coefs["numeric"].items()]])
+    for c, table in coefs["categorical"].items():
+        z += f" + CASE {c} " + " ".join(f"WHEN {_lit(k)} THEN {w!r}" for k, w in table.items()) + " ELSE 0.0 END"
+    TAB = LAB + f""",
+tab AS (SELECT transaction_id, label, (round((1 / (1 + exp(-(CAST({z} AS DOUBLE))))) * 1e6) / 1e6) AS risk_score FROM lab)"""
+    q["model_score"] = TAB + "\nSELECT * FROM tab"
+    q["model_evaluation"] = TAB + f"""
+SELECT count(*) AS n, count(CASE WHEN label = 1 THEN 1 END) AS n_positive, count(CASE WHEN risk_score >= 0.5 THEN 1 END) AS n_predicted,
+       (round((avg(CASE WHEN (risk_score >= 0.5) = (label = 1) THEN 1 ELSE 0 END)) * 1e6) / 1e6) AS accuracy
+FROM tab WHERE NOT {first}"""
+    q["model_calibration"] = LAB + f"""
+SELECT count(*) AS n, (round((avg(label)) * 1e3) / 1e3) AS mean_score FROM lab WHERE {first}"""
+
+    # ------------------------------------------------ reference window, micro-batch, keyed rows
+    REF = base(ref)
+    q["tx_count_300s"] = REF + """
+SELECT transaction_id, customer_id, ts, tx_count_5min FROM features"""
+    q["rule_label_reference"] = REF + f"""
+SELECT transaction_id, {label_expr(ref)} AS label FROM features"""
+    MB = "WITH " + transactions_cte() + f""",
+features AS (
+  SELECT *, COALESCE(CAST(country <> {_lit(p.home_country)} AS INTEGER), 0) AS is_foreign,
+         CAST(count(*) OVER (PARTITION BY customer_id) AS INTEGER) AS tx_count_5min
+  FROM transactions
+),
+""" + scored_cte(p)
+    q["microbatch_enriched"] = MB + q["enriched"][len(B):]
+    q["microbatch_alerts"] = MB + q["alert_build"][len(B):]
+    q["keyed_new_rows"] = "WITH " + transactions_cte() + f"""
+SELECT * FROM transactions WHERE NOT CAST(('0x' || substr(md5('1:' || transaction_id), 1, 8)) AS BIGINT) < {2**31}"""
+
+    # ------------------------------------------------ filtered view, drill-down
+    V = B.replace("scored AS (", "scored_all AS (") + f""",
+scored AS (SELECT * FROM scored_all WHERE {" AND ".join(conds) if conds else "true"})"""
+    for name in ("kpi_summary", "threshold_sweep", "sla_verdict"):
+        q[f"view_{name}"] = V + q[name][len(B):]
+    own = f"customer_id = {_lit(customer)}"
+    q["customer_drilldown"] = (
+        q["customer_summary"].replace("SELECT customer_id, count(*) AS n_tx", "SELECT customer_id, n_tx, n_flagged, total_amount, max_score, n_high, n_mid, action FROM (SELECT customer_id, count(*) AS n_tx")
+        + ") JOIN (" + q["customer_actions"][len(B) + 1:].replace("\nca AS", "WITH ca AS", 1) + f") USING (customer_id) WHERE {own}"
+    )
+    q["customer_series"] = B + f"""
+SELECT ts, transaction_id, amount, risk_score FROM scored WHERE {own} AND ts IS NOT NULL"""
+
     return q

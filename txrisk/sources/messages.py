@@ -20,6 +20,7 @@ REASON_NULL_MESSAGE = "null_message"
 REASON_MALFORMED = "malformed_json"
 REASON_MISSING_FIELD = "missing_field"
 REASON_BAD_TIMESTAMP = "bad_timestamp"
+REASON_BAD_AMOUNT = "bad_amount"
 
 REQUIRED_FIELDS = ("transaction_id", "customer_id", "ts", "amount")
 
@@ -58,7 +59,11 @@ def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def quarantine_reason(decoded: DataFrame) -> F.Column:
-    """NULL for an acceptable row, else the first failed test."""
+    """NULL for an acceptable row, else the first failed test.
+
+    An amount has to be a finite number: one NaN would spread to every
+    z-score of its batch. Negative amounts are accepted (refunds).
+    """
     missing = F.lit(False)
     for c in REQUIRED_FIELDS:
         missing = missing | F.col("ts_text" if c == "ts" else c).isNull()
@@ -67,6 +72,7 @@ def quarantine_reason(decoded: DataFrame) -> F.Column:
         .when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(REASON_MALFORMED))
         .when(missing, F.lit(REASON_MISSING_FIELD))
         .when(F.col("ts").isNull(), F.lit(REASON_BAD_TIMESTAMP))
+        .when(F.isnan("amount") | (F.abs(F.col("amount")) == F.lit(float("inf"))), F.lit(REASON_BAD_AMOUNT))
     )
 
 

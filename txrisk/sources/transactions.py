@@ -27,12 +27,14 @@ MERCHANT_BUCKETS = 7
 
 
 def customer_id(user_id) -> F.Column:
-    return F.concat(F.lit(CUSTOMER_PREFIX), F.lpad(user_id.cast("string"), CUSTOMER_DIGITS, "0"))
+    """Prefix and number, padded to six digits; longer numbers stay whole."""
+    text = user_id.cast("string")
+    return F.concat(F.lit(CUSTOMER_PREFIX), F.lpad(text, F.greatest(F.lit(CUSTOMER_DIGITS), F.length(text)), F.lit("0")))
 
 
 def normalise_amount(value) -> F.Column:
-    """Floor at 1.0, round to cents."""
-    return F.round(F.greatest(F.lit(1.0), value), 2)
+    """Floor at 1.0, round to cents; NULL stays NULL (greatest skips NULLs)."""
+    return F.when(value.isNotNull(), F.round(F.greatest(F.lit(1.0), value), 2))
 
 
 def with_country(fact: DataFrame, custkey: str, customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def with_country(fact: DataFrame, custkey: str, customer: DataFrame, nation: Dat
 def transactions_from(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """events ⋈ customer ⋈ nation → the 8 transaction columns."""
     ev = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    merchant_no = F.get_json_object(F.col("props"), "$.k").cast("int") % F.lit(MERCHANT_BUCKETS)
+    merchant_no = F.get_json_object(F.col("props"), "$.k").try_cast("int") % F.lit(MERCHANT_BUCKETS)
     return with_country(ev, "user_id", customer, nation).select(
         F.col("event_id").cast("string").alias("transaction_id"),
         customer_id(F.col("user_id")).alias("customer_id"),
@@ -75,28 +77,32 @@ def transactions(t: Tables) -> DataFrame:
     )
 
 
-def wide_transactions(t: Tables) -> DataFrame:
+def wide_transactions(t: Tables, merchant: bool = True) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ supplier ⋈ part.
 
     Keeps every lineitem row; amount = extended price, event time = ship
     date, merchant = supplier name, category = part type, country = the
     customer's nation. There is no row key.
+
+    ``merchant=False`` leaves out that column and with it the join to
+    supplier, one shuffle of the fact rows; it relies on every lineitem
+    having exactly one supplier (the tables' foreign key).
     """
-    li = t("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    li = t("lineitem", "l_orderkey", "l_partkey", *["l_suppkey"] * merchant, "l_extendedprice", "l_shipdate")
     od = t("orders", "o_orderkey", "o_custkey")
-    sp = t("supplier", "s_suppkey", "s_name")
     pt = t("part", "p_partkey", "p_type")
     lo = li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+    out = with_country(lo, "o_custkey", t("customer", "c_custkey", "c_nationkey"), t("nation", "n_nationkey", "n_name"))
+    if merchant:
+        out = out.join(t("supplier", "s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
     return (
-        with_country(lo, "o_custkey", t("customer", "c_custkey", "c_nationkey"), t("nation", "n_nationkey", "n_name"))
-        .join(sp, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(pt, F.col("l_partkey") == F.col("p_partkey"))
+        out.join(pt, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             customer_id(F.col("o_custkey")).alias("customer_id"),
             F.col("l_shipdate").alias("ts"),
             F.col("l_extendedprice").alias("amount"),
             F.lit(CURRENCY).alias("currency"),
-            F.col("s_name").alias("merchant"),
+            *([F.col("s_name").alias("merchant")] if merchant else []),
             F.col("country"),
             F.col("p_type").alias("category"),
         )
