@@ -6,7 +6,7 @@ import json
 import os
 
 from tests.conftest import SMALL
-from tests.test_streaming import message_files
+from tests.test_streaming import message_files, table
 from txrisk import cli
 
 
@@ -15,8 +15,8 @@ def test_stream_then_report(spark, scratch, capsys):
     n = message_files(spark, src, parts=2)
     enriched, alerts = os.path.join(scratch, "enriched"), os.path.join(scratch, "alerts")
     cli.main(["stream", "--format", "text", "--path", src, "--enriched", enriched, "--alerts", alerts,
-              "--checkpoint", os.path.join(scratch, "ckpt"), "--once"])
-    assert spark.read.parquet(enriched).count() == n
+              "--checkpoint", os.path.join(scratch, "ckpt"), "--once", "--fixture-params"])
+    assert table(spark, enriched).count() == n
     capsys.readouterr()
     cli.main(["report", "--enriched", enriched, "--alerts", alerts, "--out", os.path.join(scratch, "out")])
     lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
@@ -28,6 +28,27 @@ def test_stream_then_report(spark, scratch, capsys):
     assert sum(1 for x in lines if x["table"] == "threshold_sweep") == 50
     summary = spark.read.parquet(os.path.join(scratch, "out", "customer_summary"))
     assert summary.groupBy().sum("n_tx").first()[0] == n
+    cli.main(["report", "--enriched", enriched, "--customer", "C000007", "--out", os.path.join(scratch, "out")])
+    own = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert {x["customer_id"] for x in own if "customer_id" in x} == {"C000007"}
+    assert {"customer_summary", "customer_action", "customer_timeline"} <= {x["table"] for x in own}
+
+
+def test_defaults_are_five_minutes_and_no_alerts_is_no_error(spark, scratch, capsys):
+    """Three rows of one customer, minutes apart: a 300 s window by default."""
+    import datetime as dt
+
+    from tests.test_streaming import _msg, write_lines
+
+    t0 = dt.datetime(2026, 2, 8)
+    src, enriched, alerts = (os.path.join(scratch, x) for x in ("in", "enriched", "alerts"))
+    write_lines(src, "a.json", [_msg(i, "C1", t0 + dt.timedelta(minutes=m)) for i, m in (("a", 0), ("b", 4), ("c", 10))])
+    cli.main(["stream", "--format", "text", "--path", src, "--enriched", enriched, "--alerts", alerts,
+              "--checkpoint", os.path.join(scratch, "ckpt"), "--once"])
+    got = sorted((r.transaction_id, r.tx_count_5min) for r in table(spark, enriched).collect())
+    assert got == [("a", 1), ("b", 2), ("c", 1)]
+    cli.main(["report", "--enriched", enriched, "--alerts", alerts, "--out", os.path.join(scratch, "out")])
+    assert '"kpi_summary"' in capsys.readouterr().out
 
 
 def test_train_saves_a_loadable_model(spark, scratch, capsys):

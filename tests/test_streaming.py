@@ -46,6 +46,13 @@ def message_files(spark, folder: str, parts: int = 3) -> int:
     return len(msgs)
 
 
+def table(spark, path):
+    """The current rows, without the partition columns."""
+    from txrisk.sinks.keyed import current, read_table
+
+    return current(read_table(spark, path)).drop("event_date", "batch_id")
+
+
 def run_available(raw, job, ckpt):
     q = start_scoring(raw, job, ckpt, trigger={"availableNow": True})
     q.awaitTermination(300)
@@ -56,21 +63,21 @@ def test_stream_equals_batch(spark, scratch):
     src = os.path.join(scratch, "in")
     n = message_files(spark, src, parts=3)
     sinks = SinkPaths(os.path.join(scratch, "enriched"), os.path.join(scratch, "alerts"), os.path.join(scratch, "q"))
-    job = ScoringJob(sinks)
+    job = ScoringJob(sinks, params=ScoringParams.fixture())
     raw = read_transactions(spark, fmt="text", path=src, max_per_trigger=1)
     run_available(raw, job, os.path.join(scratch, "ckpt"))
     assert len(job.batches_seen) == 3
 
-    enriched = spark.read.parquet(sinks.enriched)
+    enriched = table(spark, sinks.enriched)
     assert enriched.count() == n
     assert key_violations(enriched).first().n_duplicate_keys == 0
 
-    batch = score_transactions(transactions(Tables(spark, SMALL)), ScoringParams())
+    batch = score_transactions(transactions(Tables(spark, SMALL)), ScoringParams.fixture())
     want = rows(batch, "transaction_id", "tx_count_5min", "risk_score")
     got = rows(enriched, "transaction_id", "tx_count_5min", "risk_score")
     assert got == want
 
-    alerts = spark.read.parquet(sinks.alerts)
+    alerts = table(spark, sinks.alerts)
     want_alerts = rows(batch.filter(F.col("risk_score") >= 0.8), "transaction_id")
     assert rows(alerts, "transaction_id") == want_alerts
     # alerts ⊆ enriched
@@ -81,15 +88,15 @@ def test_replayed_batch_writes_nothing_twice(spark, scratch):
     src = os.path.join(scratch, "in")
     message_files(spark, src, parts=1)
     sinks = SinkPaths(os.path.join(scratch, "enriched"), os.path.join(scratch, "alerts"), os.path.join(scratch, "q"))
-    job = ScoringJob(sinks)
+    job = ScoringJob(sinks, params=ScoringParams.fixture())
     batch = spark.read.text(src)
     job.process(batch, 0)
-    first = rows(spark.read.parquet(sinks.enriched), "transaction_id", "tx_count_5min")
+    first = rows(table(spark, sinks.enriched), "transaction_id", "tx_count_5min")
     job.process(batch, 0)
-    again = spark.read.parquet(sinks.enriched)
+    again = table(spark, sinks.enriched)
     assert key_violations(again).first().n_duplicate_keys == 0
     assert rows(again, "transaction_id", "tx_count_5min") == first
-    assert key_violations(spark.read.parquet(sinks.alerts)).first().n_duplicate_keys == 0
+    assert key_violations(table(spark, sinks.alerts)).first().n_duplicate_keys == 0
 
 
 class FlakyJob(ScoringJob):
@@ -118,16 +125,16 @@ def test_restart_after_crash_between_sinks(spark, scratch):
     sinks = SinkPaths(os.path.join(scratch, "enriched"), os.path.join(scratch, "alerts"))
     ckpt = os.path.join(scratch, "ckpt")
     raw = read_transactions(spark, fmt="text", path=src, max_per_trigger=1)
-    q = start_scoring(raw, FlakyJob(sinks), ckpt, trigger={"availableNow": True})
+    q = start_scoring(raw, FlakyJob(sinks, params=ScoringParams.fixture()), ckpt, trigger={"availableNow": True})
     with pytest.raises(Exception):
         q.awaitTermination(300)
     # restart from the checkpoint: the failed batch is replayed
-    run_available(read_transactions(spark, fmt="text", path=src, max_per_trigger=1), ScoringJob(sinks), ckpt)
-    enriched = spark.read.parquet(sinks.enriched)
+    run_available(read_transactions(spark, fmt="text", path=src, max_per_trigger=1), ScoringJob(sinks, params=ScoringParams.fixture()), ckpt)
+    enriched = table(spark, sinks.enriched)
     assert enriched.count() == n
     assert key_violations(enriched).first().n_duplicate_keys == 0
-    batch = score_transactions(transactions(Tables(spark, SMALL)), ScoringParams())
-    assert spark.read.parquet(sinks.alerts).count() == batch.filter(F.col("risk_score") >= 0.8).count()
+    batch = score_transactions(transactions(Tables(spark, SMALL)), ScoringParams.fixture())
+    assert table(spark, sinks.alerts).count() == batch.filter(F.col("risk_score") >= 0.8).count()
 
 
 def test_batch_count_mode_is_per_batch(spark, scratch):
@@ -135,7 +142,7 @@ def test_batch_count_mode_is_per_batch(spark, scratch):
     message_files(spark, src, parts=1)
     sinks = SinkPaths(os.path.join(scratch, "enriched"), os.path.join(scratch, "alerts"))
     ScoringJob(sinks, count_mode="batch").process(spark.read.text(src), 0)
-    got = spark.read.parquet(sinks.enriched)
+    got = table(spark, sinks.enriched)
     per_customer = got.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), F.min("tx_count_5min").alias("lo"),
                                                   F.max("tx_count_5min").alias("hi"))
     assert per_customer.filter((F.col("n") != F.col("lo")) | (F.col("n") != F.col("hi"))).count() == 0
@@ -169,7 +176,7 @@ def test_event_time_trailing_count_with_duplicates(spark, scratch):
 def test_minute_rates_stream_matches_batch(spark, scratch):
     from txrisk.operators.monitor import minute_rates
 
-    batch = score_transactions(transactions(Tables(spark, SMALL)), ScoringParams())
+    batch = score_transactions(transactions(Tables(spark, SMALL)), ScoringParams.fixture())
     path = os.path.join(scratch, "scored")
     batch.select("transaction_id", "ts", "risk_score").write.parquet(path)
     stream = spark.readStream.schema("transaction_id string, ts timestamp_ntz, risk_score double").parquet(path)
@@ -202,33 +209,78 @@ def test_dedupe_stream(spark, scratch):
     assert rows(spark.table(name), "transaction_id") == [("a",), ("b",), ("c",)]
 
 
-def test_keyed_sink_reads_only_the_batch_time_range(spark, scratch):
-    import contextlib
-    import io
+def _batch(spark, *msgs):
+    return spark.createDataFrame([(m,) for m in msgs], "value string")
 
-    from txrisk.sinks.keyed import new_rows, read_table, with_partition, write_keyed
 
-    path = os.path.join(scratch, "t")
+def _sinks(scratch):
+    return SinkPaths(os.path.join(scratch, "e"), os.path.join(scratch, "a"), os.path.join(scratch, "q"))
+
+
+def test_duplicates_in_a_batch_count_once(spark, scratch):
+    sinks = _sinks(scratch)
+    m = _msg("a", "C1", dt.datetime(2026, 2, 8))
+    ScoringJob(sinks).process(_batch(spark, m, m, m), 0)
+    assert rows(table(spark, sinks.enriched), "transaction_id", "tx_count_5min") == [("a", 1)]
+
+
+def test_same_id_under_two_times_is_stored_once(spark, scratch):
+    sinks = _sinks(scratch)
     t0 = dt.datetime(2026, 2, 8)
-    mk = lambda ids, day: spark.createDataFrame(
-        [(i, t0 + dt.timedelta(days=day, minutes=n)) for n, i in enumerate(ids)], "transaction_id string, ts timestamp_ntz")
-    write_keyed(mk(["a", "b"], 0), path)
-    write_keyed(mk(["c", "d"], 5), path)
-    write_keyed(mk(["a", "e"], 0), path)          # "a" replayed
-    write_keyed(spark.createDataFrame([("n", None), ("n", None)], "transaction_id string, ts timestamp_ntz"), path)
-    write_keyed(spark.createDataFrame([("n", None)], "transaction_id string, ts timestamp_ntz"), path)
-    got = rows(spark.read.parquet(path), "transaction_id")
-    assert got == [("a",), ("b",), ("c",), ("d",), ("e",), ("n",)]
-    # the existing-key scan is pruned to the batch's dates
-    plan = io.StringIO()
-    with contextlib.redirect_stdout(plan):
-        new_rows(with_partition(mk(["z"], 5)), read_table(spark, path), "transaction_id").explain()
-    assert "PartitionFilters: [" in plan.getvalue() and "event_date" in plan.getvalue().split("PartitionFilters: [")[1]
+    job = ScoringJob(sinks)
+    job.process(_batch(spark, _msg("a", "C1", t0)), 0)
+    job.process(_batch(spark, _msg("a", "C1", t0 + dt.timedelta(days=2)), _msg("b", "C1", t0 + dt.timedelta(days=2))), 1)
+    got = spark.read.parquet(sinks.enriched)
+    assert rows(got, "transaction_id", "ts") == [("a", t0), ("b", t0 + dt.timedelta(days=2))]
+
+
+def test_late_row_raises_stored_counts_and_alerts_follow(spark, scratch):
+    """``a`` comes first; then ``b``, older by a minute, with a repeated ``a``."""
+    sinks = _sinks(scratch)
+    p = ScoringParams(alert_threshold=0.78, coef_tx_count=1.0, intercept=0.2, coef_amount=0.0)
+    t0 = dt.datetime(2026, 2, 8, 12)
+    a, b = _msg("a", "C1", t0), _msg("b", "C1", t0 - dt.timedelta(minutes=1))
+    job = ScoringJob(sinks, params=p)
+    job.process(_batch(spark, a), 0)
+    assert rows(table(spark, sinks.enriched), "transaction_id", "tx_count_5min") == [("a", 1)]
+    before = rows(table(spark, sinks.alerts), "transaction_id") if os.path.isdir(sinks.alerts + "/event_date=2026-02-08") else []
+    assert before == []
+    for _ in range(2):  # the second time is a replay
+        job.process(_batch(spark, b, a), 1)
+        got = table(spark, sinks.enriched)
+        assert rows(got, "transaction_id", "tx_count_5min") == [("a", 2), ("b", 1)]
+        alerts = table(spark, sinks.alerts)
+        assert rows(alerts, "transaction_id", "risk_score") == rows(got.filter("risk_score >= 0.78"), "transaction_id", "risk_score")
+        assert rows(alerts, "transaction_id") == [("a",)]
+
+
+def test_unreadable_table_is_an_error_not_an_empty_one(spark, scratch):
+    from txrisk.sinks.keyed import read_table
+
+    assert read_table(spark, os.path.join(scratch, "none")) is None
+    os.makedirs(os.path.join(scratch, "empty"))
+    assert read_table(spark, os.path.join(scratch, "empty")) is None
+    write_lines(os.path.join(scratch, "bad"), "x.parquet", ["no parquet"])
+    with pytest.raises(Exception):
+        read_table(spark, os.path.join(scratch, "bad"))
+
+
+def test_key_check_reads_only_the_batch_buckets(spark, scratch):
+    from txrisk.sinks.keyed import taken_keys, write_keys
+
+    path = os.path.join(scratch, "t")
+    ids = spark.range(1000).selectExpr("cast(id as string) as transaction_id")
+    write_keys(ids, path, 0)
+    one = ids.filter("transaction_id = '17'")
+    got = taken_keys(one, path, 1)
+    assert ("17",) in rows(got) and got.count() < 50
+    assert taken_keys(one, path, 0).count() == 0  # an earlier attempt of the same batch
+    assert "PartitionFilters: [" in got._jdf.queryExecution().toString()
 
 
 def test_quarantine_table_replaces_a_replayed_batch(spark, scratch):
     sinks = SinkPaths(os.path.join(scratch, "e"), os.path.join(scratch, "a"), os.path.join(scratch, "q"))
-    job = ScoringJob(sinks)
+    job = ScoringJob(sinks, params=ScoringParams.fixture())
     good = _msg("g1", "C1", dt.datetime(2026, 2, 8))
     batch = spark.createDataFrame([(good,), ("garbage",), ('{"transaction_id":"x"}',)], "value string")
     job.process(batch, 7)
@@ -237,7 +289,7 @@ def test_quarantine_table_replaces_a_replayed_batch(spark, scratch):
     assert rows(q, "batch_id", "reason") == [(7, "malformed_json"), (7, "missing_field")]
     job.process(spark.createDataFrame([("more garbage",)], "value string"), 8)
     assert spark.read.parquet(sinks.quarantine).count() == 3
-    assert rows(spark.read.parquet(sinks.enriched), "transaction_id") == [("g1",)]
+    assert rows(table(spark, sinks.enriched), "transaction_id") == [("g1",)]
 
 
 def test_event_time_trailing_count_across_buckets(spark, scratch):
@@ -269,11 +321,9 @@ def test_event_time_trailing_count_across_buckets(spark, scratch):
     assert got == want
 
 
-def test_exact_scoring_handles_out_of_order_arrival(spark, scratch):
-    """Files arrive newest first; the watermarked pipeline still gives the
-    batch counts and scores for every transaction."""
-    from txrisk.streaming.job import start_exact_scoring, start_quarantine
-
+def test_out_of_order_arrival_ends_in_batch_counts(spark, scratch):
+    """Files arrive newest first; no row is dropped as late, and the counts and
+    scores end up as the batch query's."""
     tx = transactions(Tables(spark, SMALL)).orderBy("ts", "transaction_id")
     msgs = [r.value for r in to_messages(tx).collect()]
     src = os.path.join(scratch, "in")
@@ -281,18 +331,24 @@ def test_exact_scoring_handles_out_of_order_arrival(spark, scratch):
     for i in (2, 1, 0):  # newest file first
         write_lines(src, f"part-{i}.json", msgs[i * step:(i + 1) * step])
     write_lines(src, "bad.json", ["not json"])
-    write_lines(src, "flush.json", [_msg("flush", "C999999", dt.datetime(2024, 6, 1))])
-    sinks = SinkPaths(os.path.join(scratch, "enriched"), os.path.join(scratch, "alerts"))
-    job = ScoringJob(sinks)
+    sinks = _sinks(scratch)
     raw = read_transactions(spark, fmt="text", path=src, max_per_trigger=1)
-    q = start_exact_scoring(raw, job, os.path.join(scratch, "ckpt"), watermark="40 days",
-                            trigger={"availableNow": True})
-    q.awaitTermination(600)
-    assert q.exception() is None
-    qq = start_quarantine(read_transactions(spark, fmt="text", path=src), os.path.join(scratch, "q"),
-                          os.path.join(scratch, "qckpt"), trigger={"availableNow": True})
-    qq.awaitTermination(300)
-    got = rows(spark.read.parquet(sinks.enriched), "transaction_id", "tx_count_5min", "risk_score")
-    batch = score_transactions(tx, ScoringParams())
-    assert got == rows(batch, "transaction_id", "tx_count_5min", "risk_score")
-    assert rows(spark.read.parquet(os.path.join(scratch, "q")), "reason") == [("malformed_json",)]
+    run_available(raw, ScoringJob(sinks, params=ScoringParams.fixture()), os.path.join(scratch, "ckpt"))
+    got = table(spark, sinks.enriched)
+    batch = score_transactions(tx, ScoringParams.fixture())
+    assert rows(got, "transaction_id", "tx_count_5min", "risk_score") == rows(batch, "transaction_id", "tx_count_5min", "risk_score")
+    alerts = rows(table(spark, sinks.alerts), "transaction_id", "risk_score")
+    assert alerts == rows(got.filter("risk_score >= 0.8"), "transaction_id", "risk_score")
+    assert rows(spark.read.parquet(sinks.quarantine), "reason") == [("malformed_json",)]
+
+
+def test_quarantine_stream_keeps_rejected_messages(spark, scratch):
+    from txrisk.streaming.job import start_quarantine
+
+    src = os.path.join(scratch, "in")
+    bad_amount = json.dumps({"transaction_id": "n", "customer_id": "C1", "ts": "2026-02-08T00:00:00+00:00", "amount": float("nan")})
+    write_lines(src, "a.json", ["not json", bad_amount, _msg("g", "C1", dt.datetime(2026, 2, 8))])
+    q = start_quarantine(read_transactions(spark, fmt="text", path=src), os.path.join(scratch, "q"),
+                         os.path.join(scratch, "qckpt"), trigger={"availableNow": True})
+    q.awaitTermination(300)
+    assert rows(spark.read.parquet(os.path.join(scratch, "q")), "reason") == [("bad_amount",), ("malformed_json",)]

@@ -43,7 +43,7 @@ def cmd_train(args) -> None:
     from txrisk.sources.transactions import transactions
 
     spark = _session(args)
-    p = ScoringParams.reference() if args.reference_params else ScoringParams()
+    p = ScoringParams.fixture() if args.fixture_params else ScoringParams()
     mp = ModelParams()
     data = ml.with_label(score_transactions(transactions(Tables(spark, args.tables)), p), p)
     data = materialize(data.drop("risk_score").select(*ml.TRAINING_COLUMNS))
@@ -61,7 +61,7 @@ def cmd_stream(args) -> None:
     from txrisk.operators import model as ml
     from txrisk.params import ScoringParams
     from txrisk.session import streaming_checkpoint
-    from txrisk.streaming.job import ScoringJob, SinkPaths, start_exact_scoring, start_quarantine, start_scoring
+    from txrisk.streaming.job import ScoringJob, SinkPaths, start_scoring
     from txrisk.streaming.source import read_transactions
 
     spark = _session(args)
@@ -71,22 +71,13 @@ def cmd_stream(args) -> None:
     raw = read_transactions(spark, fmt=args.format, options=options, path=args.path)
     job = ScoringJob(
         SinkPaths(args.enriched, args.alerts, args.quarantine),
-        params=ScoringParams.reference() if args.reference_params else ScoringParams(),
+        params=ScoringParams.fixture() if args.fixture_params else ScoringParams(),
         count_mode=args.count_mode,
         model=ml.load(args.model) if args.model else None,
     )
     ckpt = args.checkpoint or streaming_checkpoint(spark, "scoring")
     trigger = {"availableNow": True} if args.once else {"processingTime": f"{args.trigger_seconds} seconds"}
-    if not args.exact:
-        start_scoring(raw, job, ckpt, trigger=trigger).awaitTermination()
-        return
-    # exact counts for out-of-order data: stateful count, then scoring
-    queries = [start_exact_scoring(raw, job, ckpt, args.watermark, trigger=trigger)]
-    if args.quarantine:
-        raw_q = read_transactions(spark, fmt=args.format, options=options, path=args.path)
-        queries.append(start_quarantine(raw_q, args.quarantine, ckpt + "-quarantine", trigger=trigger))
-    for q in queries:
-        q.awaitTermination()
+    start_scoring(raw, job, ckpt, trigger=trigger).awaitTermination()
 
 
 def date_range(table: DataFrame, since: str | None, until: str | None) -> DataFrame:
@@ -107,13 +98,25 @@ def cmd_report(args) -> None:
     from txrisk.operators import economics, investigate, monitor
     from txrisk.operators.alerts import alert_detail, recent
     from txrisk.params import CostParams, MonitorParams, SweepParams, ViewFilter
+    from txrisk.schema import ALERT_SCHEMA, ENRICHED_SCHEMA
+    from txrisk.sinks.keyed import current, read_table
 
     spark = _session(args)
     m = MonitorParams(threshold=args.threshold, sla_window_minutes=args.sla_window, sla_limit_pct=args.sla_limit)
     c = CostParams(args.loss, args.review_cost, args.fp_cost, args.efficiency)
     vf = ViewFilter(tuple(args.country or ()), tuple(args.merchant or ()), tuple(args.category or ()))
-    table = date_range(spark.read.parquet(args.enriched), args.since, args.until)
+    table = current(date_range(read_table(spark, args.enriched, ENRICHED_SCHEMA), args.since, args.until))
     view = monitor.view_filter(table, vf)
+    if args.customer:
+        # the drill-down reads the unfiltered table
+        own = investigate.for_customer(table, args.customer)
+        _emit("customer_summary", investigate.customer_summary(own, m.threshold))
+        _emit("customer_action", investigate.customer_actions(own, m.threshold, m.block_score))
+        for col in ("country", "merchant"):
+            _emit(f"customer_top_{col}", investigate.customer_top(own, col, m.top_k_profile))
+        _emit("customer_timeline", investigate.customer_timeline(own, m.timeline_rows))
+        investigate.customer_series(table, args.customer).write.mode("overwrite").parquet(os.path.join(args.out, "customer_series"))
+        return
 
     _emit("kpi_summary", monitor.kpi_summary(view, m))
     rates = monitor.minute_rates(view, m.threshold)
@@ -128,10 +131,15 @@ def cmd_report(args) -> None:
     _emit("hotspot_merchant", monitor.hotspots(flagged, "merchant", m.top_k_hotspots))
     _emit("latest_transactions", recent(view, m.recent_rows, monitor.VIEW_COLUMNS))
     if args.alerts:
-        alerts = date_range(spark.read.parquet(args.alerts), args.since, args.until)
-        _emit("recent_alerts", recent(alert_detail(alerts, table), m.recent_rows))
+        alerts = read_table(spark, args.alerts, ALERT_SCHEMA)
+        if alerts is not None:
+            alerts = current(date_range(alerts, args.since, args.until)).select(*[f.name for f in ALERT_SCHEMA.fields])
+            _emit("recent_alerts", recent(alert_detail(alerts, table), m.recent_rows))
 
     out = args.out
+    monitor.filter_options(table).write.mode("overwrite").parquet(os.path.join(out, "filter_options"))
+    for col, bins in (("amount", m.amount_bins), ("risk_score", m.score_bins)):
+        _emit(f"{col}_histogram", monitor.histogram(view, col, bins))
     rolling.write.mode("overwrite").parquet(os.path.join(out, "sla_rolling"))
     investigate.customer_summary(table, m.threshold).write.mode("overwrite").parquet(os.path.join(out, "customer_summary"))
     investigate.customer_actions(table, m.threshold, m.block_score).write.mode("overwrite").parquet(
@@ -151,7 +159,7 @@ def parser() -> argparse.ArgumentParser:
     t = sub.add_parser("train", help="fit, evaluate and save the scoring pipeline")
     t.add_argument("--tables", required=True, help="folder holding events/customer/nation parquet tables")
     t.add_argument("--model", required=True, help="where to save the fitted pipeline")
-    t.add_argument("--reference-params", action="store_true", help="original cut-offs (FR, 800, 5 minutes …)")
+    t.add_argument("--fixture-params", action="store_true", help="cut-offs that fit the test tables (see FIXTURES.md)")
 
     s = sub.add_parser("stream", help="score a message stream into the keyed tables")
     s.add_argument("--format", default="kafka", choices=["kafka", "text"])
@@ -166,10 +174,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--count-mode", default="trailing", choices=["trailing", "batch"])
     s.add_argument("--trigger-seconds", type=int, default=5)
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
-    s.add_argument("--exact", action="store_true",
-                   help="exact counts for out-of-order data (stateful, emitted once the watermark passes)")
-    s.add_argument("--watermark", default="10 minutes", help="allowed lateness with --exact")
-    s.add_argument("--reference-params", action="store_true")
+    s.add_argument("--fixture-params", action="store_true")
 
     r = sub.add_parser("report", help="dashboard numbers from the enriched / alert tables")
     r.add_argument("--enriched", required=True)
@@ -184,6 +189,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--review-cost", type=float, default=2.0)
     r.add_argument("--fp-cost", type=float, default=5.0)
     r.add_argument("--efficiency", type=float, default=0.80)
+    r.add_argument("--customer", help="drill down into one customer instead of the overview")
     r.add_argument("--country", nargs="*")
     r.add_argument("--merchant", nargs="*")
     r.add_argument("--category", nargs="*")

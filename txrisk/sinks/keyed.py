@@ -1,82 +1,112 @@
-"""Keyed, replay-safe table sinks.
+"""Keyed, replay-safe tables.
 
 The original job appends to two tables with a primary key and fails on a
-replayed batch. Here a write only appends rows whose key is not yet in the
-table, so a micro-batch replayed after a crash (at-least-once delivery)
-writes nothing twice.
-
-Parquet tables are partitioned by event date. A replayed row carries the
-event time of its original, so existing keys are read only inside the
-batch's own event-time range: the date bounds prune partitions and the
-time bounds are pushed to the parquet reader, whose row-group statistics
-skip every file written for other times. For an in-order stream that is
-the last few files, not the table.
+replayed batch. Here a table is partitioned by event date and batch id and a
+micro-batch overwrites its own partitions only, so a batch replayed after a
+crash (at-least-once delivery) replaces what it wrote the first time. A row
+may be written again by a later batch, as a revision; the current state of a
+key is the row of its latest batch (``current``). Revisions keep their event
+time, so finding them never leaves an event date.
+
+Which keys are taken is read from a key table beside the main one, partitioned
+by a hash bucket of the key: a batch reads the buckets that its own keys fall
+into, whatever event time a key was stored under.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARTITION_COLUMN = "event_date"
+BATCH_COLUMN = "batch_id"
+BUCKET_COLUMN = "key_bucket"
+#: Buckets of a key table, which bounds what a batch asks for.
+KEY_BUCKETS = 256
+#: What Spark says of a folder that does not exist yet, or holds no file yet.
+NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None when nothing has been written yet; any
+    other failure to read it is raised. With a ``schema`` (without the partition
+    columns) no file footer is read for it."""
+    if schema is not None:
+        schema = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in _PARTITIONS.items()]])
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in NOTHING_WRITTEN:
+            return None
+        raise
 
 
-def read_table(spark, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when nothing has been written yet."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+_PARTITIONS = {PARTITION_COLUMN: T.DateType(), BATCH_COLUMN: T.LongType()}
 
 
 def with_partition(df: DataFrame, ts_col: str = "ts") -> DataFrame:
     return df.withColumn(PARTITION_COLUMN, F.to_date(F.col(ts_col)))
 
 
-def new_rows(batch: DataFrame, existing: DataFrame, key: str, ts_col: str = "ts") -> DataFrame:
-    """Rows of ``batch`` (one per key) whose key is not in ``existing``.
-
-    Only existing rows inside the batch's event-time range are read (one
-    small aggregate of the batch gives the range)."""
-    batch = batch.dropDuplicates([key])
-    lo, hi = batch.agg(F.min(ts_col), F.max(ts_col)).first()
-    if lo is None:
-        # no event times: compare against every existing key
-        candidates = existing
-    else:
-        t_lo = F.lit(lo.isoformat()).cast("timestamp_ntz")
-        t_hi = F.lit(hi.isoformat()).cast("timestamp_ntz")
-        in_range = F.col(PARTITION_COLUMN).between(F.to_date(t_lo), F.to_date(t_hi)) & F.col(ts_col).between(t_lo, t_hi)
-        # rows without event time live in the NULL date partition
-        candidates = existing.filter(in_range | F.col(PARTITION_COLUMN).isNull())
-    return batch.join(candidates.select(key), on=key, how="left_anti")
-
-
-def write_keyed(df: DataFrame, path: str, key: str = "transaction_id", ts_col: str = "ts") -> None:
-    """Append the rows of ``df`` whose key is new to the parquet table at ``path``."""
-    spark = df.sparkSession
-    batch = with_partition(df, ts_col)
-    existing = read_table(spark, path)
-    if existing is not None:
-        out = new_rows(batch, existing, key, ts_col)
-    else:
-        out = batch.dropDuplicates([key])
-    out.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+def one_per_key(batch: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """One row per key: the smallest of unequal copies by all columns in order,
+    so that a replay picks the same one. Combines map-side."""
+    others = [c for c in batch.columns if c != key]
+    best = batch.groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+    return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in batch.columns])
+
+
+def new_rows(batch: DataFrame, taken: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """Rows of ``batch``, one per key, whose key is not among the ``taken`` ones."""
+    return one_per_key(batch, key).join(taken.select(key), on=key, how="left_anti")
+
+
+def current(table: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """One row per key: the latest batch's."""
+    others = [c for c in table.columns if c not in (key, BATCH_COLUMN)]
+    best = table.groupBy(key).agg(F.max(F.struct(BATCH_COLUMN, *others)).alias("_row"))
+    return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in table.columns])
+
+
+def key_bucket(key: str = "transaction_id") -> F.Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def keys_path(path: str) -> str:
+    return path.rstrip("/") + ".keys"
+
+
+def taken_keys(batch: DataFrame, path: str, batch_id: int, key: str = "transaction_id") -> DataFrame | None:
+    """Keys that other batches wrote to the table at ``path``, in the buckets
+    of this batch's keys. At most ``KEY_BUCKETS`` numbers reach the driver."""
+    keys = read_table(batch.sparkSession, keys_path(path))
+    if keys is None:
+        return None
+    buckets = [r[0] for r in batch.select(key_bucket(key)).distinct().collect()]
+    return keys.filter(F.col(BUCKET_COLUMN).isin(buckets) & (F.col(BATCH_COLUMN) != F.lit(int(batch_id)))).select(key)
+
+
+def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, ts_col: str = "ts") -> None:
+    """Write the batch's rows, replacing what an earlier attempt of the same
+    batch wrote. Rows are gathered by date first: a file per date and task."""
+    out = with_partition(df, ts_col).withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
+    _overwrite(out.repartition(PARTITION_COLUMN, F.pmod(F.xxhash64(*df.columns), F.lit(8))), path, PARTITION_COLUMN, BATCH_COLUMN)
+
+
+def write_keys(df: DataFrame, path: str, batch_id: int, key: str = "transaction_id") -> None:
+    out = df.select(key, key_bucket(key).alias(BUCKET_COLUMN), F.lit(int(batch_id)).cast("long").alias(BATCH_COLUMN))
+    _overwrite(out.repartition(BUCKET_COLUMN), keys_path(path), BUCKET_COLUMN, BATCH_COLUMN)
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """Overwrite the ``batch_id=<n>`` partition only (dynamic partition
-    overwrite), so a replayed batch replaces its own earlier output.
-    Used for unkeyed rows such as quarantined messages."""
-    (
-        df.withColumn("batch_id", F.lit(int(batch_id)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """Unkeyed rows such as quarantined messages, in the batch's own partition."""
+    _overwrite(df.withColumn(BATCH_COLUMN, F.lit(int(batch_id))), path, BATCH_COLUMN)
 
 
 def write_keyed_jdbc(df: DataFrame, url: str, table: str, properties: dict, key: str = "transaction_id") -> None:
@@ -87,7 +117,7 @@ def write_keyed_jdbc(df: DataFrame, url: str, table: str, properties: dict, key:
     Not exercised by the tests: no database may be started here.
     """
     staging = f"{table}_staging"
-    batch = df.dropDuplicates([key])
+    batch = one_per_key(df, key)
     batch.write.jdbc(url=url, table=staging, mode="overwrite", properties=properties)
     present_sql = f"(SELECT t.{key} FROM {table} t JOIN {staging} s ON t.{key} = s.{key}) present"
     present = df.sparkSession.read.jdbc(url=url, table=present_sql, properties=properties)

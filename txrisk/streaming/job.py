@@ -1,28 +1,26 @@
 """Micro-batch scoring job (``foreachBatch``).
 
-Per batch: decode → quarantine → count → score → enriched and alert
-tables (keyed, replay-safe) → quarantine table. The transform is the same
-DataFrame code as the batch queries.
+Per batch: decode → quarantine → one row per key, none that is stored already →
+count → score → enriched table → alerts from the enriched rows → quarantine
+table. The transform is the same DataFrame code as the batch queries, and every
+write replaces the batch's own partitions, so a replayed batch leaves the same
+tables.
 
 Count modes:
 
 * ``"batch"`` — rows of the customer within the micro-batch (the original
   job's proxy for a 5-minute count).
-* ``"trailing"`` (default) — event-time trailing window: the batch is
-  counted together with the customer's rows already in the enriched table
-  that fall in the window before the batch's earliest event. A row that
-  arrives after newer rows of its customer were written does not update
-  their counts (the table is append-only).
-
-``start_exact_scoring`` is the exact alternative for out-of-order data: the
-count is computed by Spark's stateful operators (watermark, de-duplication,
-interval self-join) and a row reaches the scoring function, with its final
-count, once the watermark has passed it. Rows later than the watermark are
-dropped by Spark (counted in the query progress).
+* ``"trailing"`` (default) — event-time trailing window over all rows stored so
+  far, in whatever order they come: the batch is counted together with its
+  customers' stored rows from one window before its earliest to one window
+  after its latest event. A stored row whose count a late row raises is scored
+  anew and written as a revision (see ``sinks.keyed.current``), so once all rows
+  have come, all counts are those of the batch query. No row is dropped as late.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -35,7 +33,19 @@ from txrisk.operators.alerts import build_alerts
 from txrisk.operators.features import COUNT_COLUMN, base_features, batch_customer_count, trailing_count
 from txrisk.operators.scoring import SCORE_COLUMN, enriched
 from txrisk.params import ScoringParams
-from txrisk.sinks.keyed import PARTITION_COLUMN, write_batch_partition, write_keyed
+from txrisk.schema import ENRICHED_SCHEMA
+from txrisk.sinks.keyed import (
+    BATCH_COLUMN,
+    PARTITION_COLUMN,
+    current,
+    new_rows,
+    one_per_key,
+    read_table,
+    taken_keys,
+    write_batch,
+    write_batch_partition,
+    write_keys,
+)
 from txrisk.sources import messages
 from txrisk.sources.transactions import TX_COLUMNS
 
@@ -54,51 +64,51 @@ class ScoringJob:
     count_mode: str = "trailing"
     # optional fitted PipelineModel; default is the linear score
     model: object | None = None
-    batches_seen: list = field(default_factory=list)
+    # ids of the last batches, for progress reports
+    batches_seen: deque = field(default_factory=lambda: deque(maxlen=100))
 
     # ----------------------------------------------------------- transform
-    def counted(self, tx: DataFrame) -> DataFrame:
+    def unseen(self, accepted: DataFrame, batch_id: int) -> DataFrame:
+        """One row per transaction id that no other batch has stored."""
+        taken = taken_keys(accepted, self.sinks.enriched, batch_id)
+        return one_per_key(accepted) if taken is None else new_rows(accepted, taken)
+
+    def counted(self, tx: DataFrame, batch_id: int) -> DataFrame:
+        """Features and count of the batch's rows, and of the stored rows whose
+        count they raise: those have ``_revised`` set and their z-score in ``_z``."""
         p = self.params
-        feats = base_features(tx, p)
+        own = {"_revised": F.lit(False), "_z": F.lit(None).cast("double")}
         if self.count_mode == "batch":
-            out = batch_customer_count(feats, out="_n")
-            return out.withColumn(COUNT_COLUMN, F.col("_n").cast("int")).drop("_n")
+            out = batch_customer_count(base_features(tx, p), out="_n")
+            return out.withColumn(COUNT_COLUMN, F.col("_n").cast("int")).drop("_n").withColumns(own)
         if self.count_mode != "trailing":
             raise ValueError(f"unknown count mode {self.count_mode!r}")
-        history = self._history(tx)
-        if history is None:
-            return trailing_count(feats, p.window_micros, p.bucket_factor)
-        both = feats.withColumn("_own", F.lit(True)).unionByName(
-            history.withColumn("_own", F.lit(False)), allowMissingColumns=True
-        )
-        return (
-            trailing_count(both, p.window_micros, p.bucket_factor)
-            .filter(F.col("_own"))
-            .drop("_own")
-        )
-
-    def _history(self, tx: DataFrame) -> DataFrame | None:
-        """Earlier rows of the batch's customers inside the window before
-        the batch's earliest event; rows of this batch's keys are excluded
-        so a replay does not count itself twice."""
-        from txrisk.sinks.keyed import read_table
-
-        spark = tx.sparkSession
-        table = read_table(spark, self.sinks.enriched)
+        both = tx.withColumns(own | {"_stored": F.lit(None).cast("int")})
+        stored = self._stored_around(tx, batch_id)
+        if stored is not None:
+            both = both.unionByName(stored)
+        out = trailing_count(base_features(both, p), p.window_micros, p.bucket_factor)
+        return out.filter(~F.col("_revised") | (F.col("_stored") != F.col(COUNT_COLUMN))).drop("_stored")
+
+    def _stored_around(self, tx: DataFrame, batch_id: int) -> DataFrame | None:
+        """Current stored rows of the batch's customers, from one window before
+        its earliest to one window after its latest event; ``_stored`` is the
+        stored count of those that the batch may raise, the ones no older than
+        its earliest event (the others' own windows are not all here). What this
+        batch wrote in an earlier attempt is left out."""
+        table = read_table(tx.sparkSession, self.sinks.enriched, ENRICHED_SCHEMA)
         if table is None:
             return None
-        first = tx.select(F.min("ts").alias("t0")).first()
-        if first is None or first["t0"] is None:
+        first, last = tx.agg(F.min("ts"), F.max("ts")).first()
+        if first is None:
             return None
-        t0 = F.lit(first["t0"].isoformat()).cast("timestamp_ntz")
-        lo = t0 - F.expr(f"INTERVAL {self.params.window_seconds} SECONDS")
-        return (
-            table.filter(F.col(PARTITION_COLUMN) >= F.to_date(lo))
-            .filter(F.col("ts") >= lo)
-            .select("transaction_id", "customer_id", "ts")
-            .join(tx.select("customer_id").distinct(), on="customer_id", how="left_semi")
-            .join(tx.select("transaction_id"), on="transaction_id", how="left_anti")
-        )
+        window = F.expr(f"INTERVAL {self.params.window_seconds} SECONDS")
+        low = F.lit(first.isoformat()).cast("timestamp_ntz") - window
+        high = F.lit(last.isoformat()).cast("timestamp_ntz") + window
+        near = table.filter(F.col(PARTITION_COLUMN).between(F.to_date(low), F.to_date(high)) & F.col("ts").between(low, high))
+        near = near.filter(F.col(BATCH_COLUMN) != F.lit(int(batch_id))).join(tx.select("customer_id").distinct(), on="customer_id", how="left_semi")
+        may_rise = F.when(F.col("ts") >= F.lit(first.isoformat()).cast("timestamp_ntz"), F.col(COUNT_COLUMN))
+        return current(near).select(*TX_COLUMNS, F.lit(True).alias("_revised"), F.col("amount_zscore").alias("_z"), may_rise.alias("_stored"))
 
     def score(self, counted: DataFrame) -> DataFrame:
         if self.model is None:
@@ -111,22 +121,21 @@ class ScoringJob:
         return score_model(self.model, counted)
 
     # ------------------------------------------------------------- per batch
-    def write_scored(self, scored: DataFrame) -> None:
-        """Enriched and alert tables (keyed) from one scored batch."""
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+    def write_scored(self, scored: DataFrame, batch_id: int) -> None:
+        """Enriched rows, then the alerts that follow from them.
+
+        z-scores are those of the batch a row came in; a revision keeps its own.
+        """
+        names = [f.name for f in ENRICHED_SCHEMA.fields]
+        fresh = enriched(scored.filter(~F.col("_revised")))
+        revised = scored.filter("_revised").withColumn("amount_zscore", F.col("_z")).select(*names)
+        out = fresh.unionByName(revised).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_keyed(enriched(scored), self.sinks.enriched)
-            write_keyed(build_alerts(scored, self.params), self.sinks.alerts)
+            write_batch(out, self.sinks.enriched, batch_id)
+            write_keys(out, self.sinks.enriched, batch_id)
+            write_batch(build_alerts(out, self.params), self.sinks.alerts, batch_id)
         finally:
-            scored.unpersist()
-
-    def process_counted(self, batch_df: DataFrame, batch_id: int) -> None:
-        """A batch of decoded transactions that already carry their final
-        count (from ``start_exact_scoring``)."""
-        if batch_df.isEmpty():
-            return
-        self.write_scored(self.score(base_features(batch_df, self.params)))
-        self.batches_seen.append(batch_id)
+            out.unpersist()
 
     def process(self, batch_df: DataFrame, batch_id: int) -> None:
         tagged = messages.with_reason(messages.decode(batch_df)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -134,7 +143,11 @@ class ScoringJob:
             if tagged.isEmpty():
                 return
             accepted = tagged.filter(F.col("reason").isNull()).select(*TX_COLUMNS)
-            self.write_scored(self.score(self.counted(accepted)))
+            tx = self.unseen(accepted, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                self.write_scored(self.score(self.counted(tx, batch_id)), batch_id)
+            finally:
+                tx.unpersist()
             if self.sinks.quarantine:
                 bad = tagged.filter(F.col("reason").isNotNull()).select("value", "transaction_id", "ts_text", "reason")
                 write_batch_partition(bad, self.sinks.quarantine, batch_id)
@@ -143,36 +156,6 @@ class ScoringJob:
             tagged.unpersist()
 
 
-def start_exact_scoring(
-    raw_stream: DataFrame,
-    job: ScoringJob,
-    checkpoint_location: str,
-    watermark: str,
-    trigger: dict | None = None,
-    query_name: str = "txrisk_exact_scoring",
-) -> StreamingQuery:
-    """Decode → watermark + de-duplicate → exact trailing count → score →
-    keyed tables. Malformed messages are left out of this query; run
-    ``start_quarantine`` on the same source to keep them."""
-    from txrisk.streaming.event_time import trailing_count_stream
-
-    p = job.params
-    accepted = messages.with_reason(messages.decode(raw_stream)).filter(F.col("reason").isNull())
-    carry = tuple(c for c in TX_COLUMNS if c not in ("transaction_id", "customer_id", "ts"))
-    counted = trailing_count_stream(
-        accepted.select(*TX_COLUMNS), p.window_seconds, watermark, bucket_factor=p.bucket_factor, carry=carry,
-    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    writer = (
-        counted.writeStream.queryName(query_name)
-        .outputMode("append")
-        .foreachBatch(job.process_counted)
-        .option("checkpointLocation", checkpoint_location)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
-
-
 def start_quarantine(raw_stream: DataFrame, path: str, checkpoint_location: str,
                      trigger: dict | None = None) -> StreamingQuery:
     """Rejected messages with their reason, one partition per batch id."""
