@@ -1,0 +1,86 @@
+"""n-grams and distances against brute force; accuracy on held-out rows."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+
+from tests.llm.helpers import docs, odd_rows, with_clashes
+from txrisk.llm import langid
+
+TEXTS = ["Ab c", "", "  é é", "1 2 3", "a1b", "trailing ", " x", "İstanbul ß", "\U0001d400\U0001f389z", "ab" * 50, "日本 語"]
+
+
+def brute_grams(text):
+    out = Counter()
+    word = []
+    for c in text.lower() + " ":
+        if c.isalpha():
+            word.append(c)
+            continue
+        if word:
+            w = [" ", *word, " "]
+            out.update(word)
+            out.update("".join(w[i : i + 2]) for i in range(len(w) - 1))
+            out.update("".join(w[i : i + 3]) for i in range(len(w) - 2) if w[i + 1] != " ")
+        word = []
+    return out
+
+
+def decode(code):
+    a, b, c = code >> 42, code >> 21 & (2**21 - 1), code & (2**21 - 1)
+    return "".join(chr(x) if x else " " for x in (a, b, c) if x != 2**21 - 1)
+
+
+def test_ngrams_equal_brute_force():
+    text, code = langid.ngrams(TEXTS)
+    for i, t in enumerate(TEXTS):
+        assert Counter(decode(int(c)) for c in code[text == i]) == brute_grams(t), t
+    assert len(langid.ngrams([])[0]) == 0 and len(langid.ngrams([""])[0]) == 0
+
+
+def test_distance_equals_brute_force(spark):
+    rows = [(i, t, ("xx", "yy")[i % 2]) for i, t in enumerate(TEXTS * 3)]
+    profiles = langid.collect_profiles(langid.profiles_of(docs(spark, rows), "text", "lang"))
+    assert profiles.langs == ["xx", "yy"]
+    ranks = {}
+    for k, name in enumerate(profiles.langs):
+        total = sum((brute_grams(t) for _, t, x in rows if x == name), Counter())
+        code = {decode(int(c)): int(c) for c in langid.ngrams(TEXTS)[1]}
+        order = sorted(total, key=lambda g: (-total[g], code[g]))[: langid.PROFILE]
+        ranks[name] = {g: i for i, g in enumerate(order)}
+    got, scores = profiles.predict(TEXTS)
+    for t, lang, score in zip(TEXTS, got, scores):
+        own = brute_grams(t)
+        if not own:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        code = {decode(int(c)): int(c) for c in langid.ngrams([t])[1]}
+        top = sorted(own, key=lambda g: (-own[g], code[g]))[: langid.TOP]
+        far = {n: sum(abs(r[g] - i) if g in r else langid.PROFILE for i, g in enumerate(top)) for n, r in ranks.items()}
+        assert lang == min(far, key=lambda n: (far[n], n))
+        assert abs(score - np.clip(1 - far[lang] / (len(top) * langid.PROFILE), 0, 1)) < 1e-12
+
+
+def test_odd_rows(spark):
+    rows = odd_rows() + [(30, "der die das und", "de"), (31, "no language", None)]
+    frame = with_clashes(docs(spark, rows))
+    profiles = langid.collect_profiles(langid.profiles_of(frame, "text", "lang"))
+    out = langid.identify(frame, profiles, ["doc_id", "text", "score"][:2]).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert (r.lang_pred == "und") == (not brute_grams(r.text or "")) and 0 <= r.score <= 1
+    none = langid.collect_profiles(langid.profiles_of(frame.limit(0), "text", "lang"))
+    assert {r.lang_pred for r in langid.identify(frame, none, ["doc_id"]).collect()} == {"und"}
+    assert langid.identify(frame.limit(0), profiles, ["doc_id"]).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    got = [r for r in langid.op10_language(spark, sf).collect()]
+    assert len(got) == len(truth)
+    held = [r for r in got if r.held_out]
+    assert 0.15 < len(held) / len(got) < 0.35
+    assert sum(truth[r.doc_id] == r.lang_pred for r in held) / len(held) > 0.95

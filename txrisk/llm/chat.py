@@ -18,7 +18,8 @@ from txrisk.llm.common import read
 #: Copies of an original's row in the joins: a passage that a third of all
 #: messages quote is dealt over so many keys.
 SALTS = 16
-MARK = r"^(?:[ \t]*>)+[ \t]?"
+#: No repeated group: its depth would be the matcher's stack.
+MARK = r"^[ \t>]*>[ \t]?"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -139,8 +140,8 @@ def op4_chat(spark, sf_dir):
 ORACLE_SQL = r"""
 WITH m AS (SELECT row_number() OVER () AS rid, conv_id, turn, role, string_split(coalesce(text, ''), chr(10)) AS ls FROM conversations),
 l AS (SELECT rid, conv_id, turn, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM m),
-p AS (SELECT rid, conv_id, turn, i, length(replace(replace(regexp_extract(line, '^(?:[ \t]*>)+[ \t]?'), ' ', ''), chr(9), '')) AS level,
-             regexp_replace(line, '^(?:[ \t]*>)+[ \t]?', '') AS body FROM l),
+p AS (SELECT rid, conv_id, turn, i, length(replace(replace(regexp_extract(line, '^[ \t>]*>[ \t]?'), ' ', ''), chr(9), '')) AS level,
+             regexp_replace(line, '^[ \t>]*>[ \t]?', '') AS body FROM l),
 s AS (SELECT *, sum(CASE WHEN level = prev THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS run
       FROM (SELECT *, lag(level) OVER (PARTITION BY rid ORDER BY i) AS prev FROM p)),
 runs AS (SELECT rid, conv_id, turn, level, run, string_agg(body, chr(10) ORDER BY i) AS body FROM s GROUP BY rid, conv_id, turn, level, run),

@@ -38,8 +38,8 @@ def letter_table() -> np.ndarray:
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text's number, code) of every n-gram. Case and what is no letter don't count."""
     low = [t.lower() for t in texts]
-    sizes = np.array([len(t) + 1 for t in low], np.int64)
-    points = np.frombuffer("".join(" " + t for t in low).encode("utf-32-le", "surrogatepass"), "<u4")
+    sizes = np.array([len(t) + 2 for t in low], np.int64)
+    points = np.frombuffer("".join(f" {t} " for t in low).encode("utf-32-le", "surrogatepass"), "<u4")
     letter = letter_table()[points]
     first = np.zeros(len(points), bool)
     first[np.cumsum(sizes) - sizes] = True
@@ -50,7 +50,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     a, b, d = c[:-2], c[1:-1], c[2:]
     one = c > 0
     two = (c[:-1] > 0) | (c[1:] > 0)
-    three = (b > 0) & ((a > 0) | (d > 0))
+    three = b > 0
     codes = [(_MARK << 42 | _MARK << 21 | c)[one], (_MARK << 42 | c[:-1] << 21 | c[1:])[two], (a << 42 | b << 21 | d)[three]]
     # an n-gram belongs to the text of its first character; a first blank is its own text's
     return np.concatenate([text[one], text[:-1][two], text[:-2][three]]), np.concatenate(codes)

@@ -121,13 +121,15 @@ class Scanner:
         found = []
         for t in self.templates:
             n = len(t.words)
-            slack = n // 4 + 2
             starts = {int(p) - place for key, place in t.keys for p in np.flatnonzero(ids == key)}
+            # the bare stretch first: with words of a neighbouring copy in it, few are unique
             for s in starts:
-                low = max(0, s - slack)
-                pairs = align(ids[low : max(0, s + n + slack)].tolist(), t.words)
-                if len(pairs) >= LEAST_COVERAGE * n:
-                    found.append((len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1, t.name, len(pairs) / n))
+                for slack in (0, n // 4 + 2):
+                    low = max(0, s - slack)
+                    pairs = align(ids[low : max(0, s + n + slack)].tolist(), t.words)
+                    if len(pairs) >= LEAST_COVERAGE * n:
+                        found.append((len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1, t.name, len(pairs) / n))
+                        break
         out = []
         for _, a, b, name, share in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1], f[3])):
             if all(b <= x or a >= y for x, y, _, _ in out):
