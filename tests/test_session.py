@@ -9,7 +9,8 @@ from txrisk.session import checkpoint_dir, materialize, pin_utc, scale_conf
 
 def test_scale_conf_targets_partition_size():
     conf = scale_conf(100 * 2**40, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // 2**30
+    assert conf["spark.shuffle.push.enabled"] == "true"
     small = scale_conf(10**6, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24  # never fewer than 3 tasks per core
 

@@ -25,7 +25,9 @@ def _session(args) -> SparkSession:
     from txrisk.session import build_session
 
     extra = {"spark.ui.showConsoleProgress": "false"}
-    return build_session(args.master, app_name=f"txrisk-{args.cmd}", extra_conf=extra)
+    return build_session(
+        args.master, app_name=f"txrisk-{args.cmd}", extra_conf=extra, input_bytes=int(args.input_gb * 1e9), total_cores=args.cores
+    )
 
 
 def _emit(name: str, df: DataFrame) -> None:
@@ -154,6 +156,8 @@ def cmd_report(args) -> None:
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="txrisk")
     ap.add_argument("--master", default=None, help="Spark master (default: the launcher's)")
+    ap.add_argument("--input-gb", type=float, default=0, help="size of the input; with --cores, sizes the partitions")
+    ap.add_argument("--cores", type=int, default=0, help="cores of the cluster")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     t = sub.add_parser("train", help="fit, evaluate and save the scoring pipeline")

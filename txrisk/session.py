@@ -26,22 +26,23 @@ ENGINE_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 1 << 30) -> dict[str, str]:
     """Partition sizing for a cluster run over ``input_bytes`` of input.
 
-    The initial shuffle partition count aims at ``target_partition_bytes``
-    per reducer (never fewer than 3 tasks per core); AQE then coalesces
-    small partitions toward the same advisory size and splits skewed join
-    partitions. Scans read 512 MB splits. Example: 100 TB on 8,000 cores →
-    409,600 initial shuffle partitions, coalesced at run time.
+    Reducers of about 1 GB and scan splits of 1 GB: 100 TB gives some 100,000
+    of each, so a shuffle block is about 10 KB before push-based shuffle merges
+    blocks of one reducer on their way; more, smaller partitions would only
+    grow the driver's map-output table. Never fewer than 3 tasks per core. AQE
+    coalesces small partitions and splits skewed join partitions.
     """
     parts = max(3 * total_cores, -(-int(input_bytes) // int(target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, max(16 << 20, int(input_bytes) // max(1, 3 * total_cores)))),
+        "spark.shuffle.push.enabled": "true",
     }
 
 
@@ -50,15 +51,20 @@ def build_session(
     app_name: str = "txrisk",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the engine's settings.
 
     ``master`` is only set when given: on a cluster the launcher decides.
+    ``input_bytes`` and ``total_cores`` size the partitions (``scale_conf``).
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(ENGINE_CONF)
+    if input_bytes and total_cores:
+        conf.update(scale_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
