@@ -23,27 +23,31 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder; nothing but emptiness is learnt by the driver.
     """
     oriented = edges.filter("u <> v").select(F.least("u", "v").alias("lo"), F.greatest("u", "v").alias("hi"))
+    spark = edges.sparkSession
     left, at = written(oriented.distinct(), "edges")
-    roots = None
+    roots, roots_at = None, None
     while not left.isEmpty():
         parents, p_at = written(left.groupBy("hi").agg(F.min("lo").alias("p")), "parents")
         while not parents.join(_known(parents), F.col("p") == F.col("k")).isEmpty():
             shorter = parents.join(_known(parents), F.col("p") == F.col("k"), "left").select("hi", F.coalesce("kp", "p").alias("p"))
             shorter, s_at = written(shorter, "parents")
-            discard(left.sparkSession, p_at)
+            discard(spark, p_at)
             parents, p_at = shorter, s_at
         fresh = parents.select(F.col("hi").alias("node"), F.col("p").alias("root"))
         if roots is not None:
             old = roots.join(_known(parents), F.col("root") == F.col("k"), "left").select("node", F.coalesce("kp", "root").alias("root"))
             fresh = old.unionByName(fresh)
-        roots, _ = written(fresh, "roots")
+        roots, new_at = written(fresh, "roots")
+        if roots_at:
+            discard(spark, roots_at)
+        roots_at = new_at
         for end in ("lo", "hi"):
             others = [c for c in ("lo", "hi") if c != end]
             left = left.join(_known(parents), F.col(end) == F.col("k"), "left").select(*others, F.coalesce("kp", end).alias(end))
         rest = left.filter("lo <> hi").select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi")).distinct()
         rest, r_at = written(rest, "edges")
-        discard(rest.sparkSession, at)
-        discard(rest.sparkSession, p_at)
+        discard(spark, at)
+        discard(spark, p_at)
         left, at = rest, r_at
     if roots is None:
         return left.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

@@ -1,11 +1,11 @@
 """Near-duplicates by b-bit MinHash.
 
 A document is the set of its five-word shingles. Documents with equal sets are
-one node. A node's 128 minima give 32 band keys of four minima each and a packed
-signature of the minima's two low bits. Nodes that share a band key are
-candidates; the bit count of two signatures, corrected for chance collisions,
-estimates their similarity, and what may reach the threshold is decided on the
-full sets.
+one node. The first 128 of a node's 1,024 minima give 32 band keys of four minima
+each; two bits of all minima are its packed signature. Nodes that share a band
+key are candidates; the bit count of two signatures, corrected for chance
+collisions, estimates their similarity, and what may reach the threshold is
+decided on the full sets.
 
 Only components are asked for, so pairs within a component need no test. First
 each member of a band's bucket is tested against the bucket's smallest member;
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import discard, map_batches, read, texts_of, whole_text, written
+from txrisk.llm.common import discard, map_batches, read, ship, texts_of, whole_text, written
 from txrisk.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -32,9 +32,11 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 #: A pair at the threshold shares no band key with probability (1 - 0.75**4)**32 < 6e-6.
 BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
-#: An estimate below this is no link: six standard deviations under the threshold.
-LEAST_ESTIMATE = 0.45
+#: Minima of a signature. With two bits each, a pair at the threshold is estimated with a
+#: standard deviation of 0.0163.
+HASHES = 1024
+#: An estimate below this is no link: 4.5 standard deviations under the threshold (3e-6).
+LEAST_ESTIMATE = 0.677
 
 _rng = np.random.default_rng(20240607)
 _MUL = _rng.integers(1, 2**32, HASHES, np.uint32) | np.uint32(1)
@@ -71,14 +73,17 @@ def digest_of(shingles: np.ndarray) -> bytes:
 def minima(shingles: np.ndarray) -> np.ndarray:
     low = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.full(HASHES, 2**32 - 1, np.uint32)
-    for i in range(0, len(low), 1024):
-        out = np.minimum(out, ((low[i : i + 1024] ^ _XOR[:, None]) * _MUL[:, None]).min(1))
+    for i in range(0, len(low), 128):
+        h = low[i : i + 128, None] ^ _XOR
+        np.multiply(h, _MUL, out=h)
+        np.minimum(out, h.min(0), out=out)
     return out
 
 
 def band_keys(m: np.ndarray) -> np.ndarray:
     """One 64-bit key for each band, the bands' keys apart from each other."""
-    sums = (m.reshape(-1, BANDS, ROWS).astype(np.uint64) * _BAND).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
+    rows = m[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+    sums = (rows * _BAND).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
     return mix(sums).view(np.int64)
 
 
@@ -120,29 +125,51 @@ def signed(docs: DataFrame, carry: list[str], text: str) -> DataFrame:
     return map_batches(frame, inner, "n bigint, node binary, bands array<bigint>, sig array<bigint>", make)
 
 
+#: Bits of the filter that tells tasks which rows are wanted: 2 MB, whatever the data.
+FILTER_BITS = 2**24
+
+
+def wanted_filter(wanted: DataFrame) -> np.ndarray:
+    """Bits of the hashed ids of ``wanted``, for a first look in the tasks.
+
+    At most ``FILTER_BITS`` / 64 words reach the driver. A set bit may be another
+    id's; the join that follows decides.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = wanted.select(F.shiftright(bit, 6).alias("w"), (bit % 64).cast("int").alias("b")).groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words.w.to_numpy(np.int64)] = words.bits.to_numpy(np.int64).view(np.uint64)
+    return out
+
+
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, set) of the ``wanted`` (id, node): the text of a row with that id, if its set is the node's."""
-    frame = docs.select(F.col("doc_id").alias("d"), whole_text(text).alias("t")).join(wanted, F.col("d").eqNullSafe(F.col("id"))).select("node", "t")
+    """(node, set) of the ``wanted`` (id, node), from the texts.
 
-    def make():
-        def batch(b):
-            nodes = b.column(b.schema.get_field_index("node")).to_pylist()
-            sets = [shingle_set(t) for t in texts_of(b, "t")]
-            return [pa.array([s.tobytes() if digest_of(s) == n else None for s, n in zip(sets, nodes)], pa.binary())]
+    Rows that the filter rules out never leave their task; the others' sets are
+    made there and joined on their digest, so only wanted sets are shuffled.
+    """
+    bits = wanted_filter(wanted)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    ship(docs.sparkSession)
 
-        return batch
+    def run(batches):
+        for b in batches:
+            at = b.column(1).to_numpy()
+            some = np.flatnonzero(bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
+            sets = [shingle_set(t) for t in b.column(0).take(pa.array(some)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([digest_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "set"])
 
-    return map_batches(frame, ["node"], "set binary", make).filter("set is not null").dropDuplicates(["node"])
+    made = docs.select(whole_text(text).alias("t"), place.alias("place")).mapInArrow(run, "node binary, set binary")
+    return made.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
 
-def links(docs: DataFrame, text: str, nodes: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Those of the ``candidates`` (a, b) whose full sets reach the threshold, as a written table."""
+def links(docs: DataFrame, text: str, nodes: DataFrame, candidates: DataFrame) -> tuple[DataFrame, str]:
+    """Those of the ``candidates`` (a, b) whose full sets reach the threshold, as a written table and its place."""
     about = nodes.select(F.col("node").alias("k"), "id", "n", "sig")
     side = lambda x: about.select(*[F.col(c).alias(x + c) for c in about.columns])
-    near = candidates.join(side("a"), F.col("a") == F.col("ak")).join(side("b"), F.col("b") == F.col("bk"))
-    near = near.filter(may_link("a", "b")).select("a", "aid", "b", "bid")
-    near, near_at = written(near, "candidates")
-    wanted = near.select(F.col("aid").alias("id"), F.col("a").alias("node")).union(near.select("bid", "b")).distinct()
+    near = candidates.join(side("a"), F.col("a") == F.col("ak")).join(side("b"), (F.col("b") == F.col("bk")) & may_link("a", "b"))
+    near, near_at = written(near.select("a", "aid", "b", "bid"), "candidates")
+    wanted = near.select(F.col("aid").alias("id"), F.col("a").alias("node")).union(near.select("bid", "b"))
     sets, sets_at = written(sets_of(docs, text, wanted), "sets")
     pairs = near.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("set").alias("bset")), "b")
     pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("aset")), "a").select("a", "b", "aset", "bset")
@@ -160,10 +187,10 @@ def links(docs: DataFrame, text: str, nodes: DataFrame, candidates: DataFrame) -
 
         return batch
 
-    out, _ = written(map_batches(pairs, ["a", "b"], "linked boolean", make).filter("linked").select("a", "b"), "links")
+    out, at = written(map_batches(pairs, ["a", "b"], "linked boolean", make).filter("linked").select("a", "b"), "links")
     discard(docs.sparkSession, near_at)
     discard(docs.sparkSession, sets_at)
-    return out
+    return out, at
 
 
 def may_link(x: str, y: str) -> Column:
@@ -172,36 +199,55 @@ def may_link(x: str, y: str) -> Column:
     return sizes & (estimate(x + "sig", y + "sig") >= LEAST_ESTIMATE)
 
 
+def first_in_common(x: str, y: str) -> Column:
+    """The band of the first equal keys, so that a pair is made once and not in each bucket it shares."""
+    return F.array_position(F.zip_with(x, y, lambda p, q: p == q), F.lit(True)) - 1
+
+
 def linked(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, root) of the nodes that some link joins to a smaller one."""
-    bands = nodes.select("node", F.explode("bands").alias("key"))
+    spark = docs.sparkSession
+    bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     leaders = bands.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").select("key", "a")
-    star = bands.join(leaders, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    roots = components(links(docs, text, nodes, star).toDF("u", "v"))
+    # all that later rounds need: the buckets of several members
+    buckets, buckets_at = written(bands.join(leaders, "key").select("key", "band", "node", "a"), "buckets")
+    found, found_at = links(docs, text, nodes, buckets.filter("node <> a").select("a", F.col("node").alias("b")).distinct())
+    roots = components(found.toDF("u", "v"))
+    discard(spark, found_at)
 
     for closing in (False, True):
-        now = bands.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        now = buckets.join(roots, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("root"))
         spans = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
         members, at = written(now.join(spans, "key"), "open-buckets")
         if closing:
-            full = members.join(nodes.select("node", "n", "sig"), "node")
-            side = lambda x: full.select("key", *[F.col(c).alias(x + c) for c in ("node", "root", "n", "sig")])  # noqa: B023, E731
-            more = side("a").join(side("b"), "key").filter((F.col("anode") < F.col("bnode")) & (F.col("aroot") != F.col("broot")) & may_link("a", "b"))
-            more = more.select(F.col("anode").alias("a"), F.col("bnode").alias("b")).distinct()
+            short = F.transform("bands", lambda k: (k % F.lit(2**31)).cast("int"))
+            full = members.join(nodes.select("node", "n", "sig", short.alias("keys")), "node")
+            side = lambda x: full.select("key", *[F.col(c).alias(x + c) for c in ("band", "node", "root", "n", "sig", "keys")])  # noqa: B023, E731
+            more = side("a").join(
+                side("b").withColumnRenamed("key", "bkey"),
+                (F.col("key") == F.col("bkey"))
+                & (F.col("anode") < F.col("bnode"))
+                & (F.col("aroot") != F.col("broot"))
+                & may_link("a", "b")
+                & (first_in_common("akeys", "bkeys") == F.col("aband")),
+            )
+            more = more.select(F.col("anode").alias("a"), F.col("bnode").alias("b"))
         else:
             chosen = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "root")).alias("c"))
             more = members.join(chosen, "key").filter(F.col("root") != F.col("c.root")).select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
-        found = links(docs, text, nodes, more)
-        discard(docs.sparkSession, at)
-        if found.isEmpty():
-            continue
+        found, found_at = links(docs, text, nodes, more)
+        discard(spark, at)
         known = lambda x: roots.select(F.col("node").alias(x + "k"), F.col("root").alias(x + "r"))  # noqa: B023, E731
         joined = found.join(known("a"), F.col("a") == F.col("ak"), "left").join(known("b"), F.col("b") == F.col("bk"), "left")
         over = components(joined.select(F.coalesce("ar", "a").alias("u"), F.coalesce("br", "b").alias("v")))
+        discard(spark, found_at)
+        if over.isEmpty():
+            continue
         moved = over.select(F.col("node").alias("o"), F.col("root").alias("to"))
         old = roots.join(moved, F.col("root") == F.col("o"), "left").select("node", F.coalesce("to", "root").alias("root"))
         # roots that were moved, and nodes that had no link before
         roots, _ = written(old.unionByName(over), "roots")
+    discard(spark, buckets_at)
     return roots
 
 
