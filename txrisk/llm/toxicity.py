@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import fold_mod, hash_sample, map_batches, read, texts_of, whole_text
+from txrisk.llm.common import discard, fold_mod, hash_sample, map_batches, read, ship, texts_of, whole_text, written
 from txrisk.llm.decontam import words_of
 
 #: Documents that the model is fitted on, at most (in expectation).
@@ -46,35 +46,26 @@ class Model:
     bias: float
 
     def score(self, text: str) -> float:
-        z = self.bias
-        if len(self.words):
-            h = word_hashes(text)
-            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-            z += self.weights[at[self.words[at] == h]].sum()
-        return float(1 / (1 + np.exp(-z)))
-
-
-def typical_words(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Hashes of the words whose share among positives most exceeds that among the unlabelled."""
-    words, counts = np.unique(np.concatenate(positive), return_counts=True)
-    words, counts = words[counts >= LEAST_POSITIVES], counts[counts >= LEAST_POSITIVES]
-    others, seen = np.unique(np.concatenate(unlabelled), return_counts=True)
-    at = np.searchsorted(others, words).clip(0, max(0, len(others) - 1))
-    rest = np.where(others[at] == words, seen[at], 0) if len(others) else np.zeros(len(words))
-    p, u = counts / len(positive), rest / len(unlabelled)
-    mean = (counts + rest) / (len(positive) + len(unlabelled))
-    z = (p - u) / np.sqrt(mean * (1 - mean) * (1 / len(positive) + 1 / len(unlabelled)) + 1e-12)
+        return float(1 / (1 + np.exp(-(self.bias + self.weights[places(self.words, text)].sum()))))
+
+
+def typical_words(words: np.ndarray, held: np.ndarray, seen: np.ndarray, n_positive: int, n_unlabelled: int) -> np.ndarray:
+    """Hashes of the words whose share among positives most exceeds that among the
+    unlabelled. ``held`` and ``seen``: documents of either kind with the word."""
+    p, u = held / max(1, n_positive), seen / max(1, n_unlabelled)
+    mean = (held + seen) / (n_positive + n_unlabelled)
+    z = (p - u) / np.sqrt(mean * (1 - mean) * (1 / max(1, n_positive) + 1 / max(1, n_unlabelled)) + 1e-12)
     best = np.lexsort((words, -z))[:WORDS]
     return np.sort(words[best[z[best] > 3]])
 
 
-def presence(docs: list[np.ndarray], words: np.ndarray) -> np.ndarray:
-    x = np.zeros((len(docs), len(words)), np.float32)
-    for i, d in enumerate(docs):
-        at = np.minimum(np.searchsorted(words, d), max(0, len(words) - 1))
-        if len(words):
-            x[i, at[words[at] == d]] = 1
-    return x
+def places(words: np.ndarray, text: str) -> np.ndarray:
+    """Places, among the sorted hashes ``words``, of those that the text has."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    h = word_hashes(text)
+    at = np.minimum(np.searchsorted(words, h), len(words) - 1)
+    return at[words[at] == h]
 
 
 def fit_pu(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -115,21 +106,52 @@ def fit(docs: DataFrame, labels: DataFrame, learn, positive_rows: int = POSITIVE
     prior = float(np.clip(toxic / total, 1e-4, 0.9))
     positives = hash_sample(marked.filter("toxic > 0"), "doc_id", positive_rows).select(F.col("doc_id").alias("id"))
     texts = docs.select("doc_id", whole_text().alias("t")).filter(learn)
+    # the sampled ids, a bounded number, are broadcast
+    p = texts.join(F.broadcast(positives), F.col("doc_id") == F.col("id"), "left_semi").select(F.lit(1).alias("p"), "t")
+    u = hash_sample(texts, "doc_id", unlabelled_rows).select(F.lit(0).alias("p"), "t")
+    sample, at = written(p.unionByName(u), "toxicity-sample")
+    try:
+        return fit_on(sample, prior)
+    finally:
+        discard(docs.sparkSession, at)
 
-    def hashes(frame):
-        def make():
-            return lambda b: [pa.array([word_hashes(t) for t in texts_of(b, "t")], pa.list_(pa.int64()))]
 
-        got = map_batches(frame, ["doc_id"], "h array<bigint>", make).toPandas().sort_values("doc_id")
-        return [np.asarray(h, np.int64) for h in got.h]
+def fit_on(sample: DataFrame, prior: float) -> Model:
+    """A model from the rows (p, t) of the sample: 1 and a positive's text, or 0 and an unlabelled one's.
 
-    # the sampled ids, a bounded number, are broadcast
-    p = hashes(texts.join(F.broadcast(positives), F.col("doc_id") == F.col("id"), "left_semi"))
-    u = hashes(hash_sample(texts, "doc_id", unlabelled_rows))
-    if not p:
+    Word counts are added up in the cluster. The driver gets the words that
+    enough positives hold, and the weighed words of each sampled document.
+    """
+    ship(sample.sparkSession)
+
+    def count(batches):
+        for b in batches:
+            rows = [word_hashes(t) for t in texts_of(b, "t")]
+            flag = np.repeat(np.array(texts_of(b, "p"), np.int64), [len(r) for r in rows])
+            words, at = np.unique(np.concatenate([np.zeros(0, np.int64), *rows]), return_inverse=True)
+            held = np.bincount(at, flag, len(words)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(held), pa.array(np.bincount(at, minlength=len(words)) - held)], names=["w", "p", "u"])
+
+    sizes = {r.p: r.n for r in sample.groupBy("p").agg(F.count("*").alias("n")).collect()}
+    if not sizes.get(1):
+        return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
+    counts = sample.mapInArrow(count, "w bigint, p bigint, u bigint").groupBy("w").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    got = counts.filter(F.col("p") >= LEAST_POSITIVES).toPandas().sort_values("w")
+    words = typical_words(got.w.to_numpy(np.int64), got.p.to_numpy(float), got.u.to_numpy(float), sizes[1], sizes.get(0, 0))
+
+    def make():
+        return lambda b: [pa.array([places(words, t) for t in texts_of(b, "t")], pa.list_(pa.int64()))]
+
+    rows = map_batches(sample, ["p"], "at array<bigint>", make).toPandas()
+    x = np.zeros((len(rows), len(words)), np.float32)
+    for i, at in enumerate(rows["at"]):
+        x[i, at] = 1
+    # the order of the sums doesn't depend on that of the rows
+    order = np.lexsort((*x.T[::-1], rows.p)) if len(words) else np.arange(len(rows))
+    x, positive = x[order], rows.p.to_numpy()[order] == 1
+    if not (~positive).any():
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    words = typical_words(p, u)
-    weights, bias = fit_pu(presence(p, words), presence(u, words), prior)
+    weights, bias = fit_pu(x[positive], x[~positive], prior)
     return Model(words, weights, bias)
 
 
