@@ -25,6 +25,8 @@ POSITIVE_ROWS, UNLABELLED_ROWS = 3_000, 9_000
 WORDS = 400
 #: A word counts if this many positives hold it.
 LEAST_POSITIVES = 5
+#: ... and its share among them is so many standard errors and times above that among the unlabelled.
+LEAST_Z, LEAST_RATIO = 5, 3
 TOXIC_FROM = 0.7
 
 
@@ -55,8 +57,8 @@ def typical_words(words: np.ndarray, held: np.ndarray, seen: np.ndarray, n_posit
     p, u = held / max(1, n_positive), seen / max(1, n_unlabelled)
     mean = (held + seen) / (n_positive + n_unlabelled)
     z = (p - u) / np.sqrt(mean * (1 - mean) * (1 / max(1, n_positive) + 1 / max(1, n_unlabelled)) + 1e-12)
-    best = np.lexsort((words, -z))[:WORDS]
-    return np.sort(words[best[z[best] > 3]])
+    typical = np.flatnonzero((z > LEAST_Z) & (p >= LEAST_RATIO * u))
+    return np.sort(words[typical[np.lexsort((words[typical], -z[typical]))[:WORDS]]])
 
 
 def places(words: np.ndarray, text: str) -> np.ndarray:
