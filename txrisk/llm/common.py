@@ -29,7 +29,11 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once an application: tasks import it."""
+    """Make the session fit for tasks that read whole texts in Python: bounded
+    batches, and this package sent to the executors, once an application."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -39,10 +43,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder, with the session tuned for whole texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """A table of the folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -117,5 +118,5 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def fold_mod(key: str, n: int) -> Column:
-    """crc32 of the key as text, modulo n."""
-    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+    """crc32 of the key as text, modulo n; -1 for a null key, which no fold has."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % n, F.lit(-1))
