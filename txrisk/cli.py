@@ -101,6 +101,7 @@ def cmd_report(args) -> None:
     from txrisk.operators.alerts import alert_detail, recent
     from txrisk.params import CostParams, MonitorParams, SweepParams, ViewFilter
     from txrisk.schema import ALERT_SCHEMA, ENRICHED_SCHEMA
+    from txrisk.session import materialize
     from txrisk.sinks.keyed import current, read_table
 
     spark = _session(args)
@@ -125,7 +126,8 @@ def cmd_report(args) -> None:
     rolling = monitor.sla_rolling(rates, m.sla_window_minutes)
     _emit("sla_verdict", monitor.sla_verdict(rolling, m.sla_limit_pct))
     _emit("cost_model", economics.cost_model(view, m.threshold, c))
-    sweep = economics.threshold_sweep(view, SweepParams(), c)
+    # at most 50 rows; the best threshold follows from them without another pass
+    sweep = materialize(economics.threshold_sweep(view, SweepParams(), c))
     _emit("threshold_sweep", sweep)
     _emit("best_threshold", economics.best_threshold(sweep))
     flagged = monitor.flagged(view, m.threshold)
