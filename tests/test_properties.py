@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from txrisk.operators import monitor
-from txrisk.operators.features import trailing_count
+from txrisk.operators.features import trailing_count, trailing_count_grains
 
 T0 = dt.datetime(2026, 1, 1)
 SCHEMA = "transaction_id string, customer_id string, ts timestamp_ntz"
@@ -29,7 +29,7 @@ def brute_counts(data, window_s):
     return out
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=events, window_s=st.sampled_from([1, 60, 300, 900]), factor=st.sampled_from([1, 2, 4, 7]))
 def test_trailing_count_equals_brute_force(spark, data, window_s, factor):
     df = spark.createDataFrame(
@@ -38,6 +38,9 @@ def test_trailing_count_equals_brute_force(spark, data, window_s, factor):
     got = {r.transaction_id: r.tx_count_5min
            for r in trailing_count(df, window_s * 10**6, factor).collect()}
     assert got == brute_counts(data, window_s)
+    for grain_s in (7, 300, 5000):
+        got = {r.transaction_id: r.tx_count_5min for r in trailing_count_grains(df, window_s * 10**6, grain_s * 10**6).collect()}
+        assert got == brute_counts(data, window_s)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

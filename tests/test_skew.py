@@ -47,6 +47,31 @@ def test_hot_customer_trailing_count_is_exact_and_split(spark):
     assert df.filter(F.col("customer_id") == "HOT").count() * 3 >= df.count() - 3
 
 
+def test_hot_customer_grains_are_exact_and_small(spark):
+    """A third of the rows on one key and a window as long as the data: no group
+    is larger than a grain."""
+    from txrisk.operators.features import trailing_count_grains
+
+    df = hot_frame(spark)
+    hour = 3600 * 10**6
+    got = {r.transaction_id: r.tx_count_5min for r in trailing_count_grains(df, DAY_US, hour).collect()}
+    assert got == dict(duck(MID).execute(HOT_SQL).fetchall())
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    hot = df.filter(F.col("customer_id") == "HOT")
+    assert hot.groupBy(F.floor(us / hour)).count().agg(F.max("count")).first()[0] * 20 < hot.count()
+
+
+def test_rows_without_time_are_counted_among_themselves(spark):
+    import datetime as dt
+
+    from txrisk.operators.features import trailing_count_grains
+
+    rows = [("a", "C", None), ("b", "C", None), ("c", "C", dt.datetime(2024, 1, 1)), ("d", None, dt.datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, ts timestamp_ntz")
+    for out in (trailing_count(df, DAY_US), trailing_count_grains(df, DAY_US, DAY_US // 7)):
+        assert {r.transaction_id: r.tx_count_5min for r in out.collect()} == {"a": 2, "b": 2, "c": 1, "d": 1}
+
+
 def test_hot_customer_aggregates(spark):
     df = hot_frame(spark).withColumn("risk_score", F.lit(0.9))
     summary = {r.customer_id: r.n_tx for r in investigate.customer_summary(df, 0.8).collect()}

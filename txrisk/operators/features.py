@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import epoch_micros, foreign_flag, hour_of_day, log_amount
-from txrisk.params import ScoringParams
+from txrisk.params import MICROS_PER_SECOND, ScoringParams
 
 COUNT_COLUMN = "tx_count_5min"
 
@@ -40,7 +40,8 @@ def trailing_count(
     rows in the last window of a bucket are needed by the next bucket; those
     (``1 / bucket_factor`` of the rows, key and time only) are copied forward
     and the copies are counted but not emitted. A hot key is thus spread over
-    as many tasks as it has buckets.
+    as many tasks as it has buckets. Where a bucket of one key is still too
+    much for a task, see ``trailing_count_grains``.
     """
     if bucket_factor < 1:
         raise ValueError("bucket_factor must be >= 1")
@@ -71,6 +72,55 @@ def trailing_count(
     )
 
 
+def trailing_count_grains(
+    df: DataFrame,
+    window_micros: int,
+    grain_micros: int,
+    key: str = "customer_id",
+    ts: str = "ts",
+    out: str = COUNT_COLUMN,
+) -> DataFrame:
+    """``trailing_count`` with groups that don't grow with the window.
+
+    Every row enters at its time (+1) and leaves
+    just after ``ts + window`` (-1), so a count is the key's running sum of
+    both. That sum is split at grains of ``grain_micros``: within a grain it is
+    a window partitioned by ``(key, grain)``, and what earlier grains add up to
+    comes from the grains' totals, which are aggregated map-side and number no
+    more than the calendar has grains. A task's group is one grain of one key,
+    whatever the window's length. The price is a second pass over key and time
+    and a copy of each row (key and time only) in the shuffle.
+    """
+    w = int(window_micros)
+    g = int(grain_micros)
+    if g < 1:
+        raise ValueError("grain_micros must be >= 1")
+    columns = df.columns
+    payload = [c for c in columns if c != key]
+    enter = F.struct(F.col("_us").alias("at"), F.lit(1).alias("by"))
+    leave = F.struct((F.col("_us") + F.lit(w + 1)).alias("at"), F.lit(-1).alias("by"))
+    # rows without event time are counted among themselves and never leave
+    moves = F.when(F.col("_us").isNull(), F.array(enter)).otherwise(F.array(enter, leave))
+    grain = F.expr(f"(_at - pmod(_at, {g}L)) div {g}L")
+
+    def moved(rows: DataFrame, *keep) -> DataFrame:
+        return rows.select(key, *keep, F.inline(moves).alias("_at", "_by")).withColumn("_grain", grain)
+
+    own = [F.when(F.col("_by") > 0, F.col(c)).alias(c) for c in payload]
+    timed = df.select(*columns, epoch_micros(ts).alias("_us"))
+    both = moved(timed, *payload).select(key, *own, "_at", "_by", "_grain")
+    frame = Window.partitionBy(key, "_grain").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    within = both.withColumn("_in", F.sum("_by").over(frame)).filter(F.col("_by") > 0)
+
+    # a null time has no earlier grains: its totals are left out
+    totals = moved(timed.select(key, "_us")).filter("_grain is not null").groupBy(key, "_grain").agg(F.sum("_by").alias("_net"))
+    earlier = Window.partitionBy(key).orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(F.col(key).alias("_k"), F.col("_grain").alias("_g"), F.coalesce(F.sum("_net").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_grain") == F.col("_g"))
+    count = F.col("_in") + F.coalesce("_before", F.lit(0))
+    return within.join(before, same, "left").withColumn(out, count.cast("int")).select(*columns, out)
+
+
 #: Join keys that one group's rows are dealt over where its statistics are joined back.
 GROUP_SALTS = 32
 
@@ -144,4 +194,11 @@ def group_zscore(df: DataFrame, key: str = "customer_id", amount: str = "amount"
 
 def features(tx: DataFrame, p: ScoringParams) -> DataFrame:
     """Base features plus the trailing per-customer count."""
-    return trailing_count(base_features(tx, p), p.window_micros, p.bucket_factor)
+    return counted(base_features(tx, p), p)
+
+
+def counted(df: DataFrame, p: ScoringParams) -> DataFrame:
+    """The trailing count in the form that the parameters ask for."""
+    if p.grain_seconds:
+        return trailing_count_grains(df, p.window_micros, p.grain_seconds * MICROS_PER_SECOND)
+    return trailing_count(df, p.window_micros, p.bucket_factor)

@@ -31,6 +31,9 @@ class ScoringParams:
     # ``bucket_factor`` windows long, so only 1/bucket_factor of the rows are
     # copied into the next bucket and a hot customer is split across buckets
     bucket_factor: int = 4
+    # set where a customer's rows of ``bucket_factor`` windows are too much for
+    # one task: the count is then split at grains of that many seconds
+    grain_seconds: int | None = None
     alert_threshold: float = 0.80
     # severity bands of an alert
     high_severity: float = 0.95

@@ -27,7 +27,7 @@ from txrisk.sources.tables import Tables
 from txrisk.sources.transactions import transactions, wide_transactions
 
 P = ScoringParams.fixture()
-REF = ScoringParams()
+REF = ScoringParams(grain_seconds=60)
 M = MonitorParams()
 C = CostParams()
 S = SweepParams()

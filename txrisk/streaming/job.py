@@ -30,7 +30,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.functions.columns import linear_score
 from txrisk.operators.alerts import build_alerts
-from txrisk.operators.features import COUNT_COLUMN, base_features, batch_customer_count, trailing_count
+from txrisk.operators.features import COUNT_COLUMN, base_features, batch_customer_count
+from txrisk.operators.features import counted as trailing
 from txrisk.operators.scoring import SCORE_COLUMN, enriched
 from txrisk.params import ScoringParams
 from txrisk.schema import ENRICHED_SCHEMA
@@ -87,7 +88,7 @@ class ScoringJob:
         stored = self._stored_around(tx, batch_id)
         if stored is not None:
             both = both.unionByName(stored)
-        out = trailing_count(base_features(both, p), p.window_micros, p.bucket_factor)
+        out = trailing(base_features(both, p), p)
         return out.filter(~F.col("_revised") | (F.col("_stored") != F.col(COUNT_COLUMN))).drop("_stored")
 
     def _stored_around(self, tx: DataFrame, batch_id: int) -> DataFrame | None:
