@@ -288,11 +288,11 @@ def stage_dedup(spark, docs, sf_dir):
     The result of the operator has a row for each input row; ids that are not
     kept go, and of rows that share a kept id one stays if they are of one group.
     """
-    state = near_duplicates(docs).groupBy(F.col("doc_id").alias("id")).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("copies"))
-    state, _ = written(state.filter("kept"), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("id"))
-    once = docs.join(state.filter("copies = 1"), same, "left_semi")
-    more = docs.join(state.filter("copies > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    state = near_duplicates(docs).groupBy(F.col("doc_id").alias("__dup_id")).agg(F.bool_or("kept").alias("__dup_kept"), F.count("*").alias("__dup_rows"))
+    state, _ = written(state.filter("__dup_kept"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("__dup_id"))
+    once = docs.join(state.filter("__dup_rows = 1"), same, "left_semi")
+    more = docs.join(state.filter("__dup_rows > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more)
 
 
