@@ -289,10 +289,11 @@ def stage_dedup(spark, docs, sf_dir):
     kept go, and of rows that share a kept id one stays if they are of one group.
     """
     state = near_duplicates(docs).groupBy(F.col("doc_id").alias("__dup_id")).agg(F.bool_or("kept").alias("__dup_kept"), F.count("*").alias("__dup_rows"))
-    state, _ = written(state.filter("__dup_kept"), "kept")
+    # ids that go, and kept ids of several rows: mostly few, so that the texts need no shuffle
+    other, _ = written(state.filter("not __dup_kept or __dup_rows > 1"), "not-kept-once")
     same = F.col("doc_id").eqNullSafe(F.col("__dup_id"))
-    once = docs.join(state.filter("__dup_rows = 1"), same, "left_semi")
-    more = docs.join(state.filter("__dup_rows > 1"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    once = docs.join(other.select("__dup_id"), same, "left_anti")
+    more = docs.join(other.filter("__dup_kept").select("__dup_id"), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more)
 
 
