@@ -69,3 +69,25 @@ def test_query_over_the_whole_table(spark):
     assert len(got) == len(table)
     for r in table:
         assert {n for n, line in lines.items() if line in (r.text or "")} == got[r.doc_id], r.doc_id
+
+
+def test_a_notice_without_its_rarest_words_is_found(spark):
+    notice = dict(licenses.TEMPLATES[4:5])["GPL-3.0"]
+    lacking = " ".join(w for w in notice.split() if w not in ("redistribute", "option)", "merchantability", "MERCHANTABILITY", "FITNESS"))
+    half = notice.split()
+    parted = " ".join(half[:40] + [f"other{i}" for i in range(60)] + half[40:])
+    got = {r.doc_id: [s.name for s in r.licenses] for r in licenses.scan(docs(spark, [(1, lacking), (2, "prose " * 30 + lacking), (3, parted)]), ["doc_id"]).collect()}
+    assert got == {1: ["GPL-3.0"], 2: ["GPL-3.0"], 3: ["GPL-3.0"]}
+
+
+def test_keys_are_so_many_that_no_copy_lacks_them_all():
+    rnd = random.Random(3)
+    words = {w: i for i, w in enumerate(dict.fromkeys(w for _, t in licenses.TEMPLATES for w in licenses.words_of(t)))}
+    for name, text in licenses.TEMPLATES:
+        split = licenses.words_of(text)
+        t = licenses.Template(name, [words[w] for w in split], [])
+        may_lack = len(split) - t.least
+        t.keys = [(t.words[p], p) for p in rnd.sample(range(len(split)), may_lack + 1)]
+        gone = {p for _, p in t.keys[:may_lack]}
+        copy = b" ".join(w for p, w in enumerate(split) if p not in gone).decode()
+        assert [f[2] for f in licenses.Scanner(words, [t]).find(copy)[1]] == [name], name

@@ -1,16 +1,18 @@
 """License scans by patience alignment.
 
-A template is looked for around its rarest words. There, the words that are
+A template is looked for around its rarest words: so many of its word places that
+a copy cannot lack them all and still count as found. There, the words that are
 unique both in the stretch of text and in the template are anchors; their longest
 increasing subsequence fixes the alignment, and the gaps between anchors are
 aligned the same way. The share of the template's words that the alignment
-covers decides.
+covers decides. A copy may have as many other words in it as the template has.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,8 +25,6 @@ from txrisk.llm.decontam import words_of
 
 #: Share of a template's words from which it counts as found.
 LEAST_COVERAGE = 0.85
-#: Words by which a template is looked for: one of these has to be in the text.
-KEYS = 3
 
 #: Public license notices (fixed values).
 TEMPLATES = [
@@ -102,7 +102,11 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 class Template:
     name: str
     words: list[int]
-    keys: list[tuple[int, int]]  # (word, its first place in the template)
+    keys: list[tuple[int, int]]  # (word, place in the template): one of them is in every copy
+
+    @property
+    def least(self) -> int:
+        return math.ceil(LEAST_COVERAGE * len(self.words))
 
 
 @dataclass
@@ -110,35 +114,56 @@ class Scanner:
     vocabulary: dict[bytes, int]
     templates: list[Template]
 
+    def __post_init__(self):
+        size = len(self.vocabulary)
+        self.is_key = np.zeros(size + 1, bool)  # the last for words of no template
+        self.keyed: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for i, t in enumerate(self.templates):
+            for w, place in t.keys:
+                self.is_key[w] = True
+                self.keyed[w].append((i, place))
+        self.has = [np.bincount(t.words, minlength=size + 1) for t in self.templates]
+
     def find(self, text: str) -> tuple[int, list[tuple[int, int, str, float]]]:
         """The number of words, and (start, end, name, coverage) of the licenses found.
 
-        Of overlapping finds the one that covers more words stays.
+        Of overlapping finds the one that covers more words stays, of these the one
+        that covers more of its template.
         """
         words = words_of(text)
         get = self.vocabulary.get
         ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        starts = defaultdict(set)
+        for p in np.flatnonzero(self.is_key[ids]).tolist():
+            for i, place in self.keyed[int(ids[p])]:
+                starts[i].add(p - place)
         found = []
-        for t in self.templates:
+        for i, at in starts.items():
+            t = self.templates[i]
             n = len(t.words)
-            starts = {int(p) - place for key, place in t.keys for p in np.flatnonzero(ids == key)}
-            # the bare stretch first: with words of a neighbouring copy in it, few are unique
-            for s in starts:
-                for slack in (0, n // 4 + 2):
+            for s in at:
+                widest = np.bincount(ids[max(0, s - n) : max(0, s + 2 * n)] % len(self.is_key), minlength=len(self.is_key))
+                if np.minimum(widest, self.has[i]).sum() < t.least:
+                    continue
+                # the bare stretch first: with words of a neighbouring copy in it, few are unique
+                for slack in (0, n // 4 + 2, n):
                     low = max(0, s - slack)
                     pairs = align(ids[low : max(0, s + n + slack)].tolist(), t.words)
-                    if len(pairs) >= LEAST_COVERAGE * n:
+                    if len(pairs) >= t.least:
                         found.append((len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1, t.name, len(pairs) / n))
                         break
         out = []
-        for _, a, b, name, share in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1], f[3])):
+        for _, a, b, name, share in sorted(found, key=lambda f: (-f[0], -f[4], f[2] - f[1], f[1], f[3])):
             if all(b <= x or a >= y for x, y, _, _ in out):
                 out.append((a, b, name, share))
         return len(words), sorted(out)
 
 
 def scanner(docs: DataFrame, templates: list[tuple[str, str]], text: str) -> Scanner:
-    """Choose each template's key words by how few documents hold them.
+    """Choose each template's keys by how few documents hold the words.
+
+    A copy lacks at most ``n - least`` of the ``n`` places, so one of any
+    ``n - least + 1`` is in it.
 
     The counts are over all documents; a task hands on, and the driver collects,
     at most one row for each word of the templates.
@@ -164,8 +189,10 @@ def scanner(docs: DataFrame, templates: list[tuple[str, str]], text: str) -> Sca
     out = []
     for name, words in split:
         ids = [vocabulary[w] for w in words]
-        rare = sorted(set(ids), key=lambda w: (seen.get(w, 0), ids.index(w)))[:KEYS]
-        out.append(Template(name, ids, [(w, ids.index(w)) for w in rare]))
+        t = Template(name, ids, [])
+        rare = sorted(range(len(ids)), key=lambda p: (seen.get(ids[p], 0), p))
+        t.keys = [(ids[p], p) for p in rare[: len(ids) - t.least + 1]]
+        out.append(t)
     return Scanner(vocabulary, [t for t in out if t.words])
 
 
