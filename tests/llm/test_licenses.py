@@ -91,3 +91,15 @@ def test_keys_are_so_many_that_no_copy_lacks_them_all():
         gone = {p for _, p in t.keys[:may_lack]}
         copy = b" ".join(w for p, w in enumerate(split) if p not in gone).decode()
         assert [f[2] for f in licenses.Scanner(words, [t]).find(copy)[1]] == [name], name
+
+
+def test_every_template_is_told_from_the_others(spark):
+    rows = [(i, f"Some prose before it. {text} And some prose after it.") for i, (_, text) in enumerate(licenses.TEMPLATES)]
+    got = {r.doc_id: [s.name for s in r.licenses] for r in licenses.scan(docs(spark, rows), ["doc_id"]).collect()}
+    assert {i: [name] for i, (name, _) in enumerate(licenses.TEMPLATES)} == got
+
+
+def test_common_notices_are_covered():
+    names = {n.rsplit("-", 1)[0] if n.startswith("CC-") else n for n, _ in licenses.TEMPLATES}
+    assert names >= {"Apache-2.0", "MIT", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "CC0-1.0", "Unlicense"}
+    assert names >= {"CC-BY", "CC-BY-SA", "CC-BY-NC", "CC-BY-ND", "CC-BY-NC-SA", "CC-BY-NC-ND"}

@@ -54,6 +54,99 @@ TEMPLATES = [
 ]
 
 
+def _gnu(kind: str, noun: str, version: str) -> str:
+    return (
+        f"This {noun} is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software "
+        f"Foundation, either version {version} of the License, or (at your option) any later version. This {noun} is distributed in the hope that it will be useful, but WITHOUT ANY "
+        f"WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more details."
+    )
+
+
+_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF '
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code "
+    "must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list "
+    "of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission. "
+)
+_ISC = (
+    'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT '
+    "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF "
+    "CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+#: Names that stand in "Released under the ... License." and the like, one form each.
+_NAMED = [
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("ISC", "Released under the ISC License."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "This work is licensed under a Creative Commons CC0 1.0 Universal License."),
+    ("Unlicense", "Released under the Unlicense."),
+]
+TEMPLATES += _NAMED
+#: A near form of another license is told from it by being a template too.
+TEMPLATES += [(f"CC-{k}-{v}", f"Licensed under CC {k} {v}.") for k in _CC for v in ("3.0", "4.0") if (k, v) != ("BY-NC", "4.0")]
+TEMPLATES += [
+    (f"CC-{k}-{v}", f"This work is licensed under a Creative Commons {long} {v} {scope} License.") for k, long in _CC.items() for v, scope in (("3.0", "Unported"), ("4.0", "International"))
+]
+TEMPLATES += [
+    ("GPL-2.0", _gnu("", "program", "2")),
+    ("LGPL-2.1", _gnu("Lesser ", "library", "2.1")),
+    ("LGPL-3.0", _gnu("Lesser ", "program", "3")),
+    ("LGPL-3.0", _gnu("Lesser ", "library", "3")),
+    ("AGPL-3.0", _gnu("Affero ", "program", "3")),
+    ("BSD-2-Clause", _BSD + _DISCLAIMER),
+    ("BSD-3-Clause", _BSD + _BSD_3 + _DISCLAIMER),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. " + _ISC),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. " + _ISC,
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is "
+        "distributed without any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software.",
+    ),
+    (
+        "CC0-1.0",
+        "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work.",
+    ),
+    (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+]
+
+
 def increasing(values: list[int]) -> list[int]:
     """Indices of a longest increasing subsequence, by patience piles with back pointers."""
     tops, at, back = [], [], []
