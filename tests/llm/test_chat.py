@@ -70,3 +70,30 @@ def test_empty_table_and_plan(spark):
     assert chat.link(spark.createDataFrame([], SCHEMA)).count() == 0
     plan = chat.op4_chat(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_reply_order_with_links_to_other_conversations(spark):
+    rows = [
+        (1, 0, "u", "one start"),
+        (1, 1, "a", "> from two, late\nan answer elsewhere"),
+        (1, 2, "u", "> an answer elsewhere\nthird"),
+        (1, 3, "a", "> one start\nfourth"),
+        (1, 4, "u", "> third\nfifth"),
+        (2, 3, "u", "> one start\nlinks to one"),
+        (2, 50, "u", "from two, late"),
+        (2, 51, "a", "> links to one\nlast"),
+    ]
+    got = chat.in_reply_order(chat.link(spark.createDataFrame(rows, SCHEMA).repartition(5))).collect()
+    assert [(r.conv_id, r.turn) for r in got] == [(1, 0), (1, 1), (1, 3), (1, 2), (1, 4), (2, 3), (2, 50), (2, 51)]
+    assert {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn) for r in got}[1, 1] == (2, 50)
+    seen = set()
+    for r in got:
+        assert r.reply_conv != r.conv_id or (r.conv_id, r.reply_turn) in seen
+        seen.add((r.conv_id, r.turn))
+
+
+def test_query_is_in_reply_order(spark):
+    got = chat.op4_chat(spark, "/root/testdata/sf0.001").collect()
+    parent = [r.reply_turn if r.reply_conv == r.conv_id and r.reply_turn is not None else -1 for r in got]
+    keys = [(r.conv_id, p, r.turn) for r, p in zip(got, parent)]
+    assert keys == sorted(keys)

@@ -74,9 +74,7 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     replies to the original of its outermost, first linked passage; without one,
     to the turn before its own, if there is such a message, else to nothing.
 
-    Ordered by (reply_turn, turn), nulls first, a conversation stands in reply
-    order: each message after the one that it answers, answers to one message
-    together. Sorting is left to the reader, as a conversation may be of any size.
+    The rows are in no order; ``in_reply_order`` sorts them.
 
     A null text is empty; a null conversation or turn links to nothing. Repeated
     rows are each returned and linked alike. Empty tables give empty results.
@@ -132,9 +130,25 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     )
 
 
+def in_reply_order(linked: DataFrame) -> DataFrame:
+    """The rows of ``link`` sorted: each message after the one of its conversation that it answers.
+
+    Conversations stand one after the other; in each, the messages that answer
+    none of it come first (a link to another conversation gives no place in this
+    one), then by the turn answered, so that answers to one message are together,
+    and by turn. A message answers an earlier turn, so that turn's own row is
+    before. Null conversations and turns come first, repeated rows together. The
+    sort is dealt by ranges of all keys, so a conversation of any size is parted.
+    """
+    parent = F.when(F.col("reply_conv") == F.col("conv_id"), F.col("reply_turn"))
+    # the last key parts rows that are the same in the others
+    keyed = linked.withColumn("row", F.monotonically_increasing_id())
+    return keyed.orderBy("conv_id", parent.asc_nulls_first(), "turn", "row").drop("row")
+
+
 def op4_chat(spark, sf_dir):
-    """All conversations, linked by their quotations."""
-    return link(read(spark, sf_dir, "conversations"))
+    """All conversations, linked by their quotations, in reply order."""
+    return in_reply_order(link(read(spark, sf_dir, "conversations")))
 
 
 ORACLE_SQL = r"""
