@@ -97,3 +97,23 @@ def test_query_is_in_reply_order(spark):
     parent = [r.reply_turn if r.reply_conv == r.conv_id and r.reply_turn is not None else -1 for r in got]
     keys = [(r.conv_id, p, r.turn) for r, p in zip(got, parent)]
     assert keys == sorted(keys)
+
+
+def test_trimmed_quotations_are_found_by_their_pieces(spark):
+    rows = [
+        (1, 0, "u", "line one\nline two\nline three\n\nA second paragraph. It has two sentences,\none over lines! And more."),
+        (1, 1, "a", "something else"),
+        (1, 2, "u", "ok"),
+        (1, 3, "a", "not this"),
+        (1, 4, "u", "nor this"),
+        (1, 5, "a", "> line one\n> line two\ntwo of three lines"),
+        (1, 6, "u", "> line three\n> A second paragraph. It has two sentences,\nwithout the blank line"),
+        (1, 7, "a", "> A second paragraph.\na sentence within a line"),
+        (1, 8, "u", "> It has two\n> sentences, one over lines!\nwrapped anew"),
+        (1, 9, "a", "> ok\n> line two\nthe longest piece decides"),
+        (1, 10, "u", "> never written\n> by anybody\nto the turn before"),
+        (2, 0, "u", "> line two\n> line three\nfrom elsewhere"),
+    ]
+    out = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn, r.n_quotes, r.n_linked) for r in chat.link(with_clashes(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert all(out[1, t] == (1, 0, 1, 1) for t in (5, 6, 7, 8, 9)), out
+    assert out[1, 10] == (1, 9, 1, 0) and out[2, 0] == (1, 0, 1, 1)

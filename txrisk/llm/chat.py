@@ -2,8 +2,9 @@
 
 A message's lines are parted by quote level (the number of leading ``>``). Runs
 of quoted lines are cut into passages at blank lines, normalised and hashed, and
-joined to the hashes of what messages themselves wrote. A message answers the
-one that its outermost quotation comes from.
+joined to the hashes of what messages themselves wrote. A passage that nobody
+wrote as a whole is looked for again by its lines and sentences. A message
+answers the one that its outermost quotation comes from.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from txrisk.llm.common import read
 SALTS = 16
 #: No repeated group: its depth would be the matcher's stack.
 MARK = r"^[ \t>]*>[ \t]?"
+#: White space after a sentence's end.
+SENTENCE = r"(?<=[.!?])\s+"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -56,10 +59,43 @@ def normal(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
 
 
+def paragraphs(body: Column) -> Column:
+    """The paragraphs of a run, in order, white space as written; blank ones left out."""
+    return F.filter(F.split(body, r"\n[ \t]*\n"), lambda p: normal(p) != "")
+
+
+def digest(part: Column) -> Column:
+    return F.sha2(normal(part).cast("binary"), 256)
+
+
 def passages(body: Column) -> Column:
     """Hashes of the paragraphs of a run, in order; blank ones left out."""
-    parts = F.filter(F.transform(F.split(body, r"\n[ \t]*\n"), normal), lambda p: p != "")
-    return F.transform(parts, lambda p: F.sha2(p.cast("binary"), 256))
+    return F.transform(paragraphs(body), digest)
+
+
+def pieces(paragraph: Column) -> Column:
+    """The lines, the sentences of lines, and the sentences across lines of a paragraph."""
+    cuts = [F.split(paragraph, "\n"), F.split(paragraph, rf"\n|{SENTENCE}"), F.split(paragraph, SENTENCE)]
+    return F.array_distinct(F.filter(F.transform(F.concat(*cuts), normal), lambda p: p != ""))
+
+
+def originals(quotes: DataFrame, wrote: DataFrame) -> DataFrame:
+    """``quotes`` (row, conv_id, turn, key, ...) with ``origin``: who wrote the key first, null if nobody.
+
+    ``wrote``: (conv_id, turn, key) without nulls. The earliest earlier message of
+    the same conversation, else the earliest by (conversation, turn) of another.
+    """
+    here = wrote.groupBy("key", "conv_id").agg(F.min("turn").alias("o_turn"))
+    # the two earliest conversations that wrote it: one of them is another one
+    first = here.groupBy("key").agg(F.min(F.struct("conv_id", "o_turn")).alias("a"))
+    second = here.join(first, "key").filter(F.col("conv_id") != F.col("a.conv_id")).groupBy("key").agg(F.min(F.struct("conv_id", "o_turn")).alias("b"))
+    quotes = quotes.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+    wanted = quotes.select("key").distinct()
+    dealt = lambda df: df.join(wanted, "key", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = quotes.join(dealt(here), ["key", "salt", "conv_id"], "left").join(dealt(first), ["key", "salt"], "left").join(dealt(second), ["key", "salt"], "left")
+    elsewhere = F.when(F.col("a.conv_id") != F.col("conv_id"), F.col("a")).otherwise(F.col("b"))
+    origin = F.when(F.col("o_turn") < F.col("turn"), F.struct("conv_id", "o_turn")).when(F.col("turn").isNotNull() & F.col("conv_id").isNotNull(), elsewhere)
+    return found.withColumn("origin", origin).drop("salt", "o_turn", "a", "b")
 
 
 def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -70,7 +106,12 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     original was found, ``max_level`` the deepest nesting. The original of a
     passage is the earliest message of the same conversation, before the quoting
     one, that wrote it as a paragraph, as a line, or as a whole run; failing
-    that, the earliest by (conversation, turn) in another conversation. A message
+    that, the earliest by (conversation, turn) in another conversation. Of a passage
+    that nobody wrote so (a trimmed one), each line and each sentence is looked for
+    in the same way among all lines, sentences and passages written; the longest
+    piece found in the same conversation, else the longest found elsewhere, gives
+    the original (the first in order of equal ones). A cut within a sentence or, in
+    text without sentence ends, within a line is not found. A message
     replies to the original of its outermost, first linked passage; without one,
     to the turn before its own, if there is such a message, else to nothing.
 
@@ -84,27 +125,29 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     base = base.withColumn("row", F.monotonically_increasing_id()).withColumn("runs", runs_of(F.col("raw")))
     own = F.array_join(F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: r["body"]), "\n")
 
+    owned = F.filter("runs", lambda r: r["level"] == 0)
     wrote = F.flatten(
         F.transform(
-            F.filter("runs", lambda r: r["level"] == 0),
+            owned,
             lambda r: F.concat(passages(r["body"]), passages(F.regexp_replace(r["body"], "\n", "\n\n")), passages(F.regexp_replace(r["body"], r"\n[ \t]*(?=\n)", ""))),
         )
     )
-    wrote = base.select("conv_id", "turn", F.explode(F.array_distinct(wrote)).alias("key")).filter("conv_id is not null and turn is not null")
-    here = wrote.groupBy("key", "conv_id").agg(F.min("turn").alias("o_turn"))
-    # the two earliest conversations that wrote it: one of them is another one
-    first = here.groupBy("key").agg(F.min(F.struct("conv_id", "o_turn")).alias("a"))
-    second = here.join(first, "key").filter(F.col("conv_id") != F.col("a.conv_id")).groupBy("key").agg(F.min(F.struct("conv_id", "o_turn")).alias("b"))
-
-    quoted = F.flatten(F.transform(F.filter("runs", lambda r: r["level"] > 0), lambda r: F.transform(passages(r["body"]), lambda k: F.struct(r["level"].alias("level"), k.alias("key")))))
-    quotes = base.select("row", "conv_id", "turn", F.posexplode(quoted).alias("place", "q")).select("row", "conv_id", "turn", "place", "q.level", "q.key")
-    quotes = quotes.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
-    wanted = quotes.select("key").distinct()
-    dealt = lambda df: df.join(wanted, "key", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = quotes.join(dealt(here), ["key", "salt", "conv_id"], "left").join(dealt(first), ["key", "salt"], "left").join(dealt(second), ["key", "salt"], "left")
-    elsewhere = F.when(F.col("a.conv_id") != F.col("conv_id"), F.col("a")).otherwise(F.col("b"))
-    origin = F.when(F.col("o_turn") < F.col("turn"), F.struct("conv_id", "o_turn")).when(F.col("turn").isNotNull() & F.col("conv_id").isNotNull(), elsewhere)
-    found = found.withColumn("origin", origin)
+    parts = F.transform(F.flatten(F.transform(owned, lambda r: F.flatten(F.transform(paragraphs(r["body"]), pieces)))), digest)
+    known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    by = lambda keys: base.filter(known).select("conv_id", "turn", F.explode(F.array_distinct(keys)).alias("key"))
+
+    quoted = F.flatten(F.transform(F.filter("runs", lambda r: r["level"] > 0), lambda r: F.transform(paragraphs(r["body"]), lambda p: F.struct(r["level"].alias("level"), p.alias("part")))))
+    quotes = base.select("row", "conv_id", "turn", F.posexplode(quoted).alias("place", "q")).select("row", "conv_id", "turn", "place", "q.level", "q.part")
+    whole = originals(quotes.withColumn("key", digest(F.col("part"))), by(wrote))
+
+    trimmed = whole.filter(F.col("origin").isNull() & known)
+    trimmed = trimmed.select("row", "conv_id", "turn", "place", F.posexplode(pieces(F.col("part"))).alias("nth", "piece"))
+    trimmed = trimmed.select("row", "conv_id", "turn", "place", "nth", F.length("piece").alias("size"), digest(F.col("piece")).alias("key"))
+    # the smallest of (elsewhere, -length, order): in the same conversation, the longest, the first
+    rank = F.struct((F.col("origin.conv_id") != F.col("conv_id")).alias("elsewhere"), (-F.col("size")).alias("less"), "nth", "origin")
+    rest = originals(trimmed, by(F.concat(wrote, parts))).filter("origin is not null")
+    rest = rest.groupBy("row", "place").agg(F.min(rank).alias("piece")).select("row", "place", F.col("piece.origin").alias("p_origin"))
+    found = whole.join(rest, ["row", "place"], "left").withColumn("origin", F.coalesce("origin", "p_origin"))
     quoting = found.groupBy("row").agg(
         F.count("*").alias("n_quotes"),
         F.count("origin").alias("n_linked"),
