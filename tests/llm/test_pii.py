@@ -105,3 +105,17 @@ def test_query_over_the_whole_table(spark):
         assert set(text.split(",")) <= set(g.spans.split(",")) or not text
         found += len(spans)
     assert found
+
+
+def test_repeats_without_digits_and_in_groups_are_found():
+    def added(text):
+        return [(pii.KINDS[k], text[a:b]) for a, k, b in pii.added_spans(text, pii.base_spans(text), FLAT)]
+
+    assert added("mail anna.smith@x.com and then some prose to (Anna.Smith), not to annasmith") == [("email", "Anna.Smith")]
+    assert added("call +44 20 7946 0958 or, at home, 20 7946 0958. Not 20 7946 and not 30 7946 0959") == [("phone", "20 7946 0958")]
+    assert added("call +442079460958 or later 20 7946 0958 3 times") == [("phone", "20 7946 0958")]
+    assert added("card 4111 1111 1111 1111, its end is 1111 1111") == [("card", "1111 1111")]
+    assert added("write <anna.smith@x.com> or anna.smith") == [("email", "anna.smith")]
+    assert added("anna.smith and 20 7946 0958") == []
+    for text in ("anna.smith@x.com " + "anna.smith " * 20_000, "+44 20 7946 0958 and " + "20 7946 0958 " * 20_000, "+44 20 7946 0958 and " + "20 " * 50_000):
+        pii.added_spans(text, pii.base_spans(text), FLAT)

@@ -1,9 +1,10 @@
 """Personal data: base patterns, and a skip-chain conditional random field.
 
 The patterns find spans of four kinds. The field labels the words that hold a
-digit or ``@``: each has an emission score from its shape, neighbouring words
-share a chain potential, and distant words of the same normal form share a skip
-potential. Loopy message passing spreads the labels of the patterns' spans over
+digit or ``@``, words that are the name of a pattern's address, and neighbouring
+groups of digits that together are a pattern's number or its end (one node): each
+has an emission score from its shape, neighbouring words share a chain potential,
+and distant words of the same normal form share a skip potential. Loopy message passing spreads the labels of the patterns' spans over
 a document, so that a number or name written once with and once without the
 parts that the pattern asks for gets one label. Emissions, chain and skip
 potentials are fitted to the patterns' own labels on a sample of documents.
@@ -40,6 +41,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"\S+")
+#: A group of digits of a number that blanks part.
+_GROUP = re.compile(r"[+(\"'<\[]*[0-9][0-9().+/-]*[.,;:!?\"'>\]]*")
 
 
 def luhn(digits: str) -> bool:
@@ -96,7 +99,7 @@ _RUNS = (re.compile(r"[0-9]+"), re.compile(r"[^\W\d_]+"))
 
 @dataclass
 class Words:
-    """The words of one document that hold a digit or ``@``."""
+    """The nodes of one document: words that hold a digit or ``@`` or repeat a pattern's span."""
 
     spans: list[tuple[int, int]]
     features: np.ndarray
@@ -114,30 +117,89 @@ def normal_form(word: str) -> str:
     return word.partition("@")[0].strip(".,;:!?()<>[]\"'").lower()
 
 
+def forms_of(text: str, base: list[tuple[int, int, int]]) -> tuple[dict[str, int], dict[str, int]]:
+    """Names of addresses, and runs of digits of cards and phones, with the number of the first span.
+
+    A run is the whole number or its last digits (a phone without its country's
+    code), however they are grouped.
+    """
+    names: dict[str, int] = {}
+    numbers: dict[str, int] = {}
+    for k, (a, kind, b) in enumerate(base):
+        if KINDS[kind] == "email":
+            name = normal_form(text[a:b].partition("@")[0])
+            if len(name) >= LEAST_FORM:
+                names.setdefault(name, k)
+        elif KINDS[kind] != "ip":
+            digits = "".join(_DIGIT.findall(text[a:b]))
+            for i in range(len(digits) - LEAST_FORM + 1):
+                numbers.setdefault(digits[i:], k)
+    return names, numbers
+
+
+def nodes_of(text: str, base: list[tuple[int, int, int]]):
+    """(first place, last place, start, end, number of the span repeated or -1) of each node, in order."""
+    names, numbers = forms_of(text, base) if base else ({}, {})
+    longest = max(map(len, numbers), default=0)
+    touched, k = [], 0
+    words = [m.span() for m in _WORD.finditer(text)]
+    for start, end in words if numbers else ():
+        while k < len(base) and base[k][2] <= start:
+            k += 1
+        touched.append(any(s[0] < end and s[2] > start for s in base[k : k + 4]))
+    place = 0
+    while place < len(words):
+        start, end = words[place]
+        w = text[start:end]
+        if _DIGIT.search(w):
+            best, run = None, ""
+            for j in range(place, len(words) if numbers else place):
+                g = text[words[j][0] : words[j][1]]
+                if touched[j] or not _GROUP.fullmatch(g):
+                    break
+                run += "".join(_DIGIT.findall(g))
+                if run in numbers:
+                    best = (j, numbers[run])
+                if len(run) >= longest or g[-1] in ".,;:!?\"'>]":
+                    break
+            last, span = best or (place, -1)
+            yield place, last, start, words[last][1], span
+            place = last + 1
+            continue
+        if "@" in w:
+            yield place, place, start, end, -1
+        elif names and (span := names.get(normal_form(w), -1)) >= 0:
+            yield place, place, start, end, span
+        place += 1
+
+
 def words_of(text: str, base: list[tuple[int, int, int]]) -> Words:
     spans, features, labels, chain = [], [], [], []
     k = 0
     before = -2
-    for place, m in enumerate(_WORD.finditer(text)):
-        w = m.group()
+    repeats, hubs = [], {}
+    for first, last, start, end, span in nodes_of(text, base):
+        w = "".join(text[start:end].split()) if last > first else text[start:end]
         digits = len(_DIGIT.findall(w))
-        if not digits and "@" not in w:
-            continue
-        start, end = m.span()
         while k and base[k - 1][2] > start:
             k -= 1
         while k < len(base) and base[k][2] <= start:
             k += 1
         label = next((b[1] + 1 for b in base[k : k + 4] if b[0] < end and b[2] > start), 0)
+        for x in range(k, min(k + 4, len(base))):
+            if base[x][0] < end and base[x][2] > start and base[x][1] + 1 == label:
+                hubs.setdefault(x, len(spans))
+        if span >= 0 and not label:
+            repeats.append((span, len(spans)))
         flags = sum((c in w) << i for i, c in enumerate("@+(.-")) | any(map(str.isalpha, w)) << 5 | (w.count(".") >= 3) << 6
         shape = _RUNS[1].sub("a", _RUNS[0].sub("9", w))
         size = min(digits, 4) if digits < 5 else 5 if digits < 9 else 6 if digits < 12 else 7 if digits < 16 else 8 if digits < 20 else 9
         features.append([size, flags, min(7, len(w) // 4), xxhash.xxh32_intdigest(shape) % SIZES[3], 0])
-        if place == before + 1:
+        if first == before + 1:
             chain.append((len(spans) - 1, len(spans)))
             features[-1][4] |= 1
             features[-2][4] |= 2
-        before = place
+        before = last
         spans.append((start, end))
         labels.append(label)
     groups: dict[str, list[int]] = {}
@@ -150,6 +212,8 @@ def words_of(text: str, base: list[tuple[int, int, int]]) -> Words:
         # a star: as many edges as words, however often one is repeated
         hub = next((i for i in members if labels[i]), members[0])
         skip += [(hub, i) for i in members if i != hub]
+    tied = {i for pair in skip for i in pair if labels[pair[0]] != labels[pair[1]]}
+    skip += [(hubs[x], i) for x, i in repeats if x in hubs and i not in tied]
     return Words(spans, np.array(features, int).reshape(-1, len(SIZES)), np.array(labels, int), chain, skip)
 
 
