@@ -92,3 +92,34 @@ def test_query_and_stage(spark):
         assert g.items_sha256 == hashlib.sha256(",".join(found).encode()).hexdigest()
     kept = decontam.stage_decontamination(spark, table, SMALL)
     assert kept.columns == table.columns and kept.count() == sum(not g.contaminated for g in got.values())
+
+
+def test_a_benchmark_of_many_blocks_is_dealt_by_parts_and_one_at_a_time(spark, monkeypatch):
+    """One id holds nearly all words, in one long item and in many rows: no block holds more than its share."""
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 2_000)
+    monkeypatch.setattr(decontam, "PART_WINDOWS", 100)
+    long = " ".join(f"w{i:05d}" for i in range(4_000))
+    items = [(1, long)] + [(1, " ".join(f"r{k:02d}x{i:02d}" for i in range(20))) for k in range(50)] + [(2, "a b c"), (3, long)]
+    import gc
+    import weakref
+
+    words, alive, most = [], [], []
+    build = decontam.build_index
+
+    def counted(rows):
+        gc.collect()
+        most.append(sum(x() is not None for x in alive))
+        words.append(sum(len(t.split()) for _, t in rows))
+        index = build(rows)
+        alive.append(weakref.ref(index))
+        return index
+
+    monkeypatch.setattr(decontam, "build_index", counted)
+    text = " ".join(f"w{i:05d}" for i in range(95, 215))
+    rows = [(1, "see " + text + " so"), (2, "x " + items[7][1] + " a b c"), (3, "nothing here"), (4, None)] + [(10 + i, "see " + text + " so") for i in range(50)]
+    out = {r.doc_id: r for r in decontam.contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"]).collect()}
+    assert len(words) > 3 and max(words) < 6_000 and max(most) <= 2
+    for i in [1, *range(10, 60)]:
+        assert ([(s.start, s.end) for s in out[i].spans], out[i]["items"], out[i].n_words) == ([(1, 121)], ["1", "3"], 122)
+    assert ([(s.start, s.end) for s in out[2].spans], out[2]["items"]) == ([(1, 24)], ["1", "2"])
+    assert not out[3].spans and not out[4].spans and out[4].n_words == 0

@@ -10,19 +10,25 @@ compared.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import map_batches, read, ship, texts_of, whole_text
+from txrisk.llm.common import discard, map_batches, read, ship, texts_of, whole_text, written
 
 WINDOW, SHINGLE = 10, 3
-#: Benchmark words of one block. A block's index is what tasks receive, so this
-#: bounds it; a larger benchmark is matched block after block.
+#: Benchmark words of one block. A block's index is what the driver builds and tasks
+#: receive, so this bounds it; a larger benchmark is matched block after block.
 BLOCK_WORDS = 400_000
+#: Windows of one part of an item; parts, not items, are dealt to the blocks.
+PART_WINDOWS = 10_000
+#: Copies of a text's hits in the join to the rows that hold the text.
+SALTS = 16
 
 _FOLD = bytes(b + 32 if 65 <= b < 91 else b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 
@@ -152,18 +158,41 @@ def rank_by_corpus(index: Index, texts: DataFrame) -> None:
         g.rank(counts)
 
 
-def blocks(items: DataFrame, item: str, text: str) -> list[Index]:
-    """Indexes over the items, each of about ``BLOCK_WORDS`` words."""
+def parts(items: DataFrame, item: str, text: str) -> DataFrame:
+    """``i, t``: the items cut into runs of at most ``PART_WINDOWS`` windows, each run once.
+
+    Neighbouring parts share the words that a window between them needs, so the
+    parts have the item's windows. An item's parts are rows of their own: neither
+    a long item nor an id of many rows has to be in one block.
+    """
     rows = items.select(F.col(item).cast("string").alias("i"), F.col(text).cast("string").alias("t")).filter("i is not null and t is not null")
-    size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
-    n = max(1, -(-size // (6 * BLOCK_WORDS)))
-    block = F.pmod(F.xxhash64("i"), F.lit(n))
-    out = []
+
+    def make():
+        def batch(b):
+            out = []
+            for t in texts_of(b, "t"):
+                words = words_of(t)
+                starts = range(0, max(1, len(words) - WINDOW + 1), PART_WINDOWS)
+                out.append([b" ".join(words[s : s + PART_WINDOWS + WINDOW - 1]).decode() for s in starts])
+            return [pa.array(out, pa.list_(pa.string()))]
+
+        return batch
+
+    cut = map_batches(rows, ["i"], "parts array<string>", make)
+    return cut.select("i", F.explode("parts").alias("t")).filter("t != ''").distinct()
+
+
+def blocks(cut: DataFrame, n: int) -> Iterator[Index]:
+    """Indexes over the parts, ``n`` of them, each built when it is asked for."""
+    block = F.pmod(F.xxhash64("i", "t"), F.lit(n))
     for k in range(n):
-        got = rows.filter(block == k).collect()
-        if index := build_index(sorted((r.i, r.t) for r in got)):
-            out.append(index)
-    return out
+        got = (cut.filter(block == k) if n > 1 else cut).collect()
+        if got:
+            yield build_index(sorted((r.i, r.t) for r in got))
+
+
+def digest(text: str) -> Column:
+    return F.sha2(F.col(text).cast("binary"), 256)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, carry: list[str], text: str = "text", item: str = "item_id", item_text: str = "text", prefix: str = "") -> DataFrame:
@@ -180,9 +209,29 @@ def contaminated(docs: DataFrame, items: DataFrame, carry: list[str], text: str
     inner = [f"c{i}" for i in range(len(carry))]
     frame = docs.select(*[F.col(c).alias(i) for c, i in zip(carry, inner)], whole_text(text).alias("t"))
     frame = frame.withColumns({"spans": F.lit(None).cast("array<struct<start:bigint,end:bigint>>"), "items": F.array().cast("array<string>"), "n_words": F.lit(0).cast("bigint")})
-    for index in blocks(items, item, item_text):
-        rank_by_corpus(index, docs.select(whole_text(text).alias("t")))
-        frame = map_batches(frame, [*inner, "t"], "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>", lambda index=index: lambda b: match(b, index))
+    cut, cut_at = written(parts(items, item, item_text), "benchmark-parts")
+    size = cut.agg(F.sum(F.length("t"))).first()[0] or 0
+    n = max(1, -(-size // (6 * BLOCK_WORDS)))
+    texts = docs.select(whole_text(text).alias("t"))
+    new = "n_words bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>"
+    empty, hits = Index({}, [], []), []
+    for index in blocks(cut, n):
+        rank_by_corpus(index, texts)
+        if n == 1:
+            frame = map_batches(frame, [*inner, "t"], new, lambda index=index: lambda b: match(b, index))
+        else:
+            # written, so that the block's index is not needed any more
+            bare = frame.select("t", digest("t").alias("key"), "spans", "items")
+            found = map_batches(bare, ["key"], new, lambda index=index: lambda b: match(b, index)).filter(F.size("spans") > 0)
+            hits.append(written(found.groupBy("key").agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "benchmark-hits")[0])
+    discard(docs.sparkSession, cut_at)
+    if hits:
+        every = reduce(DataFrame.unionByName, hits).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+        every = every.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rows = frame.drop("spans", "items").withColumns({"key": digest("t"), "salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")})
+        frame = rows.join(every, ["key", "salt"], "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    if n > 1 or not size:
+        frame = map_batches(frame, [*inner, "t"], new, lambda: lambda b: match(b, empty))
     return frame.select(*[F.col(i).alias(c) for i, c in zip(inner, carry)], F.col("n_words").alias(prefix + "n_words"), F.coalesce("spans", F.array()).alias(prefix + "spans"), F.col("items").alias(prefix + "items"))
 
 
