@@ -131,3 +131,21 @@ def test_pairs_of_a_copied_group_stay_few(spark):
         dedup.links = inner
     assert out.filter(F.col("component_id") != 0).count() == 0
     assert sum(seen) < 300 * 40 and seen[-1] == 0
+
+
+def test_stage_decides_by_row_where_ids_repeat_or_are_null(spark):
+    def words(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    a, b, c = words("a"), words("b"), words("c")
+    rows = [
+        (1, a), (1, a + " more"),  # near-equal under one id: one stays
+        (2, a + " extra"), (2, b),  # the first is a copy of 1, the second its own
+        (None, c), (None, c + " more"), (None, words("d")), (None, a + " end"),  # of c one, d, and no copy of a
+        (3, c + " z"),  # has an id, so it stays for c
+        (None, words("e")), (None, words("e") + " more"),
+        (4, b + " more"),
+    ]
+    kept = [(r.doc_id, r.text) for r in dedup.stage_dedup(spark, docs(spark, rows), SMALL).collect()]
+    groups = sorted((i or 0, t.split()[0]) for i, t in kept)
+    assert groups == [(0, "d0"), (0, "e0"), (1, "a0"), (2, "b0"), (3, "c0")]

@@ -251,7 +251,7 @@ def linked(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     return roots
 
 
-def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", key: str | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of each row.
 
     Two documents are linked if 100 times their shingle sets' intersection is at
@@ -264,14 +264,23 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     and such a row is kept only if its component has no id at all. An empty table
     gives an empty one. Only ``doc_id`` and the text are read.
     """
-    docs = docs.select("doc_id", text)
-    rows, _ = written(signed(docs, ["doc_id"], text), "signatures")
+    docs = docs.select("doc_id", text, *([key] if key else []))
+    rows, _ = written(signed(docs, ["doc_id", *([key] if key else [])], text), "signatures")
+    order = F.struct(F.col("c0").isNull().alias("last"), "c0", *(["c1"] if key else []))
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min("c0").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     nodes, _ = written(nodes, "nodes")
     roots = linked(docs, text, nodes)
     placed = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     owner = placed.join(smallest, "root").select("node", "component_id")
+    if key:
+        firsts = rows.filter("n > 0").groupBy("node").agg(F.min(order).alias("first"))
+        known = placed.select("node", "root").join(firsts, "node")
+        owner = owner.join(known.join(known.groupBy("root").agg(F.min("first").alias("winner")), "root").select("node", "winner"), "node")
+        full = rows.filter("n > 0").select("c0", "c1", "n", "node").join(owner, "node").withColumn("kept", order.eqNullSafe(F.col("winner")))
+        full = full.select("c0", "c1", "n", "component_id", "kept")
+        out = full.unionByName(rows.filter("n = 0").select("c0", "c1", "n", F.col("c0").alias("component_id"), F.lit(True).alias("kept")))
+        return out.select(F.col("c0").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "kept", F.col("c1").alias(key))
     full = rows.filter("n > 0").select("c0", "n", "node").join(owner, "node").select("c0", "n", "component_id")
     out = full.unionByName(rows.filter("n = 0").select("c0", "n", F.col("c0").alias("component_id")))
     return out.select(F.col("c0").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("c0").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -285,15 +294,23 @@ def op7_minhash(spark, sf_dir):
 def stage_dedup(spark, docs, sf_dir):
     """Pipeline stage: one document of each group stays.
 
-    The result of the operator has a row for each input row; ids that are not
-    kept go, and of rows that share a kept id one stays if they are of one group.
+    Rows are told apart by id and text digest, so that of a group the row that is
+    first by id (null last) and digest stays, whatever ids repeat; of rows that
+    share both id and text one stays. A text without words is in no group.
     """
-    state = near_duplicates(docs).groupBy(F.col("doc_id").alias("__dup_id")).agg(F.bool_or("kept").alias("__dup_kept"), F.count("*").alias("__dup_rows"))
+    told = F.unhex(F.sha2(whole_text("text").cast("binary"), 256))
+    state = near_duplicates(docs.select("doc_id", "text", told.alias("__dup_text")), key="__dup_text")
+    state, state_at = written(state.select(F.col("doc_id").alias("__dup_id"), "__dup_text", "kept"), "states")
+    by_id = state.groupBy("__dup_id").agg(F.bool_or("kept").alias("__dup_kept"), F.count("*").alias("__dup_rows"))
     # ids that go, and kept ids of several rows: mostly few, so that the texts need no shuffle
-    other, _ = written(state.filter("not __dup_kept or __dup_rows > 1"), "not-kept-once")
+    other, _ = written(by_id.filter("not __dup_kept or __dup_rows > 1"), "not-kept-once")
+    several = other.filter("__dup_kept").select(F.col("__dup_id").alias("__dup_of"))
+    stay = state.filter("kept").join(several, F.col("__dup_id").eqNullSafe(F.col("__dup_of")), "left_semi").select("__dup_id", "__dup_text").distinct()
+    stay, _ = written(stay, "kept-of-several")
+    discard(spark, state_at)
     same = F.col("doc_id").eqNullSafe(F.col("__dup_id"))
     once = docs.join(other.select("__dup_id"), same, "left_anti")
-    more = docs.join(other.filter("__dup_kept").select("__dup_id"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    more = docs.join(stay, same & (told == F.col("__dup_text")), "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more)
 
 
