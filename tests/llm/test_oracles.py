@@ -32,5 +32,5 @@ def test_equals_sql_twin(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])
     assert set(registry.ORACLE_SQL) <= set(entry.oracle_sql())

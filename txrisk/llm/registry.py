@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txrisk.llm import bpe, chat, decontam, dedup, langid, licenses, pii, quality, toxicity, urls
+from txrisk.llm import bpe, chat, codes, decontam, dedup, langid, licenses, neighbours, pii, quality, repair, toxicity, urls
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_language": langid.op10_language,
+    "op11_neighbours": neighbours.op11_neighbours,
+    "op12_codes": codes.op12_codes,
+    "op13_repair": repair.op13_repair,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +27,6 @@ ORACLE_SQL = {
     "op5_urls": urls.ORACLE_SQL,
     "op7_minhash": dedup.ORACLE_SQL,
     "op9_decontamination": decontam.ORACLE_SQL,
+    "op12_codes": codes.oracle_sql(),
+    "op13_repair": repair.ORACLE_SQL,
 }
