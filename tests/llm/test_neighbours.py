@@ -41,7 +41,7 @@ def test_footrule_saved_is_that_of_the_orders():
     x, pivots, k = rng.normal(size=(40, 8)), rng.normal(size=(12, 9)), 5
     q = rng.normal(size=(6, 8))
     block = Block(np.arange(40), x, pivots, k, 10.0)
-    saved = block.footrule_saved(q)
+    saved = np.array(list(block.footrule_saved(q)))
     mine = orders(q, np.zeros(6), pivots, k)
     theirs = orders(x, neighbours.lift(x, 10.0), pivots, k)
     place = lambda order, p: list(order).index(p) if p in order else k

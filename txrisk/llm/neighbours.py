@@ -40,14 +40,13 @@ from txrisk.llm.common import discard, read, ship, written
 #: Neighbours of a query.
 NEAREST = 20
 #: Pivots, a bounded sample of the vectors, and how many of them order a vector.
-PIVOTS = 256
+PIVOTS = 512
 PREFIX = 64
 #: Footrule distance up to which a row is reranked, as a share of the largest one.
-FARTHEST = 0.8
-#: Rows of a block at most, and blocks (of BLOCK_LEAST rows or more) that a smaller table is dealt to.
+FARTHEST = 0.88
+#: Rows of a block at most, and blocks that a smaller table is dealt to.
 BLOCK_ROWS = 131_072
-BLOCK_LEAST = 2_048
-BLOCKS = 32
+BLOCKS = 16
 #: Queries are every row whose id this divides.
 QUERY_EACH = 20
 
@@ -96,32 +95,29 @@ class Block:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, k: int, longest: float):
         self.ids, self.x, self.pivots, self.k = ids, x, pivots, k
-        order = orders(x, lift(x, longest), pivots, k)
-        by_pivot = np.argsort(order.ravel(), kind="stable")
-        self.rows = by_pivot // k
-        self.saves = (k - by_pivot % k).astype(np.int32)
-        self.starts = np.searchsorted(order.ravel()[by_pivot], np.arange(len(pivots) + 1))
+        order = orders(x, lift(x, longest), pivots, k).ravel()
+        by_pivot = np.argsort(order, kind="stable")
+        starts = np.searchsorted(order[by_pivot], np.arange(1, len(pivots)))
+        self.rows = np.split(by_pivot // k, starts)
+        self.saves = np.split((k - by_pivot % k).astype(np.float64), starts)
         self.margin = 1e-13 * x.shape[1] * max(longest, 1e-300)
 
-    def footrule_saved(self, queries: np.ndarray) -> np.ndarray:
-        """(queries, rows): by how much half of the footrule distance between the
-        orders is below its largest value k(k + 1) / 2. A pivot that is at places a
-        and b counted from 0 saves k - max(a, b), one that is missing in either nothing."""
-        order = orders(queries, np.zeros(len(queries)), self.pivots, self.k)
-        saved = np.zeros((len(queries), len(self.ids)), dtype=np.int32)
-        for p in range(len(self.pivots)):
-            who, place = np.nonzero(order == p)
-            lo, hi = self.starts[p], self.starts[p + 1]
-            if len(who) and hi > lo:
-                saved[np.ix_(who, self.rows[lo:hi])] += np.minimum.outer((self.k - place).astype(np.int32), self.saves[lo:hi])
-        return saved
+    def footrule_saved(self, queries: np.ndarray) -> Iterator[np.ndarray]:
+        """For each query and the rows of this block: by how much half of the footrule
+        distance between the orders is below its largest value k(k + 1) / 2. A pivot at
+        places a and b, counted from 0, saves k - max(a, b), one that is missing in either
+        nothing, so only the files of the query's own pivots are read."""
+        for order in orders(queries, np.zeros(len(queries)), self.pivots, self.k):
+            rows = np.concatenate([self.rows[p] for p in order])
+            saves = np.concatenate([np.minimum(self.saves[p], self.k - a) for a, p in enumerate(order)])
+            yield np.bincount(rows, saves, minlength=len(self.ids))
 
     def search(self, qids: np.ndarray, queries: np.ndarray, n: int, farthest: float) -> Iterator[tuple]:
         """(query id, row ids, scores) of each query's nearest rows in this block."""
         whole = self.k * (self.k + 1) / 2
         saved = self.footrule_saved(queries) if farthest < 1 else None
         for i, qid in enumerate(qids):
-            near = np.flatnonzero(saved[i] >= (1 - farthest) * whole) if saved is not None else np.arange(len(self.ids))
+            near = np.flatnonzero(next(saved) >= (1 - farthest) * whole) if saved is not None else np.arange(len(self.ids))
             near = near[self.ids[near] != qid]
             if not len(near):
                 continue
@@ -136,8 +132,6 @@ class Block:
 
 def _search_blocks(pivots: np.ndarray, k: int, longest: float, dims: int, n: int, farthest: float):
     """Task function over rows sorted by block, a block's vectors before its queries."""
-    step = 256
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, parts, block = None, [], [], None
         for batch in batches:
@@ -158,16 +152,13 @@ def _search_blocks(pivots: np.ndarray, k: int, longest: float, dims: int, n: int
                         continue  # no vector was dealt to this block
                     block = Block(np.concatenate(ids), np.vstack(parts), pivots, k, longest)
                     ids, parts = [True], []
-                # so many queries at once that their distances take some 64 MB
-                some = max(1, min(step, (16 << 20) // len(block.ids)))
-                for s in range(lo, hi, some):
-                    found = list(block.search(names[s:min(hi, s + some)], x[s:min(hi, s + some)], n, farthest))
-                    if found:
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]), pa.int64()),
-                            pa.array(np.concatenate([f[1] for f in found]), pa.int64()),
-                            pa.array(np.concatenate([f[2] for f in found]), pa.float64()),
-                        ], names=["query_id", "vec_id", "score"])
+                found = list(block.search(names[lo:hi], x[lo:hi], n, farthest))
+                if found:
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]), pa.int64()),
+                        pa.array(np.concatenate([f[1] for f in found]), pa.int64()),
+                        pa.array(np.concatenate([f[2] for f in found]), pa.float64()),
+                    ], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -208,7 +199,7 @@ def nearest(base: DataFrame, queries: DataFrame, n: int = NEAREST, pivots: int =
     chosen = np.hstack([chosen, lift(chosen, longest)[:, None]])
     k = min(prefix, len(chosen))
 
-    blocks = max(-(-count // BLOCK_ROWS), min(BLOCKS, -(-count // BLOCK_LEAST)))
+    blocks = max(-(-count // BLOCK_ROWS), min(BLOCKS, count))
 
     def search(some: DataFrame, far: float) -> DataFrame:
         dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("asked"), "id", "x")
