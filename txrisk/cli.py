@@ -72,7 +72,7 @@ def cmd_stream(args) -> None:
         options = {"kafka.bootstrap.servers": args.bootstrap, "subscribe": args.topic}
     raw = read_transactions(spark, fmt=args.format, options=options, path=args.path)
     job = ScoringJob(
-        SinkPaths(args.enriched, args.alerts, args.quarantine),
+        SinkPaths(args.enriched, args.alerts, args.quarantine, args.minutes),
         params=ScoringParams.fixture() if args.fixture_params else ScoringParams(),
         count_mode=args.count_mode,
         model=ml.load(args.model) if args.model else None,
@@ -100,9 +100,10 @@ def cmd_report(args) -> None:
     from txrisk.operators import economics, investigate, monitor
     from txrisk.operators.alerts import alert_detail, recent
     from txrisk.params import CostParams, MonitorParams, SweepParams, ViewFilter
-    from txrisk.schema import ALERT_SCHEMA, ENRICHED_SCHEMA
+    from txrisk.schema import ALERT_SCHEMA, ALERT_TABLE_SCHEMA, ENRICHED_SCHEMA
     from txrisk.session import materialize
     from txrisk.sinks.keyed import current, read_table
+    from txrisk.streaming.job import minute_totals
 
     spark = _session(args)
     m = MonitorParams(threshold=args.threshold, sla_window_minutes=args.sla_window, sla_limit_pct=args.sla_limit)
@@ -134,8 +135,12 @@ def cmd_report(args) -> None:
     _emit("hotspot_country", monitor.hotspots(flagged, "country", m.top_k_hotspots))
     _emit("hotspot_merchant", monitor.hotspots(flagged, "merchant", m.top_k_hotspots))
     _emit("latest_transactions", recent(view, m.recent_rows, monitor.VIEW_COLUMNS))
+    if args.minutes:
+        changes = read_table(spark, args.minutes)
+        if changes is not None:
+            minute_totals(date_range(changes, args.since, args.until)).write.mode("overwrite").parquet(os.path.join(args.out, "minute_rates"))
     if args.alerts:
-        alerts = read_table(spark, args.alerts, ALERT_SCHEMA)
+        alerts = read_table(spark, args.alerts, ALERT_TABLE_SCHEMA)
         if alerts is not None:
             alerts = current(date_range(alerts, args.since, args.until)).select(*[f.name for f in ALERT_SCHEMA.fields])
             _emit("recent_alerts", recent(alert_detail(alerts, table), m.recent_rows))
@@ -175,6 +180,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--enriched", required=True)
     s.add_argument("--alerts", required=True)
     s.add_argument("--quarantine")
+    s.add_argument("--minutes", help="per-minute counts, kept up to date as rows come late or are scored anew")
     s.add_argument("--checkpoint", help="default: <spark.checkpoint.dir>/streams/scoring")
     s.add_argument("--model", help="fitted pipeline; default: the linear score")
     s.add_argument("--count-mode", default="trailing", choices=["trailing", "batch"])
@@ -185,6 +191,7 @@ def parser() -> argparse.ArgumentParser:
     r = sub.add_parser("report", help="dashboard numbers from the enriched / alert tables")
     r.add_argument("--enriched", required=True)
     r.add_argument("--alerts")
+    r.add_argument("--minutes", help="the stream's per-minute counts, written on as minute_rates")
     r.add_argument("--out", required=True, help="folder for the per-customer and per-minute tables")
     r.add_argument("--since", help="first event date (YYYY-MM-DD); prunes date partitions")
     r.add_argument("--until", help="last event date (YYYY-MM-DD); prunes date partitions")

@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import is_flagged, round_to, rule_label
@@ -131,6 +131,73 @@ def calibration(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(SCORE_COLUMN).alias("mean_score"))
 
 
+def optimality(train: DataFrame, coefs: dict, mp: ModelParams, tolerance: float) -> DataFrame:
+    """A certificate of the fit, one row per feature: (feature, value, sigma,
+    label_moment, optimal).
+
+    A logistic regression is at its optimum exactly where, for every feature x of
+    standard deviation sigma and weight w, the mean of (p - y) x / sigma plus the
+    penalty's derivative, ``reg_param`` w sigma, is zero (for the intercept, the mean
+    of p - y). ``optimal`` says that it is within ``tolerance``; ``label_moment`` is the
+    mean of y x / sigma, what the model's own moment and penalty have to add up to.
+
+    ``train`` has the features and ``label``. Rows are taken apart into (feature, value,
+    x) cells, which are added up map-side, one group per feature and value; what no
+    row has is zero. The weights are joined as a table.
+    """
+    p = coefficient_score(coefs)
+    numeric = [F.struct(F.lit(c).alias("feature"), F.lit("").alias("value"), F.col(c).cast("double").alias("x")) for c in mp.numeric]
+    ones = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.lit(1.0).alias("x")) for c in mp.categorical]
+    intercept = F.struct(F.lit("intercept").alias("feature"), F.lit("").alias("value"), F.lit(1.0).alias("x"))
+    y = F.col("label").cast("double")
+    cells = train.select(y.alias("y"), p.alias("p"), F.inline(F.array(intercept, *numeric, *ones))).filter("value is not null")
+    x, n = F.col("x"), F.col("n")
+    sums = cells.groupBy("feature", "value").agg(
+        F.sum("x").alias("sx"), F.sum(x * x).alias("sxx"), F.sum(x * F.col("y")).alias("sxy"), F.sum(x * F.col("p")).alias("sxp"))
+    size = train.select(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    sigma = F.when(F.col("feature") == "intercept", 1.0).otherwise(F.sqrt((F.col("sxx") - F.col("sx") * F.col("sx") / n) / (n - 1)))
+    weights = train.sparkSession.createDataFrame(coefficient_rows(coefs), "feature string, value string, weight double")
+    known = sums.join(weights, ["feature", "value"], "left").withColumn("n", size).withColumn("sigma", sigma)
+    penalty = F.when(F.col("feature") == "intercept", 0.0).otherwise(F.lit(mp.reg_param) * F.col("weight") * F.col("sigma"))
+    # a constant feature has no say
+    per = lambda c: F.coalesce(F.try_divide(F.col(c) / n, F.nullif(F.col("sigma"), F.lit(0.0))), F.lit(0.0))
+    off = per("sxp") - per("sxy") + F.coalesce(penalty, F.lit(float("inf")))
+    return known.select("feature", "value", round_to("sigma", 6).alias("sigma"), round_to(per("sxy"), 6).alias("label_moment"),
+                        (F.abs(off) <= F.lit(tolerance)).alias("optimal"))
+
+
+#: Parts of the range of scores that ``exact_auc`` ranks on their own.
+SCORE_PARTS = 256
+
+
+def exact_auc(scored: DataFrame) -> DataFrame:
+    """One row: n, n_positive and the area under the ROC curve (NULL without both
+    labels), by rank sums; tied scores count half. Rows whose score is NULL or NaN or
+    whose label is NULL are left out.
+
+    Counts per score are made map-side. How many negatives score below is a running
+    sum, which would be one task over all scores: the scores are cut at quantiles into
+    ``SCORE_PARTS`` parts, summed within a part by a window of that part, and the parts'
+    totals (as many rows as parts) by another. Sums are exact integers.
+    """
+    fine = scored.select(F.col(SCORE_COLUMN).cast("double").alias("s"), (F.col("label") == 1).alias("one")).filter("s is not null and not isnan(s) and one is not null")
+    per = fine.groupBy("s").agg(F.count_if("one").alias("pos"), F.count_if(~F.col("one")).alias("neg"))
+    cuts = per.agg(F.percentile_approx("s", [i / SCORE_PARTS for i in range(1, SCORE_PARTS)], 10_000)).first()[0] or []
+    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    parts = Bucketizer(splits=splits, inputCol="s", outputCol="part").transform(per)
+    below = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = lambda c: F.col(c).cast("decimal(38,0)")
+    inside = parts.withColumn("lower", F.coalesce(F.sum("neg").over(below), F.lit(0)))
+    per_part = inside.groupBy("part").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum(whole("pos") * (2 * F.col("lower") + F.col("neg"))).alias("twice"))
+    totals = per_part.withColumn("lower", F.coalesce(F.sum("neg").over(before), F.lit(0)))
+    one = totals.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("neg"),
+                     F.sum(F.col("twice") + 2 * whole("pos") * F.col("lower")).alias("twice"))
+    area = F.try_divide(F.col("twice").cast("double"), 2.0 * F.col("pos").cast("double") * F.col("neg").cast("double"))
+    return one.select((F.col("pos") + F.col("neg")).alias("n"), F.col("pos").alias("n_positive"), round_to(area, 6).alias("auc"))
+
+
 def auc(scored: DataFrame) -> float:
     """Area under ROC (MLlib evaluator, distributed)."""
     ev = BinaryClassificationEvaluator(rawPredictionCol=SCORE_COLUMN, labelCol="label", metricName="areaUnderROC")

@@ -7,6 +7,7 @@ or the wide fixture) and runs over all of their rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,19 @@ from txrisk.operators.scoring import SCORE_COLUMN, enriched, score_linear, score
 from txrisk.operators import model as ml
 from txrisk.params import CostParams, ModelParams, MonitorParams, ScoringParams, SweepParams, ViewFilter
 from txrisk.plans import oracle
-from txrisk.session import pin_utc
-from txrisk.sinks.keyed import new_rows
+from txrisk.plans.streamed import streamed
+from txrisk.schema import ALERT_SCHEMA, ALERT_TABLE_SCHEMA, ENRICHED_SCHEMA
+from txrisk.session import new_folder, pin_utc
+from txrisk.sinks.keyed import current, new_rows, read_table
 from txrisk.sources import messages
 from txrisk.sources.tables import Tables
 from txrisk.sources.transactions import transactions, wide_transactions
+from txrisk.streaming.job import minute_totals
 
 P = ScoringParams.fixture()
 REF = ScoringParams(grain_seconds=60)
+#: Scores that fall as the count rises, so that late rows take alerts back.
+FALLING = replace(P, intercept=-2.0, coef_tx_count=-0.5)
 M = MonitorParams()
 C = CostParams()
 S = SweepParams()
@@ -318,6 +324,33 @@ def q_model_calibration(spark, sf_dir):
     return ml.calibration(ml.score_model(model, train)).select("n", round_to("mean_score", 3).alias("mean_score"))
 
 
+#: How far from zero the certificate's conditions may be, on the standardised scale.
+FIT_TOLERANCE = 1e-4
+
+
+def q_model_certificate(spark, sf_dir):
+    """First-order conditions of the fitted model over its training rows."""
+    model, train, _ = _fitted(spark, sf_dir)
+    return ml.optimality(train, ml.coefficients(model, MP), MP, FIT_TOLERANCE)
+
+
+def q_model_auc(spark, sf_dir):
+    """Exact area under ROC of the coefficient table's score, over the hold-out."""
+    _, test = ml.hash_split(_table_scored(spark, sf_dir), MP.train_fraction, MP.split_seed)
+    return ml.exact_auc(test)
+
+
+def q_model_reloaded(spark, sf_dir):
+    """Rows whose score by the fitted model is another after it was saved and loaded."""
+    model, train, test = _fitted(spark, sf_dir)
+    path = new_folder(spark, "model")
+    ml.save(model, path)
+    rows = train.unionByName(test)
+    again = ml.score_model(ml.load(path), rows).select("transaction_id", F.col(SCORE_COLUMN).alias("again"))
+    both = ml.score_model(model, rows).select("transaction_id", SCORE_COLUMN).join(again, "transaction_id")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col(SCORE_COLUMN).eqNullSafe(F.col("again"))).alias("n_changed"))
+
+
 def q_fitted_score(spark, sf_dir):
     model, train, test = _fitted(spark, sf_dir)
     return ml.score_model(model, train.unionByName(test)).select("transaction_id", "label", "risk_score")
@@ -369,6 +402,25 @@ def q_keyed_new_rows(spark, sf_dir):
     return new_rows(tx.unionByName(rest), stored)
 
 
+def q_stream_enriched(spark, sf_dir):
+    """The current enriched rows that the stream leaves; z-scores are those of a
+    row's batch, so they are left out."""
+    sinks = streamed(_tx(spark, sf_dir), P)
+    return current(read_table(spark, sinks.enriched, ENRICHED_SCHEMA)).select(*[f.name for f in ENRICHED_SCHEMA.fields if f.name != "amount_zscore"])
+
+
+def q_stream_alerts(spark, sf_dir):
+    """The current alerts that the stream leaves where a rising count takes alerts back."""
+    sinks = streamed(_tx(spark, sf_dir), FALLING)
+    return current(read_table(spark, sinks.alerts, ALERT_TABLE_SCHEMA)).select(*[f.name for f in ALERT_SCHEMA.fields])
+
+
+def q_stream_minute_rates(spark, sf_dir):
+    """The per-minute counts that the stream leaves, with the same falling scores."""
+    sinks = streamed(_tx(spark, sf_dir), FALLING, minutes=True)
+    return minute_totals(read_table(spark, sinks.minutes)).withColumn("alert_rate_pct", round_to("alert_rate_pct", 6))
+
+
 def _view(spark, sf_dir):
     return monitor.view_filter(_scored(spark, sf_dir), VF)
 
@@ -464,6 +516,9 @@ QUERIES: dict[str, Query] = {
     "model_score": q_model_score,
     "model_evaluation": q_model_evaluation,
     "model_calibration": q_model_calibration,
+    "model_certificate": q_model_certificate,
+    "model_auc": q_model_auc,
+    "model_reloaded": q_model_reloaded,
     "fitted_score": q_fitted_score,
     "fitted_evaluation": q_fitted_evaluation,
     "model_coefficients": q_model_coefficients,
@@ -472,6 +527,9 @@ QUERIES: dict[str, Query] = {
     "microbatch_enriched": q_microbatch_enriched,
     "microbatch_alerts": q_microbatch_alerts,
     "keyed_new_rows": q_keyed_new_rows,
+    "stream_enriched": q_stream_enriched,
+    "stream_alerts": q_stream_alerts,
+    "stream_minute_rates": q_stream_minute_rates,
     "view_kpi_summary": q_view_kpi_summary,
     "view_threshold_sweep": q_view_threshold_sweep,
     "view_sla_verdict": q_view_sla_verdict,
@@ -489,5 +547,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = oracle.oracle_queries(P, M, C, S, VF, REF, MP, COEFFICIENTS, DRILLDOWN_CUSTOMER)
+    sql = oracle.oracle_queries(P, M, C, S, VF, REF, MP, COEFFICIENTS, DRILLDOWN_CUSTOMER, FALLING)
     return {k: v for k, v in sql.items() if k in QUERIES}

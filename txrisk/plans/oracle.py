@@ -212,6 +212,7 @@ def oracle_queries(
     mp: ModelParams,
     coefs: dict,
     customer: str,
+    falling: ScoringParams,
 ) -> dict[str, str]:
     B = base(p)
     q: dict[str, str] = {}
@@ -466,6 +467,35 @@ FROM tab WHERE NOT {first}"""
     q["model_calibration"] = LAB + f"""
 SELECT count(*) AS n, (round((avg(label)) * 1e3) / 1e3) AS mean_score FROM lab WHERE {first}"""
 
+    q["model_auc"] = TAB + f""",
+per AS (SELECT risk_score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM tab WHERE NOT {first} GROUP BY 1),
+below AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY risk_score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lower FROM per)
+SELECT CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS n_positive,
+       (round((CAST(sum(pos * (lower + neg / 2)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE))) * 1e6) / 1e6) AS auc
+FROM below"""
+    # the moments that the labels set; every one has to be met by the fitted model
+    numbers = " UNION ALL ".join(f"SELECT '{c}' AS feature, '' AS value, CAST({c} AS DOUBLE) AS x, label FROM train" for c in mp.numeric)
+    slots = " UNION ALL ".join(f"SELECT '{c}', {c}, 1.0, label FROM train WHERE {c} IS NOT NULL" for c in mp.categorical)
+    sigma = "sqrt((sum(x * x) - sum(x) * sum(x) / max(n)) / (max(n) - 1))"
+    q["model_certificate"] = LAB + f""",
+train AS (SELECT * FROM lab WHERE {first}),
+cell AS ({numbers} UNION ALL {slots}),
+size AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM train)
+SELECT 'intercept' AS feature, '' AS value, CAST(1 AS DOUBLE) AS sigma, (round(avg(label) * 1e6) / 1e6) AS label_moment, true AS optimal FROM train
+UNION ALL
+SELECT feature, value, (round({sigma} * 1e6) / 1e6), (round(coalesce(sum(x * label) / max(n) / nullif({sigma}, 0), 0) * 1e6) / 1e6), true
+FROM cell, size GROUP BY feature, value"""
+    q["model_reloaded"] = LAB + """
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_changed FROM lab"""
+
+    # ------------------------------------------------ the stream's tables
+    F = base(falling)
+    q["stream_enriched"] = B + """
+SELECT transaction_id, customer_id, ts, amount, currency, merchant, country, category, tx_count_5min, risk_score FROM scored"""
+    q["stream_alerts"] = F + q["alert_build"][len(B):]
+    q["stream_minute_rates"] = F + ",\n" + rates_cte(falling.alert_threshold) + """
+SELECT minute, tx, flagged, (round((alert_rate_pct) * 1e6) / 1e6) AS alert_rate_pct FROM rates"""
+
     # ------------------------------------------------ reference window, micro-batch, keyed rows
     REF = base(ref)
     q["tx_count_300s"] = REF + """

@@ -46,6 +46,10 @@ ALERT_SCHEMA = T.StructType([
     T.StructField("severity", T.StringType(), True),
 ])
 
+#: What the alert table holds beside an alert: whether the row takes it back.
+RETRACTED_COLUMN = "retracted"
+ALERT_TABLE_SCHEMA = T.StructType(ALERT_SCHEMA.fields + [T.StructField(RETRACTED_COLUMN, T.BooleanType(), True)])
+
 KEY = "transaction_id"
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,8 @@ ENGINE_CONF = {
     # streaming state of the event-time operators lives in RocksDB, off heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a batch's state upload is its changes, whatever the state has grown to
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -102,6 +106,23 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     return path
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Where that is unset, a session in one
+    JVM (tests, local runs) gets a folder of its own; on a cluster that is an error,
+    as each executor would write to its own disk."""
+    try:
+        return checkpoint_dir(spark)
+    except RuntimeError:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise
+        return checkpoint_dir(spark, fallback=spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="txrisk-shared-"))
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used yet."""
+    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several branches of one plan read.
 

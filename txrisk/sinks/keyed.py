@@ -1,16 +1,18 @@
 """Keyed, replay-safe tables.
 
 The original job appends to two tables with a primary key and fails on a
-replayed batch. Here a table is partitioned by event date and batch id and a
-micro-batch overwrites its own partitions only, so a batch replayed after a
-crash (at-least-once delivery) replaces what it wrote the first time. A row
-may be written again by a later batch, as a revision; the current state of a
-key is the row of its latest batch (``current``). Revisions keep their event
-time, so finding them never leaves an event date.
-
-Which keys are taken is read from a key table beside the main one, partitioned
-by a hash bucket of the key: a batch reads the buckets that its own keys fall
-into, whatever event time a key was stored under.
+replayed batch. Here a table is partitioned by event date and batch id (and, where
+rows have a customer, by a hash bucket of it) and a micro-batch overwrites its own
+partitions only, so a batch replayed after a crash (at-least-once delivery) replaces
+what it wrote the first time. A row may be written again by a later batch, as a
+revision, or taken back, as a retraction (``retracted``); the current state of a key
+is the row of its latest batch, none if that takes it back (``current``). Revisions
+keep their event time and customer, so finding them never leaves a partition's date
+and bucket, and ``touching`` reads those that a batch touches and no others.
+
+Which keys are taken is known to the stream's state (``streaming.job``), a lookup of
+the batch's own keys. Batches that come without a stream read a key table beside the
+main one, partitioned by a hash bucket of the key, in the buckets of their own keys.
 """
 
 from __future__ import annotations
@@ -20,9 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txrisk.schema import RETRACTED_COLUMN
+
 PARTITION_COLUMN = "event_date"
 BATCH_COLUMN = "batch_id"
 BUCKET_COLUMN = "key_bucket"
+CUSTOMER_COLUMN = "customer_bucket"
+#: Buckets of customers within a date.
+CUSTOMER_BUCKETS = 4
+#: (date, bucket) pairs up to which they are broadcast to prune a read.
+PRUNING_PAIRS = 100_000
 #: Buckets of a key table, which bounds what a batch asks for.
 KEY_BUCKETS = 256
 #: What Spark says of a folder that does not exist yet, or holds no file yet.
@@ -34,7 +43,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     other failure to read it is raised. With a ``schema`` (without the partition
     columns) no file footer is read for it."""
     if schema is not None:
-        schema = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in _PARTITIONS.items()]])
+        bucketed = "customer_id" in schema.fieldNames()
+        schema = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in _PARTITIONS.items() if bucketed or n != CUSTOMER_COLUMN]])
     try:
         return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     except AnalysisException as e:
@@ -43,7 +53,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         raise
 
 
-_PARTITIONS = {PARTITION_COLUMN: T.DateType(), BATCH_COLUMN: T.LongType()}
+_PARTITIONS = {PARTITION_COLUMN: T.DateType(), CUSTOMER_COLUMN: T.IntegerType(), BATCH_COLUMN: T.LongType()}
 
 
 def with_partition(df: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -64,10 +74,29 @@ def new_rows(batch: DataFrame, taken: DataFrame, key: str = "transaction_id") ->
 
 
 def current(table: DataFrame, key: str = "transaction_id") -> DataFrame:
-    """One row per key: the latest batch's."""
+    """One row per key, the latest batch's; none where that row is a retraction."""
     others = [c for c in table.columns if c not in (key, BATCH_COLUMN)]
     best = table.groupBy(key).agg(F.max(F.struct(BATCH_COLUMN, *others)).alias("_row"))
-    return best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in table.columns])
+    rows = best.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in table.columns])
+    return rows.filter(~F.col(RETRACTED_COLUMN)).drop(RETRACTED_COLUMN) if RETRACTED_COLUMN in table.columns else rows
+
+
+def customer_bucket(customer: str = "customer_id") -> F.Column:
+    return F.pmod(F.xxhash64(F.col(customer)), F.lit(CUSTOMER_BUCKETS)).cast("int")
+
+
+def touching(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of the table in the (event date, customer bucket) partitions of ``pairs``.
+
+    The pairs are broadcast, and Spark prunes the scan's partitions by them at run
+    time. They are counted first: beyond ``PRUNING_PAIRS`` (dates of some 70 years in
+    one batch) the same join is left to be shuffled, and reads all partitions.
+    """
+    # the comparison makes the pairs a filter in the eyes of the pruning rule
+    pairs = pairs.select(PARTITION_COLUMN, CUSTOMER_COLUMN).distinct().filter(F.col(CUSTOMER_COLUMN) >= 0)
+    if pairs.count() <= PRUNING_PAIRS:
+        pairs = F.broadcast(pairs)
+    return table.join(pairs, [PARTITION_COLUMN, CUSTOMER_COLUMN], "left_semi")
 
 
 def key_bucket(key: str = "transaction_id") -> F.Column:
@@ -94,9 +123,14 @@ def _overwrite(df: DataFrame, path: str, *partitions: str) -> None:
 
 def write_batch(df: DataFrame, path: str, batch_id: int, ts_col: str = "ts") -> None:
     """Write the batch's rows, replacing what an earlier attempt of the same
-    batch wrote. Rows are gathered by date first: a file per date and task."""
+    batch wrote. Rows are gathered by their partition first, where a large one
+    (a hot customer's) is split over tasks: about a file per partition."""
     out = with_partition(df, ts_col).withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
-    _overwrite(out.repartition(PARTITION_COLUMN, F.pmod(F.xxhash64(*df.columns), F.lit(8))), path, PARTITION_COLUMN, BATCH_COLUMN)
+    parts = [PARTITION_COLUMN]
+    if "customer_id" in df.columns:
+        out = out.withColumn(CUSTOMER_COLUMN, customer_bucket())
+        parts.append(CUSTOMER_COLUMN)
+    _overwrite(out.hint("rebalance", *parts), path, *parts, BATCH_COLUMN)
 
 
 def write_keys(df: DataFrame, path: str, batch_id: int, key: str = "transaction_id") -> None:

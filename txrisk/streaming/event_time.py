@@ -3,10 +3,12 @@
 * ``dedupe_stream`` — at-least-once replays removed by key within the
   watermark.
 * ``trailing_count_stream`` — exact per-customer count over
-  ``[ts − window, ts]``: de-duplicate, interval self-join, count. A row is
-  emitted once the watermark passes it (latency = watermark delay).
+  ``[ts − window, ts]``: state per (customer, grain of time), no pairs. A row is
+  emitted once the watermark passes its grain.
 * ``minute_rates_stream`` — per-minute transactions / flagged / rate over
-  a scored stream (e.g. a file stream on the enriched table).
+  a scored stream, each minute once, when the watermark closes it.
+* ``start_minute_rates`` — the same without a watermark, in update mode into a
+  table keyed by minute: a late row changes its minute.
 
 Streaming ``withWatermark`` needs TIMESTAMP (not NTZ); event time is cast
 with the session zone pinned to UTC.
@@ -14,10 +16,16 @@ with the session zone pinned to UTC.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from txrisk.functions.columns import is_flagged
+from txrisk.functions.columns import is_flagged, minute_floor
+from txrisk.sinks.keyed import write_batch
 
 
 def as_event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -28,6 +36,41 @@ def dedupe_stream(stream: DataFrame, watermark: str, key: str = "transaction_id"
     return as_event_time(stream, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
 
 
+#: State of one (customer, grain): times of its own events and of those of the grain
+#: before, as packed 64-bit microseconds, and the own events' other columns as JSON.
+GRAIN_STATE = "own binary, rest array<string>, earlier binary"
+
+
+def _grain_counts(window: int, name: str):
+    """State function: gathers the events of a grain, and counts them once no more can
+    come. ``name`` is what the first key is called."""
+
+    def run(key, frames, state):
+        grain = int(key[1])
+        if state.hasTimedOut:
+            own, rest, earlier = state.get
+            state.remove()
+            own, earlier = np.frombuffer(own, np.int64), np.frombuffer(earlier, np.int64)
+            every = np.sort(np.concatenate([own, earlier]))
+            # in [ts - window, ts]; peers are counted
+            n = np.searchsorted(every, own, "right") - np.searchsorted(every, own - window, "left")
+            yield pd.DataFrame({name: key[0], "us": own, "rest": list(rest), "n": n.astype(np.int32)})
+            return
+        own, rest, earlier = state.get if state.exists else (b"", [], b"")
+        owns, rests, befores = [own], list(rest), [earlier]
+        for pdf in frames:
+            mine = pdf["mine"].to_numpy()
+            us = pdf["us"].to_numpy(np.int64)
+            owns.append(us[mine].tobytes())
+            befores.append(us[~mine].tobytes())
+            rests += pdf["rest"][mine].tolist()
+        state.update((b"".join(owns), rests, b"".join(befores)))
+        # the grain ends here; its events are all there when the watermark is past it
+        state.setTimeoutTimestamp((grain + 1) * window // 1000)
+
+    return run
+
+
 def trailing_count_stream(
     stream: DataFrame,
     window_seconds: int,
@@ -35,42 +78,32 @@ def trailing_count_stream(
     key: str = "customer_id",
     ts: str = "ts",
     out: str = "tx_count_5min",
-    bucket_factor: int = 4,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """(transaction_id, customer_id, ts, *carry, count) in append mode.
 
-    ``carry`` names further columns of the row (functions of its id) that
-    are passed through, so the output is the whole transaction plus its
-    count.
+    ``carry`` names further columns of the row that are passed through.
 
-    De-duplication happens before the join: a duplicated pair would
-    otherwise be counted on both sides. The join key is (customer, time
-    bucket) as in the batch ``trailing_count``: a left row looks only in its
-    own bucket, and right rows in the last window of a bucket are also
-    offered to the next one, so a hot customer's join state is spread over
-    its buckets instead of one state partition.
+    De-duplication comes first. Time is cut into grains as long as the window; an
+    event goes to the state of its own (customer, grain) and, as a bare time, to that
+    of the next grain. When the watermark passes a grain's end, its events are counted
+    by two binary searches each in the sorted times of both grains: state and work grow
+    with the events of two windows of a customer, not with their pairs. What comes
+    later than the watermark is dropped; the scoring job, which drops nothing, doesn't
+    use this operator.
     """
     w = int(window_seconds) * 1_000_000
-    b = w * int(bucket_factor)
     s = dedupe_stream(stream.select("transaction_id", key, ts, *carry), watermark, "transaction_id", ts)
-    s = s.withColumn("_us", F.unix_micros(F.col(ts))).withColumn("_off", F.pmod(F.col("_us"), F.lit(b)))
-    home = F.expr(f"(_us - _off) div {b}")
-    left = s.select("transaction_id", key, ts, *carry, home.alias("_bucket")).alias("l")
-    offered = F.when(F.col("_off") >= F.lit(b - w), F.array(home, home + 1)).otherwise(F.array(home))
-    right = s.select(
-        F.col(key).alias("r_key"), F.col(ts).alias("r_ts"), F.explode(offered).alias("r_bucket")
-    ).alias("r")
-    cond = (
-        (F.col(f"l.{key}") == F.col("r_key"))
-        & (F.col("l._bucket") == F.col("r_bucket"))
-        & (F.col("r_ts") <= F.col(f"l.{ts}"))
-        & (F.col("r_ts") >= F.col(f"l.{ts}") - F.expr(f"INTERVAL {int(window_seconds)} SECONDS"))
-    )
-    joined = left.join(right, cond, "inner")
-    keys = [F.col("l.transaction_id").alias("transaction_id"), F.col(f"l.{key}").alias(key), F.col(f"l.{ts}").alias(ts)]
-    keys += [F.col(f"l.{c}").alias(c) for c in carry]
-    return joined.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias(out))
+    rest = F.to_json(F.struct("transaction_id", *carry))
+    s = s.select(key, ts, F.unix_micros(F.col(ts)).alias("us"), rest.alias("rest"))
+    grain = F.expr(f"(us - pmod(us, {w}L)) div {w}L")
+    copies = F.array(F.struct(grain.alias("grain"), F.lit(True).alias("mine")), F.struct((grain + 1).alias("grain"), F.lit(False).alias("mine")))
+    dealt = s.select(key, ts, "us", "rest", F.inline(copies)).withColumn("rest", F.when(F.col("mine"), F.col("rest")))
+    counted = dealt.groupBy(key, "grain").applyInPandasWithState(
+        _grain_counts(w, key), f"{key} string, us long, rest string, n int", GRAIN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    fields = T.StructType([stream.schema[c] for c in ("transaction_id", *carry)])
+    parsed = counted.select(key, "us", "n", F.from_json("rest", fields).alias("r"))
+    return parsed.select(F.col("r.transaction_id").alias("transaction_id"), key, F.timestamp_micros("us").alias(ts), *[F.col(f"r.{c}").alias(c) for c in carry], F.col("n").alias(out))
 
 
 def minute_rates_stream(scored: DataFrame, threshold: float, watermark: str, ts: str = "ts") -> DataFrame:
@@ -86,3 +119,23 @@ def minute_rates_stream(scored: DataFrame, threshold: float, watermark: str, ts:
         "flagged",
         (F.col("flagged") / F.greatest(F.col("tx").cast("double"), F.lit(1.0)) * 100.0).alias("alert_rate_pct"),
     )
+
+
+def start_minute_rates(scored: DataFrame, path: str, threshold: float, checkpoint_location: str,
+                       ts: str = "ts", trigger: dict | None = None) -> StreamingQuery:
+    """Per-minute counts of a scored stream, kept up to date in the table at ``path``.
+
+    Each batch writes the minutes that it changed, with their new totals;
+    ``sinks.keyed.current(table, key="minute")`` has the latest of each. State is one
+    row per minute of event time and has no watermark, so no row is too late.
+    """
+    minutes = scored.filter(F.col(ts).isNotNull()).groupBy(minute_floor(ts).alias("minute")).agg(
+        F.count("transaction_id").alias("tx"), F.count(F.when(is_flagged("risk_score", threshold), 1)).alias("flagged"))
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        write_batch(batch_df, path, batch_id, ts_col="minute")
+
+    writer = minutes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint_location)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
