@@ -98,3 +98,46 @@ def test_streaming_job_can_score_with_model(spark, fitted, scratch):
     out = spark.read.parquet(sinks.enriched).first()
     assert out.transaction_id == "m1" and 0.0 <= out.risk_score <= 1.0
     assert out.ts == dt.datetime(2024, 1, 5, 10, 0, 0)
+
+
+def test_certificate_tells_an_unfinished_fit(spark):
+    from dataclasses import replace
+
+    from txrisk.params import ModelParams
+
+    mp = ModelParams()
+    p = ScoringParams.fixture()
+    data = ml.with_label(score_transactions(transactions(Tables(spark, SMALL)), p), p).select(*ml.TRAINING_COLUMNS)
+    good = ml.optimality(data, ml.coefficients(ml.fit(data, mp), mp), mp, 1e-4)
+    assert good.filter("not optimal").count() == 0 and good.count() > 12
+    for wrong in (replace(mp, max_iter=2), replace(mp, reg_param=0.05)):
+        off = ml.optimality(data, ml.coefficients(ml.fit(data, wrong), wrong), mp, 1e-4)
+        assert off.filter("not optimal").count() > 0
+
+
+def test_exact_auc_equals_all_pairs(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice([0.1, 0.5, 0.9]) if rnd.random() < 0.3 else rnd.random(), rnd.randint(0, 1)) for _ in range(3000)]
+    pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
+    want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+    odd = [(None, 1), (float("nan"), 0), (0.4, None)]
+    got = ml.exact_auc(spark.createDataFrame(rows + odd, "risk_score double, label int")).first()
+    assert (got.n, got.n_positive) == (3000, len(pos)) and abs(got.auc - want) < 1e-6
+    for few in ([], [(0.5, 1)], [(0.5, 0), (0.5, 0)]):
+        assert ml.exact_auc(spark.createDataFrame(few, "risk_score double, label int")).first().auc is None
+
+
+def test_value_index_over_many_values_and_partitions(spark):
+    from collections import Counter
+
+    from txrisk.params import ModelParams
+
+    rows = [(f"v{i * i % 701}", "one", None if i % 3 else f"m{i % 50}") for i in range(5000)]
+    got = ml.value_index(spark.createDataFrame(rows, "country string, category string, merchant string"), ModelParams())
+    want = []
+    for j, feature in enumerate(("country", "category", "merchant")):
+        counts = Counter(r[j] for r in rows if r[j] is not None)
+        want += [(feature, v, n, i) for i, (v, n) in enumerate(sorted(counts.items(), key=lambda kv: (-kv[1], kv[0])))]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)

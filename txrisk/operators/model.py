@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import is_flagged, round_to, rule_label
-from txrisk.operators.features import COUNT_COLUMN
+from txrisk.operators.features import COUNT_COLUMN, join_group_stats
 from txrisk.operators.scoring import SCORE_COLUMN, probability_of_class1
 from txrisk.params import ModelParams, ScoringParams
+from txrisk.session import materialize
 
 TRAINING_COLUMNS = [
     "transaction_id", "customer_id", "ts", "amount", "country", "category", "merchant",
@@ -75,6 +76,28 @@ def string_index(df: DataFrame, mp: ModelParams) -> DataFrame:
     return indexed.select(F.inline(cells)).groupBy("feature", "value", "index").agg(F.count(F.lit(1)).alias("n"))
 
 
+def value_index(df: DataFrame, mp: ModelParams) -> DataFrame:
+    """``string_index`` without a list of labels on the driver, for columns with any
+    number of values: (feature, value, n, index), most frequent first, ties by value.
+
+    Counts combine map-side. They are put in order by a range partitioning over all
+    features, a value's index is its place in its partition after what the partitions
+    before hold of its feature, and only those totals, a row for each partition and
+    feature, meet in one window. The ordered counts are written before they are
+    numbered, so a lost executor doesn't number them anew.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in mp.categorical])
+    counts = df.select(F.inline(cells)).filter("value is not null").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    order = ["feature", F.col("n").desc(), "value"]
+    place = F.monotonically_increasing_id()
+    ordered = counts.repartitionByRange(*order).sortWithinPartitions(*order).select("feature", "value", "n", place.alias("at"))
+    ordered = materialize(ordered.withColumn("part", F.shiftright("at", 33)))
+    held = ordered.groupBy("feature", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("here"))
+    before = F.sum("here").over(Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = held.select("feature", "part", "first", F.coalesce(before, F.lit(0)).alias("start"))
+    return ordered.join(starts, ["feature", "part"]).select("feature", "value", "n", (F.col("at") - F.col("first") + F.col("start")).cast("int").alias("index"))
+
+
 def one_hot_rows(df: DataFrame, mp: ModelParams) -> DataFrame:
     """(feature, slot, n): how many rows of ``df`` set each slot of the fitted
     one-hot vectors; a row whose value is unseen or NULL sets none (slot -1)."""
@@ -96,8 +119,6 @@ def fit(train: DataFrame, mp: ModelParams, checkpoint: bool = True) -> PipelineM
     materialised."""
     data = train.select(*list(mp.numeric), *list(mp.categorical), "label")
     if checkpoint:
-        from txrisk.session import materialize
-
         data = materialize(data)
     return build_pipeline(mp).fit(data)
 
@@ -183,7 +204,7 @@ def exact_auc(scored: DataFrame) -> DataFrame:
     fine = scored.select(F.col(SCORE_COLUMN).cast("double").alias("s"), (F.col("label") == 1).alias("one")).filter("s is not null and not isnan(s) and one is not null")
     per = fine.groupBy("s").agg(F.count_if("one").alias("pos"), F.count_if(~F.col("one")).alias("neg"))
     cuts = per.agg(F.percentile_approx("s", [i / SCORE_PARTS for i in range(1, SCORE_PARTS)], 10_000)).first()[0] or []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *sorted({0.5, *cuts}), float("inf")]
     parts = Bucketizer(splits=splits, inputCol="s", outputCol="part").transform(per)
     below = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -250,6 +271,23 @@ def coefficient_score(coefs: dict) -> F.Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
+def table_score(df: DataFrame, weights: DataFrame, mp: ModelParams) -> DataFrame:
+    """``df`` with ``risk_score`` by a table of weights (feature, value, weight), for
+    columns with any number of values: each column's weights are joined, on salted keys
+    (see ``features.join_group_stats``) where they are too many to be broadcast. The
+    intercept and the numeric weights, one row each, are the only ones read here. A
+    value without weight counts 0."""
+    few = {r.feature: r.weight for r in weights.filter(F.col("feature").isin("intercept", *mp.numeric)).collect()}
+    out, z = df, F.lit(few.get("intercept", 0.0))
+    for name in mp.numeric:
+        z = z + F.lit(few.get(name, 0.0)) * F.col(name).cast("double")
+    for c in mp.categorical:
+        own = weights.filter(F.col("feature") == c).select(F.col("value").alias(c), F.col("weight").alias(f"_w_{c}"))
+        out = join_group_stats(out, own, c)
+        z = z + F.coalesce(F.col(f"_w_{c}"), F.lit(0.0))
+    return out.select(*df.columns, (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias(SCORE_COLUMN))
+
+
 def coefficient_rows(coefs: dict) -> list[tuple[str, str, float]]:
     """(feature, value, weight) rows of the coefficient table."""
     rows = [("intercept", "", coefs["intercept"])]

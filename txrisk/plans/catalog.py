@@ -273,15 +273,16 @@ def q_score_accuracy(spark, sf_dir):
     return ml.evaluate(_labelled(spark, sf_dir))
 
 
-_fits: dict[tuple[str, str], object] = {}
+_fits: dict[tuple, object] = {}
 
 
 def _fitted(spark, sf_dir):
-    """(model, training rows, held-out rows): fitted once per application and
-    folder, on a written copy of the columns that the fit reads."""
+    """(model, training rows, held-out rows): fitted once per application and content
+    of the training rows, on a written copy of the columns that the fit reads."""
     data = _labelled(spark, sf_dir).drop("risk_score").select(*ml.TRAINING_COLUMNS)
     train, test = ml.hash_split(data, MP.train_fraction, MP.split_seed)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    digest = F.sum(F.xxhash64(*train.columns).cast("decimal(38,0)"))
+    key = (spark.sparkContext.applicationId, *train.agg(F.count(F.lit(1)), digest).first())
     if key not in _fits:
         _fits[key] = ml.fit(train, MP)
     return _fits[key], train, test
@@ -302,6 +303,17 @@ def q_one_hot_rows(spark, sf_dir):
     return ml.one_hot_rows(_tx(spark, sf_dir), MP)
 
 
+def q_value_index(spark, sf_dir):
+    return ml.value_index(_tx(spark, sf_dir), MP)
+
+
+def q_model_table_score(spark, sf_dir):
+    """The coefficient table joined as a table, for columns of any number of values."""
+    weights = spark.createDataFrame(ml.coefficient_rows(COEFFICIENTS), "feature string, value string, weight double")
+    scored = ml.table_score(_labelled(spark, sf_dir).drop(SCORE_COLUMN), weights, MP)
+    return scored.select("transaction_id", "label", round_to(SCORE_COLUMN, 6).alias(SCORE_COLUMN))
+
+
 def _table_scored(spark, sf_dir):
     """The labelled rows, scored by a given coefficient table."""
     data = _labelled(spark, sf_dir).drop(SCORE_COLUMN)
@@ -513,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "split_counts": q_split_counts,
     "string_index": q_string_index,
     "one_hot_rows": q_one_hot_rows,
+    "value_index": q_value_index,
+    "model_table_score": q_model_table_score,
     "model_score": q_model_score,
     "model_evaluation": q_model_evaluation,
     "model_calibration": q_model_calibration,

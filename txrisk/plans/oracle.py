@@ -453,6 +453,7 @@ cell AS ({cells}),
 cnt AS (SELECT feature, value, count(*) AS n FROM cell GROUP BY feature, value),
 ranked AS (SELECT feature, value, n, CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS INTEGER) AS index FROM cnt)"""
     q["string_index"] = ranked + "\nSELECT feature, value, n, index FROM ranked"
+    q["value_index"] = q["string_index"]
     q["one_hot_rows"] = ranked + "\nSELECT feature, index AS slot, n FROM ranked"
     z = " + ".join([repr(coefs["intercept"]), *[f"{w!r} * {c}" for c, w in coefs["numeric"].items()]])
     for c, table in coefs["categorical"].items():
@@ -460,6 +461,7 @@ ranked AS (SELECT feature, value, n, CAST(row_number() OVER (PARTITION BY featur
     TAB = LAB + f""",
 tab AS (SELECT transaction_id, label, (round((1 / (1 + exp(-(CAST({z} AS DOUBLE))))) * 1e6) / 1e6) AS risk_score FROM lab)"""
     q["model_score"] = TAB + "\nSELECT * FROM tab"
+    q["model_table_score"] = q["model_score"]
     q["model_evaluation"] = TAB + f"""
 SELECT count(*) AS n, count(CASE WHEN label = 1 THEN 1 END) AS n_positive, count(CASE WHEN risk_score >= 0.5 THEN 1 END) AS n_predicted,
        (round((avg(CASE WHEN (risk_score >= 0.5) = (label = 1) THEN 1 ELSE 0 END)) * 1e6) / 1e6) AS accuracy

@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. AQE re-plans joins from runtime sizes,
@@ -131,14 +130,9 @@ def materialize(df: DataFrame) -> DataFrame:
     small derived table (a per-minute series, per-value counts) the frame
     is written once with a reliable ``checkpoint()`` into the shared folder
     named by ``spark.checkpoint.dir`` and read back by every branch; an
-    executor lost later recomputes nothing upstream. Without a configured
-    folder the frame is persisted (memory, spilling to disk) instead.
+    executor lost later recomputes nothing upstream.
     """
-    spark = df.sparkSession
-    try:
-        checkpoint_dir(spark)
-    except RuntimeError:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
