@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pandas as pd
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import with_clashes
 from txrisk.llm import chat
@@ -117,3 +118,22 @@ def test_trimmed_quotations_are_found_by_their_pieces(spark):
     out = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn, r.n_quotes, r.n_linked) for r in chat.link(with_clashes(spark.createDataFrame(rows, SCHEMA))).collect()}
     assert all(out[1, t] == (1, 0, 1, 1) for t in (5, 6, 7, 8, 9)), out
     assert out[1, 10] == (1, 9, 1, 0) and out[2, 0] == (1, 0, 1, 1)
+
+
+def test_links_are_the_same_however_the_rows_come(spark):
+    rows = [(c, t, "u", f"> Passage {c}-{t - 1} of it\nPassage {c}-{t} of it" if t else f"Passage {c}-0 of it") for c in range(40) for t in range(5)]
+    want = {(c, t): (c if t else None, t - 1 if t else None, 1 if t else 0, f"Passage {c}-{t} of it") for c, t, _, _ in rows}
+    df = spark.createDataFrame(rows, SCHEMA)
+    for given in (df, df.repartition(8), df.orderBy(F.rand(3))):
+        got = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn, r.n_linked, r.text) for r in chat.link(given).collect()}
+        assert got == want
+
+
+def test_a_passage_that_many_conversations_wrote(spark):
+    """The earliest other conversation, whichever one quotes."""
+    rows = [(c, 0, "u", "A common line.") for c in range(300)] + [(c, 1, "a", "> A common line.\nyes") for c in (0, 7)] + [(500, 0, "u", "> A common line.\nno")]
+    got = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn) for r in chat.link(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (got[0, 1], got[7, 1], got[500, 0]) == ((0, 0), (7, 0), (0, 0))
+    late = [(c, 3, "u", "A common line.") for c in range(9)] + [(0, 1, "a", "> A common line."), (8, 1, "a", "> A common line.")]
+    got = {(r.conv_id, r.turn): (r.reply_conv, r.reply_turn) for r in chat.link(spark.createDataFrame(late, SCHEMA)).collect()}
+    assert (got[0, 1], got[8, 1]) == ((1, 3), (0, 3))

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import read
+from txrisk.llm.common import read, written
 
 #: Copies of an original's row in the joins: a passage that a third of all
 #: messages quote is dealt over so many keys.
@@ -86,13 +86,16 @@ def originals(quotes: DataFrame, wrote: DataFrame) -> DataFrame:
     the same conversation, else the earliest by (conversation, turn) of another.
     """
     here = wrote.groupBy("key", "conv_id").agg(F.min("turn").alias("o_turn"))
-    # the two earliest conversations that wrote it: one of them is another one
-    first = here.groupBy("key").agg(F.min(F.struct("conv_id", "o_turn")).alias("a"))
-    second = here.join(first, "key").filter(F.col("conv_id") != F.col("a.conv_id")).groupBy("key").agg(F.min(F.struct("conv_id", "o_turn")).alias("b"))
+    # the two earliest conversations that wrote it: one of them is another one. Each task
+    # hands on two rows of a key, however many conversations wrote it
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("conv_id", "o_turn"))
+    two = here.withColumn("nth", nth).filter("nth <= 2").groupBy("key")
+    at = lambda k: F.min(F.when(F.col("nth") == k, F.struct("conv_id", "o_turn")))
+    earliest = two.agg(at(1).alias("a"), at(2).alias("b"))
     quotes = quotes.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
     wanted = quotes.select("key").distinct()
     dealt = lambda df: df.join(wanted, "key", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = quotes.join(dealt(here), ["key", "salt", "conv_id"], "left").join(dealt(first), ["key", "salt"], "left").join(dealt(second), ["key", "salt"], "left")
+    found = quotes.join(dealt(here), ["key", "salt", "conv_id"], "left").join(dealt(earliest), ["key", "salt"], "left")
     elsewhere = F.when(F.col("a.conv_id") != F.col("conv_id"), F.col("a")).otherwise(F.col("b"))
     origin = F.when(F.col("o_turn") < F.col("turn"), F.struct("conv_id", "o_turn")).when(F.col("turn").isNotNull() & F.col("conv_id").isNotNull(), elsewhere)
     return found.withColumn("origin", origin).drop("salt", "o_turn", "a", "b")
@@ -119,10 +122,11 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
 
     A null text is empty; a null conversation or turn links to nothing. Repeated
     rows are each returned and linked alike. Empty tables give empty results.
-    Only the four columns are read.
+    Only the four columns are read. They are parsed once, into a written table of own
+    text, hashes and quoted passages; its row numbers are the same for all that read it.
     """
     base = messages.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("raw"))
-    base = base.withColumn("row", F.monotonically_increasing_id()).withColumn("runs", runs_of(F.col("raw")))
+    parsed = base.withColumn("row", F.monotonically_increasing_id()).withColumn("runs", runs_of(F.col("raw")))
     own = F.array_join(F.transform(F.filter("runs", lambda r: r["level"] == 0), lambda r: r["body"]), "\n")
 
     owned = F.filter("runs", lambda r: r["level"] == 0)
@@ -133,19 +137,23 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
         )
     )
     parts = F.transform(F.flatten(F.transform(owned, lambda r: F.flatten(F.transform(paragraphs(r["body"]), pieces)))), digest)
+    quoted = F.flatten(F.transform(F.filter("runs", lambda r: r["level"] > 0), lambda r: F.transform(paragraphs(r["body"]), lambda p: F.struct(r["level"].alias("level"), p.alias("part")))))
+    parsed = parsed.select(
+        "row", "conv_id", "turn", "role", F.regexp_replace(own, r"^(?:[ \t]*\n)+|(?:\n[ \t]*)+$", "").alias("text"),
+        F.array_distinct(wrote).alias("wrote"), F.array_distinct(parts).alias("parts"), quoted.alias("quoted"))
+    base, _ = written(parsed, "passages")
     known = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
-    by = lambda keys: base.filter(known).select("conv_id", "turn", F.explode(F.array_distinct(keys)).alias("key"))
+    by = lambda keys: base.filter(known).select("conv_id", "turn", F.explode(keys).alias("key"))
 
-    quoted = F.flatten(F.transform(F.filter("runs", lambda r: r["level"] > 0), lambda r: F.transform(paragraphs(r["body"]), lambda p: F.struct(r["level"].alias("level"), p.alias("part")))))
-    quotes = base.select("row", "conv_id", "turn", F.posexplode(quoted).alias("place", "q")).select("row", "conv_id", "turn", "place", "q.level", "q.part")
-    whole = originals(quotes.withColumn("key", digest(F.col("part"))), by(wrote))
+    quotes = base.select("row", "conv_id", "turn", F.posexplode("quoted").alias("place", "q")).select("row", "conv_id", "turn", "place", "q.level", "q.part")
+    whole = originals(quotes.withColumn("key", digest(F.col("part"))), by(F.col("wrote")))
 
     trimmed = whole.filter(F.col("origin").isNull() & known)
     trimmed = trimmed.select("row", "conv_id", "turn", "place", F.posexplode(pieces(F.col("part"))).alias("nth", "piece"))
     trimmed = trimmed.select("row", "conv_id", "turn", "place", "nth", F.length("piece").alias("size"), digest(F.col("piece")).alias("key"))
     # the smallest of (elsewhere, -length, order): in the same conversation, the longest, the first
     rank = F.struct((F.col("origin.conv_id") != F.col("conv_id")).alias("elsewhere"), (-F.col("size")).alias("less"), "nth", "origin")
-    rest = originals(trimmed, by(F.concat(wrote, parts))).filter("origin is not null")
+    rest = originals(trimmed, by(F.array_union("wrote", "parts"))).filter("origin is not null")
     rest = rest.groupBy("row", "place").agg(F.min(rank).alias("piece")).select("row", "place", F.col("piece.origin").alias("p_origin"))
     found = whole.join(rest, ["row", "place"], "left").withColumn("origin", F.coalesce("origin", "p_origin"))
     quoting = found.groupBy("row").agg(
@@ -156,7 +164,7 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     )
     before = base.select(F.col("conv_id").alias("p_conv"), F.col("turn").alias("p_turn")).distinct()
     before = before.withColumn("p_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = base.select("row", "conv_id", "turn", "role", F.regexp_replace(own, r"^(?:[ \t]*\n)+|(?:\n[ \t]*)+$", "").alias("text"))
+    rows = base.select("row", "conv_id", "turn", "role", "text")
     out = rows.join(quoting, "row", "left").withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
     out = out.join(before, (F.col("conv_id") == F.col("p_conv")) & (F.col("turn") - 1 == F.col("p_turn")) & (F.col("salt") == F.col("p_salt")), "left")
     linked = F.col("best").isNotNull()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txrisk.session import checkpoint_dir
+from txrisk.session import shared_folder
 
 #: Rows of one Arrow batch. Texts are processed whole, so the batch is bounded
 #: by rows times the longest text; the default of 10,000 is too many for texts.
@@ -83,24 +83,23 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 
 def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows, those whose key hashes lowest; all rows if fewer.
+    """At most about ``rows`` rows, one for each key, those whose key hashes lowest.
 
-    The share kept is ``rows`` over the row count, so what a caller collects
-    stays bounded however large the table is. Equal for equal tables.
+    The share kept is ``rows`` over the row count, so what a caller collects stays
+    bounded however large the table is and however often a key is repeated: a row
+    without key is never sampled, and of the rows of one key only the least by its
+    other columns, in their order, a minimum that combines map-side. Equal for equal
+    tables.
     """
-    n = df.count()
-    if n <= rows:
-        return df
-    share = int(2**40 * rows / n)
-    return df.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(2**40)) < share)
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests) one of our own."""
-    try:
-        return checkpoint_dir(spark)
-    except RuntimeError:
-        return checkpoint_dir(spark, fallback=spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="txrisk-llm-"))
+    known = df.filter(F.col(key).isNotNull())
+    n = known.count()
+    if n > rows:
+        known = known.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(2**40)) < int(2**40 * rows / n))
+    others = [c for c in df.columns if c != key]
+    if not others:
+        return known.distinct()
+    least = known.groupBy(key).agg(F.min(F.struct(*others)).alias("_least"))
+    return least.select(*[F.col(key) if c == key else F.col("_least")[c].alias(c) for c in df.columns])
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:

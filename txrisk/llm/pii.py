@@ -253,7 +253,8 @@ def fit_emission(features: np.ndarray, labels: np.ndarray, weight: np.ndarray, s
 
 
 def fit(docs: DataFrame, text: str = "text", rows: int = TRAIN_DOCS) -> Field:
-    """Potentials from the patterns' labels in about ``rows`` documents.
+    """Potentials from the patterns' labels in about ``rows`` documents, one for each id
+    (rows without an id are not learnt from; of several the least text is).
 
     Tasks hand on counts of feature tuples and of label pairs, not texts.
     """

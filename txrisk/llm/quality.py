@@ -193,12 +193,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Trees for ``labels.quality``, from about ``rows`` labelled documents.
 
     Labels and ids that are null are left out; a document with several labels
-    counts as good only if all say so. The sampled ids, at most ``rows`` of
+    counts as good only if all say so; of several documents with one id the least
+    text counts. The sampled ids, at most ``rows`` of
     them, are what is broadcast, and their features what the driver collects.
     """
     marked = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     some = hash_sample(marked, "doc_id", rows).select(F.col("doc_id").alias("id"), F.col("quality").alias("y"))
     picked = docs.select(F.col("doc_id").alias("id"), F.col("text")).join(F.broadcast(some), "id")
+    picked = picked.groupBy("id", "y").agg(F.min("text").alias("text"))
     got = with_statistics(picked, ["id", "y"], "text", None).select("c0", "c1", "features").toPandas().sort_values(["c0", "c1"])
     x = np.array(got.features.tolist(), float).reshape(len(got), len(FEATURES))
     return fit_trees(x, (got.c1.to_numpy(float) > 0).astype(float), list(FEATURES.values()))

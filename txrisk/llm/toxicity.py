@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, positive_rows: int = POSITIVE
     positives = hash_sample(marked.filter("toxic > 0"), "doc_id", positive_rows).select(F.col("doc_id").alias("id"))
     texts = docs.select("doc_id", whole_text().alias("t")).filter(learn)
     # the sampled ids, a bounded number, are broadcast
-    p = texts.join(F.broadcast(positives), F.col("doc_id") == F.col("id"), "left_semi").select(F.lit(1).alias("p"), "t")
+    p = texts.join(F.broadcast(positives), F.col("doc_id") == F.col("id"), "left_semi").groupBy("doc_id").agg(F.min("t").alias("t")).select(F.lit(1).alias("p"), "t")
     u = hash_sample(texts, "doc_id", unlabelled_rows).select(F.lit(0).alias("p"), "t")
     sample, at = written(p.unionByName(u), "toxicity-sample")
     try:
