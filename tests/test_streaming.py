@@ -540,3 +540,17 @@ def test_late_rows_change_their_minute(spark, scratch):
         q.awaitTermination(300)
     got = current(read_table(spark, path), key="minute")
     assert rows(got, "minute", "tx", "flagged") == rows(minute_rates(batch, 0.8), "minute", "tx", "flagged")
+
+
+def test_zscores_are_those_of_the_rows_own_batch(spark, scratch):
+    sinks = _sinks(scratch)
+    t0 = dt.datetime(2026, 2, 8, 12)
+
+    def msg(tid, amount, minutes):
+        return json.dumps({"transaction_id": tid, "customer_id": "C1", "ts": (t0 + dt.timedelta(minutes=minutes)).isoformat() + "+00:00", "amount": amount})
+
+    job = ScoringJob(sinks)
+    job.process(_batch(spark, msg("a", 1.0, 0), msg("b", 2.0, 60), msg("c", 3.0, 120)), 0)
+    job.process(_batch(spark, msg("d", 10.0, -1), msg("e", 30.0, 300)), 1)  # raises a's count
+    got = {r.transaction_id: (r.tx_count_5min, round(r.amount_zscore, 6)) for r in table(spark, sinks.enriched).collect()}
+    assert got == {"a": (2, -1.0), "b": (1, 0.0), "c": (1, 1.0), "d": (1, -0.707107), "e": (1, 0.707107)}

@@ -40,11 +40,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.functions.columns import at_least, epoch_micros, is_flagged, linear_score, minute_floor
 from txrisk.operators.alerts import build_alerts
-from txrisk.operators.features import COUNT_COLUMN, base_features, batch_customer_count
+from txrisk.operators.features import COUNT_COLUMN, amount_zscore, base_features, batch_customer_count
 from txrisk.operators.features import counted as trailing
-from txrisk.operators.scoring import SCORE_COLUMN, enriched
+from txrisk.operators.scoring import SCORE_COLUMN
 from txrisk.params import ScoringParams
-from txrisk.schema import ALERT_SCHEMA, ENRICHED_SCHEMA, RETRACTED_COLUMN
+from txrisk.schema import ALERT_SCHEMA, ENRICHED_SCHEMA, RETRACTED_COLUMN, assert_schema
 from txrisk.sinks.keyed import (
     BATCH_COLUMN,
     CUSTOMER_COLUMN,
@@ -94,7 +94,9 @@ class ScoringJob:
         count they raise: those have ``_revised`` set, their z-score in ``_z`` and
         their stored score in ``_was``."""
         p = self.params
-        own = {"_revised": F.lit(False), "_z": F.lit(None).cast("double"), "_was": F.lit(None).cast("double")}
+        # from the batch's rows alone, before they meet stored ones
+        tx = amount_zscore(tx, out="_z")
+        own = {"_revised": F.lit(False), "_was": F.lit(None).cast("double")}
         if self.count_mode == "batch":
             out = batch_customer_count(base_features(tx, p), out="_n")
             return out.withColumn(COUNT_COLUMN, F.col("_n").cast("int")).drop("_n").withColumns(own)
@@ -147,11 +149,9 @@ class ScoringJob:
         z-scores are those of the batch a row came in; a revision keeps its own.
         """
         names = [f.name for f in ENRICHED_SCHEMA.fields]
-        fresh = enriched(scored.filter(~F.col("_revised"))).withColumn("_was", F.lit(None).cast("double"))
-        revised = scored.filter("_revised").withColumn("amount_zscore", F.col("_z")).select(*names, "_was")
-        out = fresh.unionByName(revised).persist(StorageLevel.MEMORY_AND_DISK)
+        out = scored.withColumn("amount_zscore", F.col("_z")).select(*names, "_was").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(out.select(*names), self.sinks.enriched, batch_id)
+            write_batch(assert_schema(out.select(*names), ENRICHED_SCHEMA), self.sinks.enriched, batch_id)
             self.write_alerts(out, batch_id)
             self.write_minutes(out, batch_id)
         finally:
