@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 
 from tests.conftest import SMALL
+from txrisk.operators.features import trailing_count
 from txrisk.plans import catalog
 
 
@@ -31,20 +33,45 @@ def test_zscore_has_no_unpartitioned_window(spark):
     assert "partial_avg" in p
 
 
-def test_trailing_count_one_scan_one_exchange(spark):
-    p = plan(catalog.QUERIES["tx_count_5min"](spark, SMALL))
+def test_trailing_count_in_buckets_one_scan_one_exchange(spark):
+    df = catalog.QUERIES["transactions"](spark, SMALL)
+    p = plan(trailing_count(df, 300 * 10**6))
     assert p.count("FileScan parquet") == 3  # events, customer, nation — once each
     assert p.count("Exchange hashpartitioning") == 1
 
 
+def test_no_window_over_rows_is_longer_than_a_grain(spark):
+    """In every registered plan a window that counts rows is partitioned by (customer, grain);
+    a window by customer alone runs over the grains' totals or ranks (customer, value) counts."""
+    seen = 0
+    for name in catalog.QUERIES:
+        if name.startswith(("fitted_", "stream_", "model_")):
+            continue
+        p = plan(catalog.QUERIES[name](spark, SMALL))
+        assert "_bucket" not in p, name
+        for line in p.split("\n"):
+            if "Window [" not in line or "_by" not in line:
+                continue
+            seen += 1
+            assert re.search(r"\], \[customer_id#\d+, _grain#\d+L\]", line), (name, line)
+    assert seen > 20
+
+
+def test_grains_totals_read_key_and_time_only(spark):
+    p = formatted(catalog.QUERIES["tx_count_5min"](spark, SMALL))
+    read = re.findall(r"events\.parquet\]\n(?:PushedFilters: [^\n]*\n)?ReadSchema: struct<([^>]*)>", p)
+    assert {"ts", "user_id"} in [{c.split(":")[0] for c in r.split(",")} for r in read] and len(read) == 2
+    assert "partial_sum(_by" in p
+
+
 def test_timeline_limits_before_shuffle(spark):
     p = plan(catalog.QUERIES["customer_timeline"](spark, SMALL))
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_sweep_single_scan_of_events(spark):
+def test_sweep_adds_no_scan_of_events(spark):
     p = formatted(catalog.QUERIES["threshold_sweep"](spark, SMALL))
-    assert p.count("events.parquet") == 1
+    assert p.count("events.parquet") == formatted(catalog.QUERIES["tx_count_5min"](spark, SMALL)).count("events.parquet") == 2
 
 
 def test_scan_prunes_columns(spark):
@@ -62,15 +89,14 @@ def test_no_python_evaluation_in_any_query(spark):
 
 
 def test_fact_scans_read_only_needed_columns(spark):
-    import re
-
     def read_cols(name):
         p = formatted(catalog.QUERIES[name](spark, SMALL))
         blocks = re.findall(r"events\.parquet\]\n(?:PushedFilters: [^\n]*\n)?ReadSchema: struct<([^>]*)>", p)
         return [{c.split(":")[0] for c in b.split(",")} for b in blocks]
 
     # KPIs need the score (amount, category, time, customer) but no id or merchant
-    assert read_cols("kpi_summary") == [{"ts", "user_id", "event_type", "value"}]
+    # (the second pass is that of the grains' totals)
+    assert sorted(read_cols("kpi_summary"), key=len) == [{"ts", "user_id"}, {"ts", "user_id", "event_type", "value"}]
     # the z-score: the main pass reads id, customer and amount; the statistics
     # pass only customer (for the join) and amount
     got = sorted(read_cols("amount_zscore"), key=len)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.columns import epoch_micros, foreign_flag, hour_of_day, log_amount
-from txrisk.params import MICROS_PER_SECOND, ScoringParams
+from txrisk.params import ScoringParams
 
 COUNT_COLUMN = "tx_count_5min"
 
@@ -40,8 +40,9 @@ def trailing_count(
     rows in the last window of a bucket are needed by the next bucket; those
     (``1 / bucket_factor`` of the rows, key and time only) are copied forward
     and the copies are counted but not emitted. A hot key is thus spread over
-    as many tasks as it has buckets. Where a bucket of one key is still too
-    much for a task, see ``trailing_count_grains``.
+    as many tasks as it has buckets. One scan and one exchange, for short windows;
+    a bucket of one key grows with the window, which ``trailing_count_grains``
+    avoids and scoring therefore uses.
     """
     if bucket_factor < 1:
         raise ValueError("bucket_factor must be >= 1")
@@ -198,7 +199,5 @@ def features(tx: DataFrame, p: ScoringParams) -> DataFrame:
 
 
 def counted(df: DataFrame, p: ScoringParams) -> DataFrame:
-    """The trailing count in the form that the parameters ask for."""
-    if p.grain_seconds:
-        return trailing_count_grains(df, p.window_micros, p.grain_seconds * MICROS_PER_SECOND)
-    return trailing_count(df, p.window_micros, p.bucket_factor)
+    """The trailing count, split at the parameters' grains whatever the data's size."""
+    return trailing_count_grains(df, p.window_micros, p.grain_micros)

@@ -27,12 +27,8 @@ class ScoringParams:
     risky_count: int = 6
     # trailing event-time window of the per-customer count, in seconds
     window_seconds: int = 300
-    # the count window is computed per (customer, time bucket); a bucket is
-    # ``bucket_factor`` windows long, so only 1/bucket_factor of the rows are
-    # copied into the next bucket and a hot customer is split across buckets
-    bucket_factor: int = 4
-    # set where a customer's rows of ``bucket_factor`` windows are too much for
-    # one task: the count is then split at grains of that many seconds
+    # the count is split at grains of time, so that a task's group is one grain of
+    # one customer however long the window; None: a 24th of the window, a second at least
     grain_seconds: int | None = None
     alert_threshold: float = 0.80
     # severity bands of an alert
@@ -51,6 +47,12 @@ class ScoringParams:
     def window_micros(self) -> int:
         return self.window_seconds * MICROS_PER_SECOND
 
+    @property
+    def grain_micros(self) -> int:
+        if self.grain_seconds is not None:
+            return self.grain_seconds * MICROS_PER_SECOND
+        return max(MICROS_PER_SECOND, self.window_micros // 24)
+
     @staticmethod
     def fixture() -> "ScoringParams":
         """Values that fit the test tables (one-day window)."""
