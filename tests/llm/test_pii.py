@@ -70,6 +70,62 @@ def test_skip_potentials_spread_labels():
     assert pii.added_spans("bosbt.42 and 555-6503 and 555-6503", [], FLAT) == []
 
 
+PARTS = {
+    "email": lambda d: [d.partition("@")[0]],
+    "card": lambda d: [d[-8:], f"{d[-8:-4]} {d[-4:]}", f"{d[-8:-4]}-{d[-4:]}."],
+    "phone": lambda d: [d[-8:], f"{d[-7:-4]}-{d[-4:]}", f"{d[-8:-4]} {d[-4:]}."],
+}
+
+
+def test_the_fitted_field_finds_repeats(spark):
+    """On the field that the query fits: pattern labels hidden from it, and parts of a
+    document's own spans written again behind it. Nothing is added without a repeat."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    field = pii.fit(table)
+    hidden, planted = [], {k: [] for k in PARTS}
+    for r in table.select("text").collect():
+        text = r.text or ""
+        base = pii.base_spans(text)
+        w = pii.words_of(text, base)
+        if not base:
+            assert not pii.added_spans(text, base, field)
+            continue
+        assert len(pii.added_spans(text, base, field)) <= len(pii.unobserved(w))
+        for i, j in w.skip:
+            if w.labels[i] and w.labels[j]:
+                hidden.append(pii.posteriors(w, field, hide=j)[j, w.labels[j]] >= pii.SURE)
+        for a, k, b in base:
+            datum = text[a:b] if pii.KINDS[k] == "email" else "".join(c for c in text[a:b] if c.isdigit())
+            for part in PARTS.get(pii.KINDS[k], lambda d: [])(datum):
+                longer = f"{text} some prose, then {part} 3 times"
+                part = part.rstrip(".")
+                if len(pii.normal_form(part)) >= pii.LEAST_FORM and pii.base_spans(longer) == base:
+                    planted[pii.KINDS[k]].append(part in [longer[x:y] for x, _, y in pii.added_spans(longer, base, field)])
+    assert len(hidden) >= 50 and np.mean(hidden) >= 0.9
+    for kind, found in planted.items():
+        assert len(found) >= 100 and np.mean(found) >= 0.9, (kind, np.mean(found))
+
+
+def test_repeats_are_left_unobserved_in_the_fit():
+    """Repeats that no pattern matches, many of them: as label 0 they would teach the field to
+    leave them out; unobserved they are found, while the same shape elsewhere stays out."""
+    rnd = random.Random(8)
+    words, agree = [], 0
+    chain = np.ones((pii.LABELS, pii.LABELS))
+    for _ in range(300):
+        d = "".join(rnd.choice("123456789") for _ in range(10))
+        text = f"call +1 {d[:3]} {d[3:6]}-{d[6:]} or {d[3:6]}-{d[6:]}, id {rnd.randint(100, 999)}-{rnd.randint(1000, 9999)}"
+        w = pii.words_of(text, pii.base_spans(text))
+        tied = pii.unobserved(w)
+        assert list(tied.values()) == [4]
+        words += [(*f, y, tied.get(i, 0), 1) for i, (f, y) in enumerate(zip(w.features.tolist(), w.labels.tolist()))]
+    field = pii.potentials(np.array(words), chain, agree, 0)
+    text = "call +1 234 567-8901 some day. Or 567-8901, not 667-8901"
+    assert [(pii.KINDS[k], text[a:b]) for a, k, b in pii.added_spans(text, pii.base_spans(text), field)] == [("phone", "567-8901")]
+    none = pii.potentials(np.zeros((0, len(pii.SIZES) + 3), int), chain, 0, 0)
+    assert np.isfinite(none.skip) and not none.emission.any()
+
+
 def test_masking():
     text = "a b@c.de +1 234 567 8901x"
     spans = [(*s, True) for s in pii.base_spans(text)]

@@ -7,7 +7,10 @@ has an emission score from its shape, neighbouring words share a chain potential
 and distant words of the same normal form share a skip potential. Loopy message passing spreads the labels of the patterns' spans over
 a document, so that a number or name written once with and once without the
 parts that the pattern asks for gets one label. Emissions, chain and skip
-potentials are fitted to the patterns' own labels on a sample of documents.
+potentials are fitted to the patterns' own labels on a sample of documents. What no
+pattern matches but repeats a pattern's span has no label there: it is left
+unobserved, and its share of each label is estimated (EM), so the field does not
+learn from its own blind spot that repeats are no personal data.
 """
 
 from __future__ import annotations
@@ -32,6 +35,9 @@ SURE = 0.9
 ROUNDS, DAMPING = 12, 0.3
 #: Shortest normal form that shares a skip potential.
 LEAST_FORM = 6
+#: Skip edges taken to agree before any is seen: that two words of a document share so
+#: long a form by coincidence is put at less than one in a thousand.
+PRIOR_PAIRS = 1000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -179,7 +185,8 @@ def words_of(text: str, base: list[tuple[int, int, int]]) -> Words:
     before = -2
     repeats, hubs = [], {}
     for first, last, start, end, span in nodes_of(text, base):
-        w = "".join(text[start:end].split()) if last > first else text[start:end]
+        # as in the spans, the sentence's punctuation is no part of a word's shape
+        w = "".join(text[start:end].split()).lstrip("\"'<[,;:").rstrip(".,;:!?\"'>]")
         digits = len(_DIGIT.findall(w))
         while k and base[k - 1][2] > start:
             k -= 1
@@ -252,11 +259,53 @@ def fit_emission(features: np.ndarray, labels: np.ndarray, weight: np.ndarray, s
     return w
 
 
+def unobserved(w: Words) -> dict[int, int]:
+    """Nodes that no pattern touches but a skip edge ties to one it does, with that one's label."""
+    out = {}
+    for i, j in w.skip:
+        if (w.labels[i] > 0) != (w.labels[j] > 0):
+            out.setdefault(*((j, int(w.labels[i])) if w.labels[i] else (i, int(w.labels[j]))))
+    return out
+
+
+def logit(p: float) -> float:
+    return float(np.log(p / (1 - p)))
+
+
+def potentials(words: np.ndarray, chain: np.ndarray, agree: int, pairs: int, rounds: int = 4) -> Field:
+    """The field from counts.
+
+    ``words``: rows of features, label, label that a repeat is tied to (0: observed), count;
+    ``chain``: (labels, labels) counts of neighbours; of ``pairs`` skip edges between two
+    nodes with a pattern's label ``agree`` have equal ones. The skip bonus is by how much
+    one form raises the log odds of one label over those of any two nodes (``PRIOR_PAIRS``
+    agree beforehand, so that a few pairs, or none, do not hide the rule); it and the
+    chain come from observed nodes alone, the emissions also from the repeats' posteriors.
+    """
+    features, y, tied, n = words[:, : len(SIZES)], words[:, -3], words[:, -2], words[:, -1].astype(float)
+    seen = tied == 0
+    share = np.bincount(y[seen], n[seen], LABELS) + 1.0
+    share /= share.sum()
+    chance = float((share[1:] ** 2).sum() / share[1:].sum())
+    skip = float(np.clip(logit((agree + PRIOR_PAIRS + 0.5) / (pairs + PRIOR_PAIRS + 1)) - logit(chance), 2, 12))
+    by_chance = chain.sum(1, keepdims=True) * chain.sum(0, keepdims=True) / chain.sum()
+    field = Field(fit_emission(features[seen], y[seen], n[seen]), np.clip(np.log(chain / by_chance), -3, 3), skip)
+    for _ in range(rounds if (~seen).any() else 0):
+        s = field.scores(features[~seen])
+        s[np.arange(len(s)), tied[~seen]] += skip
+        p = np.exp(s - s.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        soft = (p * n[~seen, None]).ravel()
+        every = np.concatenate([features[seen], np.repeat(features[~seen], LABELS, 0)])
+        field.emission = fit_emission(every, np.concatenate([y[seen], np.tile(np.arange(LABELS), len(p))]), np.concatenate([n[seen], soft]))
+    return field
+
+
 def fit(docs: DataFrame, text: str = "text", rows: int = TRAIN_DOCS) -> Field:
     """Potentials from the patterns' labels in about ``rows`` documents, one for each id
     (rows without an id are not learnt from; of several the least text is).
 
-    Tasks hand on counts of feature tuples and of label pairs, not texts.
+    Tasks hand on counts of feature tuples and of label pairs, not texts. See ``potentials``.
     """
     frame = hash_sample(docs.select(F.col("doc_id"), whole_text(text).alias("t")), "doc_id", rows).select("t")
     ship(docs.sparkSession)
@@ -268,9 +317,10 @@ def fit(docs: DataFrame, text: str = "text", rows: int = TRAIN_DOCS) -> Field:
                 if "@" not in t and not _DIGIT.search(t):
                     continue
                 w = words_of(t, base_spans(t))
-                counts.update(("word", *f, y, 0) for f, y in zip(w.features.tolist(), w.labels.tolist()))
+                tied = unobserved(w)
+                counts.update(("word", *f, y, tied.get(i, 0)) for i, (f, y) in enumerate(zip(w.features.tolist(), w.labels.tolist())))
                 for kind, pairs in (("chain", w.chain), ("skip", w.skip)):
-                    counts.update((kind, 0, 0, 0, 0, 0, int(w.labels[i]), int(w.labels[j])) for i, j in pairs)
+                    counts.update((kind, 0, 0, 0, 0, 0, int(w.labels[i]), int(w.labels[j])) for i, j in pairs if i not in tied and j not in tied)
         keys = list(counts)
         cols = [pa.array([k[0] for k in keys], pa.string())] + [pa.array([k[i] for k in keys], pa.int32()) for i in range(1, 8)]
         yield pa.RecordBatch.from_arrays([*cols, pa.array([counts[k] for k in keys], pa.int64())], names=["what", *[f"f{i}" for i in range(5)], "y", "z", "n"])
@@ -278,18 +328,11 @@ def fit(docs: DataFrame, text: str = "text", rows: int = TRAIN_DOCS) -> Field:
     named = [*[f"f{i}" for i in range(5)], "y", "z"]
     got = frame.mapInArrow(run, "what string, " + ", ".join(f"{c} int" for c in named) + ", n bigint").groupBy("what", *named).agg(F.sum("n").alias("n")).toPandas()
     got = got.sort_values(["what", *named])
-    word = got[got.what == "word"]
-    emission = fit_emission(word[named[:5]].to_numpy(int), word.y.to_numpy(int), word.n.to_numpy(float))
-    pairs = {}
-    for kind in ("chain", "skip"):
-        m = np.ones((LABELS, LABELS))  # one of each beforehand
-        own = got[got.what == kind]
-        np.add.at(m, (own.y.to_numpy(int), own.z.to_numpy(int)), own.n.to_numpy(float))
-        pairs[kind] = m / m.sum()
-    by_chance = pairs["chain"].sum(1, keepdims=True) * pairs["chain"].sum(0, keepdims=True)
-    agree, chance = np.trace(pairs["skip"]), (pairs["skip"].sum(1) * pairs["skip"].sum(0)).sum()
-    odds = np.log(agree / (1 - agree)) - np.log(chance / (1 - chance))
-    return Field(emission, np.clip(np.log(pairs["chain"] / by_chance), -3, 3), float(np.clip(odds, 2, 8)))
+    chain = np.ones((LABELS, LABELS))  # one of each beforehand
+    near = got[got.what == "chain"]
+    np.add.at(chain, (near.y.to_numpy(int), near.z.to_numpy(int)), near.n.to_numpy(float))
+    same = got[(got.what == "skip") & (got.y > 0) & (got.z > 0)]
+    return potentials(got[got.what == "word"][[*named, "n"]].to_numpy(int), chain, int(same.n[same.y == same.z].sum()), int(same.n.sum()))
 
 
 # -- inference ----------------------------------------------------------------------
@@ -320,33 +363,35 @@ def marginals(scores: np.ndarray, edges: np.ndarray, potentials: np.ndarray) ->
     return p / p.sum(1, keepdims=True)
 
 
+def posteriors(w: Words, field: Field, hide: int | None = None) -> np.ndarray:
+    """Marginals given the patterns' labels, that of the node ``hide`` left out."""
+    scores = field.scores(w.features)
+    seen = w.labels > 0
+    if hide is not None:
+        seen[hide] = False
+    scores[seen] = -20.0
+    scores[seen, w.labels[seen]] = 20.0
+    same = field.skip * np.eye(LABELS)
+    edges = np.array(w.chain + w.skip, int).reshape(-1, 2)
+    return marginals(scores, edges, np.array([field.chain] * len(w.chain) + [same] * len(w.skip)))
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> list[tuple[int, int, int]]:
     """Spans that the field adds to the patterns'.
 
     A word is taken if its marginal is sure, no pattern span touches it, and a
-    skip potential ties it to a word of a pattern's span, or a chain potential to
-    a word taken so. Words taken side by side with one label make one span.
+    skip potential ties it to a word of a pattern's span. Words taken side by side
+    with one label make one span.
     """
     if not base:
         return []  # nothing to be consistent with
     w = words_of(text, base)
     if not any((w.labels[i] > 0) != (w.labels[j] > 0) for i, j in w.skip):
         return []
-    scores = field.scores(w.features)
-    seen = w.labels > 0
-    scores[seen] = -20.0
-    scores[seen, w.labels[seen]] = 20.0
-    same = field.skip * np.eye(LABELS)
-    edges = np.array(w.chain + w.skip, int).reshape(-1, 2)
-    p = marginals(scores, edges, np.array([field.chain] * len(w.chain) + [same] * len(w.skip)))
+    p, seen = posteriors(w, field), w.labels > 0
     best = p.argmax(1)
     sure = (p.max(1) >= SURE) & (best > 0) & ~seen
     taken = {i if seen[h] else h for h, i in w.skip if seen[h] != seen[i] and sure[i if seen[h] else h]}
-    for order in (w.chain, w.chain[::-1]):
-        for i, j in order:
-            for x, y in ((i, j), (j, i)):
-                if x in taken and sure[y] and best[x] == best[y]:
-                    taken.add(y)
     out: list[list[int]] = []
     joined = set(w.chain)
     last = -2
