@@ -120,9 +120,9 @@ def test_pairs_of_a_copied_group_stay_few(spark):
     seen = []
     inner = dedup.links
 
-    def spy(d, t, n, candidates):
+    def spy(d, t, n, candidates, within):
         seen.append(candidates.count())
-        return inner(d, t, n, candidates)
+        return inner(d, t, n, candidates, within)
 
     dedup.links = spy
     try:
@@ -149,3 +149,56 @@ def test_stage_decides_by_row_where_ids_repeat_or_are_null(spark):
     kept = [(r.doc_id, r.text) for r in dedup.stage_dedup(spark, docs(spark, rows), SMALL).collect()]
     groups = sorted((i or 0, t.split()[0]) for i, t in kept)
     assert groups == [(0, "d0"), (0, "e0"), (1, "a0"), (2, "b0"), (3, "c0")]
+
+
+def site(rnd, pages, same=57, own=17):
+    """Pages of one template, alike at about 0.55: most words in common, each its own in one stretch."""
+    head, tail = [f"h{i}" for i in range(same // 2)], [f"t{i}" for i in range(same - same // 2)]
+    return [" ".join(head + [f"p{rnd.randrange(10**9)}" for _ in range(own)] + tail) for _ in range(pages)]
+
+
+def test_pages_of_a_template_make_no_pairs(spark, monkeypatch):
+    """Unlinked pages share buckets but no rare shingle; copies among them are found all the same."""
+    rnd = random.Random(3)
+    texts = site(rnd, 300)
+    for i in range(0, 60, 3):  # a page again with a word more, and again with two
+        texts += [texts[i] + " more", texts[i] + " more still"]
+    rows = list(enumerate(texts, 1))
+    rnd.shuffle(rows)
+    seen = []
+    inner = dedup.prefix_pairs
+    monkeypatch.setattr(dedup, "prefix_pairs", lambda *a: seen.append(inner(*a)) or seen[-1].persist())
+    monkeypatch.setattr(dedup, "GROUP_ROWS", 7)
+    counts = []
+    links = dedup.links
+    monkeypatch.setattr(dedup, "links", lambda d, t, n, c, w: counts.append(c.count()) or links(d, t, n, c, w))
+    got = {r.doc_id: r for r in dedup.near_duplicates(docs(spark, rows)).collect()}
+    for (i, _), (size, smallest) in zip(rows, brute(rows)):
+        assert (got[i].n_shingles, got[i].component_id) == (size, smallest), i
+    assert len(seen) == 1 and counts[-1] <= 200
+
+
+def test_prefixes_of_linked_sets_meet():
+    """For any counts: the larger set's prefix meets the smaller one's shorter prefix."""
+    rng = np.random.default_rng(6)
+    for _ in range(3000):
+        n = int(rng.integers(1, 60))
+        x = rng.choice(10**6, n, replace=False).astype(np.uint64)
+        keep = x[rng.random(n) < 0.9]
+        y = np.unique(np.concatenate([keep, rng.integers(10**6, 2 * 10**6, int(rng.integers(0, n // 5 + 1))).astype(np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if not len(y) or 100 * both < 75 * (len(x) + len(y) - both):
+            continue
+        x, y = sorted((x, y), key=len, reverse=True)
+        counts = rng.integers(0, 4, dedup.COUNTERS)
+        low = len(y) - -(-150 * len(y) // 175) + 1
+        assert np.intersect1d(dedup.prefix(x, counts), dedup.prefix(y, counts)[:low]).size
+
+
+def test_nothing_but_the_result_stays_in_the_shared_folder(spark):
+    import os
+
+    place = dedup.folder(spark)
+    before = set(os.listdir(place)) if os.path.isdir(place) else set()
+    dedup.near_duplicates(docs(spark, families(2, groups=2))).count()
+    assert [n.rsplit("-", 1)[0] for n in set(os.listdir(place)) - before] == ["near-duplicates"]

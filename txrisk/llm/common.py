@@ -102,10 +102,15 @@ def hash_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return least.select(*[F.col(key) if c == key else F.col("_least")[c].alias(c) for c in df.columns])
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def folder(spark: SparkSession, within: str = "") -> str:
+    """Where ``written`` puts its tables, those of one run ``within`` a folder of its own."""
+    return os.path.join(shared_folder(spark), "llm", within)
+
+
+def written(df: DataFrame, name: str, within: str = "") -> tuple[DataFrame, str]:
     """Cut the lineage: write the frame as a table in the shared folder and read it again."""
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark), "llm", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(folder(spark, within), f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

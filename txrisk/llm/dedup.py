@@ -10,21 +10,28 @@ decided on the full sets.
 Only components are asked for, so pairs within a component need no test. First
 each member of a band's bucket is tested against the bucket's smallest member;
 then, where a bucket still spans several components, against a member chosen
-anew for that bucket; then the remaining pairs of different components are
-joined, under the conditions on size and estimate. So a group of m near copies
-costs about m tests, and no pair of different components that shares a band key
-stays untested.
+anew for that bucket. So a group of m near copies costs about m tests.
+
+What then shares a bucket with another component is mostly texts that are alike
+but not linked, such as pages of one site's template, and pairs of them would
+grow with the square of their number. They are refined by prefixes instead: with
+the shingles of each set in one order, rarest first, two linked sets must share
+one among the first few, and pages of a template differ in just these. So no
+pair of different components that shares a band key goes untested, but only
+pairs that share a necessary shingle are made.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import discard, map_batches, read, ship, texts_of, whole_text, written
+from txrisk.llm.common import discard, folder, map_batches, read, ship, texts_of, whole_text, written
 from txrisk.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -163,14 +170,14 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return made.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
 
-def links(docs: DataFrame, text: str, nodes: DataFrame, candidates: DataFrame) -> tuple[DataFrame, str]:
+def links(docs: DataFrame, text: str, nodes: DataFrame, candidates: DataFrame, within: str = "") -> tuple[DataFrame, str]:
     """Those of the ``candidates`` (a, b) whose full sets reach the threshold, as a written table and its place."""
     about = nodes.select(F.col("node").alias("k"), "id", "n", "sig")
     side = lambda x: about.select(*[F.col(c).alias(x + c) for c in about.columns])
     near = candidates.join(side("a"), F.col("a") == F.col("ak")).join(side("b"), (F.col("b") == F.col("bk")) & may_link("a", "b"))
-    near, near_at = written(near.select("a", "aid", "b", "bid"), "candidates")
+    near, near_at = written(near.select("a", "aid", "b", "bid"), "candidates", within)
     wanted = near.select(F.col("aid").alias("id"), F.col("a").alias("node")).union(near.select("bid", "b"))
-    sets, sets_at = written(sets_of(docs, text, wanted), "sets")
+    sets, sets_at = written(sets_of(docs, text, wanted), "sets", within)
     pairs = near.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("set").alias("bset")), "b")
     pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("aset")), "a").select("a", "b", "aset", "bset")
 
@@ -187,7 +194,7 @@ def links(docs: DataFrame, text: str, nodes: DataFrame, candidates: DataFrame) -
 
         return batch
 
-    out, at = written(map_batches(pairs, ["a", "b"], "linked boolean", make).filter("linked").select("a", "b"), "links")
+    out, at = written(map_batches(pairs, ["a", "b"], "linked boolean", make).filter("linked").select("a", "b"), "links", within)
     discard(docs.sparkSession, near_at)
     discard(docs.sparkSession, sets_at)
     return out, at
@@ -199,55 +206,127 @@ def may_link(x: str, y: str) -> Column:
     return sizes & (estimate(x + "sig", y + "sig") >= LEAST_ESTIMATE)
 
 
-def first_in_common(x: str, y: str) -> Column:
-    """The band of the first equal keys, so that a pair is made once and not in each bucket it shares."""
-    return F.array_position(F.zip_with(x, y, lambda p, q: p == q), F.lit(True)) - 1
+#: Counters of shingles by hash, for the order of the prefixes: 2 MB, whatever the data.
+COUNTERS = 2**18
+#: Members of one shingle's group that meet in one task.
+GROUP_ROWS = 1000
+
+
+def counter(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def counted(sets: DataFrame) -> np.ndarray:
+    """How many of the shingles in ``sets`` fall on each counter, summed up in the cluster."""
+    ship(sets.sparkSession)
+
+    def run(batches):
+        total = np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            for s in b.column(0).to_pylist():
+                np.add.at(total, counter(np.frombuffer(s, np.uint64)), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    sums = sets.select("set").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTERS, np.int64)
+    out[sums["at"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    return out
+
+
+def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles by (count, value), of which a linked set of at most this size holds
+    one. Any order does that is one for all sets; by counts the groups are small."""
+    n = len(shingles)
+    order = np.lexsort((shingles, counts[counter(shingles)]))
+    return shingles[order[: n + 1 + (-PERCENT * n) // 100]]
+
 
+def prefix_pairs(docs: DataFrame, text: str, nodes: DataFrame, members: DataFrame, within: str) -> DataFrame:
+    """Pairs (a, b) of ``members`` (node, root) of different roots whose sets may be linked.
 
-def linked(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """(node, root) of the nodes that some link joins to a smaller one."""
+    Linked sets x and y, y not the larger, have in common at least 75 % of x and
+    150/175 of y. So they share a shingle of x's prefix (all but so many, and one)
+    and of y's, which is shorter; and of the first shared one's places in either
+    follows how much they can share at most. A shingle's group is dealt to salts.
+    Members of its commonest root, one large group of near copies maybe, meet the
+    others but not each other.
+    """
+    about = members.select("node", "root").distinct().join(nodes.select("node", "id", "n"), "node")
+    about, _ = written(about, "open", within)
+    sets, _ = written(sets_of(docs, text, about.select("id", "node")).join(about.select("node", "root", "n"), "node"), "open-sets", within)
+    counts = counted(sets)
+
+    def make():
+        def batch(b):
+            return [pa.array([prefix(np.frombuffer(s, np.uint64), counts).view(np.int64) for s in texts_of(b, "set")], pa.list_(pa.int64()))]
+
+        return batch
+
+    rows = map_batches(sets, ["node", "root", "n"], "prefix array<bigint>", make)
+    rows, _ = written(rows.select("node", "root", "n", F.posexplode("prefix").alias("place", "s")), "prefixes", within)
+    by_root = rows.groupBy("s", "root").agg(F.count("*").alias("m"))
+    groups = by_root.groupBy("s").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("m"), F.count("*").alias("roots")).filter("roots > 1")
+    groups, _ = written(groups.select("s", "main", F.ceil(F.col("m") / GROUP_ROWS).cast("int").alias("salts")), "groups", within)
+    live = rows.join(groups, "s").select("s", "salts", "node", "root", "n", "place", (F.col("root") == F.col("main")).alias("main"))
+    live, _ = written(live, "shared", within)
+
+    both = 100 + PERCENT
+    least = F.expr(f"({2 * PERCENT} * n + {both - 1}) div {both}")
+    meets = F.when(F.col("main"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    y = live.filter(F.col("place") < F.col("n") - least + 1).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    y = y.select("s", "salt", F.explode(meets).alias("main"), *[F.col(c).alias("y" + c) for c in ("node", "root", "n", "place")])
+    x = live.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
+    pairs = x.join(y, ["s", "salt", "main"]).filter(
+        (F.col("root") != F.col("yroot"))
+        & (F.struct("yn", "ynode") < F.struct("n", "node"))
+        & (100 * F.col("yn") >= PERCENT * F.col("n"))
+        & (both * F.least(F.col("n") - F.col("place"), F.col("yn") - F.col("yplace")) >= PERCENT * (F.col("n") + F.col("yn")))
+    )
+    return pairs.select(F.least("node", "ynode").alias("a"), F.greatest("node", "ynode").alias("b")).distinct()
+
+
+def linked(docs: DataFrame, text: str, nodes: DataFrame, within: str) -> DataFrame:
+    """(node, root) of the nodes that some link joins to a smaller one.
+
+    What is joined to all members of a bucket is a written table, so that it is
+    sent to the tasks where small, and a hot bucket's members are split where not.
+    """
     spark = docs.sparkSession
-    bands = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    bands = nodes.select("node", F.explode("bands").alias("key"))
     leaders = bands.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").select("key", "a")
+    leaders, _ = written(leaders, "leaders", within)
     # all that later rounds need: the buckets of several members
-    buckets, buckets_at = written(bands.join(leaders, "key").select("key", "band", "node", "a"), "buckets")
-    found, found_at = links(docs, text, nodes, buckets.filter("node <> a").select("a", F.col("node").alias("b")).distinct())
-    roots = components(found.toDF("u", "v"))
+    buckets, _ = written(bands.join(leaders, "key").select("key", "node", "a"), "buckets", within)
+    found, found_at = links(docs, text, nodes, buckets.filter("node <> a").select("a", F.col("node").alias("b")).distinct(), within)
+    roots = components(found.toDF("u", "v"), within)
     discard(spark, found_at)
 
     for closing in (False, True):
-        now = buckets.join(roots, "node", "left").select("key", "band", "node", F.coalesce("root", "node").alias("root"))
+        now = buckets.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        now, now_at = written(now, "rooted", within)
         spans = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        members, at = written(now.join(spans, "key"), "open-buckets")
+        spans, _ = written(spans, "spans", within)
+        members, at = written(now.join(spans, "key"), "open-buckets", within)
+        discard(spark, now_at)
         if closing:
-            short = F.transform("bands", lambda k: (k % F.lit(2**31)).cast("int"))
-            full = members.join(nodes.select("node", "n", "sig", short.alias("keys")), "node")
-            side = lambda x: full.select("key", *[F.col(c).alias(x + c) for c in ("band", "node", "root", "n", "sig", "keys")])  # noqa: B023, E731
-            more = side("a").join(
-                side("b").withColumnRenamed("key", "bkey"),
-                (F.col("key") == F.col("bkey"))
-                & (F.col("anode") < F.col("bnode"))
-                & (F.col("aroot") != F.col("broot"))
-                & may_link("a", "b")
-                & (first_in_common("akeys", "bkeys") == F.col("aband")),
-            )
-            more = more.select(F.col("anode").alias("a"), F.col("bnode").alias("b"))
+            more = prefix_pairs(docs, text, nodes, members, within)
         else:
             chosen = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "root")).alias("c"))
+            chosen, _ = written(chosen, "chosen", within)
             more = members.join(chosen, "key").filter(F.col("root") != F.col("c.root")).select(F.col("c.node").alias("a"), F.col("node").alias("b")).distinct()
-        found, found_at = links(docs, text, nodes, more)
+        found, found_at = links(docs, text, nodes, more, within)
         discard(spark, at)
         known = lambda x: roots.select(F.col("node").alias(x + "k"), F.col("root").alias(x + "r"))  # noqa: B023, E731
         joined = found.join(known("a"), F.col("a") == F.col("ak"), "left").join(known("b"), F.col("b") == F.col("bk"), "left")
-        over = components(joined.select(F.coalesce("ar", "a").alias("u"), F.coalesce("br", "b").alias("v")))
+        over = components(joined.select(F.coalesce("ar", "a").alias("u"), F.coalesce("br", "b").alias("v")), within)
         discard(spark, found_at)
         if over.isEmpty():
             continue
         moved = over.select(F.col("node").alias("o"), F.col("root").alias("to"))
         old = roots.join(moved, F.col("root") == F.col("o"), "left").select("node", F.coalesce("to", "root").alias("root"))
         # roots that were moved, and nodes that had no link before
-        roots, _ = written(old.unionByName(over), "roots")
-    discard(spark, buckets_at)
+        roots, _ = written(old.unionByName(over), "roots", within)
     return roots
 
 
@@ -262,14 +341,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str | None = None)
     any number of copies costs one row in what follows, and every row, repeated
     ones too, is returned. A null id is no candidate for a component's smallest,
     and such a row is kept only if its component has no id at all. An empty table
-    gives an empty one. Only ``doc_id`` and the text are read.
+    gives an empty one. Only ``doc_id`` and the text are read. The result is a
+    written table; the tables that led to it are gone.
     """
+    within = f"duplicates-{uuid.uuid4().hex}"
+    out, _ = written(_placed(docs, text, key, within), "near-duplicates")
+    discard(docs.sparkSession, folder(docs.sparkSession, within))
+    return out
+
+
+def _placed(docs: DataFrame, text: str, key: str | None, within: str) -> DataFrame:
     docs = docs.select("doc_id", text, *([key] if key else []))
-    rows, _ = written(signed(docs, ["doc_id", *([key] if key else [])], text), "signatures")
+    rows, _ = written(signed(docs, ["doc_id", *([key] if key else [])], text), "signatures", within)
     order = F.struct(F.col("c0").isNull().alias("last"), "c0", *(["c1"] if key else []))
     nodes = rows.filter("n > 0").groupBy("node").agg(F.min("c0").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
-    nodes, _ = written(nodes, "nodes")
-    roots = linked(docs, text, nodes)
+    nodes, _ = written(nodes, "nodes", within)
+    roots = linked(docs, text, nodes, within)
     placed = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("id").alias("component_id"))
     owner = placed.join(smallest, "root").select("node", "component_id")
@@ -300,14 +387,13 @@ def stage_dedup(spark, docs, sf_dir):
     """
     told = F.unhex(F.sha2(whole_text("text").cast("binary"), 256))
     state = near_duplicates(docs.select("doc_id", "text", told.alias("__dup_text")), key="__dup_text")
-    state, state_at = written(state.select(F.col("doc_id").alias("__dup_id"), "__dup_text", "kept"), "states")
+    state = state.select(F.col("doc_id").alias("__dup_id"), "__dup_text", "kept")
     by_id = state.groupBy("__dup_id").agg(F.bool_or("kept").alias("__dup_kept"), F.count("*").alias("__dup_rows"))
     # ids that go, and kept ids of several rows: mostly few, so that the texts need no shuffle
     other, _ = written(by_id.filter("not __dup_kept or __dup_rows > 1"), "not-kept-once")
     several = other.filter("__dup_kept").select(F.col("__dup_id").alias("__dup_of"))
     stay = state.filter("kept").join(several, F.col("__dup_id").eqNullSafe(F.col("__dup_of")), "left_semi").select("__dup_id", "__dup_text").distinct()
     stay, _ = written(stay, "kept-of-several")
-    discard(spark, state_at)
     same = F.col("doc_id").eqNullSafe(F.col("__dup_id"))
     once = docs.join(other.select("__dup_id"), same, "left_anti")
     more = docs.join(stay, same & (told == F.col("__dup_text")), "left_semi").dropDuplicates(["doc_id", "text"])
