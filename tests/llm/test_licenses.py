@@ -39,6 +39,48 @@ def test_alignment_is_increasing_and_equal():
     assert len(licenses.align(edited, whole)) >= 27
 
 
+def test_finds_equal_alignment_at_every_place(spark):
+    """Random damaged copies: what is found from the rare words' places is what alignment at all places finds.
+
+    The templates share no words: a stray one can widen a stretch that is found from another place.
+    """
+    rnd = random.Random(8)
+    word = lambda of: f"{of}{rnd.randrange(40)}"
+    templates = [(f"L{i}", " ".join(word(i) for _ in range(n))) for i, n in enumerate((30, 45, 60))]
+    texts = []
+    for _ in range(60):
+        out = [word("x") for _ in range(rnd.randrange(40))]
+        for _ in range(rnd.randrange(3)):
+            for w in rnd.choice(templates)[1].split():
+                kind = rnd.random()
+                out += [] if kind < 0.08 else [w, "other"] if kind < 0.14 else [w]
+            out += ["plain"] * rnd.randrange(5, 40)
+        texts.append(" ".join(out))
+    scanner = licenses.scanner(docs(spark, list(enumerate(texts))), templates, "text")
+    some = 0
+    for text in texts:
+        ids = [scanner.vocabulary.get(w, -1) for w in licenses.words_of(text)]
+        found = []
+        for t in scanner.templates:
+            n = len(t.words)
+            for s in range(-n, len(ids)):
+                for slack in (0, n // 4 + 2, n):
+                    low = max(0, s - slack)
+                    pairs = licenses.align(ids[low : max(0, s + n + slack)], t.words)
+                    if len(pairs) >= t.least:
+                        found.append((len(pairs), low + pairs[0][0], low + pairs[-1][0] + 1, t.name))
+                        break
+        best = []
+        for _, a, b, name in sorted(found, key=lambda f: (-f[0], f[2] - f[1], f[1], f[3])):
+            if all(b <= x or a >= y for x, y, _ in best):
+                best.append((a, b, name))
+        got = scanner.find(text)[1]
+        assert [f[2] for f in got] == [f[2] for f in sorted(best)], text
+        assert all(a < y and x < b for (a, b, *_), (x, y, _) in zip(got, sorted(best)))
+        some += len(got)
+    assert some > 30
+
+
 def test_planted_notices_and_odd_rows(spark):
     mit = licenses.TEMPLATES[6][1]
     reflowed = mit.replace(" ", "\n ").replace("Software", "software").replace("merge, ", "")

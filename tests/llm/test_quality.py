@@ -41,6 +41,46 @@ def test_trees_are_monotonic_and_learn():
         assert (sign * np.diff(p, axis=1) >= -1e-12).all()
 
 
+def test_node_arrays_equal_a_slow_walk():
+    """Scores by arrays against a walk down each tree, row by row."""
+    rng = np.random.default_rng(2)
+    x = np.round(rng.uniform(size=(400, 3)), 2)  # many values that equal a threshold
+    y = (x[:, 0] * x[:, 1] + 0.1 * rng.normal(size=400) > 0.3).astype(float)
+    trees = quality.fit_trees(x, y, [1, 0, 0], trees=12)
+    got = trees.probability(x)
+    for row, p in zip(x, got):
+        total = trees.base
+        for t in range(len(trees.feature)):
+            at = 0
+            while trees.feature[t, at] >= 0:
+                f = trees.feature[t, at]
+                at = trees.left[t, at] if row[f] <= trees.threshold[t, at] else trees.right[t, at]
+            total += trees.value[t, at]
+        assert abs(p - 1 / (1 + np.exp(-total))) < 1e-12
+
+
+def test_first_split_is_the_best_of_all():
+    """One tree of one level against every feature and value, with a constraint and without."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, (80, 3)).astype(float)
+    y = ((x[:, 1] < 5) | (rng.uniform(size=80) < 0.2)).astype(float)
+    for direction in ([0, 0, 0], [0, 1, 0], [0, -1, 0]):
+        trees = quality.fit_trees(x, y, direction, trees=1, depth=1, bins=200)
+        g, h = y.mean() - y, np.full(80, y.mean() * (1 - y.mean()))
+        part = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + 1)
+        value = lambda rows: -g[rows].sum() / (h[rows].sum() + 1)
+        best = max(
+            (part(low) + part(~low), f, c)
+            for f in range(3)
+            for c in range(12)
+            for low in [x[:, f] <= c]
+            if low.sum() >= 5 <= (~low).sum() and direction[f] * (value(~low) - value(low)) >= 0
+        )
+        low = x[:, trees.feature[0, 0]] <= trees.threshold[0, 0]
+        assert abs(part(low) + part(~low) - best[0]) < 1e-9
+        assert np.allclose([trees.value[0, trees.left[0, 0]], trees.value[0, trees.right[0, 0]]], [0.2 * value(low), 0.2 * value(~low)])
+
+
 def test_one_class_or_no_labels():
     x = np.ones((4, 3))
     assert quality.fit_trees(x, np.ones(4), [0, 0, 0]).probability(x).min() > 0.9

@@ -22,6 +22,33 @@ def test_risk_separates_from_positives_and_unlabelled():
     assert (neg >= 0.7).mean() < 0.01 < (pos >= 0.7).mean()
 
 
+def test_fit_follows_the_stated_risk():
+    """Against a plain version: the risk row by row, its slope by differences, the same steps."""
+    rng = np.random.default_rng(5)
+    xp, xu = rng.uniform(size=(12, 4)), rng.uniform(size=(20, 4)) + 0.3
+    xp[:, 0] += 1.0
+    loss = lambda z: float(np.log1p(np.exp(-z)))
+
+    def terms(v, prior):
+        z = lambda row: sum(a * c for a, c in zip(row, v)) + v[4]
+        positive = prior * sum(loss(z(r)) for r in xp) / len(xp)
+        negative = sum(loss(-z(r)) for r in xu) / len(xu) - prior * sum(loss(-z(r)) for r in xp) / len(xp)
+        return positive, negative
+
+    for prior, steps in ((0.2, 12), (0.7, 60)):
+        v, m, q, signs = np.append(np.zeros(4), np.log(prior / (1 - prior))), np.zeros(5), np.zeros(5), set()
+        for t in range(1, steps + 1):
+            up = terms(v, prior)[1] >= 0
+            signs.add(up)
+            risk = (lambda u: sum(terms(u, prior))) if up else (lambda u: -terms(u, prior)[1])
+            g = np.array([(risk(v + e) - risk(v - e)) / 2e-5 for e in np.eye(5) * 1e-5]) + 1e-4 * np.append(v[:4], 0)
+            m, q = 0.9 * m + 0.1 * g, 0.999 * q + 0.001 * g * g
+            v = v - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(q / (1 - 0.999**t)) + 1e-8)
+        w, b = toxicity.fit_pu(xp, xu, prior, steps)
+        assert np.abs(np.append(w, b) - v).max() < 2e-3
+    assert signs == {True, False}
+
+
 def test_stems_are_shared_by_inflected_forms():
     a, b = (set(toxicity.word_hashes(t).tolist()) for t in ("walkings", "walkinge"))
     assert len(a & b) == 3 and len(toxicity.word_hashes("")) == 0
