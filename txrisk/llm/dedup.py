@@ -364,10 +364,13 @@ def _placed(docs: DataFrame, text: str, key: str | None, within: str) -> DataFra
         firsts = rows.filter("n > 0").groupBy("node").agg(F.min(order).alias("first"))
         known = placed.select("node", "root").join(firsts, "node")
         owner = owner.join(known.join(known.groupBy("root").agg(F.min("first").alias("winner")), "root").select("node", "winner"), "node")
+        # a written table, so that the join is a broadcast where it is small and AQE splits a node of many rows where not
+        owner, _ = written(owner, "owners", within)
         full = rows.filter("n > 0").select("c0", "c1", "n", "node").join(owner, "node").withColumn("kept", order.eqNullSafe(F.col("winner")))
         full = full.select("c0", "c1", "n", "component_id", "kept")
         out = full.unionByName(rows.filter("n = 0").select("c0", "c1", "n", F.col("c0").alias("component_id"), F.lit(True).alias("kept")))
         return out.select(F.col("c0").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", "kept", F.col("c1").alias(key))
+    owner, _ = written(owner, "owners", within)
     full = rows.filter("n > 0").select("c0", "n", "node").join(owner, "node").select("c0", "n", "component_id")
     out = full.unionByName(rows.filter("n = 0").select("c0", "n", F.col("c0").alias("component_id")))
     return out.select(F.col("c0").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("c0").eqNullSafe(F.col("component_id")).alias("kept"))
