@@ -554,3 +554,29 @@ def test_zscores_are_those_of_the_rows_own_batch(spark, scratch):
     job.process(_batch(spark, msg("d", 10.0, -1), msg("e", 30.0, 300)), 1)  # raises a's count
     got = {r.transaction_id: (r.tx_count_5min, round(r.amount_zscore, 6)) for r in table(spark, sinks.enriched).collect()}
     assert got == {"a": (2, -1.0), "b": (1, 0.0), "c": (1, 1.0), "d": (1, -0.707107), "e": (1, 0.707107)}
+
+
+def test_a_batch_writes_about_a_file_to_each_partition(spark, scratch):
+    """In the session of a stream, which plans without AQE for its state's sake."""
+    from collections import Counter
+
+    src = os.path.join(scratch, "in")
+    t0 = dt.datetime(2026, 2, 8)
+    events = [_msg(f"t{i}", f"C{i % 40}", t0 + dt.timedelta(hours=i % 96, seconds=i)) for i in range(800)]
+    write_lines(src, "part-000.json", events)
+    sinks = _sinks(scratch)
+    raw = read_transactions(spark, fmt="text", path=src)
+    seen = []
+
+    class Watched(ScoringJob):
+        def process_tagged(self, batch_df, batch_id):
+            get = lambda: batch_df.sparkSession.conf.get("spark.sql.adaptive.enabled")
+            seen.append(get())
+            super().process_tagged(batch_df, batch_id)
+            seen.append(get())
+
+    run_available(raw, Watched(sinks), os.path.join(scratch, "ckpt"))
+    files = Counter(folder for folder, _, names in os.walk(sinks.enriched) for n in names if n.endswith(".parquet"))
+    assert len(files) == 4 * 4 and max(files.values()) <= 2  # dates by buckets of customers
+    assert spark.read.parquet(sinks.enriched).count() == 800
+    assert seen == ["false", "false"]  # the stream's own plans keep their setting

@@ -31,10 +31,12 @@ a stream asks the key table.
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -64,6 +66,31 @@ from txrisk.sources import messages
 from txrisk.sources.transactions import TX_COLUMNS
 
 
+#: What the queries on a batch are planned with, whatever the stream's session has.
+BATCH_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    # cached frames have as many partitions as their rows need
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+}
+
+
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """AQE for the queries on a batch. Spark turns it off in the session of a stream
+    with state, whose number of partitions is fixed; the batch's own queries have no
+    state. Without it a ``rebalance`` hint is no exchange: each task would write a
+    file to each partition of a table, and every stage have the session's number of
+    shuffle partitions, however few its rows."""
+    before = {k: spark.conf.get(k) for k in BATCH_CONF}
+    for k, v in BATCH_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @dataclass
 class SinkPaths:
     enriched: str
@@ -204,6 +231,10 @@ class ScoringJob:
 
     def process_tagged(self, batch_df: DataFrame, batch_id: int) -> None:
         """One batch of ``tagged_stream``: its new keys are the batch's ``fresh`` rows."""
+        with adaptive(batch_df.sparkSession):
+            self._process_tagged(batch_df, batch_id)
+
+    def _process_tagged(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
