@@ -580,3 +580,14 @@ def test_a_batch_writes_about_a_file_to_each_partition(spark, scratch):
     assert len(files) == 4 * 4 and max(files.values()) <= 2  # dates by buckets of customers
     assert spark.read.parquet(sinks.enriched).count() == 800
     assert seen == ["false", "false"]  # the stream's own plans keep their setting
+
+
+def test_message_files_grow_with_the_cores(spark, scratch):
+    from txrisk.plans import streamed
+
+    tx = transactions(Tables(spark, SMALL))
+    path = os.path.join(scratch, "messages")
+    streamed.message_files(tx, path)
+    parts = [n for n in os.listdir(path) if n.endswith(".txt")]
+    assert len(parts) == streamed.BATCHES * streamed.files_a_batch(spark) >= 2 * spark.sparkContext.defaultParallelism
+    assert spark.read.text(path).select(F.trim("value")).distinct().count() == tx.count()

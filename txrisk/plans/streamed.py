@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.params import ScoringParams
@@ -19,9 +19,9 @@ from txrisk.sources.messages import to_messages
 from txrisk.streaming.job import ScoringJob, SinkPaths, start_scoring
 from txrisk.streaming.source import read_transactions
 
-#: Message files, and how many of them a micro-batch takes.
-FILES = 4
-FILES_A_BATCH = 2
+#: Micro-batches that take the message files, and the files that each takes for a core.
+BATCHES = 2
+FILES_A_CORE = 1
 REPEATED_EACH = 16
 
 
@@ -38,10 +38,16 @@ class StoppedJob(ScoringJob):
         super().write_alerts(out, batch_id)
 
 
+def files_a_batch(spark: SparkSession) -> int:
+    """As many as the cores, so that the files are written and read by all of them."""
+    return max(2, FILES_A_CORE * spark.sparkContext.defaultParallelism)
+
+
 def message_files(tx: DataFrame, path: str) -> None:
+    files = BATCHES * files_a_batch(tx.sparkSession)
     repeated = tx.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(REPEATED_EACH)) == 0)
     messages = to_messages(tx).unionByName(to_messages(repeated).withColumn("value", F.concat("value", F.lit(" "))))
-    messages.repartition(FILES, F.xxhash64("value")).sortWithinPartitions(F.xxhash64("value")).write.text(path)
+    messages.repartition(files, F.xxhash64("value")).sortWithinPartitions(F.xxhash64("value")).write.text(path)
 
 
 def streamed(tx: DataFrame, p: ScoringParams, minutes: bool = False) -> SinkPaths:
@@ -52,7 +58,7 @@ def streamed(tx: DataFrame, p: ScoringParams, minutes: bool = False) -> SinkPath
     message_files(tx, at("messages"))
     sinks = SinkPaths(at("enriched"), at("alerts"), minutes=at("minutes") if minutes else None)
     for job in (StoppedJob(sinks, params=p), ScoringJob(sinks, params=p)):
-        raw = read_transactions(spark, fmt="text", path=at("messages"), max_per_trigger=FILES_A_BATCH)
+        raw = read_transactions(spark, fmt="text", path=at("messages"), max_per_trigger=files_a_batch(spark))
         query = start_scoring(raw, job, at("checkpoint"), trigger={"availableNow": True}, query_name=None)
         try:
             query.awaitTermination()
