@@ -103,3 +103,27 @@ def test_hot_customer_statistics_join_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_grain_totals_aggregate_rows_not_moves(spark):
+    """What a task's aggregate of the totals holds is a grain of entry per row at
+    most: sparse rows, each in a grain of its own, are no more groups than rows."""
+    import datetime as dt
+
+    from txrisk.operators.features import trailing_count_grains
+
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(f"t{i}", f"C{i % 10}", t0 + dt.timedelta(days=i // 10, seconds=i * 37)) for i in range(400)]
+    df = spark.createDataFrame(data, "transaction_id string, customer_id string, ts timestamp_ntz").coalesce(1)
+    out = trailing_count_grains(df, DAY_US, DAY_US // 24)
+    got = {r.transaction_id: r.tx_count_5min for r in out.collect()}
+    assert got == {t: sum(c == c2 and s - dt.timedelta(days=1) <= s2 <= s for _, c2, s2 in data) for t, c, s in data}
+
+    def nodes(n):
+        inner = {"AdaptiveSparkPlanExec": lambda: [n.executedPlan()], **dict.fromkeys(("ShuffleQueryStageExec", "BroadcastQueryStageExec", "ResultQueryStageExec"), lambda: [n.plan()])}
+        children = inner.get(n.getClass().getSimpleName(), lambda: [n.children().apply(i) for i in range(n.children().size())])()
+        return [n] + [m for c in children for m in nodes(c)]
+
+    aggregates = [n for n in nodes(out._jdf.queryExecution().executedPlan()) if n.nodeName() == "HashAggregate"]
+    made = [n.metrics().apply("numOutputRows").value() for n in aggregates]
+    assert made and max(made) <= len(data)

@@ -88,7 +88,10 @@ def trailing_count_grains(
     both. That sum is split at grains of ``grain_micros``: within a grain it is
     a window partitioned by ``(key, grain)``, and what earlier grains add up to
     comes from the grains' totals, which are aggregated map-side and number no
-    more than the calendar has grains. A task's group is one grain of one key,
+    more than the calendar has grains. They are kept per grain of entry: rows of one
+    grain leave in one of two adjoining grains, so a total holds the rows and how many
+    leave in the later one, and is turned into moves after the aggregation: half the
+    groups in a task's memory. A task's group is one grain of one key,
     whatever the window's length. The price is a second pass over key and time
     and a copy of each row (key and time only) in the shuffle.
     """
@@ -102,21 +105,25 @@ def trailing_count_grains(
     leave = F.struct((F.col("_us") + F.lit(w + 1)).alias("at"), F.lit(-1).alias("by"))
     # rows without event time are counted among themselves and never leave
     moves = F.when(F.col("_us").isNull(), F.array(enter)).otherwise(F.array(enter, leave))
-    grain = F.expr(f"(_at - pmod(_at, {g}L)) div {g}L")
-
-    def moved(rows: DataFrame, *keep) -> DataFrame:
-        return rows.select(key, *keep, F.inline(moves).alias("_at", "_by")).withColumn("_grain", grain)
+    grain_of = lambda at: F.expr(f"({at} - pmod({at}, {g}L)) div {g}L")
 
     own = [F.when(F.col("_by") > 0, F.col(c)).alias(c) for c in payload]
     timed = df.select(*columns, epoch_micros(ts).alias("_us"))
-    both = moved(timed, *payload).select(key, *own, "_at", "_by", "_grain")
+    both = timed.select(key, *payload, F.inline(moves).alias("_at", "_by")).select(key, *own, "_at", "_by", grain_of("_at").alias("_grain"))
     frame = Window.partitionBy(key, "_grain").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
     within = both.withColumn("_in", F.sum("_by").over(frame)).filter(F.col("_by") > 0)
 
     # a null time has no earlier grains: its totals are left out
-    totals = moved(timed.select(key, "_us")).filter("_grain is not null").groupBy(key, "_grain").agg(F.sum("_by").alias("_net"))
-    earlier = Window.partitionBy(key).orderBy("_grain").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(F.col(key).alias("_k"), F.col("_grain").alias("_g"), F.coalesce(F.sum("_net").over(earlier), F.lit(0)).alias("_before"))
+    entered = timed.filter("_us is not null").select(key, grain_of("_us").alias("_g"), grain_of(f"(_us + {w + 1}L)").alias("_left"))
+    # the first grain that a row of ``_g`` may leave in; the others leave in the next
+    first = grain_of(f"(_g * {g}L + {w + 1}L)")
+    totals = entered.groupBy(key, "_g").agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_left") > first).alias("_late"))
+    nets = F.array(*[F.struct(at.alias("at"), net.alias("net"), F.lit(mine).alias("mine")) for at, net, mine in (
+        (F.col("_g"), F.col("_n"), True), (first, F.col("_late") - F.col("_n"), False), (first + 1, -F.col("_late"), False))])
+    net = totals.select(F.col(key).alias("_k"), F.inline(nets).alias("_g", "_net", "_mine")).filter("_net <> 0")
+    # grains of a key may repeat here: a range frame leaves out all of the own one
+    earlier = Window.partitionBy("_k").orderBy("_g").rangeBetween(Window.unboundedPreceding, -1)
+    before = net.withColumn("_before", F.coalesce(F.sum("_net").over(earlier), F.lit(0))).filter("_mine").drop("_net", "_mine")
     same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_grain") == F.col("_g"))
     count = F.col("_in") + F.coalesce("_before", F.lit(0))
     return within.join(before, same, "left").withColumn(out, count.cast("int")).select(*columns, out)
