@@ -58,6 +58,31 @@ def test_cache_generations_keep_results(monkeypatch):
         assert len(c.word) <= 4 and len(c.piece) <= 4
 
 
+def test_each_word_is_encoded_once_and_kept_once():
+    c = bpe.Codec(PATH)
+    made, symbols = [], c.symbols
+    c.symbols = lambda data: made.append(data) or symbols(data)
+    for text in ["zero one two one, three", "zero \nzero one two three, one", "zero one, two three, zero"]:
+        assert np.frombuffer(c.encode(text), "<u4").tolist() == LIBRARY.encode(text).ids
+    assert len(made) == len(set(made))
+    assert {"one", "one,", "two", "three"} <= set(c.word) and not {" one", " two", " three"} & set(c.piece)
+
+
+def test_letters_alone_are_one_piece_in_every_script():
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    letters = "".join(filter(str.isalpha, every))
+    assert CODEC.pieces.findall(" " + letters) == [" " + letters]
+    assert set(bpe.regex.findall(r"\s", every)) == bpe.WHITE
+
+
+@pytest.mark.parametrize("space", [" ", "  ", " \n", "\n ", "\t", "\x1f", " \x1f ", "\u3000 ", " '", "\n\n"])
+def test_loose_spaces_anywhere(space):
+    for text in ["a, b c", "don't stop", "1 2 three&&& x"]:
+        for i in range(len(text) + 1):
+            check(text[:i] + space + text[i:])
+            check(f"w {text[:i]}{space}{text[i:]} w<|endoftext|>{text[i:]}{space}")
+
+
 def test_odd_rows(spark):
     rows = odd_rows("thing")
     out = bpe.encode_decode(with_clashes(docs(spark, rows)), ["doc_id", "text", "ids"][:2]).collect()

@@ -23,11 +23,18 @@ from txrisk.llm.common import map_batches, read, texts_of, whole_text
 #: Pre-tokenizer pattern of byte-level vocabularies (fixed value of the format).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: A space beside other white space.
-LOOSE = regex.compile(r"\s | \s")
+#: The pattern's white space.
+WHITE = frozenset(regex.findall(r"\s", "".join(map(chr, range(0x3001)))))
+
+#: A space between two characters that are no white space.
+SURE = regex.compile(r"(?<=\S) (?=\S)")
 
 #: Entries of one generation of a worker's caches, and the longest text kept.
-CACHE_ENTRIES, CACHE_CHARS = 150_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 250_000, 48
+
+
+class Loose(Exception):
+    """A space beside other white space."""
 
 
 class Recent(dict):
@@ -72,58 +79,81 @@ class Codec:
         self.strings = [b""] * size
         for s, i in [*vocab.items(), *((s.encode(), i) for s, i in self.special.items())]:
             self.strings[i] = s
+        self.table = np.array(self.strings, object)
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.byte_id = [vocab[bytes([b])] for b in range(256)]
-        # one integer per pair and per (rank, new id): cheap keys for the hot loop
-        self.merge = {}
+        # left id -> right id -> rank, rank -> new id, byte -> byte -> rank: small integers for the hot loop
+        self.ranks, self.merged = [{}] * size, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = (raw(s) for s in (pair.split(" ") if isinstance(pair, str) else pair))
-            self.merge.setdefault(vocab[a] << 32 | vocab[b], rank << 32 | vocab[a + b])
+            self.ranks[vocab[a]] = self.ranks[vocab[a]] or {}
+            self.ranks[vocab[a]].setdefault(vocab[b], rank)
+            self.merged.append(vocab[a + b])
+        self.first = [[self.ranks[a].get(b, -1) for b in self.byte_id] for a in self.byte_id]
         self.pieces = regex.compile(PATTERN)
         names = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.piece = Recent(lambda t: np.array(self.symbols(t.encode()), "<u4").tobytes())
+        self.piece = Recent(self.whole)
         #: A word and the space before it.
-        self.word = Recent(lambda t: b"".join(map(self.piece.__getitem__, self.pieces.findall(" " + t))))
+        self.word = Recent(self.spaced)
+
+    def whole(self, piece: str) -> bytes:
+        return b"".join([self.packed[i] for i in self.symbols(piece.encode())])
+
+    def spaced(self, word: str) -> bytes:
+        """Ids of a word and the space before it, which starts a piece; letters alone are one piece."""
+        if not word.isalpha():
+            if not word or word[0] in WHITE or word[-1] in WHITE:
+                raise Loose
+            first, *rest = self.pieces.findall(" " + word)
+            if rest:
+                return self.word[first[1:]] + b"".join([self.piece[p] for p in rest])
+        return self.whole(" " + word)
 
     def symbols(self, data: bytes) -> list[int]:
         """Ids of one piece: merges by rank, leftmost first among equal ranks.
 
-        A queue entry is rank << 32 | position. It is stale, and skipped, unless
-        the pair that now starts at the position still has that rank.
+        A queue entry is rank << bits | position. It is stale, and skipped, unless
+        the pair that now starts at the position still has that entry.
         """
         ids = [self.byte_id[b] for b in data]
         n = len(ids)
         if n < 2:
             return ids
-        find, push, pop = self.merge.get, heapq.heappush, heapq.heappop
+        first, ranks, merged, push, pop = self.first, self.ranks, self.merged, heapq.heappush, heapq.heappop
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-        found = [find(ids[i] << 32 | ids[i + 1], -1) for i in range(n - 1)]  # of the pair that starts here
-        found.append(-1)
-        queue = [m >> 32 << 32 | i for i, m in enumerate(found) if m >= 0]
+        found, queue = [-1] * n, []  # found: the entry of the pair that starts here
+        for i, (a, b) in enumerate(zip(data, data[1:])):
+            r = first[a][b]
+            if r >= 0:
+                e = found[i] = r << bits | i
+                queue.append(e)
         heapq.heapify(queue)
         while queue:
             e = pop(queue)
-            i = e & 0xFFFFFFFF
-            m = found[i]
-            if m < 0 or m >> 32 != e >> 32:
+            i = e & mask
+            if found[i] != e:
                 continue
             j = nxt[i]
             k = nxt[i] = nxt[j]
-            found[j] = -1
-            ids[j] = -1
-            new = ids[i] = m & 0xFFFFFFFF
-            found[i] = -1
+            found[j] = ids[j] = found[i] = -1
+            new = ids[i] = merged[e >> bits]
             if k < n:
                 prv[k] = i
-                m = find(new << 32 | ids[k], -1)
-                if m >= 0:
-                    found[i] = m
-                    push(queue, m >> 32 << 32 | i)
+                r = ranks[new].get(ids[k])
+                if r is not None:
+                    e = found[i] = r << bits | i
+                    push(queue, e)
             h = prv[i]
             if h >= 0:
-                m = found[h] = find(ids[h] << 32 | new, -1)
-                if m >= 0:
-                    push(queue, m >> 32 << 32 | h)
+                r = ranks[ids[h]].get(new)
+                if r is None:
+                    found[h] = -1
+                else:
+                    e = found[h] = r << bits | h
+                    push(queue, e)
         return [s for s in ids if s >= 0]
 
     def encode(self, text: str) -> bytes:
@@ -131,24 +161,33 @@ class Codec:
 
         A piece holds a space only as its first character or among white space,
         so a space between two characters that are no white space always starts
-        a piece: where all spaces are such, the text is looked up by its words.
+        a piece: the text is looked up by what stands between such spaces.
         """
         parts = self.cut.split(text) if self.cut and any(s in text for s in self.special) else [text]
-        out, piece, word = [], self.piece.__getitem__, self.word.__getitem__
+        out = []
         for k, part in enumerate(parts):
             if k % 2:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
-            elif part[:1] == " " or part[-1:] == " " or LOOSE.search(part):
-                out += map(piece, self.pieces.findall(part))
+                out.append(self.packed[self.special[part]])
             elif part:
-                first, *rest = part.split(" ")
-                out += map(piece, self.pieces.findall(first))
-                out += map(word, rest)
+                out += self.of_words(part)
         return b"".join(out)
 
+    def of_words(self, part: str) -> list[bytes]:
+        """Ids of a part by the words between its spaces, or between the sure ones if some are loose."""
+        piece, word, cut = self.piece, self.word, self.pieces.findall
+        try:
+            first, *rest = part.split(" ")
+            if rest and (not first or first[-1] in WHITE):
+                raise Loose
+            return [piece[p] for p in cut(first)] + [word[w] for w in rest]
+        except Loose:
+            first, *rest = SURE.split(part)
+            last = cut(" " + rest.pop()) if rest and rest[-1][-1] in WHITE else []
+            return [piece[p] for p in cut(first)] + [word[w] for w in rest] + [piece[p] for p in last]
+
     def decode(self, ids: bytes) -> str:
         """The vocabulary's strings one after the other; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return b"".join(self.table[np.frombuffer(ids, "<u4")].tolist()).decode("utf-8", "replace")
 
 
 _codecs: dict[str, Codec] = {}
