@@ -591,3 +591,32 @@ def test_message_files_grow_with_the_cores(spark, scratch):
     parts = [n for n in os.listdir(path) if n.endswith(".txt")]
     assert len(parts) == streamed.BATCHES * streamed.files_a_batch(spark) >= 2 * spark.sparkContext.defaultParallelism
     assert spark.read.text(path).select(F.trim("value")).distinct().count() == tx.count()
+
+
+def test_streams_keys_are_off_the_heap_whatever_the_session(spark, monkeypatch):
+    """Spark's default state store is a map of all keys on the executors' heap; stores
+    that stay open cost memory too, as many as there are partitions."""
+    from txrisk.plans import streamed
+    from txrisk.session import STATE_CONF
+
+    conf = [*STATE_CONF, *streamed.STORES]
+    old = {k: spark.conf.get(k, None) for k in conf}
+    stores = spark._jvm.org.apache.spark.sql.execution.streaming.state.RocksDBMemoryManager.getNumRocksDBInstances
+    queries = []
+    monkeypatch.setattr(streamed, "start_scoring", lambda *a, **k: queries.append(start_scoring(*a, **k)) or queries[-1])
+    try:
+        for k in conf:
+            spark.conf.unset(k)
+        opened = stores(True)
+        tx = transactions(Tables(spark, SMALL))
+        sinks = streamed.streamed(tx, ScoringParams.fixture())
+        assert [spark.conf.get(k, None) for k in conf] == [None] * len(conf)
+    finally:
+        for k, v in old.items():
+            if v is not None:
+                spark.conf.set(k, v)
+    states = [s for q in queries for b in q.recentProgress for s in b["stateOperators"]]
+    assert len(queries) == 2 and states
+    assert all(any(m.startswith("rocksdb") for m in s["customMetrics"]) for s in states)
+    assert stores(True) <= opened
+    assert table(spark, sinks.enriched).select("transaction_id").distinct().count() == tx.count()

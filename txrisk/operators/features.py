@@ -115,9 +115,10 @@ def trailing_count_grains(
 
     # a null time has no earlier grains: its totals are left out
     entered = timed.filter("_us is not null").select(key, grain_of("_us").alias("_g"), grain_of(f"(_us + {w + 1}L)").alias("_left"))
-    # the first grain that a row of ``_g`` may leave in; the others leave in the next
+    # the first grain that a row of ``_g`` may leave in; the others leave in the next, later by 1
     first = grain_of(f"(_g * {g}L + {w + 1}L)")
-    totals = entered.groupBy(key, "_g").agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_left") > first).alias("_late"))
+    entered = entered.select(key, "_g", (F.col("_left") - first).alias("_by"))
+    totals = entered.groupBy(key, "_g").agg(F.count(F.lit(1)).alias("_n"), F.sum("_by").alias("_late"))
     nets = F.array(*[F.struct(at.alias("at"), net.alias("net"), F.lit(mine).alias("mine")) for at, net, mine in (
         (F.col("_g"), F.col("_n"), True), (first, F.col("_late") - F.col("_n"), False), (first + 1, -F.col("_late"), False))])
     net = totals.select(F.col(key).alias("_k"), F.inline(nets).alias("_g", "_net", "_mine")).filter("_net <> 0")

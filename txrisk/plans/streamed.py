@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.params import ScoringParams
-from txrisk.session import new_folder
+from txrisk.session import new_folder, session_conf
 from txrisk.sources.messages import to_messages
 from txrisk.streaming.job import ScoringJob, SinkPaths, start_scoring
 from txrisk.streaming.source import read_transactions
@@ -23,6 +23,13 @@ from txrisk.streaming.source import read_transactions
 BATCHES = 2
 FILES_A_CORE = 1
 REPEATED_EACH = 16
+#: A state store is open while its task runs: batches are few and large here, and an
+#: open store costs an executor some MB whatever it holds, so as many as the shuffle
+#: has partitions, of both queries, would not fit. Nothing reads how many keys there are.
+STORES = {
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
 
 
 class Stopped(RuntimeError):
@@ -59,7 +66,8 @@ def streamed(tx: DataFrame, p: ScoringParams, minutes: bool = False) -> SinkPath
     sinks = SinkPaths(at("enriched"), at("alerts"), minutes=at("minutes") if minutes else None)
     for job in (StoppedJob(sinks, params=p), ScoringJob(sinks, params=p)):
         raw = read_transactions(spark, fmt="text", path=at("messages"), max_per_trigger=files_a_batch(spark))
-        query = start_scoring(raw, job, at("checkpoint"), trigger={"availableNow": True}, query_name=None)
+        with session_conf(spark, STORES):
+            query = start_scoring(raw, job, at("checkpoint"), trigger={"availableNow": True}, query_name=None)
         try:
             query.awaitTermination()
         except StreamingQueryException as e:

@@ -5,9 +5,24 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Where a stream keeps its state, and the memory an executor gives to it.
+STATE_CONF = {
+    # on the executors' disks, whatever the session has: Spark's default keeps every key on
+    # the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a batch's state upload is its changes, whatever the state has grown to
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # write buffers, index and cached blocks of all stores of an executor share this much
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+}
+
 # Settings the engine relies on. AQE re-plans joins from runtime sizes,
 # coalesces small shuffle partitions and splits skewed join partitions.
 ENGINE_CONF = {
@@ -21,11 +36,7 @@ ENGINE_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoint files of materialised frames are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # streaming state of the event-time operators lives in RocksDB, off heap
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # a batch's state upload is its changes, whatever the state has grown to
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    **STATE_CONF,
 }
 
 
@@ -78,6 +89,22 @@ def build_session(
     return spark
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """The session with these settings, and as it was afterwards."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Event time is stored without zone and read as UTC wall clock; the
     engine's conversions (ISO text, epoch microseconds for windows, minute

@@ -47,6 +47,7 @@ from txrisk.operators.features import counted as trailing
 from txrisk.operators.scoring import SCORE_COLUMN
 from txrisk.params import ScoringParams
 from txrisk.schema import ALERT_SCHEMA, ENRICHED_SCHEMA, RETRACTED_COLUMN, assert_schema
+from txrisk.session import STATE_CONF, session_conf
 from txrisk.sinks.keyed import (
     BATCH_COLUMN,
     CUSTOMER_COLUMN,
@@ -81,14 +82,8 @@ def adaptive(spark: SparkSession) -> Iterator[None]:
     state. Without it a ``rebalance`` hint is no exchange: each task would write a
     file to each partition of a table, and every stage have the session's number of
     shuffle partitions, however few its rows."""
-    before = {k: spark.conf.get(k) for k in BATCH_CONF}
-    for k, v in BATCH_CONF.items():
-        spark.conf.set(k, v)
-    try:
+    with session_conf(spark, BATCH_CONF):
         yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
 
 
 @dataclass
@@ -302,4 +297,6 @@ def start_scoring(
         writer = writer.queryName(query_name)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    # a query keeps the settings that its session has when it starts
+    with session_conf(raw_stream.sparkSession, STATE_CONF):
+        return writer.start()
